@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from creditloom import constants as K
 from creditloom.operators.clean import feature_columns
-from creditloom.operators.quantiles import decile_edges
+from creditloom.operators.quantiles import decile_edges, long_form, name_of
 from creditloom.operators.snapshots import at_latest
 
 
@@ -21,13 +21,13 @@ def baseline(
 
 
 def bin_number(value: Column, edges: Column, buckets: int) -> Column:
-    """Bin 0..buckets-1 of [e_i, e_i+1), the last bin closed; -1 outside, null for null.
+    """Bin 0..buckets-1 of [e_i, e_i+1), the last bin closed; -1 outside.
 
     Edges may repeat: a bin of no width then stays empty.
     """
     inner = sum((F.when(value >= edges[i], 1).otherwise(0) for i in range(1, buckets)), F.lit(0))
     within = value.between(edges[0], edges[buckets])
-    return F.when(value.isNull(), F.lit(None).cast("int")).when(within, inner).otherwise(-1)
+    return F.when(within, inner).otherwise(-1)
 
 
 def histogram(
@@ -35,33 +35,21 @@ def histogram(
 ) -> DataFrame:
     """(by, feature, counts, total): one array of bin counts per group and feature.
 
-    ``total`` also counts values outside the edges. Bins are computed column by column from
-    the edges (a scalar, one array per column) before rows are spread out by feature, and the
-    counts are combined map-side: a group costs one small record per task however hot it is.
+    ``total`` also counts values outside the edges. Counts are combined map-side: a group costs
+    one small record per task however hot it is.
     """
     by = by or []
-    row = edges.agg(
-        F.struct(*[F.max(F.when(F.col("feature") == c, F.col("edges"))).alias(c) for c in cols]).alias("edges")
-    ).scalar()
-    binned = df.select(*by, *cols, row.alias("__edges")).select(
-        *by,
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(c).alias("feature"),
-                        bin_number(F.col(c), F.col(f"__edges.{c}"), buckets).alias("bin"),
-                    )
-                    for c in cols
-                ]
-            )
-        ),
-    )
+    places = edges.select(
+        (F.array_position(F.array(*[F.lit(c) for c in cols]), F.col("feature")) - 1).cast("int").alias("f"), "edges"
+    ).where(F.col("f") >= 0)
+    # edges has one row per feature column
+    values = long_form(df, cols, by).join(F.broadcast(places), "f")
+    binned = values.withColumn("bin", bin_number(F.col("value"), F.col("edges"), buckets))
     counts = [F.count_if(F.col("bin") == i) for i in range(buckets)]
     return (
-        binned.where(F.col("bin").isNotNull())
-        .groupBy(*by, "feature")
+        binned.groupBy(*by, "f")
         .agg(F.array(*counts).alias("counts"), F.count(F.lit(1)).alias("total"))
+        .select(*by, name_of(F.col("f"), cols).alias("feature"), "counts", "total")
     )
 
 

@@ -1,8 +1,8 @@
 """Quantiles of many columns at once, and the operators built on them.
 
-``method="exact"`` returns true order statistics in two bounded passes: a sketch brackets each
-wanted rank, then only the values inside the brackets are counted one by one, everything
-between brackets being reduced to a single count. ``method="approx"`` is one sketch pass.
+``method="exact"`` returns true order statistics from a counted histogram: of all values for
+integral columns, and for real-valued ones of the values in narrow brackets around the wanted
+ranks, which a sketch places first. ``method="approx"`` is the sketch alone.
 """
 
 from __future__ import annotations
@@ -28,51 +28,90 @@ def _sketch(column: str, probs: list[float], accuracy: int) -> Column:
     return F.percentile_approx(F.col(column).cast("double"), probs, accuracy)
 
 
-def _counted(df: DataFrame, plan: dict[str, list[float]], accuracy: int) -> DataFrame:
-    """Histogram (feature, value, gap, n): exact values inside the brackets, and one row with
-    ``gap`` set per stretch between them, sorted after the bracket it follows."""
-    # The sketch's rank error is n/accuracy. Brackets reach 4n/accuracy to either side, which
-    # leaves room for the neighbouring rank that interpolation needs once n > accuracy; smaller
-    # inputs are counted in full.
-    reach = 4.0 / accuracy
-    inf, brackets = float("inf"), []
-    for i, (c, probs) in enumerate(plan.items()):
-        ends = [e for p in sorted(probs) for e in (max(p - reach, 0.0), min(p + reach, 1.0))]
-        brackets += [_sketch(c, ends, accuracy).alias(f"q{i}"), F.count(c).alias(f"n{i}")]
-    bounds = df.agg(F.struct(*brackets).alias("bounds")).scalar()
-    sized = df.select(*plan, bounds.alias("__b"))
-
-    entries = []
-    for i, (c, probs) in enumerate(plan.items()):
-        value, ends = F.col(c).cast("double"), F.col(f"__b.q{i}")
-        inside, below = F.col(f"__b.n{i}") <= accuracy, [F.lit(-inf), F.lit(-inf)]
-        for j, p in enumerate(sorted(probs)):
-            lo = F.lit(-inf) if p - reach <= 0 else ends[2 * j]
-            hi = F.lit(inf) if p + reach >= 1 else ends[2 * j + 1]
-            inside = inside | value.between(lo, hi)
-            below.append(F.when(hi < value, hi))
-        entries.append(
-            F.struct(
-                F.lit(c).alias("feature"),
-                F.when(value.isNotNull(), F.when(inside, value).otherwise(F.greatest(*below))).alias("value"),
-                (~inside).alias("gap"),
-            )
-        )
+def long_form(df: DataFrame, cols: list[str], by: list[str] | None = None, kind: str = "double") -> DataFrame:
+    """(by, f, value) with one row per non-null value; ``f`` is the column's place in ``cols``."""
+    values = F.array(*[F.col(c).cast(kind) for c in cols])
+    long = df.select(*(by or []), F.posexplode(values).alias("f", "value"))
+    return long.where(F.col("value").isNotNull())
+
+
+def name_of(f: Column, cols: list[str]) -> Column:
+    return F.element_at(F.array(*[F.lit(c) for c in cols]), f + 1)
+
+
+def _counted_whole(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Histogram of integral columns. Counts are combined before the shuffle, so it carries at
+    most one record per distinct value and task, however often a value occurs."""
+    counts = long_form(df, cols, kind="bigint").groupBy("f", "value").agg(F.count(F.lit(1)).alias("n"))
+    return counts.select(
+        name_of(F.col("f"), cols).alias("feature"),
+        F.col("value").cast("double").alias("value"),
+        F.lit(False).alias("gap"),
+        "n",
+    )
+
+
+def _brackets(values: DataFrame, probs: list[float], accuracy: int) -> DataFrame:
+    """(f, ends, total): sketched values below and above each wanted rank.
+
+    The sketch's rank error is total/accuracy. Brackets reach four times as far to either side,
+    which leaves room for the neighbouring rank that interpolation needs once total > accuracy.
+    """
+    reach, inf = 4.0 / accuracy, float("inf")
+    ends = [e for p in probs for e in (max(p - reach, 0.0), min(p + reach, 1.0))]
+    sketches = values.groupBy("f").agg(
+        F.percentile_approx("value", ends, accuracy).alias("q"), F.count(F.lit(1)).alias("total")
+    )
+    open_ended = {i: F.lit(inf if i % 2 else -inf) for i, e in enumerate(ends) if e == float(i % 2)}
+    return sketches.select(
+        "f", F.array(*[open_ended.get(i, F.col("q")[i]) for i in range(len(ends))]).alias("ends"), "total"
+    )
+
+
+def _counted_real(df: DataFrame, cols: list[str], probs: list[float], accuracy: int) -> DataFrame:
+    """Histogram of real-valued columns around the wanted ranks only.
+
+    Values inside a bracket are counted one by one; each stretch between brackets is a single
+    count with ``gap`` set, sorted after the bracket it follows. Inputs of up to ``accuracy``
+    values are counted in full.
+    """
+    values = long_form(df, cols)
+    # one row per column
+    brackets = F.broadcast(_brackets(values, probs, accuracy))
+    value, ends = F.col("value"), F.col("ends")
+    inside, below = F.col("total") <= accuracy, [F.lit(float("-inf")), F.lit(float("-inf"))]
+    for j in range(len(probs)):
+        inside = inside | value.between(ends[2 * j], ends[2 * j + 1])
+        below.append(F.when(ends[2 * j + 1] < value, ends[2 * j + 1]))
     return (
-        sized.select(F.inline(F.array(*entries)))
-        .where(F.col("value").isNotNull())
-        .groupBy("feature", "value", "gap")
+        values.join(brackets, "f")
+        .withColumn("gap", ~inside)
+        .withColumn("value", F.when(F.col("gap"), F.greatest(*below)).otherwise(value))
+        .groupBy("f", "value", "gap")
         .agg(F.count(F.lit(1)).alias("n"))
+        .select(name_of(F.col("f"), cols).alias("feature"), "value", "gap", "n")
     )
 
 
+def _counted(df: DataFrame, cols: list[str], probs: list[float], accuracy: int) -> DataFrame:
+    """Histogram (feature, value, gap, n) that is exact at the wanted ranks."""
+    types = dict(df.dtypes)
+    whole = [c for c in cols if types[c] in ("tinyint", "smallint", "int", "bigint")]
+    real = [c for c in cols if c not in whole]
+    parts = [_counted_whole(df, whole)] if whole else []
+    if real:
+        parts.append(_counted_real(df, real, probs, accuracy))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
 def _at_rank(rank: Column) -> Column:
     """Value holding the 0-based ``rank`` in a histogram with counts before each value."""
     return F.max(F.when((F.col("before") <= rank) & (rank < F.col("before") + F.col("n")), F.col("value")))
 
 
 def _exact(df: DataFrame, plan: dict[str, list[float]], interpolate: bool, accuracy: int) -> DataFrame:
-    histogram = stage(_counted(df, plan, accuracy), "histogram")
+    distinct = sorted({p for probs in plan.values() for p in probs})
+    histogram = stage(_counted(df, list(plan), distinct, accuracy), "histogram")
     order = ["value", "gap"]
     if histogram.count() <= WINDOW_ROWS:
         by_feature = W.partitionBy("feature").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
@@ -83,8 +122,7 @@ def _exact(df: DataFrame, plan: dict[str, list[float]], interpolate: bool, accur
     # totals has one row per column of the plan
     ranked = ranked.join(F.broadcast(totals), "feature")
 
-    total, distinct = F.col("total"), sorted({p for probs in plan.values() for p in probs})
-    picks = []
+    total, picks = F.col("total"), []
     for j, p in enumerate(distinct):
         if interpolate:
             lower = F.floor((total - 1) * F.lit(p))
@@ -106,10 +144,14 @@ def _exact(df: DataFrame, plan: dict[str, list[float]], interpolate: bool, accur
         # from the nearer end, so that equal neighbours give exactly that value
         return F.when(t < 0.5, a + (b - a) * t).otherwise(b - (b - a) * (F.lit(1.0) - t))
 
-    values = F.lit(None).cast("array<double>")
+    answers = found.select("feature", F.array(*[result(p) for p in distinct]).alias("quantiles"))
+    if all(list(probs) == distinct for probs in plan.values()):
+        return answers
+    own = F.lit(None).cast("array<double>")
     for c, probs in plan.items():
-        values = F.when(F.col("feature") == c, F.array(*[result(p) for p in probs])).otherwise(values)
-    return found.select("feature", values.alias("quantiles"))
+        mine = F.array(*[F.col("quantiles")[distinct.index(p)] for p in probs])
+        own = F.when(F.col("feature") == c, mine).otherwise(own)
+    return answers.withColumn("quantiles", own)
 
 
 def quantile_table(
