@@ -61,14 +61,29 @@ def split_stats(df: DataFrame, by: str = "split", label: str = "label") -> DataF
 # --- scaling and assembly ---------------------------------------------------------
 
 
-def fit_scaler(df: DataFrame, cols: list[str]) -> DataFrame:
-    """One row of (mean, std) structs per column: population std, 1 where it is 0 or missing."""
+def fit_scaler(df: DataFrame, cols: list[str], weight: str | None = None) -> DataFrame:
+    """One row of (mean, std) structs per column: population std, 1 where it is 0 or missing.
 
-    def params(c: str) -> Column:
-        std = F.stddev_pop(c)
-        return F.struct(F.avg(c).alias("mean"), F.when(std > 0, std).otherwise(1.0).alias("std")).alias(c)
+    With ``weight`` each row counts that many times; the squared deviations are then taken in a
+    second pass around the weighted means.
+    """
+
+    def params(c: str, mean: Column, std: Column) -> Column:
+        return F.struct(mean.alias("mean"), F.when(std > 0, std).otherwise(1.0).alias("std")).alias(c)
+
+    if weight is None:
+        return df.agg(*[params(c, F.avg(c), F.stddev_pop(c)) for c in cols])
+
+    def share(c: str, values: Column) -> Column:
+        counted = F.when(F.col(c).isNotNull(), F.col(weight))
+        return F.try_divide(F.sum(values * F.col(weight)), F.sum(counted).cast("double"))
 
-    return df.agg(*[params(c) for c in cols])
+    means = df.agg(F.struct(*[share(c, F.col(c)).alias(c) for c in cols]).alias("means")).scalar()
+    centred = df.withColumn("__m", means)
+    spreads = [
+        params(c, F.max(F.col(f"__m.{c}")), F.sqrt(share(c, F.pow(F.col(c) - F.col(f"__m.{c}"), 2)))) for c in cols
+    ]
+    return centred.agg(*spreads)
 
 
 def scaler_table(params: DataFrame) -> DataFrame:
@@ -90,9 +105,9 @@ def apply_scaler(df: DataFrame, params: DataFrame) -> DataFrame:
     )
 
 
-def scaler_stage(df: DataFrame, cols: list[str]) -> SQLTransformer:
+def scaler_stage(df: DataFrame, cols: list[str], weight: str | None = None) -> SQLTransformer:
     """Fitted scaler as a savable pipeline stage. Only its one parameter row is read back."""
-    row = fit_scaler(df, cols).first()
+    row = fit_scaler(df, cols, weight).first()
     scaled = ", ".join(
         f"(`{c}` - {row[c]['mean'] or 0.0!r}D) / {row[c]['std']!r}D AS `{SCALED}_{i}`"
         for i, c in enumerate(cols)
@@ -111,7 +126,7 @@ def assemble(df: DataFrame, cols: list[str], output: str = FEATURES) -> DataFram
 # --- training ---------------------------------------------------------------------
 
 
-def logistic_regression(n_rows: int, C: float = 1.0, **options) -> LogisticRegression:
+def logistic_regression(n_rows: float, C: float = 1.0, **options) -> LogisticRegression:
     """L2 logistic regression with the inverse strength ``C`` of a summed (not averaged) loss."""
     defaults = dict(
         featuresCol=FEATURES,
@@ -132,19 +147,25 @@ def boosted_trees(**options) -> GBTClassifier:
     return GBTClassifier(**{**defaults, **options})
 
 
-def _fit(df: DataFrame, cols: list[str], estimator: Estimator) -> PipelineModel:
-    scaler = scaler_stage(df, cols)
+def _fit(df: DataFrame, cols: list[str], estimator: Estimator, weight: str | None) -> PipelineModel:
+    scaler = scaler_stage(df, cols, weight)
     vector = assembler([f"{SCALED}_{i}" for i in range(len(cols))])
-    prepared = vector.transform(scaler.transform(df)).select(FEATURES, "label")
+    prepared = vector.transform(scaler.transform(df)).select(FEATURES, "label", *([weight] if weight else []))
+    if weight:
+        estimator = estimator.setWeightCol(weight)
     return PipelineModel(stages=[scaler, vector, estimator.fit(prepared)])
 
 
-def train_lr(df: DataFrame, cols: list[str], C: float = 1.0, **options) -> PipelineModel:
-    return _fit(df, cols, logistic_regression(df.count(), C, **options))
+def train_lr(
+    df: DataFrame, cols: list[str], C: float = 1.0, weight: str | None = None, **options
+) -> PipelineModel:
+    """Scaler and logistic regression; ``weight`` names a column of row multiplicities."""
+    n_rows = df.agg(F.sum(weight) if weight else F.count(F.lit(1))).first()[0]
+    return _fit(df, cols, logistic_regression(n_rows, C, **options), weight)
 
 
-def train_gbt(df: DataFrame, cols: list[str], **options) -> PipelineModel:
-    return _fit(df, cols, boosted_trees(**options))
+def train_gbt(df: DataFrame, cols: list[str], weight: str | None = None, **options) -> PipelineModel:
+    return _fit(df, cols, boosted_trees(**options), weight)
 
 
 TRAINERS = {"logistic_regression": train_lr, "gbt": train_gbt}
@@ -195,7 +216,11 @@ def search_results(model: CrossValidatorModel) -> DataFrame:
 
 
 def auc(
-    df: DataFrame, score: str = "prediction", label: str = "label", by: list[str] | None = None
+    df: DataFrame,
+    score: str = "prediction",
+    label: str = "label",
+    by: list[str] | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """Exact ROC AUC per group, ties counting half; null for a single class.
 
@@ -203,11 +228,15 @@ def auc(
     range slices, so the ranks of a group holding most rows are worked out by many tasks.
     """
     by = by or []
-    positive = F.col(label) == 1
+    copies = F.col(weight) if weight else F.lit(1)
+
+    def class_count(is_class: Column) -> Column:
+        return F.sum(F.when(is_class, copies).otherwise(0)).cast("bigint")
+
     scores = (
         df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
         .groupBy(*by, F.col(score).alias("__score"))
-        .agg(F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg"))
+        .agg(class_count(F.col(label) == 1).alias("pos"), class_count(F.col(label) != 1).alias("neg"))
     )
     below = total_before(F.col("neg"), *by, SLICE, order=["__score"])
     ranked = slice_by_range(scores, by, ["__score"]).withColumn("__below", below)

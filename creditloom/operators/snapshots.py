@@ -164,6 +164,24 @@ def attach_labels(
     return left.join(right, on, "inner")
 
 
+def attach_label_counts(feat: DataFrame, labels: DataFrame, on: list[str] | None = None) -> DataFrame:
+    """Features with each label value of the customer once, ``weight`` saying how often.
+
+    Stands for ``attach_labels`` wherever only (features, label) matter, as in training: labels
+    are counted per customer before the join, so a customer with many feature months and many
+    labels gives two rows per month instead of every pair.
+    """
+    on = on or ["Customer_ID"]
+    counts = labels.groupBy(*on).agg(
+        F.count_if(F.col("label") == 1).alias("__n1"), F.count_if(F.col("label") == 0).alias("__n0")
+    )
+    both = F.array(
+        F.struct(F.lit(1).alias("label"), F.col("__n1").alias("weight")),
+        F.struct(F.lit(0).alias("label"), F.col("__n0").alias("weight")),
+    )
+    return feat.join(counts, on).select(*feat.columns, F.inline(both)).where(F.col("weight") > 0)
+
+
 def attach_features(labels: DataFrame, feat: DataFrame, on: list[str] | None = None) -> DataFrame:
     """Every label with the features of the same customer and snapshot, if any."""
     return labels.join(feat, on or ["Customer_ID", SNAPSHOT], "left")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from creditloom.operators import modeling as M, registry
 from creditloom.operators.clean import feature_columns
-from creditloom.operators.snapshots import as_of, attach_labels
+from creditloom.operators.snapshots import as_of, attach_label_counts
 from creditloom.sources import readers, writers
 from creditloom.sources.staging import stage
 
@@ -17,18 +17,14 @@ from creditloom.sources.staging import stage
 def training_rows(
     feat: DataFrame, labels: DataFrame, snapshot: dt.date | str, on: list[str] | None = None
 ) -> DataFrame:
-    """Features and label of everything known at the snapshot, with a train / test split.
+    """Features, label and weight of everything known at the snapshot, split train / test.
 
-    Only the keys, the features and the label go into the join. The split hashes the whole
-    (customer, feature month, label month) key.
+    Labels are counted per customer before the join (see ``attach_label_counts``), and only the
+    keys and features of known rows go into it. The split hashes customer, month and label.
     """
-    cols = feature_columns(feat)
-    on = on or ["Customer_ID"]
-    known = as_of(feat, snapshot).select("Customer_ID", "snapshot_date", *cols)
-    outcomes = as_of(labels, snapshot).select("Customer_ID", "snapshot_date", "label")
-    rows = attach_labels(known, outcomes, on)
-    dates = [c for c in rows.columns if c.startswith("snapshot_date")]
-    key = F.concat_ws("|", "Customer_ID", *dates)
+    known = as_of(feat, snapshot).select("Customer_ID", "snapshot_date", *feature_columns(feat))
+    rows = attach_label_counts(known, as_of(labels, snapshot), on)
+    key = F.concat_ws("|", "Customer_ID", "snapshot_date", "label")
     return M.stratified_split(rows.withColumn("__key", key), "__key").drop("__key")
 
 
@@ -46,19 +42,19 @@ def train_snapshot(
     """Train on the snapshot's history, save the pipeline and log the run; None without data."""
     cols = feature_columns(feat)
     rows = stage(training_rows(feat, labels, snapshot, on), "training")
-    train = rows.where(F.col("split") == "train")
+    train = rows.where(F.col("split") == "train").select(*cols, "label", "weight")
     if train.isEmpty():
         return None
-    model = M.TRAINERS[model_type](train.select(*cols, "label"), cols, **options)
+    model = M.TRAINERS[model_type](train, cols, weight="weight", **options)
     M.save_model(model, f"{model_dir.rstrip('/')}/{model_type}_{snapshot}")
 
-    test = rows.where(F.col("split") == "test").withColumn("snapshot_date", F.lit(str(snapshot)))
-    scores = M.score(test, model, model_type, ("label",))
+    test = rows.where(F.col("split") == "test")
+    scores = M.score(test, model, model_type, ("label", "weight"))
     record = M.RunRecord(
         run_id=uuid.uuid4().hex,
         start_time=dt.datetime.now(),
         tags={"snapshot_date": str(snapshot), "model_type": model_type},
-        metrics={"auc": M.auc(scores).first()["auc"]},
+        metrics={"auc": M.auc(scores, weight="weight").first()["auc"]},
         params={},
     )
     if runs_path:

@@ -398,6 +398,12 @@ def oracle_sql() -> dict[str, str]:
  from fx_clk f join labels_ l on f.Customer_ID=l.Customer_ID""",
             labels,
         ),
+        "attach_label_counts": twin(
+            "fx_clk s_loans",
+            """select f.Customer_ID, f.snapshot_date, fe_1, l.label, l.weight from fx_clk f join
+ (select Customer_ID, label, count(*) weight from labels_ group by 1,2) l on f.Customer_ID=l.Customer_ID""",
+            labels,
+        ),
         "attach_features": twin(
             "fx_clk s_loans",
             f"""select l.Customer_ID, l.snapshot_date, l.loan_id, l.label, {FE_LIST} from labels_ l

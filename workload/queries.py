@@ -19,7 +19,7 @@ from creditloom.operators import (
     report,
     snapshots as S,
 )
-from creditloom.plans import etl
+from creditloom.plans import etl, monitoring, training
 from creditloom.sources import readers, writers
 from creditloom.sources.staging import fresh_path
 from workload import views as V
@@ -341,6 +341,12 @@ def attach_labels(spark, sf):
     return S.attach_labels(V.clickstream(spark, sf), labels, columns=[*PANEL, "fe_1", "fe_2"])
 
 
+@query
+def attach_label_counts(spark, sf):
+    labels = L.label_store(silver_loans(spark, sf))
+    return S.attach_label_counts(V.clickstream(spark, sf).select(*PANEL, "fe_1"), labels)
+
+
 @query
 def attach_features(spark, sf):
     return S.attach_features(L.label_store(silver_loans(spark, sf)), V.clickstream(spark, sf))
@@ -645,6 +651,35 @@ def evaluate_splits(spark, sf):
 # --- models -----------------------------------------------------------------------
 
 
+@query
+def train_and_select(spark, sf):
+    """Train on the history up to two snapshots, log the runs and choose what to serve."""
+    clk, labels = V.clickstream(spark, sf), L.label_store(silver_loans(spark, sf))
+    models, runs = fresh_path(spark, "models"), fresh_path(spark, "runs")
+    for day in ("1997-01-01", "1998-01-01"):
+        training.train_snapshot(spark, clk, labels, "logistic_regression", day, models, runs)
+    out = fresh_path(spark, "promotions")
+    return training.select_models(spark, runs, models, out, "1997-01-01", "1998-12-01").drop("run_id")
+
+
+@query
+def score_and_monitor(spark, sf):
+    """Score and monitor a year of months with one trained model per month that has one."""
+    clk, labels = V.clickstream(spark, sf), L.label_store(silver_loans(spark, sf))
+    models, runs = fresh_path(spark, "models"), fresh_path(spark, "runs")
+    training.train_snapshot(spark, clk, labels, "logistic_regression", "1998-01-01", models, runs)
+    return monitoring.infer(
+        spark,
+        clk,
+        drift.baseline(S.as_of(clk, "1997-12-01")),
+        training.list_artifacts(spark, models),
+        models,
+        S.month_spine(spark, "1998-01-01", "1998-12-01"),
+        fresh_path(spark, "lake"),
+        runs,
+    )
+
+
 def held_out_scores(spark, sf, train) -> DataFrame:
     rows = M.stratified_split(V.ml(spark, sf), "id")
     model = train(rows.where(F.col("split") == "train"), FES)
