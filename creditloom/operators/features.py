@@ -7,19 +7,20 @@ from collections.abc import Callable
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from creditloom import constants as K
 from creditloom.functions import values as V
 from creditloom.operators import clean, quantiles as Q
-from creditloom.operators.snapshots import join_sources, multi_snapshot_join
+from creditloom.operators.ordering import with_total_before
+from creditloom.operators.snapshots import join_outcomes, join_sources, outcomes
 from creditloom.sources.staging import stage
 
 
 def category_index(df: DataFrame, cols: list[str]) -> DataFrame:
     """(feature, category, n, index): categories by falling frequency, ties by name.
 
-    Counts are combined before the shuffle; the ranking sees one row per distinct category.
+    Counts are combined before the shuffle, and only one row per distinct category is ranked.
     """
     entries = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("category")) for c in cols])
     counts = (
@@ -28,8 +29,8 @@ def category_index(df: DataFrame, cols: list[str]) -> DataFrame:
         .groupBy("feature", "category")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    by_frequency = W.partitionBy("feature").orderBy(F.desc("n"), "category")
-    return counts.withColumn("index", F.row_number().over(by_frequency) - 1)
+    ranked = with_total_before(counts, ["feature"], [F.desc("n"), F.col("category")], F.lit(1), "index")
+    return ranked.withColumn("index", F.col("index").cast("int"))
 
 
 def fit_one_hot(df: DataFrame, cols: list[str]) -> PipelineModel:
@@ -135,12 +136,14 @@ def feature_store(
 ) -> DataFrame:
     """Features of every labelled customer month, from the four cleaned tables.
 
-    Each source is joined to its outcome month and staged, as its statistics are fitted on the
-    labelled rows and then applied to them: the sources and loans are shuffled once. ``keep``
-    names columns to retain although the store normally drops them (such as the label).
+    The loans are reduced to their outcomes once. Each source is joined to its outcome month
+    and staged, as its statistics are fitted on the labelled rows and then applied to them: no
+    source is read or shuffled twice. ``keep`` names columns to retain although the store
+    normally drops them (such as the label).
     """
+    labels = staging(outcomes(loans, dpd, mob), "outcomes")
     labelled = {
-        name: staging(multi_snapshot_join(df, loans, dpd, mob), name)
+        name: staging(join_outcomes(df, labels, mob), name)
         for name, df in {"financials": fin, "attributes": att, "clickstream": clk}.items()
     }
     store = join_sources(

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from creditloom import constants as K
 from creditloom.operators.ordering import SLICE, slice_by_range, total_before
+from creditloom.operators.quantiles import quantile_row
 
 SCALED = "__scaled"
 FEATURES = "features"
@@ -41,6 +42,28 @@ def stratified_split(df: DataFrame, key: str, frac: float = 0.2, seed: int = 42)
     return df.withColumn("split", F.when(in_sample(F.col(key), frac, seed), "test").otherwise("train"))
 
 
+def exact_stratified_split(
+    df: DataFrame, key: str, label: str = "label", classes=(0, 1), frac: float = 0.2, seed: int = 42
+) -> DataFrame:
+    """Like ``stratified_split``, with exactly ceil(frac * n) test rows in each class.
+
+    Keys are cut at the exact quantile of their hash within the class, one pass for all classes,
+    so no class is ever sorted or collected.
+    """
+    # 52 bits of the hash, which a double holds exactly
+    digest = F.md5(F.concat(F.lit(str(seed)), F.col(key).cast("string")).cast("binary"))
+    place = F.conv(F.substring(digest, 1, 13), 16, 10).cast("double")
+    hashes = df.select(*[F.when(F.col(label) == k, place).alias(f"c{i}") for i, k in enumerate(classes)])
+    names = hashes.columns
+    cuts = quantile_row(hashes, names, [frac]).select(F.struct(*names).alias("cuts")).scalar()
+    in_test = F.lit(False)
+    for name, k in zip(names, classes):
+        in_test = in_test | ((F.col(label) == k) & (place <= F.col(f"__cuts.{name}")[0]))
+    return (
+        df.withColumn("__cuts", cuts).withColumn("split", F.when(in_test, "test").otherwise("train")).drop("__cuts")
+    )
+
+
 def time_split(df: DataFrame, windows: dict[str, Column], date_col: str = "snapshot_date") -> DataFrame:
     """Add ``period``: train_test, oot, or null outside both windows."""
     d = F.col(date_col)

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from creditloom.sources.staging import stage
 
 SLICE = "__slice"
+# Up to this many rows in all, even a single group fits one task's sort.
+WINDOW_ROWS = 2_000_000
 
 
 def slice_by_range(df: DataFrame, keys: list[str], order: list) -> DataFrame:
@@ -28,10 +30,18 @@ def total_before(measure, *partition_by: str, order: list):
 def with_total_before(df: DataFrame, keys: list[str], order: list, measure, name: str) -> DataFrame:
     """Add the sum of ``measure`` over all rows of the group that sort before the row.
 
-    ``order`` must be a total order within a group. The sliced rows are staged, because both
-    the slice totals and the rows themselves are read from them and must agree.
+    ``order`` must be a total order within a group. The rows are staged and counted: up to
+    ``WINDOW_ROWS`` a plain window does, beyond that the sliced form, which is just as exact.
     """
-    rows = stage(slice_by_range(df, keys, order).withColumn("__measure", measure), "slices")
+    rows = stage(df.withColumn("__measure", measure), "ordered")
+    if rows.count() > WINDOW_ROWS:
+        return _sliced_total_before(rows, keys, order, name).select(*df.columns, name)
+    return rows.withColumn(name, total_before(F.col("__measure"), *keys, order=order)).drop("__measure")
+
+
+def _sliced_total_before(df: DataFrame, keys: list[str], order: list, name: str) -> DataFrame:
+    # staged, as both the slice totals and the rows are read from the slices and must agree
+    rows = stage(slice_by_range(df, keys, order), "slices")
     totals = rows.groupBy(*keys, SLICE).agg(F.sum("__measure").alias("__total"))
     offsets = totals.select(
         *[F.col(k).alias(f"__key_{k}") for k in keys],
@@ -42,8 +52,4 @@ def with_total_before(df: DataFrame, keys: list[str], order: list, measure, name
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"__key_{k}"))
     local = total_before(F.col("__measure"), *keys, SLICE, order=order)
-    return (
-        rows.join(offsets, same)
-        .withColumn(name, F.col("__offset") + local)
-        .select(*df.columns, name)
-    )
+    return rows.join(offsets, same).withColumn(name, F.col("__offset") + local)

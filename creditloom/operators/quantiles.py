@@ -9,15 +9,10 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from creditloom import constants as K
 from creditloom.operators.ordering import with_total_before
-from creditloom.sources.staging import stage
-
-# A counted histogram up to this many rows is ranked by one window task per column; a larger
-# one is ranked in range slices.
-WINDOW_ROWS = 2_000_000
 
 
 def _plan(cols: list[str] | dict[str, list[float]], probs: list[float] | None) -> dict[str, list[float]]:
@@ -111,14 +106,9 @@ def _at_rank(rank: Column) -> Column:
 
 def _exact(df: DataFrame, plan: dict[str, list[float]], interpolate: bool, accuracy: int) -> DataFrame:
     distinct = sorted({p for probs in plan.values() for p in probs})
-    histogram = stage(_counted(df, list(plan), distinct, accuracy), "histogram")
-    order = ["value", "gap"]
-    if histogram.count() <= WINDOW_ROWS:
-        by_feature = W.partitionBy("feature").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
-        ranked = histogram.withColumn("before", F.coalesce(F.sum("n").over(by_feature), F.lit(0)))
-    else:
-        ranked = with_total_before(histogram, ["feature"], order, F.col("n"), "before")
-    totals = histogram.groupBy("feature").agg(F.sum("n").alias("total"))
+    histogram = _counted(df, list(plan), distinct, accuracy)
+    ranked = with_total_before(histogram, ["feature"], ["value", "gap"], F.col("n"), "before")
+    totals = ranked.groupBy("feature").agg(F.max(F.col("before") + F.col("n")).alias("total"))
     # totals has one row per column of the plan
     ranked = ranked.join(F.broadcast(totals), "feature")
 

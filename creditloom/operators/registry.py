@@ -64,11 +64,12 @@ def best_per_snapshot(runs: DataFrame, start: str | None = None, end: str | None
 def rank_runs(runs: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
     """All eligible runs with their rank inside the snapshot (1 is the best run).
 
-    Ranked through range slices, so a snapshot holding most runs is sorted by many tasks.
+    A large table is ranked in range slices, so that a snapshot holding most runs is sorted by
+    many tasks.
     """
     order = [F.desc("auc"), F.desc("start_time"), F.col("run_id")]
     counted = with_total_before(eligible(runs, start, end), ["snapshot_date"], order, F.lit(1), "__better")
-    return counted.select(*runs.columns, (F.col("__better") + 1).alias("rank"))
+    return counted.select(*runs.columns, (F.col("__better") + 1).cast("bigint").alias("rank"))
 
 
 def latest_run(runs: DataFrame) -> DataFrame:

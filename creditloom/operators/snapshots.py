@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from creditloom import constants as K
 from creditloom.functions import delinquency as D
 from creditloom.operators.labels import at_mob
-from creditloom.sources.readers import as_date, read_snapshot
+from creditloom.sources.readers import as_date
+from creditloom.sources.staging import stage
 
 SNAPSHOT = "snapshot_date"
 LABELLED_KEYS = ["Customer_ID", "feature_snapshot_date", "label_snapshot_date", "label"]
@@ -114,36 +115,45 @@ def backfill(
 # --- joins ------------------------------------------------------------------------
 
 
-def multi_snapshot_join(
-    feat: DataFrame,
-    loans: DataFrame,
-    dpd: int = K.DPD_CUTOFF,
-    mob: int = K.MOB_CUTOFF,
-    require_rows: bool = False,
-) -> DataFrame:
-    """Features of month m joined to the same customer's loans at month m + mob, with label.
-
-    One inner equi-join on (customer, outcome month) covers every month. The loan side is cut
-    to the rows at ``mob`` and three narrow columns before the shuffle; a customer with several
-    loans in the month keeps one output row per loan. A hot customer is split by AQE's skew
-    join, which applies because nothing above the join relies on its partitioning when the
-    result is written.
-    """
-    outcomes = at_mob(loans, mob).select(
+def outcomes(loans: DataFrame, dpd: int = K.DPD_CUTOFF, mob: int = K.MOB_CUTOFF) -> DataFrame:
+    """(Customer_ID, label_snapshot_date, label) of the loans at ``mob`` months on book."""
+    return at_mob(loans, mob).select(
         "Customer_ID",
         F.col(SNAPSHOT).alias("label_snapshot_date"),
         D.delinquency_label(F.col("dpd"), dpd).alias("label"),
     )
+
+
+def join_outcomes(feat: DataFrame, labelled: DataFrame, mob: int = K.MOB_CUTOFF) -> DataFrame:
+    """Features of month m joined to the same customer's outcomes at month m + mob.
+
+    One inner equi-join on (customer, outcome month) covers every month; a customer with
+    several loans in the month keeps one output row per loan. A hot customer is split by AQE's
+    skew join, which applies because nothing above the join relies on its partitioning when
+    the result is written.
+    """
     features = feat.withColumnRenamed(SNAPSHOT, "feature_snapshot_date").withColumn(
         "label_snapshot_date", F.add_months("feature_snapshot_date", mob)
     )
-    joined = features.join(outcomes, ["Customer_ID", "label_snapshot_date"])
-    out = joined.select(
+    return features.join(labelled, ["Customer_ID", "label_snapshot_date"]).select(
         *[c for c in features.columns if c != "label_snapshot_date"], "label", "label_snapshot_date"
     )
+
+
+def multi_snapshot_join(
+    feat: DataFrame,
+    loans: DataFrame,
+    dpd: int = K.DPD_CUTOFF,
+    mob: int = K.MOB_CUTOFF,
+    require_rows: bool = False,
+) -> DataFrame:
+    """Features with the label their customer's loans show ``mob`` months later.
+
+    The loans are cut to the rows at ``mob`` and three narrow columns before the shuffle.
+    """
     if require_rows and valid_slices(feat, loans, mob).isEmpty():
         raise ValueError(f"no feature month has an outcome month {mob} months later")
-    return out
+    return join_outcomes(feat, outcomes(loans, dpd, mob), mob)
 
 
 def join_sources(sources: list[DataFrame], on: list[str] = LABELLED_KEYS) -> DataFrame:
@@ -179,7 +189,8 @@ def attach_label_counts(feat: DataFrame, labels: DataFrame, on: list[str] | None
         F.struct(F.lit(1).alias("label"), F.col("__n1").alias("weight")),
         F.struct(F.lit(0).alias("label"), F.col("__n0").alias("weight")),
     )
-    return feat.join(counts, on).select(*feat.columns, F.inline(both)).where(F.col("weight") > 0)
+    # written first: the join then shuffles both sides itself, which lets AQE split a hot customer
+    return feat.join(stage(counts, "label-counts"), on).select(*feat.columns, F.inline(both)).where(F.col("weight") > 0)
 
 
 def attach_features(labels: DataFrame, feat: DataFrame, on: list[str] | None = None) -> DataFrame:

@@ -72,6 +72,13 @@ def test_hash_split_is_complete_disjoint_and_stable(spark):
     assert {r.split for r in M.split_stats(split).collect()} == {"train", "test"}
 
 
+def test_exact_split_counts_per_class(spark):
+    df = spark.range(3000).withColumn("label", (F.col("id") % 50 == 0).cast("int"))
+    split = M.exact_stratified_split(df, "id")
+    counts = {(r.label, r.split): r["count"] for r in split.groupBy("label", "split").count().collect()}
+    assert counts == {(0, "test"): 588, (0, "train"): 2352, (1, "test"): 12, (1, "train"): 48}
+
+
 def test_time_split(spark):
     df = spark.createDataFrame([(dt.date(2024, m, 1),) for m in (1, 6, 7, 8, 9)], "snapshot_date date")
     windows = S.split_windows(F.lit(dt.date(2024, 9, 1)), train_test_months=3)

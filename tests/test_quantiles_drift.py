@@ -47,7 +47,7 @@ def test_exact_quantiles(spark, kind, size):
 
 def test_exact_quantiles_in_range_slices(spark, monkeypatch):
     """The path for histograms too large for one window gives the same values."""
-    monkeypatch.setattr(Q, "WINDOW_ROWS", 0)
+    monkeypatch.setattr(ordering, "WINDOW_ROWS", 0)
     rng = random.Random(3)
     a, b = [rng.gauss(0, 50) for _ in range(4000)], [rng.randrange(10) for _ in range(4000)]
     df = spark.createDataFrame(list(zip(a, b)), "a double, b int")
@@ -165,7 +165,9 @@ def test_baseline_modes(spark):
         drift.baseline(df, "first")
 
 
-def test_total_before_with_a_hot_group_and_null_keys(spark):
+@pytest.mark.parametrize("window_rows", [0, 10**6])
+def test_total_before_with_a_hot_group_and_null_keys(spark, monkeypatch, window_rows):
+    monkeypatch.setattr(ordering, "WINDOW_ROWS", window_rows)
     rng = random.Random(1)
     keys = ["hot"] * 2000 + ["b"] * 50 + [None] * 30
     rows = [(k, rng.randrange(40), i, rng.randrange(3)) for i, k in enumerate(keys)]

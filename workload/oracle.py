@@ -122,7 +122,7 @@ VIEWS: dict[str, tuple[str, list[str]]] = {
     ),
     "s_loans": (
         """select * exclude (m), installment_num mob, m installments_missed, f first_missed_date,
- case when overdue_amt>0 then date_diff('day', f, snapshot_date) else 0 end dpd
+ cast(case when overdue_amt>0 then date_diff('day', f, snapshot_date) else 0 end as integer) dpd
  from (select *, case when m>0 then cast(snapshot_date-to_months(m) as date) end f
  from (select *, cast(ceil(overdue_amt/nullif(due_amt,0)) as integer) m from fx_loans))""".replace(
             "* exclude (m)", "* exclude (m, f)"
@@ -160,7 +160,7 @@ def _fin_features(source: str, columns: str) -> str:
  Monthly_Inhand_Salary, Num_of_Loan, Type_of_Loan, array_to_string(Loan_Types_Array,'|') Loan_Types_Array,
  Monthly_Balance, Amount_invested_monthly, Changed_Credit_Limit, Total_EMI_per_month, Credit_Utilization_Ratio,
  Outstanding_Debt, {", ".join(FIN_CAPPED)},
- y*12+coalesce(m,0) credit_history_months, len(Loan_Types_Array) num_loan_types,
+ y*12+coalesce(m,0) credit_history_months, cast(len(Loan_Types_Array) as integer) num_loan_types,
  round(ln(1+Annual_Income),9) log_Annual_Income,
  Outstanding_Debt/(Annual_Income+1) debt_to_income,
  Total_EMI_per_month/(Monthly_Inhand_Salary+1) emi_to_salary,
@@ -248,7 +248,7 @@ _STORE_COLUMNS = f"""Customer_ID, feature_snapshot_date, Num_Bank_Accounts, Num_
 _STORE = f"""select {_STORE_COLUMNS} from ff join fa using (Customer_ID, feature_snapshot_date, label_snapshot_date, label)
  join fc using (Customer_ID, feature_snapshot_date, label_snapshot_date, label)"""
 _CLK_ROUND = f"select Customer_ID, snapshot_date, {FE_LIST} from fx_clk"
-_CAT_INDEX = """select feature, category, n, row_number() over (partition by feature order by n desc, category)-1 as "index"
+_CAT_INDEX = """select feature, category, n, cast(row_number() over (partition by feature order by n desc, category)-1 as integer) as "index"
  from (select feature, category, count(*) n from ({rows}) where category is not null group by 1,2)"""
 
 
@@ -304,7 +304,7 @@ def oracle_sql() -> dict[str, str]:
         "split_loan_types": twin(
             "s_fin",
             """select Customer_ID, snapshot_date, array_to_string(Loan_Types_Array,'|') loan_types,
- len(Loan_Types_Array) n_types from s_fin""",
+ cast(len(Loan_Types_Array) as integer) n_types from s_fin""",
         ),
         "history_months": twin(
             "s_fin",
@@ -352,7 +352,7 @@ def oracle_sql() -> dict[str, str]:
             """select Customer_ID, snapshot_date, Occupation, i occupation_position, n occupation_size from s_att
  left join (select category, row_number() over (order by c desc, category)-1 i from (select Occupation category, count(*) c
  from s_att where Occupation is not null group by 1)) on category=Occupation,
- (select count(distinct Occupation) n from s_att)""",
+ (select cast(count(distinct Occupation) as integer) n from s_att)""",
         ),
         # labels
         "label_store": twin("s_loans", "select * from labels_", labels),
@@ -392,6 +392,11 @@ def oracle_sql() -> dict[str, str]:
             "fx_clk",
             "select Customer_ID, snapshot_date feature_snapshot_date, 'credit_model' model_name, date '1998-01-01' scored_on from fx_clk",
         ),
+        "join_sources": twin(
+            "j_att j_clk",
+            f"""select Customer_ID, feature_snapshot_date, label_snapshot_date, label, Name, Age, SSN, Occupation, {FE_LIST}
+ from j_att join j_clk using (Customer_ID, feature_snapshot_date, label_snapshot_date, label)""",
+        ),
         "attach_labels": twin(
             "fx_clk s_loans",
             """select f.Customer_ID, f.snapshot_date snapshot_date_x, fe_1, fe_2, l.loan_id, l.label, l.snapshot_date snapshot_date_y
@@ -439,12 +444,12 @@ def oracle_sql() -> dict[str, str]:
         ),
         "decile_edges": twin(
             "fx_clk",
-            "select feature, unnest(range(11)) edge_no, round(unnest(e),9) edge from edges",
+            "select feature, cast(unnest(range(11)) as integer) edge_no, round(unnest(e),9) edge from edges",
             _BASE_CUR,
         ),
         "histogram": twin(
             "fx_clk",
-            """select hc.feature, hc.bin, n, t total from (select feature, bin, n from (select feature, r.bin,
+            """select hc.feature, cast(hc.bin as integer) bin, n, cast(t as bigint) total from (select feature, bin, n from (select feature, r.bin,
  coalesce(n,0) n from (select distinct feature from hc) cross join range(10) r(bin) left join hc using (feature, bin))) hc
  join tc using (feature)""",
             _PSI_TOTAL,
@@ -549,6 +554,11 @@ def oracle_sql() -> dict[str, str]:
             "select model_name, round(avg(prediction),8) pred_mean, round(stddev_pop(prediction),8) pred_std from fx_scored group by 1",
         ),
         "hash_split": twin("fx_ml", f"select id, label, {_SPLIT} split from fx_ml"),
+        "exact_split": twin(
+            "fx_ml",
+            """select id, label, case when row_number() over (partition by label order by md5('42' || cast(id as varchar)))
+ <= ceil(0.2*count(*) over (partition by label)) then 'test' else 'train' end split from fx_ml""",
+        ),
         "label_classes": twin("fx_ml", "select count(distinct label) n_classes from fx_ml"),
         "fit_scaler": twin(
             "fx_ml",

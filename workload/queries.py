@@ -21,7 +21,7 @@ from creditloom.operators import (
 )
 from creditloom.plans import etl, monitoring, training
 from creditloom.sources import readers, writers
-from creditloom.sources.staging import fresh_path
+from creditloom.sources.staging import fresh_path, stage
 from workload import views as V
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,16 +47,16 @@ def joined_types(df: DataFrame) -> DataFrame:
     return df.withColumn("Loan_Types_Array", F.array_join("Loan_Types_Array", "|"))
 
 
-def silver_financials(spark, sf):
-    return clean.clean_financials(V.financials(spark, sf))
+def silver_financials(spark, sf, months=None):
+    return clean.clean_financials(V.financials(spark, sf, months))
 
 
-def silver_attributes(spark, sf):
-    return clean.clean_attributes(V.attributes(spark, sf))
+def silver_attributes(spark, sf, months=None):
+    return clean.clean_attributes(V.attributes(spark, sf, months))
 
 
-def silver_clickstream(spark, sf):
-    return clean.clean_clickstream(V.clickstream(spark, sf))
+def silver_clickstream(spark, sf, months=None):
+    return clean.clean_clickstream(V.clickstream(spark, sf, months))
 
 
 def silver_loans(spark, sf):
@@ -335,6 +335,14 @@ def with_constants(spark, sf):
     return df.withColumn("scored_on", readers.as_date("1998-01-01"))
 
 
+@query
+def join_sources(spark, sf):
+    """Attributes and clickstream of the same labelled customer month."""
+    labelled = stage(S.outcomes(silver_loans(spark, sf)), "outcomes")
+    sources = [silver_attributes(spark, sf), silver_clickstream(spark, sf)]
+    return S.join_sources([S.join_outcomes(df, labelled) for df in sources])
+
+
 @query
 def attach_labels(spark, sf):
     labels = L.label_store(silver_loans(spark, sf))
@@ -375,7 +383,7 @@ def impute_median(spark, sf):
 
 @query
 def cap_by_quantile(spark, sf):
-    return Q.cap_by_quantile(V.clickstream(spark, sf), FES)
+    return Q.cap_by_quantile(stage(V.clickstream(spark, sf), "clickstream"), FES)
 
 
 # --- features ---------------------------------------------------------------------
@@ -383,7 +391,7 @@ def cap_by_quantile(spark, sf):
 
 @query
 def financial_features(spark, sf):
-    df = S.multi_snapshot_join(silver_financials(spark, sf), silver_loans(spark, sf))
+    df = stage(S.multi_snapshot_join(silver_financials(spark, sf), silver_loans(spark, sf)), "labelled")
     df = joined_types(features.financial_features(df, encode=False))
     return rounded(df, 9, "log_Annual_Income")
 
@@ -397,14 +405,16 @@ def attribute_features(spark, sf):
 @query
 def clickstream_features(spark, sf):
     df = S.multi_snapshot_join(silver_clickstream(spark, sf), silver_loans(spark, sf))
-    return features.clickstream_features(df)
+    return features.clickstream_features(stage(df, "labelled"))
 
 
 def build_store(spark, sf, **options):
+    """Feature store of the views; the customer months behind three of them are built once."""
+    months = stage(V.customer_months(spark, sf), "months")
     return features.feature_store(
-        silver_financials(spark, sf),
-        silver_attributes(spark, sf),
-        silver_clickstream(spark, sf),
+        silver_financials(spark, sf, months),
+        silver_attributes(spark, sf, months),
+        silver_clickstream(spark, sf, months),
         silver_loans(spark, sf),
         **options,
     )
@@ -433,7 +443,8 @@ def feature_store_approx(spark, sf):
 
 
 def base_and_current(spark, sf):
-    clk = V.clickstream(spark, sf)
+    """Baseline and current months; staged, as drift reads them once to fit and once to count."""
+    clk = stage(V.clickstream(spark, sf), "clickstream")
     cut = readers.as_date(BASE_END)
     return clk.where(F.col("snapshot_date") < cut), clk.where(F.col("snapshot_date") >= cut)
 
@@ -620,6 +631,11 @@ def hash_split(spark, sf):
     return M.stratified_split(V.ml(spark, sf), "id").select("id", "label", "split")
 
 
+@query
+def exact_split(spark, sf):
+    return M.exact_stratified_split(V.ml(spark, sf), "id").select("id", "label", "split")
+
+
 @query
 def label_classes(spark, sf):
     return M.label_classes(V.ml(spark, sf))

@@ -84,19 +84,19 @@ def _select(df: DataFrame, columns: str) -> DataFrame:
     return df.sparkSession.sql(f"select {columns} from {{src}}", src=df)
 
 
-def financials(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _select(customer_months(spark, sf_dir), FINANCIAL_COLUMNS)
+def financials(spark: SparkSession, sf_dir: str, months: DataFrame | None = None) -> DataFrame:
+    return _select(months or customer_months(spark, sf_dir), FINANCIAL_COLUMNS)
 
 
-def attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def attributes(spark: SparkSession, sf_dir: str, months: DataFrame | None = None) -> DataFrame:
     customer = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("ck"), "c_name", "c_acctbal", "c_mktsegment"
     )
-    return _select(customer_months(spark, sf_dir).join(customer, "ck"), ATTRIBUTE_COLUMNS)
+    return _select((months or customer_months(spark, sf_dir)).join(customer, "ck"), ATTRIBUTE_COLUMNS)
 
 
-def clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _select(customer_months(spark, sf_dir), CLICKSTREAM_COLUMNS)
+def clickstream(spark: SparkSession, sf_dir: str, months: DataFrame | None = None) -> DataFrame:
+    return _select(months or customer_months(spark, sf_dir), CLICKSTREAM_COLUMNS)
 
 
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
