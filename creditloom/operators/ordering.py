@@ -27,19 +27,27 @@ def total_before(measure, *partition_by: str, order: list):
     return F.coalesce(F.sum(measure).over(window), F.lit(0))
 
 
-def with_total_before(df: DataFrame, keys: list[str], order: list, measure, name: str) -> DataFrame:
-    """Add the sum of ``measure`` over all rows of the group that sort before the row.
+def with_total_before(
+    df: DataFrame, keys: list[str], order: list, measure, name: str, group_total: str | None = None
+) -> DataFrame:
+    """Add the sum of ``measure`` over all rows of the group that sort before the row, and on
+    request the sum over the whole group.
 
     ``order`` must be a total order within a group. The rows are staged and counted: up to
-    ``WINDOW_ROWS`` a plain window does, beyond that the sliced form, which is just as exact.
+    ``WINDOW_ROWS`` plain windows do, beyond that the sliced form, which is just as exact.
     """
     rows = stage(df.withColumn("__measure", measure), "ordered")
+    out = [*df.columns, name] + ([group_total] if group_total else [])
+    group = group_total or "__group"
     if rows.count() > WINDOW_ROWS:
-        return _sliced_total_before(rows, keys, order, name).select(*df.columns, name)
-    return rows.withColumn(name, total_before(F.col("__measure"), *keys, order=order)).drop("__measure")
+        return _sliced_total_before(rows, keys, order, name, group).select(*out)
+    whole = F.sum("__measure").over(W.partitionBy(*keys))
+    return rows.withColumns(
+        {name: total_before(F.col("__measure"), *keys, order=order), group: whole}
+    ).select(*out)
 
 
-def _sliced_total_before(df: DataFrame, keys: list[str], order: list, name: str) -> DataFrame:
+def _sliced_total_before(df: DataFrame, keys: list[str], order: list, name: str, group: str) -> DataFrame:
     # staged, as both the slice totals and the rows are read from the slices and must agree
     rows = stage(slice_by_range(df, keys, order), "slices")
     totals = rows.groupBy(*keys, SLICE).agg(F.sum("__measure").alias("__total"))
@@ -47,6 +55,7 @@ def _sliced_total_before(df: DataFrame, keys: list[str], order: list, name: str)
         *[F.col(k).alias(f"__key_{k}") for k in keys],
         F.col(SLICE).alias("__slice_no"),
         total_before(F.col("__total"), *keys, order=[SLICE]).alias("__offset"),
+        F.sum("__total").over(W.partitionBy(*keys)).alias(group),
     )
     same = F.col(SLICE) == F.col("__slice_no")
     for k in keys:

@@ -107,10 +107,7 @@ def _at_rank(rank: Column) -> Column:
 def _exact(df: DataFrame, plan: dict[str, list[float]], interpolate: bool, accuracy: int) -> DataFrame:
     distinct = sorted({p for probs in plan.values() for p in probs})
     histogram = _counted(df, list(plan), distinct, accuracy)
-    ranked = with_total_before(histogram, ["feature"], ["value", "gap"], F.col("n"), "before")
-    totals = ranked.groupBy("feature").agg(F.max(F.col("before") + F.col("n")).alias("total"))
-    # totals has one row per column of the plan
-    ranked = ranked.join(F.broadcast(totals), "feature")
+    ranked = with_total_before(histogram, ["feature"], ["value", "gap"], F.col("n"), "before", "total")
 
     total, picks = F.col("total"), []
     for j, p in enumerate(distinct):

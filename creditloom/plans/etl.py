@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from creditloom import constants as K
 from creditloom.operators import clean, drift, features, labels
 from creditloom.sources import readers, writers
+from creditloom.sources.staging import temporary_tables
 
 # File names of the four sources below the data folder (fixed values).
 SOURCE_FILES = {
@@ -50,16 +51,17 @@ def build_feature_store(
     spark: SparkSession, root: str, dpd: int = K.DPD_CUTOFF, mob: int = K.MOB_CUTOFF, **options
 ) -> DataFrame:
     silver = {name: readers.read_table(spark, root, "silver", f"{name}_clean") for name in CLEANERS}
-    store = features.feature_store(
-        silver["financials"],
-        silver["attributes"],
-        silver["clickstream"],
-        silver["loans"],
-        dpd,
-        mob,
-        **options,
-    )
-    writers.write_table(store, root, "gold", "feature_store")
+    with temporary_tables(spark):
+        store = features.feature_store(
+            silver["financials"],
+            silver["attributes"],
+            silver["clickstream"],
+            silver["loans"],
+            dpd,
+            mob,
+            **options,
+        )
+        writers.write_table(store, root, "gold", "feature_store")
     return readers.read_table(spark, root, "gold", "feature_store")
 
 

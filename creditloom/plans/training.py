@@ -11,7 +11,7 @@ from creditloom.operators import modeling as M, registry
 from creditloom.operators.clean import feature_columns
 from creditloom.operators.snapshots import as_of, attach_label_counts
 from creditloom.sources import readers, writers
-from creditloom.sources.staging import stage
+from creditloom.sources.staging import stage, temporary_tables
 
 
 def training_rows(
@@ -41,20 +41,22 @@ def train_snapshot(
 ) -> M.RunRecord | None:
     """Train on the snapshot's history, save the pipeline and log the run; None without data."""
     cols = feature_columns(feat)
-    rows = stage(training_rows(feat, labels, snapshot, on), "training")
-    train = rows.where(F.col("split") == "train").select(*cols, "label", "weight")
-    if train.isEmpty():
-        return None
-    model = M.TRAINERS[model_type](train, cols, weight="weight", **options)
-    M.save_model(model, f"{model_dir.rstrip('/')}/{model_type}_{snapshot}")
+    with temporary_tables(spark):
+        rows = stage(training_rows(feat, labels, snapshot, on), "training")
+        train = rows.where(F.col("split") == "train").select(*cols, "label", "weight")
+        if train.isEmpty():
+            return None
+        model = M.TRAINERS[model_type](train, cols, weight="weight", **options)
+        M.save_model(model, f"{model_dir.rstrip('/')}/{model_type}_{snapshot}")
 
-    test = rows.where(F.col("split") == "test")
-    scores = M.score(test, model, model_type, ("label", "weight"))
+        test = rows.where(F.col("split") == "test")
+        scores = M.score(test, model, model_type, ("label", "weight"))
+        test_auc = M.auc(scores, weight="weight").first()["auc"]
     record = M.RunRecord(
         run_id=uuid.uuid4().hex,
         start_time=dt.datetime.now(),
         tags={"snapshot_date": str(snapshot), "model_type": model_type},
-        metrics={"auc": M.auc(scores, weight="weight").first()["auc"]},
+        metrics={"auc": test_auc},
         params={},
     )
     if runs_path:

@@ -8,10 +8,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_FOLDER: ContextVar[str] = ContextVar("folder", default="session")
+
+
 def staging_root(spark: SparkSession) -> str:
     """Folder for this application's staged tables, below the session's checkpoint folder."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -24,7 +30,7 @@ def staging_root(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{staging_root(spark)}/{_FOLDER.get()}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str = "table") -> DataFrame:
@@ -34,7 +40,23 @@ def stage(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete what is staged inside the block at its end, when its results have been written."""
+    folder = uuid.uuid4().hex
+    token = _FOLDER.set(folder)
+    try:
+        yield
+    finally:
+        _FOLDER.reset(token)
+        _delete(spark, f"{staging_root(spark)}/{folder}")
+
+
 def drop_staged(spark: SparkSession) -> bool:
     """Delete every table this application staged."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(staging_root(spark))
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return _delete(spark, staging_root(spark))

@@ -106,3 +106,12 @@ def test_staged_tables_live_in_the_session_folder(spark):
     assert df.inputFiles()[0].split("creditloom-")[0].endswith("/")
     assert staging.staging_root(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
     assert "LogicalRDD" not in df._jdf.queryExecution().logical().toString()
+
+
+def test_temporary_tables_are_deleted_after_the_block(spark):
+    kept = staging.stage(panel(spark, ("a", D1, 1)), "kept")
+    with staging.temporary_tables(spark):
+        path = staging.stage(panel(spark, ("a", D1, 1)), "gone").inputFiles()[0]
+        assert readers.path_exists(spark, path)
+    assert not readers.path_exists(spark, path)
+    assert kept.count() == 1
