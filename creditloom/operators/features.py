@@ -4,60 +4,73 @@ feature store that joins them per customer and feature month."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import mul
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel
 from pyspark.sql import DataFrame, functions as F
 
 from creditloom import constants as K
 from creditloom.functions import values as V
 from creditloom.operators import clean, quantiles as Q
 from creditloom.operators.ordering import with_total_before
-from creditloom.operators.snapshots import join_outcomes, join_sources, outcomes
+from creditloom.operators.snapshots import LABELLED_KEYS, join_outcomes, join_sources, outcome_counts, repeat_rows
 from creditloom.sources.staging import stage
 
 
-def category_index(df: DataFrame, cols: list[str]) -> DataFrame:
-    """(feature, category, n, index): categories by falling frequency, ties by name.
-
-    Counts are combined before the shuffle, and only one row per distinct category is ranked.
-    """
+def category_counts(df: DataFrame, cols: list[str], weight: str | None = None) -> DataFrame:
+    """(feature, category, n) of the non-null values, combined before the shuffle."""
     entries = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("category")) for c in cols])
-    counts = (
-        df.select(F.inline(entries))
-        .where(F.col("category").isNotNull())
-        .groupBy("feature", "category")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    ranked = with_total_before(counts, ["feature"], [F.desc("n"), F.col("category")], F.lit(1), "index")
+    rows = df.select(*([weight] if weight else []), F.inline(entries)).where(F.col("category").isNotNull())
+    n = F.sum(weight) if weight else F.count(F.lit(1))
+    return rows.groupBy("feature", "category").agg(n.alias("n"))
+
+
+def category_index(df: DataFrame, cols: list[str], weight: str | None = None) -> DataFrame:
+    """(feature, category, n, index): categories by falling frequency, ties by name."""
+    order = [F.desc("n"), F.col("category")]
+    ranked = with_total_before(category_counts(df, cols, weight), ["feature"], order, F.lit(1), "index")
     return ranked.withColumn("index", F.col("index").cast("int"))
 
 
-def fit_one_hot(df: DataFrame, cols: list[str]) -> PipelineModel:
+def fit_one_hot(df: DataFrame, cols: list[str], weight: str | None = None) -> PipelineModel:
     """Index and one-hot encode ``cols`` into ``<col>_vec``; unseen and null become all zeros."""
     indexes, vectors = [f"{c}_idx" for c in cols], [f"{c}_vec" for c in cols]
-    return Pipeline(
-        stages=[
-            StringIndexer(inputCols=cols, outputCols=indexes, handleInvalid="keep"),
-            OneHotEncoder(inputCols=indexes, outputCols=vectors),
-        ]
-    ).fit(df.select(*cols))
+    encoder = OneHotEncoder(inputCols=indexes, outputCols=vectors)
+    if weight is None:
+        indexer = StringIndexer(inputCols=cols, outputCols=indexes, handleInvalid="keep")
+        return Pipeline(stages=[indexer, encoder]).fit(df.select(*cols))
+    # the indexer knows no weights; like it, this keeps the category names on the driver
+    counts = category_counts(df, cols, weight).collect()
+    ranked = sorted(counts, key=lambda r: (-r.n, r.category))
+    indexers = [
+        StringIndexerModel.from_labels([r.category for r in ranked if r.feature == c], c, i, "keep")
+        for c, i in zip(cols, indexes)
+    ]
+    indexed = PipelineModel(stages=indexers).transform(df.select(*cols))
+    return PipelineModel(stages=[*indexers, encoder.fit(indexed)])
 
 
 def one_hot(
-    df: DataFrame, cols: list[str], fit_df: DataFrame | None = None, drop: bool = True
+    df: DataFrame, cols: list[str], fit_df: DataFrame | None = None, drop: bool = True, weight: str | None = None
 ) -> DataFrame:
-    encoded = fit_one_hot(df if fit_df is None else fit_df, cols).transform(df)
+    encoded = fit_one_hot(df if fit_df is None else fit_df, cols, weight).transform(df)
     return encoded.drop(*[f"{c}_idx" for c in cols], *(cols if drop else []))
 
 
 def financial_features(
-    df: DataFrame, encode: bool = True, fit_df: DataFrame | None = None, **quantile_options
+    df: DataFrame,
+    encode: bool = True,
+    fit_df: DataFrame | None = None,
+    weight: str | None = None,
+    **quantile_options,
 ) -> DataFrame:
     """Defaults, median imputation, history length, caps, log and ratios of cleaned financials.
 
     The median and the five cap bounds come from one pass. ``fit_df`` supplies other rows to
-    take them (and the categories) from; by default it is the input itself.
+    take them (and the categories) from; by default it is the input itself. ``weight`` names a
+    column of row multiplicities that the statistics count by.
     """
 
     def defaults(rows: DataFrame) -> DataFrame:
@@ -69,7 +82,7 @@ def financial_features(
     rows = defaults(df)
     fit_rows = rows if fit_df is None else defaults(fit_df)
     plan = {"Outstanding_Debt": [0.5], **{c: [K.CAP_LOWER, K.CAP_UPPER] for c in K.FINANCIAL_CAPPED}}
-    stats = Q.quantile_row(fit_rows, plan, **quantile_options)
+    stats = Q.quantile_row(fit_rows, plan, weight=weight, **quantile_options)
     rows = rows.withColumn("__stats", stats.select(F.struct(*plan).alias("stats")).scalar())
 
     rows = rows.withColumns(
@@ -96,11 +109,15 @@ def financial_features(
     )
     if not encode:
         return rows
-    return one_hot(rows, K.FINANCIAL_CATEGORIES, None if fit_df is None else fit_rows)
+    return one_hot(rows, K.FINANCIAL_CATEGORIES, fit_rows, weight=weight)
 
 
 def attribute_features(
-    df: DataFrame, encode: bool = True, fit_df: DataFrame | None = None, null_band: str | None = K.AGE_BAND_REST
+    df: DataFrame,
+    encode: bool = True,
+    fit_df: DataFrame | None = None,
+    null_band: str | None = K.AGE_BAND_REST,
+    weight: str | None = None,
 ) -> DataFrame:
     """Plausible ages, default occupation and age band of cleaned attributes."""
 
@@ -112,7 +129,7 @@ def attribute_features(
     rows = bands(df)
     if not encode:
         return rows
-    return one_hot(rows, K.ATTRIBUTE_CATEGORIES, None if fit_df is None else bands(fit_df))
+    return one_hot(rows, K.ATTRIBUTE_CATEGORIES, rows if fit_df is None else bands(fit_df), weight=weight)
 
 
 def clickstream_features(
@@ -136,21 +153,24 @@ def feature_store(
 ) -> DataFrame:
     """Features of every labelled customer month, from the four cleaned tables.
 
-    The loans are reduced to their outcomes once. Each source is joined to its outcome month
-    and staged, as its statistics are fitted on the labelled rows and then applied to them: no
-    source is read or shuffled twice. ``keep`` names columns to retain although the store
-    normally drops them (such as the label).
+    The loans are reduced to outcome counts once, so a customer with many loans in a month is
+    one or two rows in every join; the copies are multiplied out only in the result, where each
+    source contributes them. Each source is joined to its outcome month and staged, as its
+    statistics are fitted on the labelled rows (by their number of copies) and then applied to
+    them: no source is read or shuffled twice. ``keep`` names columns to retain although the
+    store normally drops them (such as the label).
     """
-    labels = staging(outcomes(loans, dpd, mob), "outcomes")
+    labels = staging(outcome_counts(loans, dpd, mob), "outcomes")
     labelled = {
         name: staging(join_outcomes(df, labels, mob), name)
         for name, df in {"financials": fin, "attributes": att, "clickstream": clk}.items()
     }
-    store = join_sources(
-        [
-            financial_features(labelled["financials"], encode, **quantile_options),
-            attribute_features(labelled["attributes"], encode),
-            clickstream_features(labelled["clickstream"], **quantile_options),
-        ]
-    )
+    sources = [
+        financial_features(labelled["financials"], encode, weight="copies", **quantile_options),
+        attribute_features(labelled["attributes"], encode, weight="copies"),
+        clickstream_features(labelled["clickstream"], weight="copies", **quantile_options),
+    ]
+    store = join_sources(sources, [*LABELLED_KEYS, "copies"])
+    copies = reduce(mul, [F.col("copies")] * len(sources))
+    store = repeat_rows(store, copies).drop("copies")
     return clean.drop_present(store, [c for c in K.FEATURE_STORE_DROPS if c not in keep])

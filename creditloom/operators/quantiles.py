@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from creditloom import constants as K
 from creditloom.operators.ordering import with_total_before
+from creditloom.operators.snapshots import repeat_rows
 
 
 def _plan(cols: list[str] | dict[str, list[float]], probs: list[float] | None) -> dict[str, list[float]]:
@@ -34,11 +35,15 @@ def name_of(f: Column, cols: list[str]) -> Column:
     return F.element_at(F.array(*[F.lit(c) for c in cols]), f + 1)
 
 
-def _counted_whole(df: DataFrame, cols: list[str]) -> DataFrame:
+def _counts(weight: str | None) -> Column:
+    return (F.sum(weight) if weight else F.count(F.lit(1))).alias("n")
+
+
+def _counted_whole(df: DataFrame, cols: list[str], weight: str | None) -> DataFrame:
     """Histogram of integral columns. Counts are combined before the shuffle, so it carries at
     most one record per distinct value and task, however often a value occurs."""
-    counts = long_form(df, cols, kind="bigint").groupBy("f", "value").agg(F.count(F.lit(1)).alias("n"))
-    return counts.select(
+    long = long_form(df, cols, [weight] if weight else None, kind="bigint")
+    return long.groupBy("f", "value").agg(_counts(weight)).select(
         name_of(F.col("f"), cols).alias("feature"),
         F.col("value").cast("double").alias("value"),
         F.lit(False).alias("gap"),
@@ -63,16 +68,24 @@ def _brackets(values: DataFrame, probs: list[float], accuracy: int) -> DataFrame
     )
 
 
-def _counted_real(df: DataFrame, cols: list[str], probs: list[float], accuracy: int) -> DataFrame:
+def _repeated(df: DataFrame, cols: list[str], weight: str | None) -> DataFrame:
+    return repeat_rows(df.select(*cols, weight), F.col(weight)).drop(weight) if weight else df
+
+
+def _counted_real(
+    df: DataFrame, cols: list[str], probs: list[float], accuracy: int, weight: str | None
+) -> DataFrame:
     """Histogram of real-valued columns around the wanted ranks only.
 
     Values inside a bracket are counted one by one; each stretch between brackets is a single
     count with ``gap`` set, sorted after the bracket it follows. Inputs of up to ``accuracy``
     values are counted in full.
     """
-    values = long_form(df, cols)
+    # the sketch knows no weights; it sees repeated rows, which never leave their task
+    sketched = _brackets(long_form(_repeated(df, cols, weight), cols), probs, accuracy)
+    values = long_form(df, cols, [weight] if weight else None)
     # one row per column
-    brackets = F.broadcast(_brackets(values, probs, accuracy))
+    brackets = F.broadcast(sketched)
     value, ends = F.col("value"), F.col("ends")
     inside, below = F.col("total") <= accuracy, [F.lit(float("-inf")), F.lit(float("-inf"))]
     for j in range(len(probs)):
@@ -83,19 +96,21 @@ def _counted_real(df: DataFrame, cols: list[str], probs: list[float], accuracy:
         .withColumn("gap", ~inside)
         .withColumn("value", F.when(F.col("gap"), F.greatest(*below)).otherwise(value))
         .groupBy("f", "value", "gap")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(_counts(weight))
         .select(name_of(F.col("f"), cols).alias("feature"), "value", "gap", "n")
     )
 
 
-def _counted(df: DataFrame, cols: list[str], probs: list[float], accuracy: int) -> DataFrame:
+def _counted(
+    df: DataFrame, cols: list[str], probs: list[float], accuracy: int, weight: str | None = None
+) -> DataFrame:
     """Histogram (feature, value, gap, n) that is exact at the wanted ranks."""
     types = dict(df.dtypes)
     whole = [c for c in cols if types[c] in ("tinyint", "smallint", "int", "bigint")]
     real = [c for c in cols if c not in whole]
-    parts = [_counted_whole(df, whole)] if whole else []
+    parts = [_counted_whole(df, whole, weight)] if whole else []
     if real:
-        parts.append(_counted_real(df, real, probs, accuracy))
+        parts.append(_counted_real(df, real, probs, accuracy, weight))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
@@ -104,9 +119,11 @@ def _at_rank(rank: Column) -> Column:
     return F.max(F.when((F.col("before") <= rank) & (rank < F.col("before") + F.col("n")), F.col("value")))
 
 
-def _exact(df: DataFrame, plan: dict[str, list[float]], interpolate: bool, accuracy: int) -> DataFrame:
+def _exact(
+    df: DataFrame, plan: dict[str, list[float]], interpolate: bool, accuracy: int, weight: str | None
+) -> DataFrame:
     distinct = sorted({p for probs in plan.values() for p in probs})
-    histogram = _counted(df, list(plan), distinct, accuracy)
+    histogram = _counted(df, list(plan), distinct, accuracy, weight)
     ranked = with_total_before(histogram, ["feature"], ["value", "gap"], F.col("n"), "before", "total")
 
     total, picks = F.col("total"), []
@@ -148,19 +165,20 @@ def quantile_table(
     method: str = "exact",
     interpolate: bool = False,
     accuracy: int = 1000,
+    weight: str | None = None,
 ) -> DataFrame:
     """(feature, quantiles): one row per column with any value, nulls ignored.
 
     ``cols`` may map each column to its own probabilities. Without ``interpolate`` a quantile
     is the smallest value with at least that share of rows at or below it. ``accuracy`` bounds
-    the rank error of ``approx`` by 1/accuracy.
+    the rank error of ``approx`` by 1/accuracy. ``weight`` names a column of row multiplicities.
     """
     plan = _plan(cols, probs)
     if method == "exact":
-        return _exact(df, plan, interpolate, accuracy)
+        return _exact(df, plan, interpolate, accuracy, weight)
     if method != "approx" or interpolate:
         raise ValueError(f"method {method!r} with interpolate={interpolate}")
-    row = df.agg(*[_sketch(c, p, accuracy).alias(c) for c, p in plan.items()])
+    row = _repeated(df, list(plan), weight).agg(*[_sketch(c, p, accuracy).alias(c) for c, p in plan.items()])
     entries = [F.struct(F.lit(c).alias("feature"), F.col(c).alias("quantiles")) for c in plan]
     return row.select(F.inline(F.array(*entries))).where(F.col("quantiles").isNotNull())
 

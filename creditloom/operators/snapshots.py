@@ -124,19 +124,36 @@ def outcomes(loans: DataFrame, dpd: int = K.DPD_CUTOFF, mob: int = K.MOB_CUTOFF)
     )
 
 
+def outcome_counts(loans: DataFrame, dpd: int = K.DPD_CUTOFF, mob: int = K.MOB_CUTOFF) -> DataFrame:
+    """Outcomes with equal ones once and their number as ``copies``: at most two rows per
+    customer and month, counted before the shuffle."""
+    keys = ["Customer_ID", "label_snapshot_date", "label"]
+    return outcomes(loans, dpd, mob).groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
+
+
+def repeat_rows(df: DataFrame, copies: Column, chunk: int = 1_000_000) -> DataFrame:
+    """Every row ``copies`` times. Long runs are generated chunk by chunk, never as one array."""
+    columns = df.columns
+    chunks = F.sequence(F.lit(0), F.floor((copies - 1) / chunk).cast("bigint"))
+    df = df.select("*", copies.alias("__copies"), F.explode(chunks).alias("__chunk"))
+    rest = F.least(F.lit(chunk), F.col("__copies") - F.col("__chunk") * chunk)
+    return df.select("*", F.explode(F.sequence(F.lit(1), rest.cast("int"))).alias("__copy")).select(*columns)
+
+
 def join_outcomes(feat: DataFrame, labelled: DataFrame, mob: int = K.MOB_CUTOFF) -> DataFrame:
     """Features of month m joined to the same customer's outcomes at month m + mob.
 
-    One inner equi-join on (customer, outcome month) covers every month; a customer with
-    several loans in the month keeps one output row per loan. A hot customer is split by AQE's
-    skew join, which applies because nothing above the join relies on its partitioning when
-    the result is written.
+    One inner equi-join on (customer, outcome month) covers every month; every row of
+    ``labelled`` (outcomes or outcome counts) that matches gives one output row. A hot customer
+    is split by AQE's skew join, which applies because nothing above the join relies on its
+    partitioning when the result is written.
     """
     features = feat.withColumnRenamed(SNAPSHOT, "feature_snapshot_date").withColumn(
         "label_snapshot_date", F.add_months("feature_snapshot_date", mob)
     )
+    extra = [c for c in labelled.columns if c not in ("Customer_ID", "label_snapshot_date", "label")]
     return features.join(labelled, ["Customer_ID", "label_snapshot_date"]).select(
-        *[c for c in features.columns if c != "label_snapshot_date"], "label", "label_snapshot_date"
+        *[c for c in features.columns if c != "label_snapshot_date"], "label", "label_snapshot_date", *extra
     )
 
 

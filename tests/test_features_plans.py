@@ -7,6 +7,7 @@ from creditloom import __main__ as cli, constants as K
 from creditloom.operators import drift, features, modeling as M, registry, snapshots as S
 from creditloom.plans import etl, monitoring, training
 from creditloom.sources import readers
+from creditloom.sources.staging import stage
 from workload import queries as W, views as V
 
 
@@ -65,6 +66,38 @@ def test_feature_store_columns_and_plan(spark, sources):
     assert "label" in kept.columns and kept.count() == store.count()
 
 
+def plain_store(spark, sources):
+    """The store from plain outcome joins, every copy of a row going through every step."""
+    fin, att, clk, loans = sources
+    labelled = [S.multi_snapshot_join(df, loans) for df in (fin, att, clk)]
+    parts = [
+        features.financial_features(labelled[0]),
+        features.attribute_features(labelled[1]),
+        features.clickstream_features(labelled[2]),
+    ]
+    return S.join_sources(parts).drop(*K.FEATURE_STORE_DROPS)
+
+
+def test_counted_copies_give_the_store_of_plain_joins(spark, sources):
+    fin, att, clk, loans = sources
+    # one customer month with many loans, so that copies weigh on statistics and categories
+    repeated = S.repeat_rows(loans, F.when((F.col("mob") == 6) & (F.crc32("Customer_ID") % 5 == 0), 4).otherwise(1).cast("bigint"))
+    sources = [fin, att, clk, stage(repeated)]
+    counted = features.feature_store(*sources)
+    plain = plain_store(spark, sources).select(counted.columns)
+    vectors = {c: M.vector_to_array(c) for c in counted.columns if c.endswith("_vec")}
+    counted, plain = counted.withColumns(vectors), plain.withColumns(vectors)
+    assert counted.count() > 64
+    assert counted.exceptAll(plain).count() == plain.exceptAll(counted).count() == 0
+
+
+def test_repeat_rows_in_chunks(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 7), ("c", 3)], "k string, n long")
+    out = S.repeat_rows(df, F.col("n"), chunk=3)
+    assert out.columns == ["k", "n"]
+    assert {r.k: r["count"] for r in out.groupBy("k").count().collect()} == {"a": 1, "b": 7, "c": 3}
+
+
 def test_one_snapshot_features_can_reuse_a_fit(spark, sources):
     labelled = S.multi_snapshot_join(sources[0], sources[3])
     one = labelled.where(F.col("feature_snapshot_date") == dt.date(1997, 3, 1))

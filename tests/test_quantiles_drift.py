@@ -63,6 +63,18 @@ def test_a_third_of_the_rows_share_one_value(spark):
     ]
 
 
+@pytest.mark.parametrize("kind", ["int", "double"])
+def test_weighted_quantiles_equal_repeated_rows(spark, kind):
+    rng = random.Random(11)
+    rows = [(rng.randrange(-300, 300), rng.choice([1, 1, 2, 40])) for _ in range(900)]
+    rows = rows if kind == "int" else [(v + rng.random(), w) for v, w in rows]
+    df = spark.createDataFrame(rows, f"x {kind}, w long")
+    repeated = [v for v, w in rows for _ in range(w)]
+    probs = [0.01, 0.5, 0.95]
+    got = Q.quantile_row(df, ["x"], probs, weight="w", accuracy=200).first().x
+    assert got == [discrete(repeated, p) for p in probs]
+
+
 def test_approx_quantiles_within_rank_error(spark):
     values = list(range(10000))
     for p, q in zip([0.05, 0.5, 0.9], Q.quantile_row(frame(spark, values), ["x"], [0.05, 0.5, 0.9], method="approx", accuracy=100).first().x):
