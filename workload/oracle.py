@@ -385,8 +385,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "union_slices": twin(
             "fx_clk",
-            f"""{_CLK_ROUND} where snapshot_date=date '1996-03-01' union all
- {_CLK_ROUND} where snapshot_date=date '1997-03-01' union all {_CLK_ROUND} where snapshot_date=date '1998-03-01'""",
+            _CLK_ROUND,
         ),
         "with_constants": twin(
             "fx_clk",
@@ -519,9 +518,9 @@ def oracle_sql() -> dict[str, str]:
             "fx_clk",
             "select * from (select feature metric_name, " + ", ".join(
                 f"round(max(case when snapshot_date=date '{y}-{m:02d}-01' then psi end),10) \"{y}-{m:02d}-01\""
-                for y in (1998,)
+                for y in range(1998, 2002)
                 for m in range(1, 13)
-            ) + " from psi where snapshot_date between date '1998-01-01' and date '1998-12-01' group by 1)",
+            ) + " from psi group by 1)",
             _PSI,
         ),
         "null_profile": twin(

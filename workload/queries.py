@@ -324,8 +324,11 @@ def valid_slices(spark, sf):
 
 @query
 def union_slices(spark, sf):
+    """The panel cut into three stretches and put together again."""
     clk = V.clickstream(spark, sf)
-    return S.union_slices([readers.read_snapshot(clk, f"{y}-03-01") for y in (1996, 1997, 1998)])
+    early, middle = S.as_of(clk, "1995-12-31"), S.between_dates(clk, "1996-01-01", "1997-12-31")
+    late = clk.where(F.col("snapshot_date") > readers.as_date("1997-12-31"))
+    return S.union_slices([late, early.select(*PANEL, *reversed(FES)), middle])
 
 
 @query
@@ -574,14 +577,13 @@ def auc_series(spark, sf):
 
 @query
 def metric_pivot(spark, sf):
-    """PSI matrix of one year, features by month."""
-    psi_rows = S.between_dates(snapshot_psi(spark, sf), "1998-01-01", "1998-12-01")
-    metrics = psi_rows.select(
+    """PSI matrix, features by month."""
+    metrics = snapshot_psi(spark, sf).select(
         F.concat(F.lit("psi_"), "feature").alias("metric_name"),
         F.col("snapshot_date").cast("string").alias("snapshot_date"),
         F.round("psi", 10).alias("value"),
     )
-    months = [f"1998-{m:02d}-01" for m in range(1, 13)]
+    months = [f"{y}-{m:02d}-01" for y in range(1998, 2002) for m in range(1, 13)]
     return report.metric_pivot(metrics, snapshots=months, short_names=True)
 
 
