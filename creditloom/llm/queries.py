@@ -7,11 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.llm import simhash
+from creditloom.llm import mixing, simhash
 from creditloom.llm.common import documents
 from creditloom.session import configure
 
 
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    return mixing.taken(documents(configure(spark), sf_dir)).drop("source")
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = simhash.near_duplicates(documents(configure(spark), sf_dir), shingle=3, max_bits=3)
@@ -19,9 +24,12 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_source_mixing": op4_source_mixing,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op4_source_mixing": mixing.taken_sql(),
+    }
