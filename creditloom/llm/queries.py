@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.llm import mixing, simhash
+from creditloom.llm import decontamination, mixing, simhash
 from creditloom.llm.common import documents
 from creditloom.session import configure
 
@@ -17,6 +17,12 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(documents(configure(spark), sf_dir)).drop("source")
 
 
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark items that each document holds; documents that hold none have no row."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontamination.contaminated(documents(configure(spark), sf_dir), benchmark).drop("text_key")
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = simhash.near_duplicates(documents(configure(spark), sf_dir), shingle=3, max_bits=3)
@@ -25,6 +31,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_source_mixing": op4_source_mixing,
+    "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
