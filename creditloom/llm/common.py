@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from creditloom.sources.staging import stage
 
-__all__ = ["documents", "embeddings", "kept_columns", "md5_order", "running_total", "runs", "stage", "whole_text", "words_of"]
-
 #: Separators of the word pattern [^\x00-\x2F\x3A-\x60\x7B-\x7F]+ on bytes; A-Z becomes a-z.
 _WORD_BYTES = bytes(
     b if b >= 0x80 or chr(b).isdigit() or "a" <= chr(b) <= "z" else (b + 32 if "A" <= chr(b) <= "Z" else 32)
@@ -38,12 +34,6 @@ def words_of(text: str | bytes) -> list[bytes]:
     return data.translate(_WORD_BYTES).split()
 
 
-def kept_columns(docs: DataFrame, keep: Iterable[str]) -> list[str]:
-    """The columns of ``docs`` in their order, without those in ``keep``."""
-    skip = set(keep)
-    return [c for c in docs.columns if c not in skip]
-
-
 def md5_order(column: str) -> Column:
     """Text whose order is a fixed pseudorandom order of the values."""
     return F.md5(F.coalesce(F.col(column).cast("string"), F.lit("")))
@@ -79,3 +69,23 @@ def runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return np.empty(0, np.int64), np.empty(0, np.int64)
     starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
     return starts, np.append(starts[1:], len(keys))
+
+
+def key_filter(keys: DataFrame, n_bits: int) -> bytes:
+    """A filter of fixed size: bit (key mod n_bits) is set for every key of the one column of ``keys``.
+
+    At most n_bits / 64 rows come to the driver, whatever the number of keys.
+    """
+    name = f"`{keys.columns[0]}`"
+    word = F.expr(f"cast(shiftright(pmod({name}, {n_bits}), 6) as int)").alias("word")
+    bits = F.expr(f"bit_or(shiftleft(1L, cast(pmod({name}, {n_bits}) & 63 as int)))").alias("bits")
+    table = np.zeros(n_bits // 64, np.int64)
+    for row in keys.filter(f"{name} is not null").groupBy(word).agg(bits).toLocalIterator():
+        table[row["word"]] = row["bits"]
+    return table.tobytes()
+
+
+def in_filter(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which keys (unsigned) have their bit set in the bytes of ``key_filter``; some without being keys."""
+    at = keys & np.uint64(len(table) * 8 - 1)
+    return (table[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0

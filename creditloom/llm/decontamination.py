@@ -13,7 +13,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creditloom.llm.common import stage, whole_text, words_of
+from creditloom.llm.common import in_filter, key_filter, stage, whole_text, words_of
 
 SHINGLE = 5
 CONTAINMENT = 0.8
@@ -121,8 +121,7 @@ def _chunk_hits(chunk: list[list[bytes]], parts: list[int], bits: np.ndarray, sh
     out = []
 
     def known(keys: np.ndarray) -> np.ndarray:
-        at = keys & np.uint64(len(bits) * 8 - 1)
-        return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
+        return in_filter(bits, keys)
 
     lengths = np.array([len(w) for w in chunk])
     if _SHORT in parts:
@@ -218,17 +217,6 @@ def _verified(batches: Iterator[pa.RecordBatch], shingle: int, least: float) ->
         yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "item_class", "containment", "first_word"]).filter(keep)
 
 
-def _filter_bits(keys: DataFrame, n_bits: int) -> bytes:
-    """Bit (key mod n_bits) is set for every key: at most n_bits / 64 rows come to the driver."""
-    at = F.pmod("key", F.lit(n_bits))
-    word = F.shiftright(at, 6).cast("int")
-    words = keys.groupBy(word.alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(key, {n_bits}) & 63 as int))")).alias("bits"))
-    table = np.zeros(n_bits // 64, np.int64)
-    for row in words.toLocalIterator():
-        table[row["word"]] = row["bits"]
-    return table.tobytes()
-
-
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -265,7 +253,7 @@ def contaminated(
     )
     keys = stage(keys, "item-keys")
     parts = sorted(r["part"] for r in keys.select("part").distinct().collect())  # at most one for each power of two
-    bits = spark.sparkContext.broadcast(_filter_bits(keys, filter_bits))
+    bits = spark.sparkContext.broadcast(key_filter(keys.select("key"), filter_bits))
     rows = docs.select("doc_id", whole_text().alias("text"), F.xxhash64(whole_text()).alias("text_key"))
     found = rows.mapInArrow(
         partial(_candidates, parts=parts, bits=bits, shingle=shingle, n_hashes=n_hashes), _CANDIDATES

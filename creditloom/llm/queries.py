@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.llm import decontamination, mixing, simhash
+from creditloom.llm import decontamination, mixing, quality, simhash
 from creditloom.llm.common import documents
 from creditloom.session import configure
 
@@ -23,6 +23,12 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontamination.contaminated(documents(configure(spark), sf_dir), benchmark).drop("text_key")
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity of every document under the model of trusted text, and whether it stays."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.classify(documents(configure(spark), sf_dir), labels).drop("text_key")
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = simhash.near_duplicates(documents(configure(spark), sf_dir), shingle=3, max_bits=3)
@@ -32,6 +38,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_source_mixing": op4_source_mixing,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 

@@ -8,6 +8,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,13 +23,13 @@ BUCKET = 2048
 _BITS = 64
 
 
-def fingerprint(text: str, shingle: int = SHINGLE) -> int:
+def fingerprint(text: str | bytes, shingle: int = SHINGLE) -> int:
     """SimHash of the whole text: bit b is 1 if set in over half of the shingles' XXH64 (seed 42).
 
     A-Z is lower-cased; words are runs without ASCII white space; a text of fewer words than a shingle
     is one shingle; a text without words has fingerprint 0.
     """
-    words = text.encode("utf-8", "surrogatepass").lower().split()
+    words = (text if isinstance(text, bytes) else text.encode()).lower().split()
     if not words:
         return 0
     line = b" ".join(words)
@@ -46,10 +47,12 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     return int(np.packbits(total * 2 > n, bitorder="little").view(np.uint64)[0])
 
 
-def _fingerprints(frames: Iterator[pd.DataFrame], shingle: int) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        values = np.fromiter((fingerprint(t, shingle) for t in frame["text"]), np.uint64, len(frame))
-        yield pd.DataFrame({"doc_id": frame["doc_id"], "text_key": frame["text_key"], "fp": values.view(np.int64)})
+def _fingerprints(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = batch.column("text").cast(pa.binary())
+        values = np.fromiter((fingerprint(t.as_py(), shingle) for t in texts), np.uint64, batch.num_rows)
+        columns = [batch.column("doc_id"), batch.column("text_key"), pa.array(values.view(np.int64))]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "fp"])
 
 
 def text_key() -> Column:
@@ -59,7 +62,7 @@ def text_key() -> Column:
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, text_key, fp): one row for each row of ``docs``; a null text counts as empty."""
-    return docs.select("doc_id", whole_text().alias("text"), text_key().alias("text_key")).mapInPandas(
+    return docs.select("doc_id", whole_text().alias("text"), text_key().alias("text_key")).mapInArrow(
         partial(_fingerprints, shingle=shingle), "doc_id long, text_key long, fp long"
     )
 
