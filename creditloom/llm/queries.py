@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.llm import decontamination, mixing, quality, simhash
+from creditloom.llm import decontamination, lines, mixing, quality, simhash
 from creditloom.llm.common import documents
 from creditloom.session import configure
 
@@ -17,6 +17,11 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(documents(configure(spark), sf_dir)).drop("source")
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that an earlier line repeats or nearly repeats."""
+    return lines.dedup_lines(documents(configure(spark), sf_dir)).select("doc_id", "text", "n_lines", "n_dropped")
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The benchmark items that each document holds; documents that hold none have no row."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
@@ -37,6 +42,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_source_mixing": op4_source_mixing,
+    "op6_line_dedup": op6_line_dedup,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
