@@ -7,11 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.llm import decontamination, lines, mixing, quality, simhash
+from creditloom.llm import decontamination, licenses, lines, mixing, quality, simhash
 from creditloom.llm.common import documents
 from creditloom.session import configure
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base places and license labels of every document."""
+    return licenses.scan(documents(configure(spark), sf_dir))
+
+
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     return mixing.taken(documents(configure(spark), sf_dir)).drop("source")
@@ -41,6 +46,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_license_scan": op2_license_scan,
     "op4_source_mixing": op4_source_mixing,
     "op6_line_dedup": op6_line_dedup,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
@@ -51,5 +57,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_license_scan": licenses.scan_sql(),
         "op4_source_mixing": mixing.taken_sql(),
     }
