@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.llm import decontamination, licenses, lines, mixing, quality, simhash
+from creditloom.llm import decontamination, licenses, lines, mixing, quality, simhash, toxicity
 from creditloom.llm.common import documents
 from creditloom.session import configure
 
@@ -17,6 +17,12 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(configure(spark), sf_dir))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by its nearest labelled examples."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.classify(documents(configure(spark), sf_dir), labels)
+
+
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     return mixing.taken(documents(configure(spark), sf_dir)).drop("source")
@@ -47,6 +53,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_license_scan": op2_license_scan,
+    "op3_toxicity": op3_toxicity,
     "op4_source_mixing": op4_source_mixing,
     "op6_line_dedup": op6_line_dedup,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
