@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.llm import decontamination, licenses, lines, mixing, quality, simhash, toxicity
-from creditloom.llm.common import documents
+from creditloom.llm import decontamination, licenses, lines, mixing, neighbours, quality, simhash, toxicity
+from creditloom.llm.common import documents, embeddings
 from creditloom.session import configure
 
 
@@ -28,6 +28,11 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(documents(configure(spark), sf_dir)).drop("source")
 
 
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five nearest vectors of every vector whose id is divisible by 50."""
+    return neighbours.nearest(embeddings(configure(spark), sf_dir), k=5, every=50)
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that an earlier line repeats or nearly repeats."""
     return lines.dedup_lines(documents(configure(spark), sf_dir)).select("doc_id", "text", "n_lines", "n_dropped")
@@ -55,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_license_scan": op2_license_scan,
     "op3_toxicity": op3_toxicity,
     "op4_source_mixing": op4_source_mixing,
+    "op5_nearest_neighbours": op5_nearest_neighbours,
     "op6_line_dedup": op6_line_dedup,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op9_quality_classifier": op9_quality_classifier,
