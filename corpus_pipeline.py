@@ -1,25 +1,54 @@
-"""A training corpus from the documents table: every stage takes what its predecessor kept."""
+"""A training corpus from the documents table: every stage takes what its predecessor kept.
+
+Stages return the columns of documents, but for the last, whose rows are the pieces of the mixed corpus.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.llm import simhash
+from creditloom.llm import decontamination, lines, mixing, quality, simhash
 from creditloom.llm.common import documents, stage
 from creditloom.session import configure
 
 
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go; it is trained on the trusted ones among ``docs``."""
+    return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that an earlier line repeats or nearly repeats go, and n_chars follows. Rows stay, with empty texts too."""
+    cut = lines.dedup_lines(docs)
+    chars = F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return cut.withColumn("n_chars", chars).select(*docs.columns)
+
+
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each group of near copies stays."""
     return simhash.keep_first(docs, shingle=3, max_bits=3)
 
 
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold an item of the benchmark go."""
+    return decontamination.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mixed corpus: pieces of documents in the slots of output shards."""
+    return mixing.mix(docs)
+
+
 STAGES = [
+    ("quality_classifier", quality_classifier),
+    ("line_dedup", line_dedup),
     ("simhash_near_dedup", simhash_near_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("source_mixing", source_mixing),
 ]
 
-#: SQL cannot express trained models and XXH64 fingerprints; tests hold the stages against brute force.
+#: SQL cannot express the trained model and the XXH64 fingerprints; a test holds run() against brute force.
 ORACLE_SQL = None
 
 
