@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.llm import decontamination, licenses, lines, mixing, neighbours, quality, simhash, toxicity
+from creditloom.llm import decontamination, licenses, lines, mixing, neighbours, quality, quotations, simhash, toxicity
 from creditloom.llm.common import documents, embeddings
 from creditloom.session import configure
 
@@ -44,6 +44,11 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontamination.contaminated(documents(configure(spark), sf_dir), benchmark).drop("text_key")
 
 
+def op8_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message without quotes, with its place in the reply order."""
+    return quotations.reply_ordered(configure(spark).read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Perplexity of every document under the model of trusted text, and whether it stays."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -63,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_nearest_neighbours": op5_nearest_neighbours,
     "op6_line_dedup": op6_line_dedup,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
+    "op8_quotation_linking": op8_quotation_linking,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
