@@ -7,11 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.llm import decontamination, licenses, lines, mixing, neighbours, quality, quotations, simhash, toxicity
+from creditloom.llm import decontamination, licenses, lines, mixing, neighbours, passages, quality, quotations, simhash, toxicity
 from creditloom.llm.common import documents, embeddings
 from creditloom.session import configure
 
 
+def op1_shared_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that documents share; documents without any have no row."""
+    return passages.shared_passages(documents(configure(spark), sf_dir)).drop("text_key")
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base places and license labels of every document."""
     return licenses.scan(documents(configure(spark), sf_dir))
@@ -62,6 +67,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_shared_passages": op1_shared_passages,
     "op2_license_scan": op2_license_scan,
     "op3_toxicity": op3_toxicity,
     "op4_source_mixing": op4_source_mixing,
