@@ -42,7 +42,9 @@ def histogram(
     places = edges.select(
         (F.array_position(F.array(*[F.lit(c) for c in cols]), F.col("feature")) - 1).cast("int").alias("f"), "edges"
     ).where(F.col("f") >= 0)
-    # edges has one row per feature column
+    # one row per feature column: a second one would count its values twice
+    repeated = F.raise_error(F.lit("more than one row of edges for a feature")).cast("array<double>")
+    places = places.groupBy("f").agg(F.when(F.count(F.lit(1)) > 1, repeated).otherwise(F.first("edges")).alias("edges"))
     values = long_form(df, cols, by).join(F.broadcast(places), "f")
     binned = values.withColumn("bin", bin_number(F.col("value"), F.col("edges"), buckets))
     counts = [F.count_if(F.col("bin") == i) for i in range(buckets)]

@@ -6,6 +6,7 @@ import datetime as dt
 import itertools
 import random
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
@@ -16,8 +17,7 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from creditloom import constants as K
-from creditloom.operators.ordering import SLICE, slice_by_range, total_before
-from creditloom.operators.quantiles import quantile_row
+from creditloom.operators.ordering import SLICE, slice_by_range, total_before, with_total_before
 
 SCALED = "__scaled"
 FEATURES = "features"
@@ -43,25 +43,19 @@ def stratified_split(df: DataFrame, key: str, frac: float = 0.2, seed: int = 42)
 
 
 def exact_stratified_split(
-    df: DataFrame, key: str, label: str = "label", classes=(0, 1), frac: float = 0.2, seed: int = 42
+    df: DataFrame, key: str, label: str = "label", frac: float = 0.2, seed: int = 42
 ) -> DataFrame:
-    """Like ``stratified_split``, with exactly ceil(frac * n) test rows in each class.
+    """Like ``stratified_split``, with exactly ceil(frac * n) test rows in each class found in the data.
 
-    Keys are cut at the exact quantile of their hash within the class, one pass for all classes,
-    so no class is ever sorted or collected.
+    Rows are ranked by the hash of their key (unique keys are the caller's promise; equal keys stand in any
+    order) within the class, in range slices, so no class is sorted by one task or collected. Rows without a
+    label are a class of their own.
     """
-    # 52 bits of the hash, which a double holds exactly
     digest = F.md5(F.concat(F.lit(str(seed)), F.col(key).cast("string")).cast("binary"))
-    place = F.conv(F.substring(digest, 1, 13), 16, 10).cast("double")
-    hashes = df.select(*[F.when(F.col(label) == k, place).alias(f"c{i}") for i, k in enumerate(classes)])
-    names = hashes.columns
-    cuts = quantile_row(hashes, names, [frac]).select(F.struct(*names).alias("cuts")).scalar()
-    in_test = F.lit(False)
-    for name, k in zip(names, classes):
-        in_test = in_test | ((F.col(label) == k) & (place <= F.col(f"__cuts.{name}")[0]))
-    return (
-        df.withColumn("__cuts", cuts).withColumn("split", F.when(in_test, "test").otherwise("train")).drop("__cuts")
-    )
+    placed = df.withColumn("__place", digest)
+    ranked = with_total_before(placed, [label], ["__place"], F.lit(1), "__before", "__class")
+    in_test = F.col("__before") < F.ceil(F.lit(Decimal(repr(frac))) * F.col("__class"))
+    return ranked.withColumn("split", F.when(in_test, "test").otherwise("train")).select(*df.columns, "split")
 
 
 def time_split(df: DataFrame, windows: dict[str, Column], date_col: str = "snapshot_date") -> DataFrame:
@@ -85,7 +79,8 @@ def split_stats(df: DataFrame, by: str = "split", label: str = "label") -> DataF
 
 
 def fit_scaler(df: DataFrame, cols: list[str], weight: str | None = None) -> DataFrame:
-    """One row of (mean, std) structs per column: population std, 1 where it is 0 or missing.
+    """One row of (mean, std) structs per column: population std, 1 where it is 0 or missing. NaN counts
+    as missing, like null.
 
     With ``weight`` each row counts that many times; the squared deviations are then taken in a
     second pass around the weighted means.
@@ -94,6 +89,9 @@ def fit_scaler(df: DataFrame, cols: list[str], weight: str | None = None) -> Dat
     def params(c: str, mean: Column, std: Column) -> Column:
         return F.struct(mean.alias("mean"), F.when(std > 0, std).otherwise(1.0).alias("std")).alias(c)
 
+    types = dict(df.dtypes)
+    real = {c: F.nanvl(F.col(c), F.lit(None)) for c in cols if types[c] in ("float", "double")}
+    df = df.withColumns(real) if real else df
     if weight is None:
         return df.agg(*[params(c, F.avg(c), F.stddev_pop(c)) for c in cols])
 
@@ -209,7 +207,7 @@ def random_search(
     parallelism: int = 4,
     estimator: Estimator | None = None,
 ) -> CrossValidatorModel:
-    """Random search by cross-validated AUC over rows with ``features`` and ``label``."""
+    """Random search by cross-validated AUC (unbinned) over rows with ``features`` and ``label``."""
     estimator = estimator or boosted_trees(seed=seed)
     maps = [
         {estimator.getParam(name): value for name, value in point.items()}
@@ -218,7 +216,7 @@ def random_search(
     return CrossValidator(
         estimator=estimator,
         estimatorParamMaps=maps,
-        evaluator=BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC"),
+        evaluator=BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC", numBins=0),
         numFolds=folds,
         seed=seed,
         parallelism=parallelism,

@@ -12,8 +12,6 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from creditloom.sources.staging import stage
 
 SLICE = "__slice"
-# Up to this many rows in all, even a single group fits one task's sort.
-WINDOW_ROWS = 2_000_000
 
 
 def slice_by_range(df: DataFrame, keys: list[str], order: list) -> DataFrame:
@@ -33,23 +31,12 @@ def with_total_before(
     """Add the sum of ``measure`` over all rows of the group that sort before the row, and on
     request the sum over the whole group.
 
-    ``order`` must be a total order within a group. The rows are staged and counted: up to
-    ``WINDOW_ROWS`` plain windows do, beyond that the sliced form, which is just as exact.
+    ``order`` must be a total order within a group. There is one path for every size: range slices,
+    written once, as the slice totals and the rows must be taken from the same slices.
     """
-    rows = stage(df.withColumn("__measure", measure), "ordered")
     out = [*df.columns, name] + ([group_total] if group_total else [])
     group = group_total or "__group"
-    if rows.count() > WINDOW_ROWS:
-        return _sliced_total_before(rows, keys, order, name, group).select(*out)
-    whole = F.sum("__measure").over(W.partitionBy(*keys))
-    return rows.withColumns(
-        {name: total_before(F.col("__measure"), *keys, order=order), group: whole}
-    ).select(*out)
-
-
-def _sliced_total_before(df: DataFrame, keys: list[str], order: list, name: str, group: str) -> DataFrame:
-    # staged, as both the slice totals and the rows are read from the slices and must agree
-    rows = stage(slice_by_range(df, keys, order), "slices")
+    rows = stage(slice_by_range(df.withColumn("__measure", measure), keys, order), "slices")
     totals = rows.groupBy(*keys, SLICE).agg(F.sum("__measure").alias("__total"))
     offsets = totals.select(
         *[F.col(k).alias(f"__key_{k}") for k in keys],
@@ -61,4 +48,4 @@ def _sliced_total_before(df: DataFrame, keys: list[str], order: list, name: str,
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"__key_{k}"))
     local = total_before(F.col("__measure"), *keys, SLICE, order=order)
-    return rows.join(offsets, same).withColumn(name, F.col("__offset") + local)
+    return rows.join(offsets, same).withColumn(name, F.col("__offset") + local).select(*out)

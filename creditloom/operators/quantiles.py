@@ -1,8 +1,9 @@
 """Quantiles of many columns at once, and the operators built on them.
 
-``method="exact"`` returns true order statistics from a counted histogram: of all values for
-integral columns, and for real-valued ones of the values in narrow brackets around the wanted
-ranks, which a sketch places first. ``method="approx"`` is the sketch alone.
+``method="exact"`` returns true order statistics from a histogram of the values in narrow brackets
+around the wanted ranks, which a sketch places first; each stretch between brackets is one count with
+its smallest and largest value. A rank inside a stretch, which the sketch's error bound rules out, is an
+error. ``method="approx"`` is the sketch alone. Null and NaN are missing values.
 """
 
 from __future__ import annotations
@@ -21,14 +22,20 @@ def _plan(cols: list[str] | dict[str, list[float]], probs: list[float] | None) -
 
 
 def _sketch(column: str, probs: list[float], accuracy: int) -> Column:
-    return F.percentile_approx(F.col(column).cast("double"), probs, accuracy)
+    return F.percentile_approx(F.nanvl(F.col(column).cast("double"), F.lit(None)), probs, accuracy)
+
+
+def _whole(df: DataFrame, cols: list[str]) -> bool:
+    types = dict(df.dtypes)
+    return all(types[c] in ("tinyint", "smallint", "int", "bigint") for c in cols)
 
 
 def long_form(df: DataFrame, cols: list[str], by: list[str] | None = None, kind: str = "double") -> DataFrame:
-    """(by, f, value) with one row per non-null value; ``f`` is the column's place in ``cols``."""
+    """(by, f, value) with one row per value that is not missing; ``f`` is the column's place in ``cols``."""
     values = F.array(*[F.col(c).cast(kind) for c in cols])
     long = df.select(*(by or []), F.posexplode(values).alias("f", "value"))
-    return long.where(F.col("value").isNotNull())
+    present = F.col("value").isNotNull()
+    return long.where(present if kind == "bigint" else present & ~F.isnan("value"))
 
 
 def name_of(f: Column, cols: list[str]) -> Column:
@@ -39,84 +46,61 @@ def _counts(weight: str | None) -> Column:
     return (F.sum(weight) if weight else F.count(F.lit(1))).alias("n")
 
 
-def _counted_whole(df: DataFrame, cols: list[str], weight: str | None) -> DataFrame:
-    """Histogram of integral columns. Counts are combined before the shuffle, so it carries at
-    most one record per distinct value and task, however often a value occurs."""
-    long = long_form(df, cols, [weight] if weight else None, kind="bigint")
-    return long.groupBy("f", "value").agg(_counts(weight)).select(
-        name_of(F.col("f"), cols).alias("feature"),
-        F.col("value").cast("double").alias("value"),
-        F.lit(False).alias("gap"),
-        "n",
-    )
-
+def _brackets(values: DataFrame, probs: list[float], accuracy: int, ends_at: tuple) -> DataFrame:
+    """(f, ends): sketched values below and above each wanted rank.
 
-def _brackets(values: DataFrame, probs: list[float], accuracy: int) -> DataFrame:
-    """(f, ends, total): sketched values below and above each wanted rank.
-
-    The sketch's rank error is total/accuracy. Brackets reach four times as far to either side,
-    which leaves room for the neighbouring rank that interpolation needs once total > accuracy.
+    The sketch's rank error is total/accuracy. Brackets reach four times as far to either side.
     """
-    reach, inf = 4.0 / accuracy, float("inf")
+    reach = 4.0 / accuracy
     ends = [e for p in probs for e in (max(p - reach, 0.0), min(p + reach, 1.0))]
-    sketches = values.groupBy("f").agg(
-        F.percentile_approx("value", ends, accuracy).alias("q"), F.count(F.lit(1)).alias("total")
-    )
-    open_ended = {i: F.lit(inf if i % 2 else -inf) for i, e in enumerate(ends) if e == float(i % 2)}
-    return sketches.select(
-        "f", F.array(*[open_ended.get(i, F.col("q")[i]) for i in range(len(ends))]).alias("ends"), "total"
-    )
+    sketches = values.groupBy("f").agg(F.percentile_approx("value", ends, accuracy).alias("q"))
+    open_ended = {i: F.lit(ends_at[i % 2]) for i, e in enumerate(ends) if e == float(i % 2)}
+    return sketches.select("f", F.array(*[open_ended.get(i, F.col("q")[i]) for i in range(len(ends))]).alias("ends"))
 
 
 def _repeated(df: DataFrame, cols: list[str], weight: str | None) -> DataFrame:
     return repeat_rows(df.select(*cols, weight), F.col(weight)).drop(weight) if weight else df
 
 
-def _counted_real(
-    df: DataFrame, cols: list[str], probs: list[float], accuracy: int, weight: str | None
+def _counted(
+    df: DataFrame, cols: list[str], probs: list[float], accuracy: int, weight: str | None = None
 ) -> DataFrame:
-    """Histogram of real-valued columns around the wanted ranks only.
+    """Histogram (feature, value, gap, n, low, high) around the wanted ranks.
 
     Values inside a bracket are counted one by one; each stretch between brackets is a single
-    count with ``gap`` set, sorted after the bracket it follows. Inputs of up to ``accuracy``
-    values are counted in full.
+    count with ``gap`` set, sorted after the bracket it follows, with its smallest and largest value.
+    Whole-number columns are compared as bigint, never rounded to a double.
     """
-    # the sketch knows no weights; it sees repeated rows, which never leave their task
-    sketched = _brackets(long_form(_repeated(df, cols, weight), cols), probs, accuracy)
-    values = long_form(df, cols, [weight] if weight else None)
+    kind, ends_at = ("bigint", (-(2**63), 2**63 - 1)) if _whole(df, cols) else ("double", (float("-inf"), float("inf")))
+    # the sketch knows no weights; it sees repeated rows
+    sketched = _brackets(long_form(_repeated(df, cols, weight), cols, kind=kind), probs, accuracy, ends_at)
+    values = long_form(df, cols, [weight] if weight else None, kind)
     # one row per column
     brackets = F.broadcast(sketched)
     value, ends = F.col("value"), F.col("ends")
-    inside, below = F.col("total") <= accuracy, [F.lit(float("-inf")), F.lit(float("-inf"))]
+    inside, below = F.lit(False), [F.lit(ends_at[0]), F.lit(ends_at[0])]
     for j in range(len(probs)):
         inside = inside | value.between(ends[2 * j], ends[2 * j + 1])
         below.append(F.when(ends[2 * j + 1] < value, ends[2 * j + 1]))
     return (
         values.join(brackets, "f")
-        .withColumn("gap", ~inside)
-        .withColumn("value", F.when(F.col("gap"), F.greatest(*below)).otherwise(value))
-        .groupBy("f", "value", "gap")
-        .agg(_counts(weight))
-        .select(name_of(F.col("f"), cols).alias("feature"), "value", "gap", "n")
+        .withColumns({"gap": ~inside, "place": F.when(~inside, F.greatest(*below)).otherwise(value)})
+        .groupBy("f", "place", "gap")
+        .agg(_counts(weight), F.min("value").alias("low"), F.max("value").alias("high"))
+        .select(name_of(F.col("f"), cols).alias("feature"), F.col("place").alias("value"), "gap", "n", "low", "high")
     )
 
 
-def _counted(
-    df: DataFrame, cols: list[str], probs: list[float], accuracy: int, weight: str | None = None
-) -> DataFrame:
-    """Histogram (feature, value, gap, n) that is exact at the wanted ranks."""
-    types = dict(df.dtypes)
-    whole = [c for c in cols if types[c] in ("tinyint", "smallint", "int", "bigint")]
-    real = [c for c in cols if c not in whole]
-    parts = [_counted_whole(df, whole, weight)] if whole else []
-    if real:
-        parts.append(_counted_real(df, real, probs, accuracy, weight))
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-
-
 def _at_rank(rank: Column) -> Column:
-    """Value holding the 0-based ``rank`` in a histogram with counts before each value."""
-    return F.max(F.when((F.col("before") <= rank) & (rank < F.col("before") + F.col("n")), F.col("value")))
+    """Value holding the 0-based ``rank`` in a histogram with counts before each value.
+
+    Of a stretch between brackets the first and the last value are known; any other rank in it
+    means that the sketch has missed, and is an error.
+    """
+    first, last = rank == F.col("before"), rank == F.col("before") + F.col("n") - 1
+    missed = F.raise_error(F.lit("a wanted rank lies outside its bracket")).cast("bigint")
+    value = F.when(~F.col("gap"), F.col("value")).when(first, F.col("low")).when(last, F.col("high")).otherwise(missed)
+    return F.max(F.when((F.col("before") <= rank) & (rank < F.col("before") + F.col("n")), value))
 
 
 def _exact(
@@ -151,7 +135,7 @@ def _exact(
     answers = found.select("feature", F.array(*[result(p) for p in distinct]).alias("quantiles"))
     if all(list(probs) == distinct for probs in plan.values()):
         return answers
-    own = F.lit(None).cast("array<double>")
+    own = F.lit(None).cast(answers.schema["quantiles"].dataType)
     for c, probs in plan.items():
         mine = F.array(*[F.col("quantiles")[distinct.index(p)] for p in probs])
         own = F.when(F.col("feature") == c, mine).otherwise(own)
@@ -167,11 +151,12 @@ def quantile_table(
     accuracy: int = 1000,
     weight: str | None = None,
 ) -> DataFrame:
-    """(feature, quantiles): one row per column with any value, nulls ignored.
+    """(feature, quantiles): one row per column with any value; null and NaN are ignored.
 
     ``cols`` may map each column to its own probabilities. Without ``interpolate`` a quantile
     is the smallest value with at least that share of rows at or below it. ``accuracy`` bounds
     the rank error of ``approx`` by 1/accuracy. ``weight`` names a column of row multiplicities.
+    Exact quantiles of whole-number columns alone are bigints unless interpolated, others doubles.
     """
     plan = _plan(cols, probs)
     if method == "exact":
@@ -204,13 +189,17 @@ def _bounds(stats: DataFrame) -> Column:
 
 def impute_median(df: DataFrame, column: str, fit_df: DataFrame | None = None, **options) -> DataFrame:
     median = _bounds(quantile_row(df if fit_df is None else fit_df, [column], [0.5], **options))
-    return df.withColumn(column, F.coalesce(F.col(column), median[column][0]))
+    value = F.col(column)
+    if dict(df.dtypes)[column] in ("float", "double"):
+        value = F.nanvl(value, F.lit(None))
+    return df.withColumn(column, F.coalesce(value, median[column][0]))
 
 
 def cap_expression(column: str, bounds: Column) -> Column:
-    """Value limited to [bounds[0], bounds[1]] as a double; nulls stay."""
+    """Value limited to [bounds[0], bounds[1]] as a double; nulls and NaN stay."""
     value = F.col(column).cast("double")
-    return F.when(value < bounds[0], bounds[0]).when(value > bounds[1], bounds[1]).otherwise(value)
+    limited = F.when(value < bounds[0], bounds[0]).when(value > bounds[1], bounds[1]).otherwise(value)
+    return F.when(F.isnan(value), value).otherwise(limited)
 
 
 def cap_by_quantile(

@@ -104,16 +104,30 @@ def model_for_snapshot(artifacts: DataFrame, snapshot: dt.date | str | None = No
 def previous_snapshot(best: DataFrame, years: int | None = 3) -> DataFrame:
     """Best runs with the latest earlier best snapshot, at most ``years`` back (inclusive).
 
-    ``best`` holds one row per snapshot date, so the ordered window is over calendar dates
-    only (some 36,500 in a century), not over runs.
+    An equi-join on the calendar year: within a year the one before is a window over its dates, and each
+    year also offers its last date to the years after it, up to ``years`` of them (all, when None: then every
+    year's last date is carried on through the few rows of a table of years). A tag that is not a date has no
+    fallback and is none.
     """
-    snapshot = F.col("snapshot_date").cast("date")
-    previous = F.lag("snapshot_date").over(W.orderBy("snapshot_date"))
-    out = best.withColumn("fallback_snapshot", previous)
+    day = F.col("snapshot_date").try_cast("date")
+    rows = best.withColumn("__year", F.year(day))
+    dated = rows.where(F.col("__year").isNotNull())
+    in_year = W.partitionBy("__year").orderBy("snapshot_date")
+    near = dated.withColumn("__near", F.lag("snapshot_date").over(in_year))
+    last = dated.groupBy("__year").agg(F.max("snapshot_date").alias("__last"))
     if years is None:
-        return out
-    recent = F.col("fallback_snapshot").cast("date") >= F.add_months(snapshot, -12 * years)
-    return out.withColumn("fallback_snapshot", F.when(recent, F.col("fallback_snapshot")))
+        spans = dated.select(F.col("__year").alias("to")).distinct().agg(F.min("to").alias("low"), F.max("to").alias("high"))
+        reach = F.sequence(F.col("__year") + 1, F.greatest(F.col("__year") + 1, spans.select("high").scalar()))
+    else:
+        reach = F.sequence(F.col("__year") + 1, F.col("__year") + years)
+    offered = last.select(F.explode(reach).alias("__year"), "__last").groupBy("__year").agg(F.max("__last").alias("__last"))
+    found = near.join(offered, "__year", "left").withColumn("fallback_snapshot", F.coalesce("__near", "__last"))
+    if years is not None:
+        recent = F.col("fallback_snapshot").cast("date") >= F.add_months(F.col("snapshot_date").cast("date"), -12 * years)
+        found = found.withColumn("fallback_snapshot", F.when(recent, F.col("fallback_snapshot")))
+    undated = rows.where(F.col("__year").isNull()).withColumn("fallback_snapshot", F.lit(None).cast("string"))
+    out = [*best.columns, "fallback_snapshot"]
+    return found.select(*out).unionByName(undated.select(*out))
 
 
 def promotions(
@@ -127,7 +141,8 @@ def promotions(
 
     ``status`` is ``promoted`` when the run's own artefact exists, ``fallback`` when the artefact
     of the same model type for the latest earlier best snapshot stands in, otherwise
-    ``fallback_missing`` or ``no_fallback``; ``source_snapshot`` is the artefact to use.
+    ``fallback_missing`` or ``no_fallback``; ``bad_snapshot`` when the run's tag is no date.
+    ``source_snapshot`` is the artefact to use.
     """
     best = previous_snapshot(best_per_snapshot(runs, start, end), years)
     stored = artifacts.select(*ARTIFACT_KEYS).distinct()
@@ -138,6 +153,7 @@ def promotions(
     found = best.join(own, ARTIFACT_KEYS, "left").join(other, ["model_type", "fallback_snapshot"], "left")
     status = (
         F.when(F.col("own"), "promoted")
+        .when(F.col("snapshot_date").try_cast("date").isNull(), "bad_snapshot")
         .when(F.col("fallback_snapshot").isNull(), "no_fallback")
         .when(F.col("other"), "fallback")
         .otherwise("fallback_missing")

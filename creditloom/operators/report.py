@@ -30,8 +30,9 @@ def metric_pivot(
 ) -> DataFrame:
     """Metrics as rows, snapshots as columns, both sorted.
 
-    Two values for one (metric, snapshot) are an error, as a cell can only hold one. Passing
-    ``snapshots`` spares the job that looks up the column names.
+    Two values for one (metric, snapshot) are an error, as a cell can only hold one. The columns are
+    the snapshots found; passing ``snapshots`` spares the job that looks them up, and any other
+    snapshot in the data is then an error.
     """
     rows = metric_filter(metrics, prefix=prefix)
     if exclude:
@@ -39,6 +40,10 @@ def metric_pivot(
     clash = F.concat(F.lit("more than one value for "), F.first("metric_name"))
     cell = F.when(F.count(F.lit(1)) > 1, F.raise_error(clash)).otherwise(F.max("value"))
     cells = rows.groupBy("metric_name", "snapshot_date").agg(cell.alias("value"))
+    if snapshots is not None:
+        unlisted = F.raise_error(F.concat(F.lit("unlisted snapshot "), F.col("snapshot_date"))).cast("string")
+        listed = F.when(F.col("snapshot_date").isin(snapshots), F.col("snapshot_date")).otherwise(unlisted)
+        cells = cells.withColumn("snapshot_date", listed)
     table = cells.groupBy("metric_name").pivot("snapshot_date", snapshots).agg(F.max("value"))
     table = table.select("metric_name", *sorted(c for c in table.columns if c != "metric_name"))
     if short_names:

@@ -34,7 +34,7 @@ def build_silver(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     for name, cleaner in CLEANERS.items():
         cleaned = cleaner(readers.read_table(spark, root, "bronze", name))
         by = "snapshot_date" if name in K.PARTITIONED["silver"] else None
-        writers.write_table(cleaned, root, "silver", f"{name}_clean", by)
+        writers.write_table(cleaned, root, "silver", f"{name}_clean", by, whole=True)
         tables[name] = readers.read_table(spark, root, "silver", f"{name}_clean")
     return tables
 

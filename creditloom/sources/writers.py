@@ -8,13 +8,16 @@ from creditloom import constants as K
 from creditloom.sources import readers
 
 
-def write_parquet(df: DataFrame, path: str, partition_by: str | list[str] | None = None) -> str:
+def write_parquet(
+    df: DataFrame, path: str, partition_by: str | list[str] | None = None, whole: bool = False
+) -> str:
     """Overwrite a Parquet dataset.
 
     With ``partition_by`` rows are first clustered on the partition columns by a rebalance
     hint: each folder gets few large files, and a month holding a large share of the rows is
     split over several tasks by AQE. Only the partitions present in ``df`` are replaced, so a
-    re-run of one month leaves the others alone.
+    re-run of one month leaves the others alone; with ``whole`` the dataset is replaced, so a full build
+    leaves no month that its source no longer has.
     """
     if not partition_by:
         df.write.mode("overwrite").parquet(path)
@@ -23,7 +26,7 @@ def write_parquet(df: DataFrame, path: str, partition_by: str | list[str] | None
     (
         df.hint("rebalance", *columns)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .partitionBy(*columns)
         .parquet(path)
     )
@@ -31,9 +34,14 @@ def write_parquet(df: DataFrame, path: str, partition_by: str | list[str] | None
 
 
 def write_table(
-    df: DataFrame, root: str, layer: str, name: str, partition_by: str | list[str] | None = None
+    df: DataFrame,
+    root: str,
+    layer: str,
+    name: str,
+    partition_by: str | list[str] | None = None,
+    whole: bool = False,
 ) -> str:
-    return write_parquet(df, readers.table_path(root, layer, name), partition_by)
+    return write_parquet(df, readers.table_path(root, layer, name), partition_by, whole)
 
 
 def write_csv(df: DataFrame, path: str) -> str:
@@ -63,6 +71,6 @@ def ingest_sources(
     for name, path in sources.items():
         df = readers.read_csv(spark, path, None if infer else K.SOURCE_SCHEMAS.get(name))
         by = "snapshot_date" if name in K.PARTITIONED["bronze"] and "snapshot_date" in df.columns else None
-        write_table(df, root, "bronze", name, by)
+        write_table(df, root, "bronze", name, by, whole=True)
         tables[name] = readers.read_table(spark, root, "bronze", name)
     return tables

@@ -45,9 +45,7 @@ def test_exact_quantiles(spark, kind, size):
     assert edges == list(np.percentile(np.array(values, dtype=float), np.linspace(0, 100, 11)))
 
 
-def test_exact_quantiles_in_range_slices(spark, monkeypatch):
-    """The path for histograms too large for one window gives the same values."""
-    monkeypatch.setattr(ordering, "WINDOW_ROWS", 0)
+def test_exact_quantiles_of_mixed_columns(spark):
     rng = random.Random(3)
     a, b = [rng.gauss(0, 50) for _ in range(4000)], [rng.randrange(10) for _ in range(4000)]
     df = spark.createDataFrame(list(zip(a, b)), "a double, b int")
@@ -177,9 +175,7 @@ def test_baseline_modes(spark):
         drift.baseline(df, "first")
 
 
-@pytest.mark.parametrize("window_rows", [0, 10**6])
-def test_total_before_with_a_hot_group_and_null_keys(spark, monkeypatch, window_rows):
-    monkeypatch.setattr(ordering, "WINDOW_ROWS", window_rows)
+def test_total_before_with_a_hot_group_and_null_keys(spark):
     rng = random.Random(1)
     keys = ["hot"] * 2000 + ["b"] * 50 + [None] * 30
     rows = [(k, rng.randrange(40), i, rng.randrange(3)) for i, k in enumerate(keys)]
@@ -192,3 +188,44 @@ def test_total_before_with_a_hot_group_and_null_keys(spark, monkeypatch, window_
             expected[i] = total
             total += n
     assert {r.i: r.before for r in out} == expected
+
+
+def test_bigints_are_not_rounded(spark):
+    big = 2**53 + 1
+    df = frame(spark, [big - 2, big, big + 2], "long")
+    assert Q.quantile_row(df, ["x"], [0.5, 1.0]).first().x == [big, big + 2]
+
+
+def test_a_rank_outside_its_bracket_is_an_error(spark):
+    rows = [("a", 1.0, True, 5, 2.0, 3.0, 0)]
+    df = spark.createDataFrame(rows, "feature string, value double, gap boolean, n long, low double, high double, before long")
+    assert df.agg(Q._at_rank(F.lit(0)).alias("v")).first().v == 2.0
+    assert df.agg(Q._at_rank(F.lit(4)).alias("v")).first().v == 3.0
+    with pytest.raises(Exception, match="outside its bracket"):
+        df.agg(Q._at_rank(F.lit(2)).alias("v")).collect()
+
+
+def test_nan_is_missing(spark):
+    nan = float("nan")
+    same = [float(i) for i in range(100)]
+    cols = ["fe_1"]
+    plain, dirty = (spark.createDataFrame([(v,) for v in vs], "fe_1 double") for vs in (same, same + [nan] * 50))
+    for base, current in ((plain, dirty), (dirty, plain)):
+        assert drift.psi(base, current, cols).first().psi == 0
+    assert Q.quantile_row(dirty, cols, [0.95]).first().fe_1 == [94.0]
+    assert Q.quantile_row(dirty, cols, [0.95], method="approx", accuracy=10000).first().fe_1 == [94.0]
+    capped = [r.fe_1 for r in Q.cap_by_quantile(dirty, cols, 0.1, 0.9).collect()]
+    assert max(v for v in capped if v == v) == 89.0 and sum(v != v for v in capped) == 50
+    assert Q.impute_median(dirty, "fe_1").where("fe_1 = 49.0").count() == 51
+    for weight in (None, "w"):
+        from creditloom.operators import modeling as M
+
+        rows = [M.fit_scaler(df.withColumn("w", F.lit(1)), cols, weight).first().fe_1 for df in (plain, dirty)]
+        assert rows[0].mean == rows[1].mean == 49.5 and abs(rows[0]["std"] - rows[1]["std"]) < 1e-9
+
+
+def test_edges_with_two_rows_for_a_feature_are_an_error(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,)], "fe_1 double")
+    edges = Q.decile_edges(df, ["fe_1"])
+    with pytest.raises(Exception, match="more than one row of edges"):
+        drift.histogram(df, edges.union(edges), ["fe_1"]).collect()

@@ -223,6 +223,26 @@ _SPLIT = "case when md5('42' || cast(id as varchar))<'33333333' then 'test' else
 _SIGMOID = "1/(1+exp(-(0.1" + "".join(f"+{0.05 * i:.2f}*fe_{i}" for i in range(1, 21)) + ")))"
 
 
+_COMPONENTS = """c as (select vec_id, 'e_' || i feature, cast(v as double) v from (
+ select vec_id, unnest(embedding) v, generate_subscripts(embedding, 1) - 1 i from embeddings) where v is not null)"""
+_COMPONENT_PSI = f"""with {_COMPONENTS},
+ e as (select feature, quantile_cont(v, [0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]) q from c
+ where vec_id % 2 = 0 and vec_id % 7 <> 0 group by 1),
+ b as (select vec_id % 2 = 0 base, feature, case when v between q[1] and q[11] then len(list_filter(q[2:10], lambda x: v >= x)) else -1 end bin
+ from c join e using (feature) where vec_id % 7 <> 0),
+ t as (select base, feature, count(*) t from b group by all), h as (select base, feature, bin, count(*) n from b group by all),
+ s as (select t.base, t.feature, r.bin, coalesce(h.n / cast(t.t as double), 1e-8) s from t cross join range(10) r(bin)
+ left join h on h.base = t.base and h.feature = t.feature and h.bin = r.bin)
+ select x.feature, round(sum((x.s - y.s) * ln(x.s / y.s)), 9) psi from s x join s y on x.feature = y.feature and x.bin = y.bin
+ where x.base and not y.base group by 1"""
+
+
+def _component_quantiles(where: str) -> str:
+    return f"""with {_COMPONENTS} select feature, cast(p as double) prob, case p when 0.01 then a when 0.5 then b else d end as "value" from (
+ select feature, quantile_disc(v, 0.01) a, quantile_disc(v, 0.5) b, quantile_disc(v, 0.95) d from c where {where} group by 1)
+ cross join (values (0.01), (0.5), (0.95)) x(p)"""
+
+
 def _closure(names: list[str]) -> list[str]:
     ordered: list[str] = []
     for name in names:
@@ -426,6 +446,14 @@ def oracle_sql() -> dict[str, str]:
                 for p in (0.01, 0.5, 0.95)
             ) + ")",
         ),
+        "quantiles_real": _component_quantiles("true"),
+        "quantiles_nan": _component_quantiles("vec_id % 7 <> 0"),
+        "quantiles_bigint": " union all ".join(
+            f"select '{k}' feature, cast({p} as double) prob, quantile_disc(cast({k} as bigint) + 9007199254740993, {p}) as \"value\" from lineitem"
+            for k in ("l_orderkey", "l_partkey", "l_suppkey")
+            for p in (0.1, 0.5, 0.999)
+        ),
+        "psi_real": _COMPONENT_PSI,
         "impute_median": twin(
             "s_fin",
             """select Customer_ID, snapshot_date, coalesce(Outstanding_Debt,(select quantile_disc(Outstanding_Debt,0.5) from s_fin)) Outstanding_Debt from s_fin""",
@@ -505,6 +533,22 @@ def oracle_sql() -> dict[str, str]:
  left join fx_artifacts b on b.model_type=p.model_type and b.snapshot_date=p.fallback_snapshot""",
             _BEST,
         ),
+        "promotions_bad_tags": twin(
+            "fx_runs fx_artifacts",
+            """select p.snapshot_date, run_id, p.model_type, auc, fallback_snapshot,
+ case when a.model_type is not null then 'promoted' when p.day is null then 'bad_snapshot'
+ when fallback_snapshot is null then 'no_fallback' when b.model_type is not null then 'fallback' else 'fallback_missing' end status,
+ case when a.model_type is not null then p.snapshot_date when b.model_type is not null then fallback_snapshot end source_snapshot
+ from prev p left join fx_artifacts a on a.model_type=p.model_type and a.snapshot_date=p.snapshot_date
+ left join fx_artifacts b on b.model_type=p.model_type and b.snapshot_date=p.fallback_snapshot""",
+            """r as (select * replace (case when cast(substr(snapshot_date,6,2) as int) % 3 = 0 then 'latest-' || substr(snapshot_date,1,7)
+ else snapshot_date end as snapshot_date) from fx_runs),
+ best as (select * exclude (rk), try_cast(snapshot_date as date) as day from (select *, row_number() over (partition by snapshot_date
+ order by auc desc, start_time desc, run_id) rk from r) where rk=1),
+ prev as (select *, case when cast(p as date)>=day-to_years(3) then p end fallback_snapshot
+ from (select *, lag(snapshot_date) over (order by snapshot_date) p from best where day is not null)
+ union all select *, null, null from best where day is null)""",
+        ),
         "model_for_snapshot": twin(
             "fx_artifacts",
             "select cast(snapshot_date as date) snapshot_date, min(model_type || '_' || snapshot_date || '.pkl') as \"name\" from fx_artifacts group by 1",
@@ -516,11 +560,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "metric_pivot": twin(
             "fx_clk",
-            "select * from (select feature metric_name, " + ", ".join(
-                f"round(max(case when snapshot_date=date '{y}-{m:02d}-01' then psi end),10) \"{y}-{m:02d}-01\""
-                for y in range(1998, 2002)
-                for m in range(1, 13)
-            ) + " from psi group by 1)",
+            "select * from (pivot (select feature metric_name, cast(snapshot_date as varchar) m, round(psi,10) v from psi)"
+            " on m using max(v) group by metric_name)",
             _PSI,
         ),
         "null_profile": twin(

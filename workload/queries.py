@@ -375,7 +375,48 @@ def time_split(spark, sf):
 
 @query
 def quantiles(spark, sf):
-    return Q.quantiles(V.clickstream(spark, sf), FES, [0.01, 0.5, 0.95])
+    return Q.quantiles(V.clickstream(spark, sf), FES, [0.01, 0.5, 0.95]).withColumn("value", F.col("value").cast("double"))
+
+
+def components(spark, sf):
+    """The embeddings' components as double columns e_0 .. e_63."""
+    vectors = spark.read.parquet(f"{sf}/embeddings.parquet")
+    return vectors.select("vec_id", *[F.get("embedding", i).cast("double").alias(f"e_{i}") for i in range(64)])
+
+
+COMPONENTS = [f"e_{i}" for i in range(64)]
+
+
+def with_nan(df):
+    """Every seventh row NaN."""
+    hit = F.col("vec_id") % 7 == 0
+    return df.withColumns({c: F.when(hit, F.lit(float("nan"))).otherwise(F.col(c)) for c in COMPONENTS})
+
+
+@query
+def quantiles_real(spark, sf):
+    return Q.quantiles(components(spark, sf), COMPONENTS, [0.01, 0.5, 0.95])
+
+
+@query
+def quantiles_nan(spark, sf):
+    return Q.quantiles(with_nan(components(spark, sf)), COMPONENTS, [0.01, 0.5, 0.95])
+
+
+@query
+def quantiles_bigint(spark, sf):
+    """Keys beyond the whole numbers that doubles hold."""
+    keys = ["l_orderkey", "l_partkey", "l_suppkey"]
+    items = spark.read.parquet(f"{sf}/lineitem.parquet")
+    return Q.quantiles(items.select(*[(F.col(k).cast("bigint") + 2**53 + 1).alias(k) for k in keys]), keys, [0.1, 0.5, 0.999])
+
+
+@query
+def psi_real(spark, sf):
+    """Drift between the even and the odd vectors, every seventh of them NaN."""
+    rows = with_nan(components(spark, sf))
+    base, current = rows.where("vec_id % 2 = 0"), rows.where("vec_id % 2 <> 0")
+    return rounded(drift.psi(base, current, COMPONENTS), 9, "psi")
 
 
 @query
@@ -557,6 +598,16 @@ def promotions(spark, sf):
     return registry.promotions(run_rows(spark, sf), artifact_rows(spark, sf))
 
 
+@query
+def promotions_bad_tags(spark, sf):
+    """The run log with the tags of every third run's month spoilt."""
+    runs = run_rows(spark, sf)
+    spoilt = F.concat(F.lit("latest-"), F.substring("snapshot_date", 1, 7))
+    third = F.substring("snapshot_date", 6, 2).cast("int") % 3 == 0
+    runs = runs.withColumn("snapshot_date", F.when(third, spoilt).otherwise(F.col("snapshot_date")))
+    return registry.promotions(runs, artifact_rows(spark, sf))
+
+
 @query
 def model_for_snapshot(spark, sf):
     return registry.model_for_snapshot(registry.parse_artifacts(V.artifacts(spark, sf)))
@@ -583,8 +634,7 @@ def metric_pivot(spark, sf):
         F.col("snapshot_date").cast("string").alias("snapshot_date"),
         F.round("psi", 10).alias("value"),
     )
-    months = [f"{y}-{m:02d}-01" for y in range(1998, 2002) for m in range(1, 13)]
-    return report.metric_pivot(metrics, snapshots=months, short_names=True)
+    return report.metric_pivot(metrics, short_names=True)
 
 
 @query
