@@ -10,14 +10,28 @@ from creditloom.operators.quantiles import decile_edges, long_form, name_of
 from creditloom.operators.snapshots import at_latest
 
 
+# A row of a table with this column stands for so many equal rows.
+COPIES = "copies"
+
+
 def baseline(
     store: DataFrame, mode: str = "all", date_col: str = "feature_snapshot_date", prefix: str = K.FEATURE_PREFIX
 ) -> DataFrame:
-    """Feature columns of all snapshots, or of the latest one."""
+    """Feature columns of all snapshots, or of the latest one, with ``copies`` if the store counts by them."""
     if mode not in ("all", "latest"):
         raise ValueError(f"mode {mode!r}")
     rows = store if mode == "all" else at_latest(store, date_col)
-    return rows.select(*feature_columns(store, prefix))
+    return rows.select(*feature_columns(store, prefix), *_copies(store))
+
+
+def _copies(df: DataFrame) -> list[str]:
+    """The column of row multiplicities, if there is one."""
+    return [COPIES] if COPIES in df.columns else []
+
+
+def baseline_edges(base: DataFrame, cols: list[str], buckets: int = K.PSI_BUCKETS, **options) -> DataFrame:
+    """Decile edges of a baseline, whose rows count by their copies."""
+    return decile_edges(base, cols, buckets, weight=COPIES if _copies(base) else None, **options)
 
 
 def bin_number(value: Column, edges: Column, buckets: int) -> Column:
@@ -35,22 +49,23 @@ def histogram(
 ) -> DataFrame:
     """(by, feature, counts, total): one array of bin counts per group and feature.
 
-    ``total`` also counts values outside the edges. Counts are combined map-side: a group costs
-    one small record per task however hot it is.
+    ``total`` also counts values outside the edges. Rows with ``copies`` count so often. Counts are combined
+    map-side: a group costs one small record per task however hot it is.
     """
-    by = by or []
+    by, weight = by or [], _copies(df)
+    n = F.col(COPIES) if weight else F.lit(1)
     places = edges.select(
         (F.array_position(F.array(*[F.lit(c) for c in cols]), F.col("feature")) - 1).cast("int").alias("f"), "edges"
     ).where(F.col("f") >= 0)
     # one row per feature column: a second one would count its values twice
     repeated = F.raise_error(F.lit("more than one row of edges for a feature")).cast("array<double>")
     places = places.groupBy("f").agg(F.when(F.count(F.lit(1)) > 1, repeated).otherwise(F.first("edges")).alias("edges"))
-    values = long_form(df, cols, by).join(F.broadcast(places), "f")
+    values = long_form(df, cols, [*by, *weight]).join(F.broadcast(places), "f")
     binned = values.withColumn("bin", bin_number(F.col("value"), F.col("edges"), buckets))
-    counts = [F.count_if(F.col("bin") == i) for i in range(buckets)]
+    counts = [F.sum(F.when(F.col("bin") == i, n).otherwise(0)).cast("bigint") for i in range(buckets)]
     return (
         binned.groupBy(*by, "f")
-        .agg(F.array(*counts).alias("counts"), F.count(F.lit(1)).alias("total"))
+        .agg(F.array(*counts).alias("counts"), F.sum(n).cast("bigint").alias("total"))
         .select(*by, name_of(F.col("f"), cols).alias("feature"), "counts", "total")
     )
 
@@ -90,7 +105,7 @@ def psi(
     """
     cols = cols or feature_columns(base)
     if edges is None:
-        edges = decile_edges(base, cols, buckets, **quantile_options)
+        edges = baseline_edges(base, cols, buckets, **quantile_options)
     expected = histogram(base, edges, cols, buckets=buckets).select(
         "feature", F.col("counts").alias("base_counts"), F.col("total").alias("base_total")
     )

@@ -7,18 +7,21 @@ from collections.abc import Callable
 from functools import reduce
 from operator import mul
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import DataFrame, functions as F
 
 from creditloom import constants as K
 from creditloom.functions import values as V
 from creditloom.operators import clean, quantiles as Q
 from creditloom.operators.ordering import with_total_before
-from creditloom.operators.snapshots import LABELLED_KEYS, join_outcomes, join_sources, outcome_counts, repeat_rows
+from creditloom.operators.snapshots import LABELLED_KEYS, join_outcomes, join_sources, outcome_counts
 from creditloom.sources.staging import stage
 
 
+# Columns that identify a person; no feature is made of them.
+PERSONAL = ["Name", "SSN"]
+
+
 def category_counts(df: DataFrame, cols: list[str], weight: str | None = None) -> DataFrame:
     """(feature, category, n) of the non-null values, combined before the shuffle."""
     entries = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("category")) for c in cols])
@@ -34,29 +37,28 @@ def category_index(df: DataFrame, cols: list[str], weight: str | None = None) ->
     return ranked.withColumn("index", F.col("index").cast("int"))
 
 
-def fit_one_hot(df: DataFrame, cols: list[str], weight: str | None = None) -> PipelineModel:
-    """Index and one-hot encode ``cols`` into ``<col>_vec``; unseen and null become all zeros."""
-    indexes, vectors = [f"{c}_idx" for c in cols], [f"{c}_vec" for c in cols]
-    encoder = OneHotEncoder(inputCols=indexes, outputCols=vectors)
-    if weight is None:
-        indexer = StringIndexer(inputCols=cols, outputCols=indexes, handleInvalid="keep")
-        return Pipeline(stages=[indexer, encoder]).fit(df.select(*cols))
-    # the indexer knows no weights; like it, this keeps the category names on the driver
-    counts = category_counts(df, cols, weight).collect()
-    ranked = sorted(counts, key=lambda r: (-r.n, r.category))
-    indexers = [
-        StringIndexerModel.from_labels([r.category for r in ranked if r.feature == c], c, i, "keep")
-        for c, i in zip(cols, indexes)
-    ]
-    indexed = PipelineModel(stages=indexers).transform(df.select(*cols))
-    return PipelineModel(stages=[*indexers, encoder.fit(indexed)])
-
-
 def one_hot(
     df: DataFrame, cols: list[str], fit_df: DataFrame | None = None, drop: bool = True, weight: str | None = None
 ) -> DataFrame:
-    encoded = fit_one_hot(df if fit_df is None else fit_df, cols, weight).transform(df)
-    return encoded.drop(*[f"{c}_idx" for c in cols], *(cols if drop else []))
+    """Encode ``cols`` into sparse vectors ``<col>_vec`` by the index of their categories.
+
+    A vector has a place for each category of ``fit_df`` (by falling frequency, ties by name); unseen values
+    and null are all zeros. The categories stay a table that is joined in, however many there are; only their
+    number comes to the driver, one for each column.
+    """
+    index = stage(category_index(df if fit_df is None else fit_df, cols, weight), "categories")
+    sizes = {r["feature"]: r["size"] for r in index.groupBy("feature").agg(F.count(F.lit(1)).alias("size")).collect()}
+    out = df
+    for c in cols:
+        size = sizes.get(c, 0)
+        # one place more for unseen and null, which the encoder drops
+        nominal = {"ml_attr": {"type": "nominal", "name": f"{c}_idx", "num_vals": size + 1}}
+        own = index.where(F.col("feature") == c).select(F.col("category").alias(c), F.col("index").alias("__place"))
+        place = F.coalesce(F.col("__place"), F.lit(size)).cast("double")
+        out = out.join(own, c, "left").withColumn("__place", place).withMetadata("__place", nominal).withColumnRenamed("__place", f"{c}_idx")
+    encoder = OneHotEncoder(inputCols=[f"{c}_idx" for c in cols], outputCols=[f"{c}_vec" for c in cols])
+    kept = [c for c in df.columns if not (drop and c in cols)]
+    return encoder.fit(out).transform(out).select(*kept, *[f"{c}_vec" for c in cols])
 
 
 def financial_features(
@@ -151,15 +153,17 @@ def feature_store(
     staging: Callable[[DataFrame, str], DataFrame] = stage,
     **quantile_options,
 ) -> DataFrame:
-    """Features of every labelled customer month, from the four cleaned tables.
+    """Features of every labelled customer month, from the four cleaned tables, with ``copies``.
 
     The loans are reduced to outcome counts once, so a customer with many loans in a month is
-    one or two rows in every join; the copies are multiplied out only in the result, where each
-    source contributes them. Each source is joined to its outcome month and staged, as its
-    statistics are fitted on the labelled rows (by their number of copies) and then applied to
-    them: no source is read or shuffled twice. ``keep`` names columns to retain although the
-    store normally drops them (such as the label).
+    one or two rows in every join and in the result: ``copies`` says how many rows the plain join of
+    the three sources gives there (each of them repeats the outcome). Baselines and statistics count by
+    it. Each source is joined to its outcome month and staged, as its statistics are fitted on the
+    labelled rows (by their number of copies) and then applied to them: no source is read or shuffled
+    twice. ``keep`` names columns to retain although the store normally drops them (such as the label);
+    names and numbers of persons are dropped before anything is written.
     """
+    att = clean.drop_present(att, [c for c in PERSONAL if c not in keep])
     labels = staging(outcome_counts(loans, dpd, mob), "outcomes")
     labelled = {
         name: staging(join_outcomes(df, labels, mob), name)
@@ -171,6 +175,5 @@ def feature_store(
         clickstream_features(labelled["clickstream"], weight="copies", **quantile_options),
     ]
     store = join_sources(sources, [*LABELLED_KEYS, "copies"])
-    copies = reduce(mul, [F.col("copies")] * len(sources))
-    store = repeat_rows(store, copies).drop("copies")
+    store = store.withColumn("copies", reduce(mul, [F.col("copies")] * len(sources)))
     return clean.drop_present(store, [c for c in K.FEATURE_STORE_DROPS if c not in keep])

@@ -131,13 +131,20 @@ def outcome_counts(loans: DataFrame, dpd: int = K.DPD_CUTOFF, mob: int = K.MOB_C
     return outcomes(loans, dpd, mob).groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
 
 
-def repeat_rows(df: DataFrame, copies: Column, chunk: int = 1_000_000) -> DataFrame:
-    """Every row ``copies`` times. Long runs are generated chunk by chunk, never as one array."""
+def repeat_rows(df: DataFrame, copies: Column, chunk: int = 10_000) -> DataFrame:
+    """Every row ``copies`` times. Rows of more than ``chunk`` copies are cut into chunks, and the chunks are
+    dealt to all tasks before they are multiplied out, so no task makes the copies of one row alone."""
     columns = df.columns
-    chunks = F.sequence(F.lit(0), F.floor((copies - 1) / chunk).cast("bigint"))
-    df = df.select("*", copies.alias("__copies"), F.explode(chunks).alias("__chunk"))
-    rest = F.least(F.lit(chunk), F.col("__copies") - F.col("__chunk") * chunk)
-    return df.select("*", F.explode(F.sequence(F.lit(1), rest.cast("int"))).alias("__copy")).select(*columns)
+    counted = df.withColumn("__copies", copies)
+    few = counted.where(F.col("__copies") <= chunk).withColumn("__part", F.col("__copies"))
+    chunks = F.sequence(F.lit(0), F.floor((F.col("__copies") - 1) / chunk).cast("bigint"))
+    many = counted.where(F.col("__copies") > chunk).select("*", F.explode(chunks).alias("__chunk"))
+    # a fixed number: by their size alone the chunks would be put together again
+    n_tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    many = many.repartition(n_tasks, "__chunk", *columns)
+    many = many.withColumn("__part", F.least(F.lit(chunk), F.col("__copies") - F.col("__chunk") * chunk)).drop("__chunk")
+    parts = few.unionByName(many).where(F.col("__part") > 0)
+    return parts.select("*", F.explode(F.sequence(F.lit(1), F.col("__part").cast("int"))).alias("__copy")).select(*columns)
 
 
 def join_outcomes(feat: DataFrame, labelled: DataFrame, mob: int = K.MOB_CUTOFF) -> DataFrame:

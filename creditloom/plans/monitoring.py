@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from creditloom import constants as K
 from creditloom.operators import drift, modeling as M, registry, report
 from creditloom.operators.clean import feature_columns
-from creditloom.operators.quantiles import decile_edges
 from creditloom.operators.snapshots import backfill
 from creditloom.sources import readers, writers
 from creditloom.sources.staging import stage
@@ -28,7 +27,7 @@ def monitor(
     Baseline edges are fitted once and every month is measured in the same job.
     """
     cols = feature_columns(feat)
-    edges = stage(decile_edges(base, cols, **quantile_options), "edges")
+    edges = stage(drift.baseline_edges(base, cols, **quantile_options), "edges")
     psi = stage(drift.psi_by_snapshot(base, backfill(feat, months), cols, edges=edges), "psi")
     summary = drift.drift_decision(drift.psi_summary(psi, ["snapshot_date"]), threshold)
     return psi, summary

@@ -6,6 +6,8 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from creditloom.session import configure  # noqa: E402
+
 
 @pytest.fixture(scope="session")
 def spark():
@@ -19,7 +21,7 @@ def spark():
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    yield session
+    yield configure(session)
     session.stop()
 
 

@@ -83,7 +83,9 @@ def test_counted_copies_give_the_store_of_plain_joins(spark, sources):
     # one customer month with many loans, so that copies weigh on statistics and categories
     repeated = S.repeat_rows(loans, F.when((F.col("mob") == 6) & (F.crc32("Customer_ID") % 5 == 0), 4).otherwise(1).cast("bigint"))
     sources = [fin, att, clk, stage(repeated)]
-    counted = features.feature_store(*sources)
+    store = features.feature_store(*sources)
+    assert store.count() < store.agg(F.sum("copies")).first()[0]
+    counted = S.repeat_rows(store, F.col("copies")).drop("copies")
     plain = plain_store(spark, sources).select(counted.columns)
     vectors = {c: M.vector_to_array(c) for c in counted.columns if c.endswith("_vec")}
     counted, plain = counted.withColumns(vectors), plain.withColumns(vectors)
@@ -98,6 +100,22 @@ def test_repeat_rows_in_chunks(spark):
     assert {r.k: r["count"] for r in out.groupBy("k").count().collect()} == {"a": 1, "b": 7, "c": 3}
 
 
+def test_copies_of_one_row_are_made_by_many_tasks(spark):
+    df = spark.createDataFrame([("a", 200_000)], "k string, n long").coalesce(1)
+    out = S.repeat_rows(df, F.col("n")).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in out) == 200_000 and len(out) > 1
+
+
+def test_baselines_count_by_copies(spark):
+    rows = [(1, 3), (2, 1), (9, 2)]
+    counted = spark.createDataFrame(rows, "fe_1 int, copies long")
+    plain = spark.createDataFrame([(v,) for v, n in rows for _ in range(n)], "fe_1 int")
+    current = spark.createDataFrame([(1,), (2,), (2,)], "fe_1 int")
+    assert drift.baseline(counted).columns == ["fe_1", "copies"]
+    values = [drift.psi(base, current, ["fe_1"]).first().psi for base in (counted, plain)]
+    assert values[0] == pytest.approx(values[1]) and values[0] > 0
+
+
 def test_one_snapshot_features_can_reuse_a_fit(spark, sources):
     labelled = S.multi_snapshot_join(sources[0], sources[3])
     one = labelled.where(F.col("feature_snapshot_date") == dt.date(1997, 3, 1))

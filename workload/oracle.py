@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from creditloom import constants as K
 from workload import views as V
 
 FES = [f"fe_{i}" for i in range(1, 21)]
@@ -265,8 +266,9 @@ _STORE_COLUMNS = f"""Customer_ID, feature_snapshot_date, Num_Bank_Accounts, Num_
  Num_of_Delayed_Payment, Changed_Credit_Limit, Num_Credit_Inquiries, Credit_Utilization_Ratio, Monthly_Balance,
  credit_history_months, num_loan_types, log_Annual_Income, debt_to_income, emi_to_salary, investment_rate,
  has_credit_limit_change, balance_to_debt, inq_per_loan, Occupation, Age_group, {FE_LIST}"""
-_STORE = f"""select {_STORE_COLUMNS} from ff join fa using (Customer_ID, feature_snapshot_date, label_snapshot_date, label)
- join fc using (Customer_ID, feature_snapshot_date, label_snapshot_date, label)"""
+_STORE = f"""select * exclude (label, label_snapshot_date) from (select {_STORE_COLUMNS}, label, label_snapshot_date, count(*) copies
+ from ff join fa using (Customer_ID, feature_snapshot_date, label_snapshot_date, label)
+ join fc using (Customer_ID, feature_snapshot_date, label_snapshot_date, label) group by all)"""
 _CLK_ROUND = f"select Customer_ID, snapshot_date, {FE_LIST} from fx_clk"
 _CAT_INDEX = """select feature, category, n, cast(row_number() over (partition by feature order by n desc, category)-1 as integer) as "index"
  from (select feature, category, count(*) n from ({rows}) where category is not null group by 1,2)"""
@@ -374,6 +376,19 @@ def oracle_sql() -> dict[str, str]:
  from s_att where Occupation is not null group by 1)) on category=Occupation,
  (select cast(count(distinct Occupation) as integer) n from s_att)""",
         ),
+        "one_hot_weighted": twin(
+            "s_fin",
+            "select Customer_ID, snapshot_date, " + ", ".join(
+                f"(select i from idx where feature='{c}' and category=f.{c}) {c.lower()}_position, "
+                f"(select cast(count(*) as integer) from idx where feature='{c}') {c.lower()}_size"
+                for c in K.FINANCIAL_CATEGORIES
+            ) + " from s_fin f",
+            "idx as (select feature, category, row_number() over (partition by feature order by n desc, category)-1 i from ("
+            + " union all ".join(
+                f"select '{c}' feature, {c} category, sum(1 + coalesce(len(Loan_Types_Array), 0)) n from s_fin where {c} is not null group by 2"
+                for c in K.FINANCIAL_CATEGORIES
+            ) + "))",
+        ),
         # labels
         "label_store": twin("s_loans", "select * from labels_", labels),
         "label_store_with_def": twin("s_loans", "select *, '60dpd_3mob' label_def from (select Customer_ID, loan_id, case when dpd>=60 then 1 else 0 end label, snapshot_date from s_loans where mob=3)"),
@@ -413,13 +428,13 @@ def oracle_sql() -> dict[str, str]:
         ),
         "join_sources": twin(
             "j_att j_clk",
-            f"""select Customer_ID, feature_snapshot_date, label_snapshot_date, label, Name, Age, SSN, Occupation, {FE_LIST}
- from j_att join j_clk using (Customer_ID, feature_snapshot_date, label_snapshot_date, label)""",
+            f"""select Customer_ID, feature_snapshot_date, label_snapshot_date, label, Name, Age, SSN, Occupation, {FE_LIST}, count(*) copies
+ from j_att join j_clk using (Customer_ID, feature_snapshot_date, label_snapshot_date, label) group by all""",
         ),
         "attach_labels": twin(
             "fx_clk s_loans",
-            """select f.Customer_ID, f.snapshot_date snapshot_date_x, fe_1, fe_2, l.loan_id, l.label, l.snapshot_date snapshot_date_y
- from fx_clk f join labels_ l on f.Customer_ID=l.Customer_ID""",
+            """select f.Customer_ID, f.snapshot_date, fe_1, fe_2, l.loan_id, l.label
+ from fx_clk f join labels_ l on f.Customer_ID=l.Customer_ID and f.snapshot_date=l.snapshot_date""",
             labels,
         ),
         "attach_label_counts": twin(

@@ -257,11 +257,26 @@ def category_index(spark, sf):
 def one_hot(spark, sf):
     """The vectors shown as the position of their 1 (null for all zeros) and their length."""
     df = features.one_hot(silver_attributes(spark, sf), ["Occupation"], drop=False)
-    vec = M.vector_to_array("Occupation_vec")
+    return _shown(df, "Occupation").select(*PANEL, "Occupation", "occupation_position", "occupation_size")
+
+
+def _shown(df, column):
+    """A one-hot vector as the position of its 1 (null for all zeros) and its length."""
+    vec = M.vector_to_array(f"{column}_vec")
     position = F.nullif(F.array_position(vec, 1.0), F.lit(0)) - 1
-    return df.select(
-        *PANEL, "Occupation", position.alias("occupation_position"), F.size(vec).alias("occupation_size")
-    )
+    name = column.lower()
+    return df.withColumns({f"{name}_position": position, f"{name}_size": F.size(vec)})
+
+
+@query
+def one_hot_weighted(spark, sf):
+    """Categories counted by rows' multiplicities (here: the length of the loan list), for three columns."""
+    df = silver_financials(spark, sf).withColumn("w", (1 + F.coalesce(VF.array_length(F.col("Loan_Types_Array")), F.lit(0))).cast("bigint"))
+    out = features.one_hot(df, K.FINANCIAL_CATEGORIES, drop=False, weight="w")
+    for c in K.FINANCIAL_CATEGORIES:
+        out = _shown(out, c)
+    shown = [f"{c.lower()}_{part}" for c in K.FINANCIAL_CATEGORIES for part in ("position", "size")]
+    return out.select(*PANEL, *shown)
 
 
 # --- labels -----------------------------------------------------------------------
@@ -340,16 +355,18 @@ def with_constants(spark, sf):
 
 @query
 def join_sources(spark, sf):
-    """Attributes and clickstream of the same labelled customer month."""
-    labelled = stage(S.outcomes(silver_loans(spark, sf)), "outcomes")
+    """Attributes and clickstream of the same labelled customer month, equal outcomes as ``copies``."""
+    labelled = stage(S.outcome_counts(silver_loans(spark, sf)), "outcomes")
     sources = [silver_attributes(spark, sf), silver_clickstream(spark, sf)]
-    return S.join_sources([S.join_outcomes(df, labelled) for df in sources])
+    joined = S.join_sources([S.join_outcomes(df, labelled) for df in sources], [*S.LABELLED_KEYS, "copies"])
+    return joined.withColumn("copies", F.col("copies") * F.col("copies"))
 
 
 @query
 def attach_labels(spark, sf):
+    """Features and labels of the same customer month; every month with every label is ``attach_label_counts``."""
     labels = L.label_store(silver_loans(spark, sf))
-    return S.attach_labels(V.clickstream(spark, sf), labels, columns=[*PANEL, "fe_1", "fe_2"])
+    return S.attach_labels(V.clickstream(spark, sf), labels, on=PANEL, columns=[*PANEL, "fe_1", "fe_2"])
 
 
 @query
