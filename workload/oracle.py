@@ -634,6 +634,36 @@ def oracle_sql() -> dict[str, str]:
             + _AUC.format(by="split", src=f"(select {_SPLIT} split, label, round({_SIGMOID},10) prediction from fx_ml)")
             + ")",
         ),
+        "lr_optimum": " union all ".join(f"select '{c}' feature, true optimal" for c in FES),
+        "model_roundtrip": twin("fx_ml", "select count(*) n_rows, cast(0 as double) difference from fx_ml"),
+        "model_card": twin(
+            "fx_ml",
+            f"""select 'fixed' model_version, date '1997-11-01' oot_start, split, n_rows, label_mean, round(auc,10) auc,
+ round(2*auc-1,3) gini, '0.1' intercept from a join n using (split)""",
+            "a as (" + _AUC.format(by="split", src=f"(select {_SPLIT} split, label, round({_SIGMOID},10) prediction from fx_ml)")
+            + f"), n as (select {_SPLIT} split, count(*) n_rows, round(avg(label),2) label_mean from fx_ml group by 1)",
+        ),
+        "run_log": twin(
+            "fx_scored",
+            "select model_name run_id, '1998-01-01' snapshot_date, 'pred_mean' metric_name, round(avg(prediction),8) as \"value\" from fx_scored group by 1",
+        ),
+        "alert_latest": twin(
+            "fx_runs fx_metrics",
+            """select run_id, m."value" psi_max, case when m."value">=0.2 then 'trigger_retrain' else 'continue_pipeline' end decision
+ from (select run_id from fx_runs order by start_time desc, run_id limit 1) join fx_metrics m using (run_id) where metric_name='psi_max'""",
+        ),
+        "global_decision": twin(
+            "fx_clk",
+            """select round(max(psi),6) psi_max, case when round(max(psi),6)>=0.2 then 'trigger_retrain' else 'continue_pipeline' end decision
+ from psi""",
+            _PSI,
+        ),
+        "report_files": twin(
+            "fx_runs fx_metrics",
+            """select m.snapshot_date, m.run_id, round(m."value",9) as "value" from fx_metrics m join best using (run_id)
+ where metric_name='auc'""",
+            _BEST,
+        ),
         # round trips
         "roundtrip_parquet": twin("fx_clk", _CLK_ROUND),
         "roundtrip_partitioned": twin("fx_clk", _CLK_ROUND),

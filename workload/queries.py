@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -781,6 +782,77 @@ def gbt_scores(spark, sf):
     return held_out_scores(spark, sf, M.train_gbt)
 
 
+@query
+def lr_optimum(spark, sf):
+    """Whether the fit meets the optimum condition: per feature, mean residual times value plus penalty is 0."""
+    rows = V.ml(spark, sf)
+    model = M.train_lr(rows, FES, C=0.01, tol=1e-10)
+    fitted = model.stages[-1]
+    scaled = M.apply_scaler(rows, M.fit_scaler(rows, FES)).select("id", *FES)
+    residual = M.score(rows, model, "lr", ("id", "label")).withColumn("r", F.col("prediction") - F.col("label"))
+    joined = scaled.join(residual, "id")
+    penalty = fitted.getRegParam()
+    slopes = [
+        F.struct(F.lit(c).alias("feature"), (F.abs(F.avg(F.col("r") * F.col(c)) + penalty * float(w)) < 1e-6).alias("optimal"))
+        for c, w in zip(FES, fitted.coefficients)
+    ]
+    return joined.agg(F.array(*slopes).alias("slopes")).select(F.inline("slopes"))
+
+
+@query
+def model_roundtrip(spark, sf):
+    """Scores of a saved and loaded model: rows, and the largest difference."""
+    rows = V.ml(spark, sf)
+    model = M.train_lr(rows, FES)
+    loaded = M.load_model(M.save_model(model, fresh_path(spark, "model")))
+    before = M.score(rows, model, "lr", ("id",)).withColumnRenamed("prediction", "before")
+    both = before.join(M.score(rows, loaded, "lr", ("id",)), "id")
+    return both.agg(F.count(F.lit(1)).alias("n_rows"), F.max(F.abs(F.col("before") - F.col("prediction"))).alias("difference"))
+
+
+@query
+def model_card(spark, sf):
+    """The card of the fixed weights, its splits as rows."""
+    rows = rounded(M.linear_score(V.ml(spark, sf), WEIGHTS, INTERCEPT), 10, "prediction")
+    rows = M.stratified_split(rows, "id")
+    windows = S.split_windows(readers.as_date("1998-01-01"))
+    card = M.model_card("fixed", windows, M.split_stats(rows), rounded(M.evaluate(rows), 10, "auc"), {"intercept": str(INTERCEPT)})
+    shown = card.select("model_version", F.col("data_dates.oot_start_date").alias("oot_start"), F.explode("splits").alias("split", "s"), "hp_params")
+    return shown.select("model_version", "oot_start", "split", "s.*", F.col("hp_params")["intercept"].alias("intercept"))
+
+
+@query
+def run_log(spark, sf):
+    """Run records written and read back, as metrics."""
+    when = dt.datetime(1998, 1, 1)
+    path = fresh_path(spark, "runs")
+    means = rounded(M.prediction_stats(V.scored(spark, sf), ["model_name"]), 8, "pred_mean", "pred_std").collect()  # one row per model
+    for r in means:
+        M.log_run(spark, path, M.RunRecord(r["model_name"], when, {"snapshot_date": "1998-01-01"}, {"pred_mean": r["pred_mean"], "none": None}, {}))
+    return registry.metrics_long(readers.read_runs(spark, path))
+
+
+@query
+def alert_latest(spark, sf):
+    return monitoring.alert(V.run_log(spark, sf).withColumn("start_time", F.col("start_time").cast("timestamp")))
+
+
+@query
+def global_decision(spark, sf):
+    """Decision over all months and features together."""
+    return drift.drift_decision(drift.psi_global(snapshot_psi(spark, sf)))
+
+
+@query
+def report_files(spark, sf):
+    """The report of the best runs as files: its AUC table read back."""
+    best = registry.best_per_snapshot(run_rows(spark, sf)).select("run_id")
+    metrics, out = registry.metrics_long(V.run_log(spark, sf)).join(best, "run_id", "left_semi"), fresh_path(spark, "report")
+    parquet, _ = writers.export_metrics(metrics, f"{out}/metrics")
+    monitoring.build_report(spark, parquet, out)
+    return readers.read_csv(spark, f"{out}/auc").select(F.col("snapshot_date").cast("string"), "run_id", F.round("value", 9).alias("value"))
+
+
 @query
 def random_search(spark, sf):
     rows = M.assemble(V.ml(spark, sf), FES).select(M.FEATURES, "label").cache()
