@@ -62,6 +62,7 @@ def _infer(spark, a):
         a.runs,
     )
     summary.orderBy("snapshot_date").show(truncate=False)
+    monitoring.overall(summary).show(truncate=False)
 
 
 def _export(spark, a):

@@ -12,7 +12,7 @@ from creditloom.operators import drift, modeling as M, registry, report
 from creditloom.operators.clean import feature_columns
 from creditloom.operators.snapshots import backfill
 from creditloom.sources import readers, writers
-from creditloom.sources.staging import stage
+from creditloom.sources.staging import fresh_path, stage
 
 
 def monitor(
@@ -38,16 +38,14 @@ def score_snapshots(
 ) -> DataFrame:
     """Predictions of each snapshot by its own model: {snapshot: artefact name}.
 
-    One scan per model, each pruned to its snapshot; the parts are a plain union.
+    One scan per model, pruned to its snapshots; the parts are a plain union.
     """
+    months: dict[str, list] = {}
+    for snapshot, name in sorted(served.items()):
+        months.setdefault(name, []).append(readers.as_date(snapshot))
     parts = [
-        M.score(
-            readers.read_snapshot(feat, snapshot),
-            M.load_model(f"{model_dir.rstrip('/')}/{name}"),
-            name,
-            keys,
-        )
-        for snapshot, name in sorted(served.items())
+        M.score(feat.where(F.col("snapshot_date").isin(days)), M.load_model(f"{model_dir.rstrip('/')}/{name}"), name, keys)
+        for name, days in months.items()
     ]
     out = parts[0]
     for part in parts[1:]:
@@ -68,26 +66,38 @@ def infer(
 ) -> DataFrame:
     """Score and monitor all months that have features and an artefact; returns the summary.
 
-    Scoring goes on whatever the drift; the decision column says what should happen next.
+    The features of these months are written by snapshot once, so a source that cannot be pruned (CSV) is read
+    twice at most: for its months, and for their rows. Scoring goes on whatever the drift; the decision column
+    says what should happen next, ``overall`` gives the one for all months. The columns are the same when no
+    month is served.
     """
     served = registry.model_for_snapshot(artifacts).join(
         backfill(feat, months).select("snapshot_date").distinct(), "snapshot_date", "left_semi"
     )
     served = stage(served, "served")
+    by_month = writers.write_parquet(backfill(feat, served), fresh_path(spark, "months"), "snapshot_date", whole=True)
+    feat = spark.read.schema(feat.schema).parquet(by_month)
     psi, summary = monitor(base, feat, served.select("snapshot_date"), threshold)
     # one row per month served
     chosen = {str(r["snapshot_date"]): r["name"] for r in served.toLocalIterator()}
-    if not chosen:
-        return summary
-    predictions = stage(score_snapshots(feat, chosen, model_dir), "predictions")
-    writers.write_predictions(predictions, root)
-    stats = M.prediction_stats(predictions, ["snapshot_date", "model_name"])
+    if chosen:
+        predictions = stage(score_snapshots(feat, chosen, model_dir), "predictions")
+        writers.write_predictions(predictions, root)
+        stats = M.prediction_stats(predictions, ["snapshot_date", "model_name"])
+    else:
+        none = {"model_name": "string", "pred_mean": "double", "pred_std": "double"}
+        stats = summary.select("snapshot_date", *[F.lit(None).cast(t).alias(c) for c, t in none.items()])
     summary = stage(stats.join(summary, "snapshot_date", "left"), "summary")
     if runs_path:
         log_inference(spark, runs_path, summary, psi)
     return summary
 
 
+def overall(summary: DataFrame, threshold: float = K.PSI_THRESHOLD) -> DataFrame:
+    """One decision from the largest PSI of all months and features."""
+    return drift.drift_decision(drift.psi_global(summary.select(F.col("psi_max").alias("psi"))), threshold)
+
+
 def log_inference(spark: SparkSession, runs_path: str, summary: DataFrame, psi: DataFrame) -> None:
     """Append one run per monitored snapshot, its metrics taken from the result tables."""
     per_feature = psi.groupBy("snapshot_date").agg(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from creditloom.operators import modeling as M, registry
 from creditloom.operators.clean import feature_columns
-from creditloom.operators.snapshots import as_of, attach_label_counts
+from creditloom.operators.snapshots import as_of, attach_features, attach_label_counts, split_windows
 from creditloom.sources import readers, writers
 from creditloom.sources.staging import stage, temporary_tables
 
@@ -64,6 +64,38 @@ def train_snapshot(
     return record
 
 
+def train_windowed(
+    feat: DataFrame,
+    labels: DataFrame,
+    train_date: dt.date | str,
+    version: str,
+    train_test_months: int = 12,
+    oot_months: int = 2,
+    frac: float = 0.2,
+    **search,
+) -> tuple[DataFrame, DataFrame]:
+    """Train on the months before a date and describe the model: (scores, card).
+
+    Labels are given the features of their customer month, missing ones 0; the windows before ``train_date``
+    are train/test and out of time; the hash of customer, month and label splits train from test. The best
+    point of a cross-validated random search over the train rows (options: ``search``) scores all rows, and
+    AUC and Gini are taken per split.
+    """
+    windows = split_windows(readers.as_date(train_date), train_test_months, oot_months)
+    cols = feature_columns(feat)
+    rows = attach_features(labels.select("Customer_ID", "snapshot_date", "label"), feat)
+    rows = M.time_split(rows, windows).where(F.col("period").isNotNull()).fillna(0, cols)
+    key = F.concat_ws("|", "Customer_ID", "snapshot_date", "label")
+    rows = M.stratified_split(rows.withColumn("__key", key), "__key", frac)
+    split = F.when(F.col("period") == "oot", "oot").otherwise(F.col("split"))
+    rows = stage(M.assemble(rows.withColumn("split", split), cols).select(M.FEATURES, "label", "split"), "windowed")
+    found = M.random_search(rows.where(F.col("split") == "train").select(M.FEATURES, "label"), **search)
+    scores = M.score(rows, found.bestModel, version, ("label", "split"))
+    best = max(zip(found.avgMetrics, found.getEstimatorParamMaps()), key=lambda p: p[0])[1]
+    params = {p.name: str(v) for p, v in best.items()}
+    return scores, M.model_card(version, windows, M.split_stats(rows), M.evaluate(scores), params)
+
+
 def list_artifacts(spark: SparkSession, model_dir: str) -> DataFrame:
     """Model folders below ``model_dir`` as an artefact table."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(model_dir)

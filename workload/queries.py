@@ -750,22 +750,34 @@ def train_and_select(spark, sf):
 
 @query
 def score_and_monitor(spark, sf):
-    """Score and monitor a year of months with one trained model per month that has one."""
+    """Score and monitor the months of a quarter, each with the model trained on its history."""
     clk, labels = V.clickstream(spark, sf), L.label_store(silver_loans(spark, sf))
     models, runs = fresh_path(spark, "models"), fresh_path(spark, "runs")
-    training.train_snapshot(spark, clk, labels, "logistic_regression", "1998-01-01", models, runs)
+    for day in ("1998-01-01", "1998-02-01", "1998-03-01"):
+        training.train_snapshot(spark, clk, labels, "logistic_regression", day, models, runs)
     return monitoring.infer(
         spark,
         clk,
         drift.baseline(S.as_of(clk, "1997-12-01")),
         training.list_artifacts(spark, models),
         models,
-        S.month_spine(spark, "1998-01-01", "1998-12-01"),
+        S.month_spine(spark, "1998-01-01", "1998-03-01"),
         fresh_path(spark, "lake"),
         runs,
     )
 
 
+@query
+def windowed_training(spark, sf):
+    """The windowed flow with a logistic regression over a whole grid of penalties; its card, splits as rows."""
+    labels = L.label_store(silver_loans(spark, sf))
+    space = {"regParam": [0.0, 0.01, 0.1]}
+    _, card = training.train_windowed(
+        V.clickstream(spark, sf), labels, "1998-01-01", "v1", space=space, n=3, estimator=M.logistic_regression(1.0, maxIter=50)
+    )
+    return card.select("model_version", "data_dates", F.explode("splits").alias("split", "s"), "hp_params").select("*", "s.*").drop("s")
+
+
 def held_out_scores(spark, sf, train) -> DataFrame:
     rows = M.stratified_split(V.ml(spark, sf), "id")
     model = train(rows.where(F.col("split") == "train"), FES)
