@@ -89,58 +89,78 @@ def _wanted(batches: Iterator[pa.RecordBatch], filters: Broadcast, min_words: in
                     row.append(i)
                     line.append(number)
                     words.append(b" ".join(parts))
-                    hashes.append(xxhash.xxh3_128_intdigest(words[-1]))
-        h1 = np.array([h & (2**64 - 1) for h in hashes], np.uint64)
-        keep = np.flatnonzero(in_filter(table, h1))
+                    hashes.append(xxhash.xxh3_128_intdigest(words[-1]) & (2**64 - 1))
+        keep = np.flatnonzero(in_filter(table, np.array(hashes, np.uint64)))
         at = pa.array(np.array(row, np.int64)[keep])
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id").take(at), batch.column("text_key").take(at), pa.array(np.array(line, np.int32)[keep]),
-             pa.array(h1[keep].view(np.int64)), _as_long([hashes[k] >> 64 for k in keep]), pa.array([words[k] for k in keep], pa.binary())],
-            ["doc_id", "text_key", "line", "h1", "h2", "words"],
+             pa.array([words[k] for k in keep], pa.binary())],
+            ["doc_id", "text_key", "line", "words"],
         )
 
 
+def _sharing(batches: Iterator[pa.RecordBatch], shared: Broadcast) -> Iterator[pa.RecordBatch]:
+    """Lines with a half that the filter lets through, and which halves."""
+    table = np.frombuffer(shared.value, np.uint8)
+    for batch in batches:
+        keys = batch.column("keys").flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+        hit = in_filter(table, keys).reshape(batch.num_rows, -1)
+        shares = (hit * (1 << np.arange(hit.shape[1]))).sum(axis=1).astype(np.int32)
+        columns = [batch.column(c) for c in ("h1", "h2", "at")]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(shares)], ["h1", "h2", "at", "shares"]).filter(pa.array(shares > 0))
+
+
 #: What a row of a variant key is: one of equally long lines that differ in one place, a line that the key
 #: is the hash of, a line that gives it by a deletion.
 _SAME, _SHORTER, _LONGER = 0, 1, 2
+#: Halves that a line shares with another: as one of equal length, as the shorter, as the longer; head, tail.
+_SAME_HEAD, _SAME_TAIL, _SHORT_HEAD, _SHORT_TAIL, _LONG_HEAD, _LONG_TAIL = (1 << i for i in range(6))
+
+
+def variants_of(words: list[bytes], shares: int) -> list[tuple[int, int]]:
+    """(role, 128-bit key) of the line's variants within one edit, but for those inside a half that is shared."""
+    n = len(words)
+    half, shorter_half = n // 2, (n - 1) // 2
+    same = range(half if not shares & _SAME_TAIL else 0, n if shares & _SAME_HEAD else n - half)
+    longer = range(shorter_half if not shares & _LONG_TAIL else 0, n if shares & _LONG_HEAD else n - shorter_half)
+    if not shares & (_SAME_HEAD | _SAME_TAIL):
+        same = range(0)
+    if not shares & (_LONG_HEAD | _LONG_TAIL):
+        longer = range(0)
+    digest = xxhash.xxh3_128_intdigest
+    left = {j: b" ".join(words[:j] + words[j + 1 :]) for j in {*same, *longer}}
+    out = [(_SAME, digest(b"%d of %d:" % (j, n) + left[j])) for j in same]
+    out += [(_LONGER, digest(v)) for v in dict.fromkeys(left[j] for j in longer)]  # equal neighbours give equal variants
+    if shares & (_SHORT_HEAD | _SHORT_TAIL):
+        out.append((_SHORTER, digest(b" ".join(words))))
+    return out
 
 
 def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All variants of each line within one edit, hashed to 128 bits."""
-    digest = xxhash.xxh3_128_intdigest
     for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("words", "replaced", "deleted")]
-        row, role, keys = [], [], []
-
-        def rows_out(row=row, role=role, keys=keys, batch=batch):
-            at = pa.array(row, pa.int64())
-            out = [batch.column(c).take(at) for c in ("h1", "h2", "at")]
-            out += [pa.array(role, pa.int32()), _as_long([k & (2**64 - 1) for k in keys]), _as_long([k >> 64 for k in keys])]
-            return pa.RecordBatch.from_arrays(out, ["h1", "h2", "at", "role", "k1", "k2"])
-
-        for i, (line, replaced, deleted) in enumerate(zip(*columns)):
-            words = line.split()
-            left = [b" ".join(words[:j] + words[j + 1 :]) for j in range(len(words))]
-            if replaced:
-                keys += [digest(b"%d of %d:" % (j, len(words)) + v) for j, v in enumerate(left)]
-                role += [_SAME] * len(left)
-            if deleted:
-                of = dict.fromkeys(left)  # equal neighbours give equal variants
-                keys += [digest(v) for v in of] + [digest(line)]
-                role += [_LONGER] * len(of) + [_SHORTER]
-            row += [i] * (len(keys) - len(row))
-            if len(row) >= 1 << 17:
-                yield rows_out()
+        row: list[int] = []
+        role: list[int] = []
+        keys: list[int] = []
+        lines = list(zip(batch.column("words").to_pylist(), batch.column("shares").to_pylist()))
+        for i, (line, shares) in enumerate(lines):
+            for kind, key in variants_of(line.split(), shares):
+                row.append(i)
+                role.append(kind)
+                keys.append(key)
+            if len(row) >= 1 << 17 or i + 1 == len(lines):
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("at").take(pa.array(row, pa.int64())), pa.array(role, pa.int32()),
+                     _as_long([k & (2**64 - 1) for k in keys]), _as_long([k >> 64 for k in keys])],
+                    ["at", "role", "k1", "k2"],
+                )
                 row, role, keys = [], [], []
-                rows_out.__defaults__ = (row, role, keys, batch)
-        yield rows_out()
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         pairs = zip(batch.column("words").to_pylist(), batch.column("first_words").to_pylist())
         near = pa.array([within_one_edit(a.split(), b.split()) for a, b in pairs], pa.bool_())
-        yield batch.select(["h1", "h2"]).filter(near)
+        yield batch.select(["at"]).filter(near)
 
 
 def _near_dropped(docs: DataFrame, distinct: DataFrame, min_words: int, filter_bits: int) -> DataFrame:
@@ -148,45 +168,49 @@ def _near_dropped(docs: DataFrame, distinct: DataFrame, min_words: int, filter_b
 
     Two lines of at least n and at most n + 1 words within one edit share their first or their last n // 2
     words. Only lines that share such a half with another go on (nothing is lost: halves are compared at the
-    shorter line's n). Their variants meet as equal keys. Lines that give one key by replacing one place are
-    within one edit of one another; a line and those that give it by a deletion, too. So each needs only the
-    earliest of its key: an aggregate, not pairs.
+    shorter line's n), and only with the variants outside that half. Variants meet as equal keys. Lines that
+    give one key by replacing one place are within one edit of one another; a line and those that give it by a
+    deletion, too. So each needs only the earliest of its key: an aggregate, not pairs.
     """
     long = distinct.filter(F.col("n") >= min_words)
-    shorter = F.col("n") - 1
-    halves = F.array(
-        *[F.struct(F.xxhash64(F.lit(0), "n", F.lit(i), c).alias("key"), F.lit(True).alias("same")) for i, c in enumerate(_HALVES[:2])],
-        *[F.struct(F.xxhash64(F.lit(1), "n", F.lit(i), c).alias("key"), F.lit(False).alias("same")) for i, c in enumerate(_HALVES[:2])],
-        *[F.struct(F.xxhash64(F.lit(1), shorter, F.lit(i), c).alias("key"), F.lit(False).alias("same")) for i, c in enumerate(_HALVES[2:])],
-    )
-    keyed = long.select("h1", "h2", F.explode(halves).alias("half")).select("h1", "h2", "half.key", "half.same")
-    shared = stage(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select("key"), "halves")
-    partnered = keyed.join(shared, "key").groupBy("h1", "h2").agg(
-        F.max("same").alias("replaced"), F.max(~F.col("same")).alias("deleted")
+    kinds = [
+        (_SAME_HEAD, "n", "head"), (_SAME_TAIL, "n", "tail"), (_SHORT_HEAD, "n", "head"), (_SHORT_TAIL, "n", "tail"),
+        (_LONG_HEAD, F.col("n") - 1, "head_shorter"), (_LONG_TAIL, F.col("n") - 1, "tail_shorter"),
+    ]
+    same = _SAME_HEAD | _SAME_TAIL
+    keys = [F.xxhash64(F.lit(kind & same > 0), n, F.lit("head" in c), c) for kind, n, c in kinds]
+    halves = F.array(*[F.struct(key.alias("key"), F.lit(kind).alias("kind")) for key, (kind, _, _) in zip(keys, kinds)])
+    keyed = long.select(F.explode(halves).alias("half")).select("half.key", "half.kind")
+    of = [F.count_if(F.col("kind").bitwiseAND(mask) > 0) for mask in (same, _SHORT_HEAD | _SHORT_TAIL, _LONG_HEAD | _LONG_TAIL)]
+    shared = keyed.groupBy("key").agg(*[n.alias(f"n{i}") for i, n in enumerate(of)])
+    shared = shared.filter("n0 > 1 or (n1 > 0 and n2 > 0)").select("key")
+    context = docs.sparkSession.sparkContext
+    # a line that only the filter's collisions let through has variants that meet nothing
+    hits = context.broadcast(key_filter(shared, filter_bits))
+    candidates = long.select("h1", "h2", "at", F.array(*keys).alias("keys")).mapInArrow(
+        partial(_sharing, shared=hits), f"h1 long, h2 long, at {_type_of_position()}, shares int"
     )
-    candidates = stage(partnered.join(distinct.select("h1", "h2", "at"), ["h1", "h2"]), "candidates")
-    bits = docs.sparkSession.sparkContext.broadcast(key_filter(candidates.select("h1"), filter_bits))
+    candidates = stage(candidates, "candidates")
+    bits = context.broadcast(key_filter(candidates.select("h1"), filter_bits))
     found = _keyed(docs).mapInArrow(
-        partial(_wanted, filters=bits, min_words=min_words), "doc_id long, text_key long, line int, h1 long, h2 long, words binary"
+        partial(_wanted, filters=bits, min_words=min_words), "doc_id long, text_key long, line int, words binary"
     )
-    found = found.withColumn("at", F.struct(*_POSITION)).drop(*_POSITION)
-    lines = stage(found.join(candidates, ["h1", "h2", "at"]).dropDuplicates(["h1", "h2"]), "lines")
+    found = found.select(F.struct(*_POSITION).alias("at"), "words")
+    lines = stage(found.join(candidates, "at").dropDuplicates(["at"]), "lines")
 
-    variants = lines.mapInArrow(_variants, f"h1 long, h2 long, at {_type_of_position()}, role int, k1 long, k2 long")
-    one = F.struct("at", "h1", "h2")
+    variants = lines.mapInArrow(_variants, f"at {_type_of_position()}, role int, k1 long, k2 long")
     firsts = variants.groupBy("k1", "k2").agg(
         F.count(F.lit(1)).alias("times"),
-        *[F.min(F.when(F.col("role") == role, one)).alias(f"first{role}") for role in (_SAME, _SHORTER, _LONGER)],
+        *[F.min(F.when(F.col("role") == role, F.col("at"))).alias(f"first{role}") for role in (_SAME, _SHORTER, _LONGER)],
     )
     firsts = stage(firsts.filter("times > 1").drop("times"), "firsts")
     first = F.when(F.col("role") == _SAME, F.col("first0")).when(F.col("role") == _LONGER, F.col("first1")).otherwise(F.col("first2"))
-    pairs = variants.join(firsts, ["k1", "k2"]).withColumn("first", first).filter("first.at < at")
-    pairs = stage(pairs.select("h1", "h2", F.col("first.h1").alias("f1"), F.col("first.h2").alias("f2")).distinct(), "pairs")
-    texts = lines.select("h1", "h2", "words")
-    both = pairs.join(texts, ["h1", "h2"]).join(
-        texts.select(F.col("h1").alias("f1"), F.col("h2").alias("f2"), F.col("words").alias("first_words")), ["f1", "f2"]
-    )
-    return both.select("h1", "h2", "words", "first_words").mapInArrow(_verify, "h1 long, h2 long").distinct()
+    pairs = variants.join(firsts, ["k1", "k2"]).withColumn("first", first).filter("first < at")
+    pairs = stage(pairs.select("at", "first").distinct(), "pairs")
+    texts = lines.select("at", "words")
+    both = pairs.join(texts, "at").join(texts.select(F.col("at").alias("first"), F.col("words").alias("first_words")), "first")
+    near = both.select("at", "words", "first_words").mapInArrow(_verify, f"at {_type_of_position()}").distinct()
+    return near.join(lines.select("at", "h1", "h2"), "at").select("h1", "h2")
 
 
 def _type_of_position() -> str:
