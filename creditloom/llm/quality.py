@@ -1,11 +1,13 @@
-"""Quality classifier: a modified Kneser-Ney model of trusted text, perplexity by sharded count joins."""
+"""Quality classifier: a modified Kneser-Ney model of trusted text, perplexity by sharded joins of word n-gram counts."""
 
 from __future__ import annotations
 
+import hashlib
 import math
 import zlib
 from collections.abc import Iterator
-from functools import partial
+from functools import lru_cache, partial
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -15,12 +17,17 @@ from pyspark.sql import functions as F
 
 from creditloom.llm.common import in_filter, key_filter, stage, whole_text
 
-#: Word classes; class 0 is the start and the end of a text.
-CLASSES = 2048
-#: Contexts are dealt to so many shards; a code is a pair of classes within one shard.
+#: Words that the uniform distribution below the lower order spreads over; nothing is counted by it.
+CLASSES = 1 << 20
+#: Contexts of the dense form, ``shard_costs``.
+CONTEXTS = 4
+_CODES = CONTEXTS * CLASSES
+#: Counts are dealt by hash to so many shards at least, and to more where a shard would hold more than so many
+#: pairs, or the requests of more than so many documents.
 SHARDS = 64
-CONTEXTS = CLASSES // SHARDS
-#: Documents are scored in blocks of about so many words.
+SHARD_COUNTS = 1 << 19
+SHARD_DOCS = 1 << 13
+#: Documents are scored in blocks of about so many words, and counted in parts of so many pairs.
 BLOCK_WORDS = 1 << 20
 #: A document's mean is taken together with so many words at its language's mean.
 PRIOR_WORDS = 50
@@ -28,49 +35,102 @@ QUANTILE = 0.998
 FILTER_BITS = 1 << 24
 #: Log-probabilities are whole multiples of 1 / SCALE nats, so sums are the same in any order.
 SCALE = 1000
-_CODES = CONTEXTS * CLASSES
 
-_BLOCKS = (
-    "block long, shard int, deal int, codes binary, lengths binary, doc_id array<long>, text_key array<long>, "
+_PAIRS = "context long, word long, n long"
+_COUNTS = "key long, n long, after long, ones long, twos long, more long"
+_ASKED = (
+    "block long, shard int, keys binary, vocabulary binary, tokens binary, doc_id array<long>, text_key array<long>, "
+    "lang array<string>, words array<long>"
+)
+_ANSWERED = (
+    "block long, shard int, counts binary, vocabulary binary, tokens binary, doc_id array<long>, text_key array<long>, "
     "lang array<string>, words array<long>"
 )
-_PARTIAL = "block long, sums binary, doc_id array<long>, text_key array<long>, lang array<string>, words array<long>"
 _SCORED = "doc_id long, text_key long, lang string, words long, cost long"
+_CARRIED = ("vocabulary", "tokens", "doc_id", "text_key", "lang", "words")
+
+
+class Scale(NamedTuple):
+    """What all words of a model share: discounts of both orders, number of different pairs, mass below the lower order."""
+
+    pair: tuple[float, float, float]
+    word: tuple[float, float, float]
+    pairs: int
+    spread: float
+
+
+@lru_cache(1 << 18)
+def _word_hash(word: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little") or 1
 
 
 def word_classes(text: bytes) -> np.ndarray:
-    """Class (1 to CLASSES - 1) of every word, a run without ASCII white space as it stands."""
+    """64-bit hash, never 0, of every word, a run without ASCII white space as it stands; 0 is a text's start and end."""
     words = text.split()
-    hashes = np.fromiter(map(zlib.crc32, words), np.uint64, len(words)) * np.uint64(0x9E3779B97F4A7C15)
-    return ((hashes >> np.uint64(40)) % np.uint64(CLASSES - 1) + np.uint64(1)).astype(np.uint16)
+    return np.fromiter(map(_word_hash, words), np.uint64, len(words))
+
+
+def _pair_keys(contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
+    x = (contexts ^ (contexts >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + words
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
 
-def _pairs(classes: np.ndarray) -> np.ndarray:
-    padded = np.concatenate(([0], classes, [0])).astype(np.int64)
-    return padded[:-1] * CLASSES + padded[1:]
+def _packed(values: np.ndarray) -> bytes:
+    """Whole numbers by byte planes, so that high bytes of zero take no room."""
+    return zlib.compress(np.ascontiguousarray(values.reshape(-1)).view(np.uint8).reshape(-1, values.itemsize).T.tobytes(), 1)
 
 
-def _classes(batches: Iterator[pa.RecordBatch], ids: Broadcast) -> Iterator[pa.RecordBatch]:
-    """Documents whose id may be one of the trusted ids, as class numbers."""
+def _unpacked(data: bytes, dtype: type) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(np.dtype(dtype).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(dtype).reshape(-1)
+
+
+def _ascending(keys: np.ndarray) -> bytes:
+    return _packed(np.diff(keys, prepend=np.uint64(0)))
+
+
+def _from_ascending(data: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(data, np.uint64), dtype=np.uint64)
+
+
+def _texts(batches: Iterator[pa.RecordBatch], ids: Broadcast) -> Iterator[pa.RecordBatch]:
+    """Documents whose id may be one of the trusted ids."""
     table = np.frombuffer(ids.value, np.uint8)
     for batch in batches:
         batch = batch.filter(pa.array(in_filter(table, batch.column("doc_id").to_numpy(zero_copy_only=False).view(np.uint64))))
-        texts = batch.column("text").cast(pa.binary())
-        values = pa.array([word_classes(t.as_py()).tobytes() for t in texts], pa.binary())
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), values], ["doc_id", "classes"])
+        texts = pa.array([zlib.compress(t.as_py(), 1) for t in batch.column("text").cast(pa.binary())], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), texts], ["doc_id", "packed"])
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pair counts of a task's documents; the table in memory has a fixed size."""
-    counts = np.zeros(CLASSES * CLASSES, np.int64)
+    """(context, word, n) of a task's documents, in parts of a bounded number of pairs."""
+    held, size = [], 0
+
+    def out() -> pa.RecordBatch:
+        padded = np.concatenate([np.zeros(1, np.uint64), *held])
+        contexts, words = padded[:-1], padded[1:]
+        # a text's 0 at its end is the start of the next one's first pair
+        _, first, n = np.unique(_pair_keys(contexts, words), return_index=True, return_counts=True)
+        columns = [pa.array(contexts[first].view(np.int64)), pa.array(words[first].view(np.int64)), pa.array(n.astype(np.int64))]
+        return pa.RecordBatch.from_arrays(columns, ["context", "word", "n"])
+
+    for batch in batches:
+        for value in batch.column("packed"):
+            held.append(np.append(word_classes(zlib.decompress(value.as_py())), np.uint64(0)))
+            size += len(held[-1])
+            if size >= BLOCK_WORDS:
+                yield out()
+                held, size = [], 0
+    if held:
+        yield out()
+
+
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for value in batch.column("classes"):
-            codes, n = np.unique(_pairs(np.frombuffer(value.as_py(), np.uint16)), return_counts=True)
-            counts[codes] += n
-    seen = np.flatnonzero(counts)
-    for at in range(0, len(seen), 1 << 18):
-        part = seen[at : at + (1 << 18)]
-        yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(counts[part])], ["code", "n"])
+        context, word = (batch.column(c).to_numpy().view(np.uint64) for c in ("context", "word"))
+        yield pa.RecordBatch.from_arrays([pa.array(_pair_keys(context, word).view(np.int64)), batch.column("n")], ["key", "n"])
 
 
 def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
@@ -90,31 +150,31 @@ def _of(counts: np.ndarray, d: tuple[float, float, float]) -> np.ndarray:
     return np.choose(np.minimum(counts, 3), (0.0, *d))
 
 
+def _below(continuations: np.ndarray, d: tuple[float, float, float], total: int, spread: float) -> np.ndarray:
+    if not total:
+        return np.full(len(continuations), 1 / CLASSES)
+    return (continuations - _of(continuations, d)) / total + spread / total / CLASSES
+
+
+def _costs(n: np.ndarray, total: np.ndarray, left: np.ndarray, below: np.ndarray, d: tuple[float, float, float]) -> np.ndarray:
+    """Negative log-probability of pairs of count n in contexts of this total, of which ``left`` is discounted."""
+    some = np.maximum(total, 1)
+    p = (n - _of(n, d)) / some + np.where(total > 0, left / some, 1.0) * below
+    return np.round(-np.log(p) * SCALE).astype(np.int64)
+
+
 def lower_order(continuations: np.ndarray) -> np.ndarray:
-    """Class probabilities from the number of different contexts of each class, interpolated with uniform."""
+    """Word probabilities from the number of different contexts of each word, interpolated with uniform."""
     d = discounts(*(int((continuations == k).sum()) for k in (1, 2, 3, 4)))
-    total = continuations.sum()
-    if not total:
-        return np.full(CLASSES, 1 / CLASSES)
-    off = _of(continuations, d)
-    return (continuations - off) / total + off.sum() / total / CLASSES
+    return _below(continuations, d, int(continuations.sum()), _of(continuations, d).sum())
 
 
 def shard_costs(codes: np.ndarray, n: np.ndarray, below: np.ndarray, d: tuple[float, float, float]) -> np.ndarray:
-    """Negative log-probability of every pair of a shard, in 1 / SCALE nats."""
-    counts = np.zeros((CONTEXTS, CLASSES))
+    """Negative log-probability of every pair of CONTEXTS contexts, in 1 / SCALE nats: the dense form of ``_costs``."""
+    counts = np.zeros((CONTEXTS, CLASSES), np.int64)
     counts.ravel()[codes] = n
-    off = _of(counts.astype(np.int64), d)
-    total = counts.sum(axis=1, keepdims=True)
-    left = np.where(total > 0, off.sum(axis=1, keepdims=True) / np.maximum(total, 1), 1.0)
-    p = (counts - off) / np.maximum(total, 1) + left * below[None, :]
-    return np.minimum(np.round(-np.log(p) * SCALE), 32_000).astype(np.int16).ravel()
-
-
-def _model_shard(key: tuple, table: pa.Table, below: bytes, d: tuple[float, float, float]) -> pa.Table:
-    codes = table.column("code").to_numpy()
-    costs = shard_costs(codes - key[0].as_py() * _CODES, table.column("n").to_numpy(), np.frombuffer(below), d)
-    return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "costs": pa.array([costs.tobytes()], pa.binary())})
+    left = _of(counts, d).sum(axis=1, keepdims=True)
+    return _costs(counts, counts.sum(axis=1, keepdims=True), left, below[None, :], d).ravel()
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -128,62 +188,74 @@ def held_out() -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
 
 
-def train(docs: DataFrame, trusted: DataFrame) -> DataFrame:
-    """(shard, costs): the model of the documents whose ids are in ``trusted``, as one row per shard of contexts.
+def train(docs: DataFrame, trusted: DataFrame) -> tuple[DataFrame, Scale]:
+    """The counts of the documents whose ids are in ``trusted``, one row per word and per pair of words, and what they share.
 
-    Pairs of word classes are counted in every task, then summed by pair over all tasks; context totals and
-    continuation counts come from the same sharded table.
+    A pair's row has its ``n``; a word's has ``n`` as a context, the number of different contexts before it
+    (``after``) and of different words after it that come once, twice and more often. Words are 64-bit hashes;
+    pairs are counted in every task, then summed over all tasks, and nothing bounds their number.
     """
     spark = docs.sparkSession
     ids = spark.sparkContext.broadcast(key_filter(trusted.select("doc_id"), FILTER_BITS))
     texts = docs.filter("doc_id is not null").select("doc_id", whole_text().alias("text"))
-    some = texts.mapInArrow(partial(_classes, ids=ids), "doc_id long, classes binary")
-    counts = some.join(trusted.select("doc_id"), "doc_id", "left_semi").select("classes").mapInArrow(_counts, "code int, n long")
-    counts = stage(counts.groupBy("code").agg(F.sum("n").alias("n")), "pair-counts")
-    of = {r["n"]: r["times"] for r in counts.filter("n <= 4").groupBy("n").agg(F.count(F.lit(1)).alias("times")).collect()}
-    after = np.zeros(CLASSES, np.int64)
-    for r in counts.groupBy(F.pmod("code", F.lit(CLASSES)).alias("word")).agg(F.count(F.lit(1)).alias("contexts")).collect():
-        after[r["word"]] = r["contexts"]  # one row per class
-    below, d = lower_order(after).tobytes(), discounts(*(of.get(k, 0) for k in (1, 2, 3, 4)))
-
-    def build(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        return _model_shard(key, table, below, d)
-
-    every = spark.range(SHARDS).select((F.col("id") * _CODES).cast("int").alias("code"), F.lit(0).cast("long").alias("n"))
-    # a pair of count 0 for each shard, so that shards without a count are there, too
-    sharded = counts.union(every).groupBy("code").agg(F.max("n").alias("n")).withColumn("shard", F.floor(F.col("code") / _CODES).cast("int"))
-    return sharded.groupBy("shard").applyInArrow(build, "shard int, costs binary")
-
-
-def _block(rows: list[tuple], number: int, deals: int) -> pa.RecordBatch:
-    """One row for each shard that the block's documents have pairs in; the first shard's names them."""
-    ids, keys, langs, classes = zip(*rows)
-    words = np.array([len(c) for c in classes])
-    codes = np.concatenate([_pairs(c) for c in classes])
-    doc = np.repeat(np.arange(len(rows)), words + 1)
-    shard = (codes // _CODES).astype(np.uint8)
-    order = np.argsort(shard, kind="stable")
-    lengths = np.bincount(shard.astype(np.int64) * len(rows) + doc, minlength=SHARDS * len(rows)).reshape(SHARDS, -1)
-    local = (codes % _CODES).astype(np.uint16)[order]
-    ends = np.cumsum(lengths.sum(axis=1))
-    none = [None] * (SHARDS - 1)
+    some = texts.mapInArrow(partial(_texts, ids=ids), "doc_id long, packed binary")
+    counts = some.join(trusted.select("doc_id"), "doc_id", "left_semi").select("packed").mapInArrow(_counts, _PAIRS)
+    counts = stage(counts.groupBy("context", "word").agg(F.sum("n").alias("n")), "pair-counts")
+    none = F.lit(0).cast("long")
+    kinds = [F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2), F.count_if(F.col("n") > 2)]
+    contexts = counts.groupBy(F.col("context").alias("key")).agg(
+        F.sum("n").alias("n"), none.alias("after"), *(k.alias(c) for k, c in zip(kinds, ("ones", "twos", "more")))
+    )
+    after = counts.groupBy(F.col("word").alias("key")).agg(F.count(F.lit(1)).alias("after"))
+    words = contexts.unionByName(after.select("key", none.alias("n"), "after", *(none.alias(c) for c in ("ones", "twos", "more"))))
+    words = stage(words.groupBy("key").agg(*(F.sum(c).alias(c) for c in ("n", "after", "ones", "twos", "more"))), "word-counts")
+
+    def times(df: DataFrame, column: str) -> dict[int, int]:
+        rows = df.filter(f"{column} > 0").groupBy(F.least(F.col(column), F.lit(5)).alias("n")).agg(F.count(F.lit(1)).alias("times"))
+        return {r["n"]: r["times"] for r in rows.collect()}  # at most five rows
+
+    of, of_after = times(counts, "n"), times(words, "after")
+    d, d1 = (discounts(*(o.get(k, 0) for k in (1, 2, 3, 4))) for o in (of, of_after))
+    spread = sum(d1[min(k, 3) - 1] * n for k, n in sorted(of_after.items()))
+    pairs = counts.mapInArrow(_keyed, "key long, n long").select("key", "n", *(none.alias(c) for c in ("after", "ones", "twos", "more")))
+    return words.unionByName(pairs), Scale(d, d1, sum(of.values()), spread)
+
+
+def _asked(tokens: np.ndarray, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different keys of a block, words and pairs, ascending, and the key of each pair as it stands."""
+    pairs = _pair_keys(vocabulary[tokens[:-1]], vocabulary[tokens[1:]])
+    return np.union1d(vocabulary, pairs), pairs
+
+
+def _block(rows: list[tuple], number: int, shards: int) -> pa.RecordBatch:
+    """One row for each shard, with the block's different keys in it; one of them carries the block's documents."""
+    ids, keys, langs, hashes = zip(*rows)
+    stream = np.concatenate([np.zeros(1, np.uint64), *(x for h in hashes for x in (h, np.zeros(1, np.uint64)))])
+    vocabulary, tokens = np.unique(stream, return_inverse=True)
+    asked, _ = _asked(tokens, vocabulary)
+    shift = np.uint64(64 - int(math.log2(shards)))
+    cuts = np.searchsorted(asked >> shift, np.arange(shards + 1, dtype=np.uint64))
+
+    def once(value, kind: pa.DataType) -> pa.Array:
+        return pa.array([value if i == number % shards else None for i in range(shards)], kind)
+
     return pa.RecordBatch.from_arrays(
         [
-            pa.array([number] * SHARDS, pa.int64()),
-            pa.array(range(SHARDS), pa.int32()),
-            pa.array([number % deals] * SHARDS, pa.int32()),
-            pa.array([local[e - n : e].tobytes() for e, n in zip(ends, lengths.sum(axis=1))], pa.binary()),
-            pa.array([x.astype(np.int32).tobytes() for x in lengths], pa.binary()),
-            pa.array([list(ids), *none], pa.list_(pa.int64())),
-            pa.array([list(keys), *none], pa.list_(pa.int64())),
-            pa.array([list(langs), *none], pa.list_(pa.string())),
-            pa.array([words.tolist(), *none], pa.list_(pa.int64())),
+            pa.array([number] * shards, pa.int64()),
+            pa.array(range(shards), pa.int32()),
+            pa.array([_ascending(asked[a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary()),
+            once(_ascending(vocabulary), pa.binary()),
+            once(_packed(tokens.astype(np.int32)), pa.binary()),
+            once(list(ids), pa.list_(pa.int64())),
+            once(list(keys), pa.list_(pa.int64())),
+            once(list(langs), pa.list_(pa.string())),
+            once([len(h) for h in hashes], pa.list_(pa.int64())),
         ],
-        ["block", "shard", "deal", "codes", "lengths", "doc_id", "text_key", "lang", "words"],
+        ["block", "shard", "keys", *_CARRIED],
     )
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], deals: int) -> Iterator[pa.RecordBatch]:
+def _blocks(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
     number, held, rows = TaskContext.get().partitionId() << 32, 0, []
     for batch in batches:
         columns = [batch.column(c).to_pylist() for c in ("doc_id", "text_key", "lang")]
@@ -191,55 +263,78 @@ def _blocks(batches: Iterator[pa.RecordBatch], deals: int) -> Iterator[pa.Record
             rows.append((doc_id, key, lang, word_classes(text.as_py())))
             held += len(rows[-1][-1]) + 1
             if held >= BLOCK_WORDS:
-                yield _block(rows, number, deals)
+                yield _block(rows, number, shards)
                 number, held, rows = number + 1, 0, []
     if rows:
-        yield _block(rows, number, deals)
-
-
-def _costs_of_blocks(blocks: pa.Table, model: pa.Table) -> pa.Table:
-    """Cost of each document's pairs in one shard, for the blocks dealt to this copy of the shard."""
-    costs = np.frombuffer(model.column("costs")[0].as_py(), np.int16) if model.num_rows else None
-    sums = []
-    for i in range(blocks.num_rows):
-        lengths = np.frombuffer(blocks.column("lengths")[i].as_py(), np.int32)
-        codes = np.frombuffer(blocks.column("codes")[i].as_py(), np.uint16)
-        run = np.concatenate(([0], np.cumsum(costs[codes], dtype=np.int64)))
-        ends = np.cumsum(lengths)
-        sums.append((run[ends] - run[ends - lengths]).tobytes())
-    names = ["doc_id", "text_key", "lang", "words"]
-    out = {"block": blocks.column("block"), "sums": pa.array(sums, pa.binary())} | {n: blocks.column(n) for n in names}
-    return pa.table(out)
-
-
-def _of_block(table: pa.Table) -> pa.Table:
-    """Add up the shards' rows of one block."""
-    cost = sum(np.frombuffer(x.as_py(), np.int64) for x in table.column("sums"))
+        yield _block(rows, number, shards)
+
+
+def _answers(asked: pa.Table, model: pa.Table) -> pa.Table:
+    """The counts of every key that the blocks ask one shard for, 0 where the model has none."""
+    keys = model.column("key").to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    keys = keys[order]
+    counts = np.stack([model.column(c).to_numpy()[order] for c in ("n", "after", "ones", "twos", "more")])
+    out = []
+    for data in asked.column("keys"):
+        want = _from_ascending(data.as_py())
+        found = np.zeros((5, len(want)), np.int64)
+        if len(keys):
+            at = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
+            known = keys[at] == want
+            found[:, known] = counts[:, at[known]]
+        out.append(_packed(found))
+    carried = {c: asked.column(c) for c in _CARRIED}
+    return pa.table({"block": asked.column("block"), "shard": asked.column("shard"), "counts": pa.array(out, pa.binary())} | carried)
+
+
+def _of_block(table: pa.Table, scale: Scale) -> pa.Table:
+    """Cost of each document of one block, from the counts of its words and pairs."""
+    order = np.argsort(table.column("shard").to_numpy())
+    found = np.concatenate([_unpacked(table.column("counts")[int(i)].as_py(), np.int64).reshape(5, -1) for i in order], axis=1)
     first = next(i for i in range(table.num_rows) if table.column("words")[i].is_valid)
-    out = {n: pa.array(table.column(n)[first].as_py(), t) for n, t in (("doc_id", pa.int64()), ("text_key", pa.int64()), ("lang", pa.string()), ("words", pa.int64()))}
-    return pa.table({**out, "cost": pa.array(cost, pa.int64())})
-
-
-def score(docs: DataFrame, model: DataFrame) -> DataFrame:
+    vocabulary = _from_ascending(table.column("vocabulary")[first].as_py())
+    tokens = _unpacked(table.column("tokens")[first].as_py(), np.int32)
+    asked, pairs = _asked(tokens, vocabulary)
+    total, after, *kinds = found[:, np.searchsorted(asked, vocabulary)]
+    below = _below(after, scale.word, scale.pairs, scale.spread)
+    left = sum(d * k for d, k in zip(scale.pair, kinds))
+    n = found[0, np.searchsorted(asked, pairs)]
+    costs = _costs(n, total[tokens[:-1]], left[tokens[:-1]], below[tokens[1:]], scale.pair)
+    words = np.array(table.column("words")[first].as_py(), np.int64)
+    run = np.concatenate(([0], np.cumsum(costs)))
+    ends = np.cumsum(words + 1)
+    kept = (("doc_id", pa.int64()), ("text_key", pa.int64()), ("lang", pa.string()))
+    out = {c: pa.array(table.column(c)[first].as_py(), t) for c, t in kept}
+    return pa.table({**out, "words": pa.array(words), "cost": pa.array(run[ends] - run[ends - words - 1], pa.int64())})
+
+
+def score(docs: DataFrame, model: DataFrame, scale: Scale) -> DataFrame:
     """(doc_id, text_key, lang, words, cost) of every row: cost is the text's negative log-probability in 1 / SCALE nats.
 
-    Pairs go to the shard of their context, two bytes each, and meet that shard's part of the model; every shard
-    is dealt to as many copies as there are shuffle partitions for it, so no task gets a whole shard's pairs.
+    A block of documents asks every shard of the counts once for its different words and pairs there, and gets
+    their counts back in the same order. The number of shards grows with the counts and with the documents.
     """
-    deals = max(1, math.ceil(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) / SHARDS))
+    least = max(SHARDS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    least = max(least, scale.pairs / SHARD_COUNTS, docs.count() / SHARD_DOCS)
+    shards = 1 << math.ceil(math.log2(least))
     rows = docs.select(
         "doc_id", F.xxhash64(whole_text()).alias("text_key"), F.col("lang").cast("string").alias("lang"), whole_text().alias("text")
     )
-    blocks = rows.mapInArrow(partial(_blocks, deals=deals), _BLOCKS)
-    copies = model.withColumn("deal", F.explode(F.sequence(F.lit(0), F.lit(deals - 1))))
-    partials = blocks.groupBy("shard", "deal").cogroup(copies.groupBy("shard", "deal")).applyInArrow(_costs_of_blocks, _PARTIAL)
-    return partials.groupBy("block").applyInArrow(_of_block, _SCORED)
+    blocks = rows.mapInArrow(partial(_blocks, shards=shards), _ASKED)
+    dealt = model.withColumn("shard", F.shiftrightunsigned("key", 64 - int(math.log2(shards))).cast("int"))
+    answers = blocks.groupBy("shard").cogroup(dealt.groupBy("shard")).applyInArrow(_answers, _ANSWERED)
+
+    def of_block(table: pa.Table) -> pa.Table:
+        return _of_block(table, scale)
+
+    return answers.groupBy("block").applyInArrow(of_block, _SCORED)
 
 
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, prior_words: int = PRIOR_WORDS) -> DataFrame:
     """(doc_id, text_key, lang, n_words, perplexity, threshold, kept) for each row of ``docs``.
 
-    The model is trained on four fifths of the documents that ``labels`` marks quality 1, all of them. A
+    The model, word pairs of modified Kneser-Ney, is trained on four fifths of the documents that ``labels`` marks quality 1, all of them. A
     document's score is its cost per word, taken together with ``prior_words`` words at the mean of its
     language, so that a short text is judged with little weight. The threshold of a language is the
     ``quantile`` of its held-out trusted documents, exact to 1 / SCALE nats; a document above it is rejected.
@@ -249,8 +344,8 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, pri
     a null doc_id is scored and is never trusted. Extra columns are ignored; empty tables give empty results.
     """
     trusted = stage(trusted_ids(labels), "trusted")
-    model = stage(train(docs, trusted.filter(~held_out())), "model")
-    costs = stage(score(docs, model), "costs")
+    counts, scale = train(docs, trusted.filter(~held_out()))
+    costs = stage(score(docs, counts, scale), "costs")
     known = costs.join(trusted.filter(held_out()), "doc_id", "left_semi")
     grouping = known.filter("lang is not null").groupBy("lang")
     means = grouping.agg(F.sum("cost").alias("all_cost"), F.sum(F.col("words") + 1).alias("all_words"))
@@ -267,7 +362,7 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, pri
     held = stage(scored(known).groupBy("lang", "value").agg(F.count(F.lit(1)).alias("n")), "values")
 
     def limit(counts: DataFrame, *by: str) -> DataFrame:
-        # a row for each value, which are whole numbers below 32,001
+        # a row for each value, whole numbers that the corpus bounds by its logarithm only
         upto = Window.partitionBy(*by).orderBy("value")
         total = F.sum("n").over(Window.partitionBy(*by))
         reached = counts.withColumn("share", F.sum("n").over(upto) / total).filter(F.col("share") >= quantile)

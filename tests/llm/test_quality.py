@@ -120,3 +120,16 @@ def test_no_labels_and_empty_table(spark, make_docs):
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert [r.kept for r in q.classify(docs, none).collect()] == [True, True]
     assert q.classify(docs.filter("doc_id < 0"), none).collect() == []
+
+
+def test_rare_words_share_no_counts(spark, make_docs):
+    """Texts of words that no trusted text has, each a word of its own, are rejected however many words there are."""
+    rng = random.Random(8)
+    known = [f"word{i}" for i in range(4000)]
+    docs = [(i, " ".join(rng.choice(known) for _ in range(200))) for i in range(400)]
+    docs += [(1000 + i, " ".join(f"x{rng.randrange(10**9)}" for _ in range(200))) for i in range(20)]
+    marks = spark.createDataFrame([(i, 1) for i in range(400)], "doc_id long, quality int")
+    got = {r.doc_id: r for r in q.classify(make_docs(docs), marks).collect()}
+    assert not any(got[1000 + i].kept for i in range(20))
+    assert sum(got[i].kept for i in range(400)) >= 396
+    assert len({h for w in known for h in q.word_classes(w.encode()).tolist()}) == len(known)
