@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as entry
 import check_oracle
+from workload import queries
 
 SLOW = {"gbt_scores", "random_search"}  # covered on small data in test_modeling.py
 
@@ -27,6 +28,16 @@ def test_query(spark, con, sf, name):
     assert line.startswith(("ok", "rows")), line
 
 
+def test_every_month_asked_for_has_a_snapshot(spark, sf, monkeypatch):
+    """score_and_monitor asks for the twelve months of 1998 and trains a snapshot for each of them."""
+    trained = []
+    monkeypatch.setattr(queries.training, "train_snapshot", lambda *args, **_: trained.append(str(args[4])))
+    monkeypatch.setattr(queries.training, "list_artifacts", lambda *_: None)
+    monkeypatch.setattr(queries.monitoring, "infer", lambda spark, clk, base, artifacts, models, months, *_: months)
+    asked = sorted(str(r.snapshot_date) for r in queries.QUERIES["score_and_monitor"](spark, sf).collect())
+    assert asked == trained == [f"1998-{m:02}-01" for m in range(1, 13)]
+
+
 def test_flagship(spark):
     df = entry.entry(spark)
     assert df.count() > 0 and "fe_20" in df.columns

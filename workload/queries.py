@@ -750,18 +750,20 @@ def train_and_select(spark, sf):
 
 @query
 def score_and_monitor(spark, sf):
-    """Score and monitor the months of a quarter, each with the model trained on its history."""
+    """Score and monitor the months of a year, each with the model trained on its history."""
     clk, labels = V.clickstream(spark, sf), L.label_store(silver_loans(spark, sf))
     models, runs = fresh_path(spark, "models"), fresh_path(spark, "runs")
-    for day in ("1998-01-01", "1998-02-01", "1998-03-01"):
-        training.train_snapshot(spark, clk, labels, "logistic_regression", day, models, runs)
+    months = S.month_spine(spark, "1998-01-01", "1998-12-01")
+    # twelve rows
+    for r in months.orderBy("snapshot_date").collect():
+        training.train_snapshot(spark, clk, labels, "logistic_regression", r["snapshot_date"], models, runs)
     return monitoring.infer(
         spark,
         clk,
         drift.baseline(S.as_of(clk, "1997-12-01")),
         training.list_artifacts(spark, models),
         models,
-        S.month_spine(spark, "1998-01-01", "1998-03-01"),
+        months,
         fresh_path(spark, "lake"),
         runs,
     )
