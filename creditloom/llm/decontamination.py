@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 from functools import partial
@@ -23,10 +24,11 @@ FILTER_BITS = 1 << 24
 #: Documents are hashed together up to so many words.
 _CHUNK_WORDS = 1 << 18
 _SHORT = -1  # partition of sequences of fewer words than a shingle
+_ANYWHERE = -2  # partition of items that repeat shingles, found by shingles at any place
 _TOP = np.uint64(2**64 - 1)
 _ODD = (np.random.default_rng(1).integers(0, 2**63, 512, np.uint64) << np.uint64(1)) | np.uint64(1)
 
-_CANDIDATES = "doc_id long, text_key long, part int, first_word long, keys array<long>, words binary"
+_CANDIDATES = "doc_id long, text_key long, keys array<long>, words binary"
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -73,7 +75,13 @@ def part_of(n_shingles: int) -> int:
     return n_shingles.bit_length() - 1
 
 
-def _item_keys(batches: Iterator[pa.RecordBatch], shingle: int, n_hashes: int) -> Iterator[pa.RecordBatch]:
+def _needed(hashes: np.ndarray, least: float) -> np.ndarray:
+    """So many of the different shingles that a document with the share ``least`` of them has one of these."""
+    different = np.unique(hashes)
+    return different[: len(different) - math.ceil(least * len(different) - 1e-9) + 1]
+
+
+def _item_keys(batches: Iterator[pa.RecordBatch], shingle: int, n_hashes: int, least: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         classes, keys, parts = [], [], []
         for item, data in zip(batch.column("item_class").to_pylist(), batch.column("words").to_pylist()):
@@ -81,8 +89,12 @@ def _item_keys(batches: Iterator[pa.RecordBatch], shingle: int, n_hashes: int) -
             if len(words) < shingle:
                 own, part = _short_key(words), _SHORT
             else:
-                hashes, part = _shingle_hashes(_crc(words), shingle), part_of(len(shingles(words, shingle)))
-                own = np.concatenate([_key(_nth_hash(hashes, i).min(keepdims=True), part, i) for i in range(n_hashes)])
+                hashes, different = _shingle_hashes(_crc(words), shingle), len(shingles(words, shingle))
+                if len(hashes) > different:
+                    own, part = _key(_needed(hashes, least), _ANYWHERE, 0), _ANYWHERE
+                else:
+                    part = part_of(different)
+                    own = np.concatenate([_key(_nth_hash(hashes, i).min(keepdims=True), part, i) for i in range(n_hashes)])
             classes += [item] * len(own)
             keys += own.view(np.int64).tolist()
             parts += [part] * len(own)
@@ -117,50 +129,40 @@ class _Blocks:
 
 
 def _chunk_hits(chunk: list[list[bytes]], parts: list[int], bits: np.ndarray, shingle: int, n_hashes: int) -> list[tuple]:
-    """(document in the chunk, part, first word, keys) of the windows with a key in the filter."""
-    out = []
+    """(document in the chunk, its different keys in the filter) of the documents with one."""
+    lengths = np.array([len(w) for w in chunk])
+    docs, found = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
 
-    def known(keys: np.ndarray) -> np.ndarray:
-        return in_filter(bits, keys)
+    def meet(of: np.ndarray, keys: np.ndarray) -> None:
+        at = np.flatnonzero(in_filter(bits, keys))
+        docs.append(of[at])
+        found.append(keys[at])
 
-    lengths = np.array([len(w) for w in chunk])
     if _SHORT in parts:
         for d in np.flatnonzero((lengths < shingle) & (lengths > 0)):
-            key = _short_key(chunk[d])
-            if known(key)[0]:
-                out.append((int(d), _SHORT, 0, key))
+            meet(np.array([d]), _short_key(chunk[d]))
     long = np.flatnonzero(lengths >= shingle)
-    parts = sorted(p for p in parts if p != _SHORT)
-    if not len(long) or not parts:
-        return out
-    n = lengths[long] - shingle + 1
-    crc = _crc([w for d in long for w in chunk[d]])
-    word_starts = np.concatenate(([0], np.cumsum(lengths[long])[:-1]))
-    place = np.arange(n.sum()) - np.repeat(np.concatenate(([0], np.cumsum(n)[:-1])), n)
-    doc = np.repeat(np.arange(len(long)), n)
-    hashes = _shingle_hashes(crc, shingle)[np.repeat(word_starts, n) + place]
-    levels: list[_Blocks] = []
-    for part in parts:
-        levels.append(_Blocks(place, doc, part, levels[-1] if levels else None))
-    hits: list[tuple[int, np.ndarray, np.ndarray]] = []
-    for i in range(n_hashes):
-        smallest = _nth_hash(hashes, i)
-        for k, level in enumerate(levels):
-            smallest = np.minimum.reduceat(smallest, level.inner)
-            keys = _key(level.windows(smallest), level.part, i)
-            at = np.flatnonzero(known(keys))
-            if len(at):
-                hits.append((k, at, keys[at]))
-    for k, level in enumerate(levels):
-        own = [(at, keys) for j, at, keys in hits if j == k]
-        if own:
-            at, keys = np.concatenate([x for x, _ in own]), np.concatenate([x for _, x in own])
-            order = np.argsort(at, kind="stable")
-            cuts = np.flatnonzero(np.diff(at[order])) + 1
-            for group in np.split(order, cuts):
-                block = at[group[0]]
-                out.append((int(long[level.doc[block]]), level.part, int(level.place[block]), keys[group]))
-    return out
+    if len(long) and set(parts) - {_SHORT}:
+        n = lengths[long] - shingle + 1
+        crc = _crc([w for d in long for w in chunk[d]])
+        word_starts = np.concatenate(([0], np.cumsum(lengths[long])[:-1]))
+        place = np.arange(n.sum()) - np.repeat(np.concatenate(([0], np.cumsum(n)[:-1])), n)
+        doc = np.repeat(long, n)
+        hashes = _shingle_hashes(crc, shingle)[np.repeat(word_starts, n) + place]
+        if _ANYWHERE in parts:
+            meet(doc, _key(hashes, _ANYWHERE, 0))
+        levels: list[_Blocks] = []
+        for part in sorted(p for p in parts if p >= 0):
+            levels.append(_Blocks(place, doc, part, levels[-1] if levels else None))
+        for i in range(n_hashes if levels else 0):
+            smallest = _nth_hash(hashes, i)
+            for level in levels:
+                smallest = np.minimum.reduceat(smallest, level.inner)
+                meet(level.doc, _key(level.windows(smallest), level.part, i))
+    docs, found = np.concatenate(docs), np.concatenate(found)
+    order = np.argsort(docs, kind="stable")
+    cuts = np.flatnonzero(np.diff(docs[order])) + 1
+    return [(int(docs[own[0]]), np.unique(found[own])) for own in np.split(order, cuts) if len(own)]
 
 
 def _candidates(
@@ -176,45 +178,45 @@ def _candidates(
                 chunk.append(words_of(texts[i].as_py()))
                 held += len(chunk[-1])
             if chunk and (held >= _CHUNK_WORDS or i == batch.num_rows):
-                for d, part, first, keys in _chunk_hits(chunk, parts, table, shingle, n_hashes):
-                    to = None if part == _SHORT else first + 3 * (1 << part) + shingle - 1
-                    rows.append((at + d, part, first, keys.view(np.int64).tolist(), b" ".join(chunk[d][first:to])))
+                for d, keys in _chunk_hits(chunk, parts, table, shingle, n_hashes):
+                    rows.append((at + d, keys.view(np.int64).tolist(), b" ".join(chunk[d])))
                 at, held, chunk = at + len(chunk), 0, []
         if rows:
-            row, part, first, keys, words = zip(*rows)
+            row, keys, words = zip(*rows)
             index = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").take(index),
                     batch.column("text_key").take(index),
-                    pa.array(part, pa.int32()),
-                    pa.array(first, pa.int64()),
                     pa.array(keys, pa.list_(pa.int64())),
                     pa.array(words, pa.binary()),
                 ],
-                ["doc_id", "text_key", "part", "first_word", "keys", "words"],
+                ["doc_id", "text_key", "keys", "words"],
             )
 
 
 def _verified(batches: Iterator[pa.RecordBatch], shingle: int, least: float) -> Iterator[pa.RecordBatch]:
+    """The pairs whose document has enough of the item's different shingles, wherever they are."""
+    last, places = None, {}
     for batch in batches:
-        share, place = [], []
+        share, first = [], []
         cache: dict[bytes, set] = {}
-        for window, item in zip(batch.column("words").to_pylist(), batch.column("item_words").to_pylist()):
+        for text, item in zip(batch.column("words").to_pylist(), batch.column("item_words").to_pylist()):
             want = cache.get(item)
             if want is None:
                 want = cache[item] = shingles(item.split(), shingle)
-            words = window.split()
-            size = min(shingle, len(words))
-            starts = [i for i, s in enumerate(zip(*[words[j:] for j in range(size)])) if s in want]
-            found = len({tuple(words[i : i + size]) for i in starts})
-            share.append(found / len(want) if found >= least * len(want) - 1e-9 else None)
-            place.append(starts[0] if starts else 0)
-        share, place = pa.array(share, pa.float64()), pa.array(place, pa.int64())
-        keep = pc.is_valid(share)
-        first = pc.add(batch.column("first_word"), place)
-        columns = [batch.column("doc_id"), batch.column("text_key"), batch.column("item_class"), share, first]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "item_class", "containment", "first_word"]).filter(keep)
+            if text != last:
+                last, words = text, text.split()
+                size = min(shingle, len(words))
+                places = {}
+                for i, s in enumerate(zip(*[words[j:] for j in range(size)])):
+                    places.setdefault(s, i)
+            at = [places[s] for s in want if s in places]
+            share.append(len(at) / len(want) if len(at) >= least * len(want) - 1e-9 else None)
+            first.append(min(at, default=0))
+        share = pa.array(share, pa.float64())
+        columns = [batch.column("doc_id"), batch.column("text_key"), batch.column("item_class"), share, pa.array(first, pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "item_class", "containment", "first_word"]).filter(pc.is_valid(share))
 
 
 def contaminated(
@@ -227,12 +229,14 @@ def contaminated(
 ) -> DataFrame:
     """(doc_id, text_key, item_id, n_items, containment, first_word): the items that each document holds.
 
-    A document holds an item if a window of it has at least ``containment`` of the item's different shingles.
-    Items are partitioned by size: partition p has items of 2^p to 2^(p+1) - 1 shingles, and for it windows
-    are three blocks of 2^p shingles, one from every block on, so any run of an item's length lies in one.
-    A window holding the whole item has a Jaccard similarity of a third at least, whatever the document's
+    A document holds an item if it has at least ``containment`` of the item's different shingles, wherever they
+    are; first_word is the place of the first of these. Candidates are found by windows. Items are partitioned by
+    size: partition p has items of 2^p to 2^(p+1) - 1 shingles, and for it windows are three blocks of 2^p
+    shingles, one from every block on, so any run of an item's length lies in one. An item that repeats shingles
+    is longer than its number of different ones says: it goes without windows, by so many of its shingles that
+    no document can hold the item without one of them, found at any place. A window holding the whole item has a Jaccard similarity of a third at least, whatever the document's
     length; it is a candidate if one of ``n_hashes`` minima equals the item's (32: all but about 2 in a million
-    verbatim items, 1 in 10,000 at the limit). Candidates are verified on the words. Keys of items go to every
+    verbatim items, 1 in 10,000 at the limit). Candidates are verified on the words of the whole document. Keys of items go to every
     task as a filter of fixed size, which only saves shuffling; the equality join decides.
 
     Words are lower-cased (A-Z) runs of letters, digits and non-ASCII characters. Items of equal words are one,
@@ -249,7 +253,7 @@ def contaminated(
         "items",
     )
     keys = items.select("item_class", "words").mapInArrow(
-        partial(_item_keys, shingle=shingle, n_hashes=n_hashes), "item_class long, key long, part int"
+        partial(_item_keys, shingle=shingle, n_hashes=n_hashes, least=containment), "item_class long, key long, part int"
     )
     keys = stage(keys, "item-keys")
     parts = sorted(r["part"] for r in keys.select("part").distinct().collect())  # at most one for each power of two
@@ -258,12 +262,12 @@ def contaminated(
     found = rows.mapInArrow(
         partial(_candidates, parts=parts, bits=bits, shingle=shingle, n_hashes=n_hashes), _CANDIDATES
     )
-    found = stage(found.withColumn("window", F.struct("doc_id", "text_key", "part", "first_word")), "windows")
-    met = found.select("window", F.explode("keys").alias("key")).join(keys.select("key", "item_class"), "key")
-    pairs = stage(met.select("window", "item_class").distinct(), "pairs")
+    found = stage(found.withColumn("document", F.struct("doc_id", "text_key")), "candidates")
+    met = found.select("document", F.explode("keys").alias("key")).join(keys.select("key", "item_class"), "key")
+    pairs = stage(met.select("document", "item_class").distinct(), "pairs")
     texts = pairs.join(items.select("item_class", F.col("words").alias("item_words")), "item_class")
-    checked = texts.join(found.drop("keys").dropDuplicates(["window"]), "window").select(
-        "doc_id", "text_key", "item_class", "first_word", "words", "item_words"
+    checked = texts.join(found.drop("keys").dropDuplicates(["document"]), "document").select(
+        "doc_id", "text_key", "item_class", "words", "item_words"
     )
     held = checked.mapInArrow(
         partial(_verified, shingle=shingle, least=containment),

@@ -67,3 +67,18 @@ def test_drop_and_empty_tables(spark, make_docs, items):
     assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 1, 3]
     assert dc.drop_contaminated(docs, benchmark.filter("item_id < 0")).count() == 5
     assert dc.contaminated(docs.filter("doc_id < 0"), benchmark).collect() == []
+
+
+def test_repeated_shingles_and_split_items(spark, make_docs):
+    """A verbatim item that repeats shingles, and one that a long insertion splits, are held at any offset."""
+    a, b, c = ([f"{x}{i}" for i in range(20)] for x in "abc")
+    items = [(1, " ".join(a + ["0"] * 100 + b)), (2, " ".join(c + ["c"] + b))]
+    docs = []
+    for d in range(40):
+        before = [f"v{d}n{i}" for i in range(d * 7)]
+        docs.append((d, " ".join(before + items[0][1].split() + before)))
+        docs.append((100 + d, " ".join(before + c + [f"w{d}n{i}" for i in range(2000)] + b)))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.containment for r in dc.contaminated(make_docs(docs), benchmark).collect()}
+    assert got == pytest.approx(brute(docs, items))
+    assert {(d, 1) for d in range(40)} | {(100 + d, 2) for d in range(40)} <= set(got)
