@@ -38,6 +38,26 @@ def test_every_month_asked_for_has_a_snapshot(spark, sf, monkeypatch):
     assert asked == trained == [f"1998-{m:02}-01" for m in range(1, 13)]
 
 
+@pytest.mark.parametrize("name", ["random_search", "windowed_training"])
+def test_searches_take_the_whole_budget(spark, sf, monkeypatch, name):
+    """100 different points for boosted trees, each cross-validated in three folds."""
+    asked = []
+
+    class Stop(Exception):
+        pass
+
+    def validator(**options):
+        asked.append(options)
+        raise Stop
+
+    monkeypatch.setattr(queries.M, "CrossValidator", validator)
+    with pytest.raises(Stop):
+        queries.QUERIES[name](spark, sf)
+    points = [tuple(sorted((p.name, v) for p, v in m.items())) for m in asked[0]["estimatorParamMaps"]]
+    assert len(points) == len(set(points)) == 100 and asked[0]["numFolds"] == 3
+    assert type(asked[0]["estimator"]).__name__ == "GBTClassifier"
+
+
 def test_flagship(spark):
     df = entry.entry(spark)
     assert df.count() > 0 and "fe_20" in df.columns

@@ -771,12 +771,9 @@ def score_and_monitor(spark, sf):
 
 @query
 def windowed_training(spark, sf):
-    """The windowed flow with a logistic regression over a whole grid of penalties; its card, splits as rows."""
+    """The windowed flow as it is by default, boosted trees over 100 points of the search space; its card, splits as rows."""
     labels = L.label_store(silver_loans(spark, sf))
-    space = {"regParam": [0.0, 0.01, 0.1]}
-    _, card = training.train_windowed(
-        V.clickstream(spark, sf), labels, "1998-01-01", "v1", space=space, n=3, estimator=M.logistic_regression(1.0, maxIter=50)
-    )
+    _, card = training.train_windowed(V.clickstream(spark, sf), labels, "1998-01-01", "v1")
     return card.select("model_version", "data_dates", F.explode("splits").alias("split", "s"), "hp_params").select("*", "s.*").drop("s")
 
 
@@ -871,7 +868,7 @@ def report_files(spark, sf):
 def random_search(spark, sf):
     rows = M.assemble(V.ml(spark, sf), FES).select(M.FEATURES, "label").cache()
     try:
-        return M.search_results(M.random_search(rows, n=2))
+        return M.search_results(M.random_search(rows))
     finally:
         rows.unpersist()
 
