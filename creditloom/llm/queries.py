@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.llm import decontamination, licenses, lines, mixing, neighbours, passages, quality, quotations, simhash, toxicity
+from creditloom.llm import (
+    codes,
+    decontamination,
+    licenses,
+    lines,
+    mixing,
+    neighbours,
+    passages,
+    prefixes,
+    quality,
+    quotations,
+    setjoin,
+    simhash,
+    toxicity,
+)
 from creditloom.llm.common import documents, embeddings
 from creditloom.session import configure
 
@@ -66,6 +80,21 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of rebuilt conversations."""
+    return prefixes.prefix_trie(configure(spark).read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code and error of every vector."""
+    return codes.compress(embeddings(configure(spark), sf_dir))
+
+
+def op13_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingles and component of every document."""
+    return setjoin.near_sets(documents(configure(spark), sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_shared_passages": op1_shared_passages,
     "op2_license_scan": op2_license_scan,
@@ -77,6 +106,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quotation_linking": op8_quotation_linking,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_ngram_jaccard": op13_ngram_jaccard,
 }
 
 
@@ -84,4 +116,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_license_scan": licenses.scan_sql(),
         "op4_source_mixing": mixing.taken_sql(),
+        "op11_prefix_trie": prefixes.prefix_trie_sql(),
+        "op12_vector_codes": codes.compress_sql(),
+        "op13_ngram_jaccard": setjoin.near_sets_sql(),
     }
