@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from creditloom import constants as K
 from creditloom.operators.clean import feature_columns
-from creditloom.operators.quantiles import decile_edges, long_form, name_of
+from creditloom.operators.quantiles import decile_edges, long_form
 from creditloom.operators.snapshots import at_latest
 
 
@@ -44,29 +44,44 @@ def bin_number(value: Column, edges: Column, buckets: int) -> Column:
     return F.when(within, inner).otherwise(-1)
 
 
+def edge_values(edges: DataFrame) -> dict[str, list[float]]:
+    """The edges by feature: one row for each feature column comes to the driver."""
+    rows = edges.select("feature", "edges").collect()
+    found = {r["feature"]: r["edges"] for r in rows}
+    if len(found) < len(rows):
+        # a second row would count a feature's values twice
+        raise ValueError("more than one row of edges for a feature")
+    return found
+
+
 def histogram(
-    df: DataFrame, edges: DataFrame, cols: list[str], by: list[str] | None = None, buckets: int = K.PSI_BUCKETS
+    df: DataFrame,
+    edges: DataFrame | dict[str, list[float]],
+    cols: list[str],
+    by: list[str] | None = None,
+    buckets: int = K.PSI_BUCKETS,
 ) -> DataFrame:
     """(by, feature, counts, total): one array of bin counts per group and feature.
 
-    ``total`` also counts values outside the edges. Rows with ``copies`` count so often. Counts are combined
-    map-side: a group costs one small record per task however hot it is.
+    ``total`` also counts values outside the edges. Rows with ``copies`` count so often. A value's bin is found in its
+    row, by the edges of its feature as literals; what is counted, map-side, is (group, feature, bin), so a group
+    costs a few small records per task however hot it is.
     """
     by, weight = by or [], _copies(df)
-    n = F.col(COPIES) if weight else F.lit(1)
-    places = edges.select(
-        (F.array_position(F.array(*[F.lit(c) for c in cols]), F.col("feature")) - 1).cast("int").alias("f"), "edges"
-    ).where(F.col("f") >= 0)
-    # one row per feature column: a second one would count its values twice
-    repeated = F.raise_error(F.lit("more than one row of edges for a feature")).cast("array<double>")
-    places = places.groupBy("f").agg(F.when(F.count(F.lit(1)) > 1, repeated).otherwise(F.first("edges")).alias("edges"))
-    values = long_form(df, cols, [*by, *weight]).join(F.broadcast(places), "f")
-    binned = values.withColumn("bin", bin_number(F.col("value"), F.col("edges"), buckets))
-    counts = [F.sum(F.when(F.col("bin") == i, n).otherwise(0)).cast("bigint") for i in range(buckets)]
+    found = edges if isinstance(edges, dict) else edge_values(edges)
+    cols = [c for c in cols if c in found]
+    own = F.array(*[F.array(*[F.lit(float(e)) for e in found[c]]) for c in cols]) if cols else F.array().cast("array<array<double>>")
+    names = F.array(*[F.lit(c) for c in cols]).cast("array<string>")
+    values = long_form(df, cols, [*by, *weight]) if cols else df.select(*by, *weight, F.lit(0).alias("f"), F.lit(0.0).alias("value")).limit(0)
+    mine = F.element_at(own, F.col("f") + 1)
+    binned = values.select(*by, *weight, "f", bin_number(F.col("value"), mine, buckets).alias("bin"))
+    n = F.sum(COPIES) if weight else F.count(F.lit(1))
+    per_bin = binned.groupBy(*by, "f", "bin").agg(n.cast("bigint").alias("n"))
+    counts = [F.sum(F.when(F.col("bin") == i, F.col("n")).otherwise(0)).cast("bigint") for i in range(buckets)]
     return (
-        binned.groupBy(*by, "f")
-        .agg(F.array(*counts).alias("counts"), F.sum(n).cast("bigint").alias("total"))
-        .select(*by, name_of(F.col("f"), cols).alias("feature"), "counts", "total")
+        per_bin.groupBy(*by, "f")
+        .agg(F.array(*counts).alias("counts"), F.sum("n").cast("bigint").alias("total"))
+        .select(*by, F.element_at(names, F.col("f") + 1).alias("feature"), "counts", "total")
     )
 
 
@@ -96,7 +111,7 @@ def psi(
     cols: list[str] | None = None,
     by: list[str] | None = None,
     buckets: int = K.PSI_BUCKETS,
-    edges: DataFrame | None = None,
+    edges: DataFrame | dict[str, list[float]] | None = None,
     **quantile_options,
 ) -> DataFrame:
     """(by, feature, psi) of every feature, for all snapshots of ``current`` in one job.
@@ -106,6 +121,7 @@ def psi(
     cols = cols or feature_columns(base)
     if edges is None:
         edges = baseline_edges(base, cols, buckets, **quantile_options)
+    edges = edges if isinstance(edges, dict) else edge_values(edges)
     expected = histogram(base, edges, cols, buckets=buckets).select(
         "feature", F.col("counts").alias("base_counts"), F.col("total").alias("base_total")
     )

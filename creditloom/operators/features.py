@@ -84,17 +84,16 @@ def financial_features(
     rows = defaults(df)
     fit_rows = rows if fit_df is None else defaults(fit_df)
     plan = {"Outstanding_Debt": [0.5], **{c: [K.CAP_LOWER, K.CAP_UPPER] for c in K.FINANCIAL_CAPPED}}
-    stats = Q.quantile_row(fit_rows, plan, weight=weight, **quantile_options)
-    rows = rows.withColumn("__stats", stats.select(F.struct(*plan).alias("stats")).scalar())
+    stats = Q.quantile_values(fit_rows, plan, weight=weight, **quantile_options)
 
     rows = rows.withColumns(
         {
-            "Outstanding_Debt": F.coalesce(F.col("Outstanding_Debt"), F.col("__stats.Outstanding_Debt")[0]),
+            "Outstanding_Debt": F.coalesce(F.col("Outstanding_Debt"), Q.literal(stats.get("Outstanding_Debt"))[0]),
             "credit_history_months": V.history_months(F.col("Credit_History_Age")),
             "num_loan_types": V.array_length(F.col("Loan_Types_Array")),
-            **{c: Q.cap_expression(c, F.col(f"__stats.{c}")) for c in K.FINANCIAL_CAPPED},
+            **{c: Q.cap_expression(c, Q.literal(stats.get(c))) for c in K.FINANCIAL_CAPPED},
         }
-    ).drop("__stats", "Credit_History_Age")
+    ).drop("Credit_History_Age")
 
     income, salary = F.col("Annual_Income"), F.col("Monthly_Inhand_Salary")
     debt = F.col("Outstanding_Debt")

@@ -27,7 +27,7 @@ def monitor(
     Baseline edges are fitted once and every month is measured in the same job.
     """
     cols = feature_columns(feat)
-    edges = stage(drift.baseline_edges(base, cols, **quantile_options), "edges")
+    edges = drift.edge_values(drift.baseline_edges(base, cols, **quantile_options))
     psi = stage(drift.psi_by_snapshot(base, backfill(feat, months), cols, edges=edges), "psi")
     summary = drift.drift_decision(drift.psi_summary(psi, ["snapshot_date"]), threshold)
     return psi, summary

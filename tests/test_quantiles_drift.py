@@ -196,13 +196,28 @@ def test_bigints_are_not_rounded(spark):
     assert Q.quantile_row(df, ["x"], [0.5, 1.0]).first().x == [big, big + 2]
 
 
-def test_a_rank_outside_its_bracket_is_an_error(spark):
-    rows = [("a", 1.0, True, 5, 2.0, 3.0, 0)]
-    df = spark.createDataFrame(rows, "feature string, value double, gap boolean, n long, low double, high double, before long")
-    assert df.agg(Q._at_rank(F.lit(0)).alias("v")).first().v == 2.0
-    assert df.agg(Q._at_rank(F.lit(4)).alias("v")).first().v == 3.0
-    with pytest.raises(Exception, match="outside its bracket"):
-        df.agg(Q._at_rank(F.lit(2)).alias("v")).collect()
+@pytest.mark.parametrize("kind", ["long", "double"])
+def test_many_passes(spark, monkeypatch, kind):
+    """Few bins a pass, values of very different size, infinities, and whole numbers a double cannot hold."""
+    monkeypatch.setattr(Q, "GROUPS", 16)
+    rng = random.Random(4)
+    if kind == "long":
+        values = [rng.choice([-1, 1]) * rng.randrange(2 ** rng.choice([3, 20, 62])) for _ in range(500)] + [2**62, 2**62 + 1, 2**62 + 3] * 90
+        values += [-(2**63), 2**63 - 1]
+    else:
+        values = [rng.choice([-1, 1]) * 10.0 ** rng.uniform(-300, 300) for _ in range(500)] + [float("inf")] * 40 + [float("-inf")] * 3
+        values += [5e-324, 1e-323, 0.0, 1.7e308, -1.7e308] * 30
+    probs = [0.001, 0.01, 0.3, 0.5, 0.52, 0.77, 0.9, 0.999, 1.0]
+    got = Q.quantile_row(frame(spark, values, kind), ["x"], probs).first().x
+    assert got == [discrete(values, p) for p in probs]
+
+
+@QUICK
+@given(st.lists(st.floats(allow_nan=False), min_size=1, max_size=200), st.floats(0.01, 1.0))
+def test_any_doubles(spark, values, p):
+    p = round(p, 2)
+    got = Q.quantile_row(frame(spark, values, "double"), ["x"], [p]).first().x
+    assert got == [discrete(values, p)]
 
 
 def test_nan_is_missing(spark):
