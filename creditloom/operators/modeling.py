@@ -7,17 +7,19 @@ import itertools
 import random
 from dataclasses import dataclass
 from decimal import Decimal
+from multiprocessing.pool import ThreadPool
 
-from pyspark.ml import Estimator, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark import SparkContext, inheritable_thread_target
+from pyspark.ml import Estimator, Model, PipelineModel
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from creditloom import constants as K
 from creditloom.operators.ordering import SLICE, slice_by_range, total_before, with_total_before
+from creditloom.sources.staging import stage
 
 SCALED = "__scaled"
 FEATURES = "features"
@@ -198,36 +200,111 @@ def search_candidates(space: dict[str, list] = K.SEARCH_SPACE, n: int = 100, see
     return random.Random(seed).sample(grid, min(n, len(grid)))
 
 
+def first_rounds(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """The model of the first ``rounds`` boosting rounds: what a fit with maxIter=rounds gives."""
+    if rounds >= model.getNumTrees:
+        return model
+    jvm, whole = SparkSession.active()._jvm, model._java_obj
+    trees = SparkContext._gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
+    weights = SparkContext._gateway.new_array(jvm.double, rounds)
+    for i in range(rounds):
+        trees[i], weights[i] = whole.trees()[i], whole.treeWeights()[i]
+    cut = jvm.org.apache.spark.ml.classification.GBTClassificationModel(
+        whole.uid(), trees, weights, whole.numFeatures(), whole.numClasses()
+    )
+    return model._copyValues(GBTClassificationModel(cut))
+
+
+@dataclass
+class Search:
+    """The points tried, their mean AUC over the folds, the best point's model of all rows, and the number of fits."""
+
+    points: list[dict]
+    scores: list[float]
+    best_model: Model
+    n_fits: int
+
+    @property
+    def best(self) -> dict:
+        return max(zip(self.scores, range(len(self.points)), self.points), key=lambda t: (t[0], -t[1]))[2]
+
+
+#: Rows of one partition of the fitting rows.
+ROWS_PER_TASK = 100_000
+
+
 def random_search(
     df: DataFrame,
     space: dict[str, list] = K.SEARCH_SPACE,
     n: int = 100,
     folds: int = 3,
     seed: int = 42,
-    parallelism: int = 4,
+    parallelism: int | None = None,
     estimator: Estimator | None = None,
-) -> CrossValidatorModel:
-    """Random search by cross-validated AUC (unbinned) over rows with ``features`` and ``label``."""
+    max_rows: int | None = None,
+) -> Search:
+    """Random search by cross-validated AUC (unbinned) over rows with ``features`` and ``label``.
+
+    Boosting rounds are nested: points that differ in maxIter only are one fit of the most rounds, of which the
+    others are the beginning. The fits of all points and folds run side by side, as many as the session has
+    tasks for. Partitions follow the number of rows, as a fit is many short jobs. ``max_rows`` bounds
+    the rows that are searched by a random share of about so many; the default is all rows.
+    """
     estimator = estimator or boosted_trees(seed=seed)
-    maps = [
-        {estimator.getParam(name): value for name, value in point.items()}
-        for point in search_candidates(space, n, seed)
-    ]
-    return CrossValidator(
-        estimator=estimator,
-        estimatorParamMaps=maps,
-        evaluator=BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC", numBins=0),
-        numFolds=folds,
-        seed=seed,
-        parallelism=parallelism,
-    ).fit(df)
-
-
-def search_results(model: CrossValidatorModel) -> DataFrame:
+    spark = df.sparkSession
+    rows = df.select(FEATURES, "label")
+    total = rows.count()
+    if max_rows is not None and total > max_rows:
+        rows, total = rows.sample(fraction=max_rows / total, seed=seed), max_rows
+    n_tasks = max(1, -(-total // ROWS_PER_TASK))
+    # the folds are written, so that every fit sees the same ones
+    rows = stage(rows.repartition(n_tasks).withColumn("fold", F.floor(F.rand(seed) * folds).cast("int")), "folds").coalesce(n_tasks)
+    points = search_candidates(space, n, seed)
+    nested = isinstance(estimator, GBTClassifier)
+    fits: dict[tuple, list[int]] = {}
+    for i, point in enumerate(points):
+        fits.setdefault(tuple((k, v) for k, v in point.items() if not (nested and k == "maxIter")), []).append(i)
+    rounds = [point.get("maxIter", estimator.getOrDefault("maxIter")) if nested else 0 for point in points]
+    evaluator = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC", numBins=0)
+    held = [rows.where(F.col("fold") == f).select(FEATURES, "label").cache() for f in range(folds)]
+    known = [rows.where(F.col("fold") != f).select(FEATURES, "label").cache() for f in range(folds)]
+
+    def fit(data: DataFrame, mine: list[int]) -> Model:
+        point = {k: v for k, v in points[mine[0]].items()}
+        if nested:
+            point["maxIter"] = max(rounds[i] for i in mine)
+        return estimator.copy({estimator.getParam(k): v for k, v in point.items()}).fit(data)
+
+    def aucs(task: tuple[list[int], int]) -> list[tuple[int, float]]:
+        mine, fold = task
+        model = fit(known[fold], mine)
+        cut = {r: first_rounds(model, r) if nested else model for r in {rounds[i] for i in mine}}
+        by_rounds = {r: evaluator.evaluate(m.transform(held[fold])) for r, m in cut.items()}
+        return [(i, by_rounds[rounds[i]]) for i in mine]
+
+    side_by_side = parallelism or max(1, spark.sparkContext.defaultParallelism // n_tasks)
+    found: dict[int, list[float]] = {i: [] for i in range(len(points))}
+    tasks = [(mine, fold) for mine in fits.values() for fold in range(folds)]
+    try:
+        with ThreadPool(min(side_by_side, len(tasks))) as pool:
+            for scores in pool.imap(inheritable_thread_target(spark)(aucs), tasks):
+                for i, value in scores:
+                    found[i].append(value)
+    finally:
+        for part in (*held, *known):
+            part.unpersist()
+    scores = [sum(found[i]) / folds for i in range(len(points))]
+    search = Search(points, scores, None, len(tasks))
+    mine = [points.index(search.best)]
+    search.best_model = fit(rows.select(FEATURES, "label"), mine)
+    return search
+
+
+def search_results(search: Search) -> DataFrame:
     """(candidate, params, mean_auc) of every point tried."""
     rows = [
-        (i, {p.name: str(v) for p, v in point.items()}, float(score))
-        for i, (point, score) in enumerate(zip(model.getEstimatorParamMaps(), model.avgMetrics))
+        (i, {name: str(v) for name, v in point.items()}, float(score))
+        for i, (point, score) in enumerate(zip(search.points, search.scores))
     ]
     spark = SparkSession.active()
     return spark.createDataFrame(rows, "candidate int, params map<string,string>, mean_auc double")

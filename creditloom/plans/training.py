@@ -90,9 +90,8 @@ def train_windowed(
     split = F.when(F.col("period") == "oot", "oot").otherwise(F.col("split"))
     rows = stage(M.assemble(rows.withColumn("split", split), cols).select(M.FEATURES, "label", "split"), "windowed")
     found = M.random_search(rows.where(F.col("split") == "train").select(M.FEATURES, "label"), **search)
-    scores = M.score(rows, found.bestModel, version, ("label", "split"))
-    best = max(zip(found.avgMetrics, found.getEstimatorParamMaps()), key=lambda p: p[0])[1]
-    params = {p.name: str(v) for p, v in best.items()}
+    scores = M.score(rows, found.best_model, version, ("label", "split"))
+    params = {name: str(v) for name, v in found.best.items()}
     return scores, M.model_card(version, windows, M.split_stats(rows), M.evaluate(scores), params)
 
 

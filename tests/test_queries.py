@@ -1,5 +1,7 @@
 """Every query with a SQL twin gives the twin's rows; the others run and keep their schema."""
 
+import inspect
+
 import duckdb
 import pytest
 
@@ -7,7 +9,7 @@ import __spark_entry__ as entry
 import check_oracle
 from workload import queries
 
-SLOW = {"gbt_scores", "random_search"}  # covered on small data in test_modeling.py
+SLOW = {"gbt_scores", "random_search", "windowed_training"}  # covered on small data in test_modeling.py and below
 
 
 @pytest.fixture(scope="module")
@@ -40,22 +42,23 @@ def test_every_month_asked_for_has_a_snapshot(spark, sf, monkeypatch):
 
 @pytest.mark.parametrize("name", ["random_search", "windowed_training"])
 def test_searches_take_the_whole_budget(spark, sf, monkeypatch, name):
-    """100 different points for boosted trees, each cross-validated in three folds."""
+    """100 different points for boosted trees, each cross-validated in three folds, over all rows."""
     asked = []
 
     class Stop(Exception):
         pass
 
-    def validator(**options):
-        asked.append(options)
+    def candidates(space, n, seed, draw=queries.M.search_candidates):
+        asked.append(draw(space, n, seed))
         raise Stop
 
-    monkeypatch.setattr(queries.M, "CrossValidator", validator)
+    monkeypatch.setattr(queries.M, "search_candidates", candidates)
     with pytest.raises(Stop):
         queries.QUERIES[name](spark, sf)
-    points = [tuple(sorted((p.name, v) for p, v in m.items())) for m in asked[0]["estimatorParamMaps"]]
-    assert len(points) == len(set(points)) == 100 and asked[0]["numFolds"] == 3
-    assert type(asked[0]["estimator"]).__name__ == "GBTClassifier"
+    points = [tuple(sorted(p.items())) for p in asked[0]]
+    assert len(points) == len(set(points)) == 100
+    defaults = {k: v.default for k, v in inspect.signature(queries.M.random_search).parameters.items()}
+    assert defaults["folds"] == 3 and defaults["estimator"] is None and defaults["max_rows"] is None
 
 
 def test_flagship(spark):

@@ -866,11 +866,7 @@ def report_files(spark, sf):
 
 @query
 def random_search(spark, sf):
-    rows = M.assemble(V.ml(spark, sf), FES).select(M.FEATURES, "label").cache()
-    try:
-        return M.search_results(M.random_search(rows))
-    finally:
-        rows.unpersist()
+    return M.search_results(M.random_search(M.assemble(V.ml(spark, sf), FES)))
 
 
 # --- round trips ------------------------------------------------------------------
