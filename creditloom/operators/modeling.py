@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from creditloom import constants as K
 from creditloom.operators.ordering import SLICE, slice_by_range, total_before, with_total_before
-from creditloom.sources.staging import stage
+from creditloom.sources.staging import fresh_path, stage
 
 SCALED = "__scaled"
 FEATURES = "features"
@@ -383,6 +383,94 @@ def score(
     )
 
 
+def saved_nodes(model: GBTClassificationModel) -> DataFrame:
+    """(tree, node, feature, threshold, low, high, prediction, n): the nodes of a fitted model as it is saved.
+
+    Rows with features[feature] <= threshold go to node ``low``, others to ``high``; leaves have no feature.
+    ``n`` and ``prediction`` are the training rows of a node and the mean of what they were fitted to.
+    """
+    path = fresh_path(SparkSession.active(), "trees")
+    model.write().save(path)
+    node = F.col("nodeData")
+    inner = node["leftChild"] >= 0
+    nodes = SparkSession.active().read.parquet(f"{path}/data").select(
+        F.col("treeID").alias("tree"),
+        node["id"].alias("node"),
+        F.when(inner, node["split"]["featureIndex"]).alias("feature"),
+        F.when(inner, F.try_element_at(node["split"]["leftCategoriesOrThreshold"], F.lit(1))).alias("threshold"),
+        F.when(inner, node["leftChild"]).alias("low"),
+        F.when(inner, node["rightChild"]).alias("high"),
+        node["prediction"].alias("prediction"),
+        node["rawCount"].alias("n"),
+    )
+    return nodes
+
+
+def tree_expressions(nodes: list[Row], cols: list[str], leaf: str = "prediction") -> list[str]:
+    """SQL text of every tree, one nested CASE each, that gives a row's ``leaf`` (its prediction, or its number).
+
+    A missing value counts as NaN, which is above every threshold.
+    """
+    trees: dict[int, dict[int, Row]] = {}
+    for r in nodes:
+        trees.setdefault(r["tree"], {})[r["node"]] = r
+
+    def text(tree: dict[int, Row], number: int) -> str:
+        r = tree[number]
+        if r["feature"] is None:
+            return f"{r['prediction']!r}D" if leaf == "prediction" else str(number)
+        low, high = text(tree, r["low"]), text(tree, r["high"])
+        return f"CASE WHEN nvl(`{cols[r['feature']]}`, double('NaN')) <= {r['threshold']!r}D THEN {low} ELSE {high} END"
+
+    return [text(trees[t], 0) for t in sorted(trees)]
+
+
+def tree_margin(df: DataFrame, model: PipelineModel, name: str = "margin") -> DataFrame:
+    """Add the margin of a boosted-tree pipeline as plain expressions: the scaled features, one value for each tree, their
+    weighted sum. Neither vectors nor the fitted objects take part."""
+    scaler, vector, boosted = model.stages
+    # nodes of one model: bounded by its rounds and depth
+    trees = tree_expressions(saved_nodes(boosted).collect(), vector.getInputCols())
+    scaled = scaler.transform(df).withColumn("__trees", F.expr(f"array({', '.join(trees)})"))
+    weights = F.array(*[F.lit(float(w)) for w in boosted.treeWeights])
+    products = F.zip_with("__trees", weights, lambda p, w: p * w)
+    margin = F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
+    return scaled.withColumn(name, margin).drop("__trees", *[c for c in vector.getInputCols()])
+
+
+def tree_score(
+    df: DataFrame, model: PipelineModel, model_name: str, keys: tuple[str, ...] = ("Customer_ID", "snapshot_date")
+) -> DataFrame:
+    """What ``score`` gives for boosted trees, as a native expression: (keys, model_name, prediction)."""
+    probability = F.lit(1.0) / (F.lit(1.0) + F.exp(F.col("margin") * -2.0))
+    return tree_margin(df, model).select(*keys, F.lit(model_name).alias("model_name"), probability.alias("prediction"))
+
+
+def leaf_statistics(train: DataFrame, model: PipelineModel, label: str = "label") -> DataFrame:
+    """(tree, node, n, prediction, n_rows, mean_residual): every leaf as saved, and recomputed from its training rows.
+
+    The first tree is fitted to the labels as -1 and 1, each other one to 4y / (1 + exp(2 y margin)) for the
+    margin that the trees before it give. Holds for fits of all rows (subsamplingRate 1) without weights.
+    """
+    scaler, vector, boosted = model.stages
+    saved = saved_nodes(boosted)
+    nodes = saved.collect()
+    values, leaves = (", ".join(tree_expressions(nodes, vector.getInputCols(), leaf)) for leaf in ("prediction", "node"))
+    weights = ", ".join(f"{float(w)!r}D" for w in boosted.treeWeights)
+    y = F.when(F.col(label) == 1, 1.0).otherwise(-1.0)
+    rows = scaler.transform(train).select(
+        y.alias("y"),
+        F.expr(f"array({leaves})").alias("nodes"),
+        F.expr(f"zip_with(array({values}), array({weights}), (p, w) -> p * w)").alias("steps"),
+    )
+    before = F.aggregate(F.slice("steps", 1, F.col("tree")), F.lit(0.0), lambda total, x: total + x)
+    long = rows.select("y", "steps", F.posexplode("nodes").alias("tree", "node")).withColumn("before", before)
+    target = F.when(F.col("tree") == 0, F.col("y")).otherwise(4.0 * F.col("y") / (1.0 + F.exp(2.0 * F.col("y") * F.col("before"))))
+    found = long.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("n_rows"), F.avg(target).alias("mean_residual"))
+    leaf_rows = saved.where(F.col("feature").isNull()).select("tree", "node", "n", "prediction")
+    return leaf_rows.join(found, ["tree", "node"], "full")
+
+
 def linear_score(df: DataFrame, weights: dict[str, float], intercept: float = 0.0) -> DataFrame:
     """Logistic score of fixed weights as a plain expression."""
     margin = sum((F.col(c) * F.lit(float(w)) for c, w in weights.items()), F.lit(float(intercept)))

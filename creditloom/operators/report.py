@@ -51,6 +51,14 @@ def metric_pivot(
     return table.orderBy("metric_name")
 
 
+def pivot_cells(table: DataFrame, snapshot_col: str = "snapshot_date") -> DataFrame:
+    """The filled cells of a metric matrix as (metric_name, snapshot, value) rows."""
+    months = [c for c in table.columns if c != "metric_name"]
+    if not months:
+        return table.select("metric_name", F.lit("").alias(snapshot_col), F.lit(0.0).alias("value")).limit(0)
+    return table.unpivot(["metric_name"], months, snapshot_col, "value").where(F.col("value").isNotNull())
+
+
 def null_profile(df: DataFrame, cols: list[str] | None = None, by: str = "snapshot_date") -> DataFrame:
     """(by, null_pct): share of missing cells over ``cols`` per snapshot, in percent."""
     cols = cols or [c for c in df.columns if c != by]

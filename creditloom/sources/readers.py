@@ -11,25 +11,56 @@ from pyspark.sql.types import StructType
 from creditloom import constants as K
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """CSV with a header. Fields are matched to a declared schema by header name, whatever the
-    column order, and unparseable values become null; without a schema types are inferred,
-    which costs one more pass."""
-    reader = spark.read.option("header", True)
-    if schema is None:
-        return reader.option("inferSchema", True).csv(path)
-    text = reader.option("inferSchema", False).csv(path)
+def _by_header(spark: SparkSession, path: str) -> list[list[str]]:
+    """The data files below a path, file or glob, in groups with the same first line."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(conf)
+    groups: dict[str, list[str]] = {}
+    todo = list(fs.globStatus(at) or [])
+    while todo:
+        status = todo.pop()
+        if status.isDirectory():
+            todo += [s for s in fs.listStatus(status.getPath()) if not s.getPath().getName().startswith(("_", "."))]
+            continue
+        stream = fs.open(status.getPath())
+        try:
+            first = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream)).readLine()
+        finally:
+            stream.close()
+        if first is not None:  # an empty file has neither header nor rows
+            groups.setdefault(first, []).append(status.getPath().toString())
+    return [groups[first] for first in sorted(groups)]
+
+
+def _typed(text: DataFrame, schema: StructType) -> DataFrame:
     present = set(text.columns)
     return text.select(
-        *[
-            F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name)
-            for f in schema.fields
-            if f.name in present
-        ],
+        *[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields if f.name in present],
         *[F.col(f"`{c}`") for c in text.columns if c not in schema.names],
     )
 
 
+def read_csv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """CSV with a header. Fields are matched to a declared schema by header name, whatever the column order,
+    in every file: files with the same header are one scan, and the scans are put together by name, null where
+    a file lacks a column. Unparseable values become null; without a schema types are inferred, which costs
+    one more pass."""
+    reader = spark.read.option("header", True)
+    if schema is None:
+        return reader.option("inferSchema", True).csv(path)
+    groups = _by_header(spark, path)
+    if len(groups) < 2:
+        return _typed(reader.option("inferSchema", False).csv(path), schema)
+    # partition folders of the path give columns too
+    based = reader.option("inferSchema", False).option("basePath", path) if "*" not in path else reader.option("inferSchema", False)
+    parts = [_typed(based.csv(files), schema) for files in groups]
+    table = parts[0]
+    for part in parts[1:]:
+        table = table.unionByName(part, allowMissingColumns=True)
+    return table.select(*[c for c in schema.names if c in table.columns], *[c for c in table.columns if c not in schema.names])
+
+
 def table_path(root: str, layer: str, name: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{name}"
 

@@ -196,3 +196,32 @@ def test_one_hot_and_category_index(spark):
     assert vectors == [(1, 0, 0), (1, 0, 0), (0, 1, 0), (0, 0, 1), (0, 0, 0)]
     unseen = features.one_hot(spark.createDataFrame([("z", "x")], "k string, l string"), ["k", "l"], fit_df=df)
     assert list(unseen.first().k_vec.toArray()) == [0, 0, 0]
+
+
+def test_first_rounds_are_the_shorter_fit(spark):
+    rows = M.assemble(training_frame(spark, 120), ["fe_1", "fe_2"])
+    options = {"maxDepth": 2, "stepSize": 0.1, "subsamplingRate": 0.8, "seed": 1}
+    long, short = (M.boosted_trees(maxIter=n, **options).fit(rows) for n in (5, 2))
+    cut = M.first_rounds(long, 2)
+    assert [t.toDebugString.split("\n", 1)[1] for t in cut.trees] == [t.toDebugString.split("\n", 1)[1] for t in short.trees]
+    got, want = ([list(r.probability) for r in m.transform(rows).select("probability").collect()] for m in (cut, short))
+    assert got == want and M.first_rounds(long, 9) is long
+
+
+def test_search_fits_nested_points_once(spark):
+    rows = M.assemble(training_frame(spark, 80), ["fe_1", "fe_2"])
+    space = {"maxIter": [1, 2, 3], "maxDepth": [1, 2]}
+    search = M.random_search(rows, space, n=6, folds=2)
+    assert search.n_fits == 4 and len(search.scores) == 6 and search.best in search.points
+    assert search.best_model.getNumTrees == search.best["maxIter"]
+
+
+def test_native_trees_and_their_leaves(spark):
+    rows = training_frame(spark, 200)
+    model = M.train_gbt(rows, ["fe_1", "fe_2"], maxIter=4, maxDepth=3)
+    holed = rows.withColumn("fe_2", F.when(F.col("id") % 7 != 0, F.col("fe_2")))  # missing values go to the right
+    native = {r.id: r.prediction for r in M.tree_score(holed, model, "m", ("id",)).collect()}
+    fitted = {r.id: r.prediction for r in M.score(holed, model, "m", ("id",)).collect()}
+    assert native == pytest.approx(fitted, rel=1e-12)
+    for r in M.leaf_statistics(rows, model).collect():
+        assert r.n == r.n_rows and r.prediction == pytest.approx(r.mean_residual, abs=1e-9)

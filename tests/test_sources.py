@@ -115,3 +115,16 @@ def test_temporary_tables_are_deleted_after_the_block(spark):
         assert readers.path_exists(spark, path)
     assert not readers.path_exists(spark, path)
     assert kept.count() == 1
+
+
+def test_csv_files_with_different_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("k,v,w\nx,1,2.5\n")
+    (tmp_path / "b.csv").write_text("w,k\n0.5,y\n")
+    (tmp_path / "c.csv").write_text("k,v,w\nz,bad,1\n")
+    (tmp_path / "d.csv").write_text("")
+    schema = "k string, v int, w double"
+    from pyspark.sql.types import StructType
+
+    df = readers.read_csv(spark, str(tmp_path), StructType.fromDDL(schema))
+    assert df.columns == ["k", "v", "w"]
+    assert sorted(map(tuple, df.collect())) == [("x", 1, 2.5), ("y", None, 0.5), ("z", None, 1.0)]

@@ -575,8 +575,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "metric_pivot": twin(
             "fx_clk",
-            "select * from (pivot (select feature metric_name, cast(snapshot_date as varchar) m, round(psi,10) v from psi)"
-            " on m using max(v) group by metric_name)",
+            "select feature metric_name, cast(snapshot_date as varchar) snapshot_date, round(psi,10) as \"value\" from psi",
             _PSI,
         ),
         "null_profile": twin(
@@ -636,6 +635,12 @@ def oracle_sql() -> dict[str, str]:
         ),
         "lr_optimum": " union all ".join(f"select '{c}' feature, true optimal" for c in FES),
         "model_roundtrip": twin("fx_ml", "select count(*) n_rows, cast(0 as double) difference from fx_ml"),
+        "gbt_native": twin("fx_ml", "select count(*) n_rows, cast(0 as double) difference from fx_ml"),
+        "gbt_leaves": twin(
+            "fx_ml",
+            f"""select cast(t as integer) tree, n_rows, true agree from range(20) r(t),
+ (select count(*) n_rows from (select {_SPLIT} split from fx_ml) where split = 'train')""",
+        ),
         "model_card": twin(
             "fx_ml",
             f"""select 'fixed' model_version, date '1997-11-01' oot_start, split, n_rows, label_mean, round(auc,10) auc,
@@ -664,7 +669,19 @@ def oracle_sql() -> dict[str, str]:
  where metric_name='auc'""",
             _BEST,
         ),
+        "report_psi_file": twin(
+            "fx_runs fx_metrics",
+            """select metric_name, m.snapshot_date, round(m."value",9) as "value" from fx_metrics m join best using (run_id)
+ where starts_with(metric_name,'psi_')""",
+            _BEST,
+        ),
         # round trips
+        "csv_reordered": twin(
+            "fx_clk",
+            f"select Customer_ID, snapshot_date, "
+            + ",".join("case when cast(Customer_ID as bigint)%3=2 then null else fe_7 end fe_7" if c == "fe_7" else c for c in FES)
+            + " from fx_clk",
+        ),
         "roundtrip_parquet": twin("fx_clk", _CLK_ROUND),
         "roundtrip_partitioned": twin("fx_clk", _CLK_ROUND),
         "roundtrip_csv": twin("fx_clk", _CLK_ROUND),

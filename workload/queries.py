@@ -646,13 +646,13 @@ def auc_series(spark, sf):
 
 @query
 def metric_pivot(spark, sf):
-    """PSI matrix, features by month."""
+    """PSI matrix, features by month, its cells as rows."""
     metrics = snapshot_psi(spark, sf).select(
         F.concat(F.lit("psi_"), "feature").alias("metric_name"),
         F.col("snapshot_date").cast("string").alias("snapshot_date"),
         F.round("psi", 10).alias("value"),
     )
-    return report.metric_pivot(metrics, short_names=True)
+    return report.pivot_cells(report.metric_pivot(metrics, short_names=True))
 
 
 @query
@@ -790,7 +790,30 @@ def lr_scores(spark, sf):
 
 @query
 def gbt_scores(spark, sf):
-    return held_out_scores(spark, sf, M.train_gbt)
+    """Scores of boosted trees as one native expression."""
+    rows = M.stratified_split(V.ml(spark, sf), "id")
+    model = M.train_gbt(rows.where(F.col("split") == "train"), FES)
+    return M.tree_score(rows, model, "model", ("id", "label", "split"))
+
+
+@query
+def gbt_native(spark, sf):
+    """Boosted trees scored natively and by the fitted transformer: rows, and the largest difference to 12 places."""
+    rows = M.stratified_split(V.ml(spark, sf), "id")
+    model = M.train_gbt(rows.where(F.col("split") == "train"), FES, maxIter=20)
+    native = M.tree_score(rows, model, "model", ("id",)).select("id", F.col("prediction").alias("native"))
+    both = M.score(rows, model, "model", ("id",)).join(native, "id")
+    return both.agg(F.count(F.lit(1)).alias("n_rows"), F.max(F.round(F.abs(F.col("native") - F.col("prediction")), 12)).alias("difference"))
+
+
+@query
+def gbt_leaves(spark, sf):
+    """Every tree's leaves recomputed from the training rows: rows that fall to them, and whether numbers and means agree."""
+    rows = M.stratified_split(V.ml(spark, sf), "id")
+    train = rows.where(F.col("split") == "train")
+    leaves = M.leaf_statistics(train, M.train_gbt(train, FES, maxIter=20))
+    agree = (F.col("n") == F.col("n_rows")) & (F.abs(F.col("prediction") - F.col("mean_residual")) < 1e-9)
+    return leaves.groupBy("tree").agg(F.sum("n_rows").alias("n_rows"), F.min(F.coalesce(agree, F.lit(False))).alias("agree"))
 
 
 @query
@@ -864,6 +887,28 @@ def report_files(spark, sf):
     return readers.read_csv(spark, f"{out}/auc").select(F.col("snapshot_date").cast("string"), "run_id", F.round("value", 9).alias("value"))
 
 
+@query
+def report_psi_file(spark, sf):
+    """The PSI matrix of the same report, its file read back."""
+    best = registry.best_per_snapshot(run_rows(spark, sf)).select("run_id")
+    metrics, out = registry.metrics_long(V.run_log(spark, sf)).join(best, "run_id", "left_semi"), fresh_path(spark, "report")
+    parquet, _ = writers.export_metrics(metrics, f"{out}/metrics")
+    monitoring.build_report(spark, parquet, out)
+    cells = report.pivot_cells(readers.read_csv(spark, f"{out}/psi"))
+    return cells.select("metric_name", "snapshot_date", F.round("value", 9).alias("value"))
+
+
+@query
+def csv_reordered(spark, sf):
+    """A folder of CSV files whose columns stand in different orders, one of them without a column."""
+    clk, out = V.clickstream(spark, sf), fresh_path(spark, "csv")
+    even = F.col("Customer_ID").cast("bigint") % 3
+    writers.write_csv(clk.where(even == 0), f"{out}/a")
+    writers.write_csv(clk.where(even == 1).select(*reversed(clk.columns)), f"{out}/b")
+    writers.write_csv(clk.where(even == 2).drop("fe_7"), f"{out}/c")
+    return readers.read_csv(spark, f"{out}/*", K.CLICKSTREAM_SCHEMA)
+
+
 @query
 def random_search(spark, sf):
     return M.search_results(M.random_search(M.assemble(V.ml(spark, sf), FES)))
