@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from creditloom import constants as K
 from creditloom.operators.ordering import SLICE, slice_by_range, total_before, with_total_before
+from creditloom.sources import writers
 from creditloom.sources.staging import fresh_path, stage
 
 SCALED = "__scaled"
@@ -246,8 +247,8 @@ def random_search(
     """Random search by cross-validated AUC (unbinned) over rows with ``features`` and ``label``.
 
     Boosting rounds are nested: points that differ in maxIter only are one fit of the most rounds, of which the
-    others are the beginning. The fits of all points and folds run side by side, as many as the session has
-    tasks for. Partitions follow the number of rows, as a fit is many short jobs. ``max_rows`` bounds
+    others are the beginning. The fits of all points and folds run side by side, three for each task the session
+    has room for, as a fit's short jobs leave gaps. Partitions follow the number of rows, as a fit is many short jobs. ``max_rows`` bounds
     the rows that are searched by a random share of about so many; the default is all rows.
     """
     estimator = estimator or boosted_trees(seed=seed)
@@ -282,7 +283,7 @@ def random_search(
         by_rounds = {r: evaluator.evaluate(m.transform(held[fold])) for r, m in cut.items()}
         return [(i, by_rounds[rounds[i]]) for i in mine]
 
-    side_by_side = parallelism or max(1, spark.sparkContext.defaultParallelism // n_tasks)
+    side_by_side = parallelism or max(1, 3 * spark.sparkContext.defaultParallelism // n_tasks)
     found: dict[int, list[float]] = {i: [] for i in range(len(points))}
     tasks = [(mine, fold) for mine in fits.values() for fold in range(folds)]
     try:
@@ -505,9 +506,9 @@ class RunRecord:
 
 
 def log_run(spark: SparkSession, path: str, *records: RunRecord) -> DataFrame:
-    """Append run records to the runs table."""
+    """Append run records to the run log: one file a call and day, see ``writers.compact_runs``."""
     rows = spark.createDataFrame([r.row() for r in records], K.RUNS_SCHEMA)
-    rows.coalesce(1).write.mode("append").parquet(path)
+    writers.append_runs(rows.coalesce(1), path)
     return rows
 
 

@@ -120,7 +120,7 @@ def log_inference(spark: SparkSession, runs_path: str, summary: DataFrame, psi:
             lambda _, v: v.isNotNull(),
         ).alias("metrics"),
     )
-    runs.write.mode("append").parquet(runs_path)
+    writers.append_runs(runs, runs_path)
 
 
 def export_run_metrics(spark: SparkSession, runs_path: str, outdir: str) -> tuple[str, str]:

@@ -102,8 +102,8 @@ def read_baseline(spark: SparkSession, path: str, columns: list[str] | None = No
 
 
 def read_runs(spark: SparkSession, path: str, newest_first: bool = False) -> DataFrame:
-    """Run records. They are read whole: there is no cap on the number of runs."""
-    runs = spark.read.schema(K.RUNS_SCHEMA).parquet(path)
+    """Run records, from folders by day or a flat folder. They are read whole: there is no cap on the number of runs."""
+    runs = spark.read.schema(K.RUNS_SCHEMA).parquet(path).select(*K.RUNS_SCHEMA.names)
     return runs.orderBy(F.desc("start_time")) if newest_first else runs
 
 
@@ -134,3 +134,9 @@ def read_optional(spark: SparkSession, path: str, schema: StructType) -> DataFra
     if path_exists(spark, path):
         return read_csv(spark, path, schema)
     return spark.createDataFrame([], schema)
+
+
+def run_files(spark: SparkSession, path: str) -> DataFrame:
+    """(day, n_files, n_runs) of a run log that is kept by day."""
+    runs = spark.read.schema(K.RUNS_SCHEMA).parquet(path).select("day", F.col("_metadata.file_path").alias("file"))
+    return runs.groupBy("day").agg(F.count_distinct("file").alias("n_files"), F.count(F.lit(1)).alias("n_runs"))

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from creditloom import constants as K
 from creditloom.sources import readers
+from creditloom.sources.staging import stage
 
 
 def write_parquet(
@@ -74,3 +77,29 @@ def ingest_sources(
         write_table(df, root, "bronze", name, by, whole=True)
         tables[name] = readers.read_table(spark, root, "bronze", name)
     return tables
+
+
+def append_runs(runs: DataFrame, path: str) -> None:
+    """Append run records to the log, which is kept by the day of their start."""
+    runs.withColumn("day", F.to_date("start_time")).write.mode("append").partitionBy("day").parquet(path)
+
+
+def compact_runs(spark: SparkSession, path: str, before: dt.date | str | None = None) -> int:
+    """Rewrite the days of a run log that have more than one file, and give their number.
+
+    Every run logged adds a file, so a scan of many runs opens as many; after this a day is as few files as its size
+    needs. ``before`` leaves later days alone, to which runs may still be added: a run logged while
+    its day is rewritten would be lost. The rows are staged first, then replace their days only.
+    """
+    days = readers.run_files(spark, path).where("n_files > 1")
+    if before is not None:
+        days = days.where(F.col("day") < readers.as_date(before))
+    days = stage(days.select("day"), "days")
+    n_days = days.count()
+    if n_days:
+        runs = spark.read.schema(K.RUNS_SCHEMA).parquet(path)
+        # as many rows as days
+        rows = stage(runs.join(F.broadcast(days), "day", "left_semi"), "runs")
+        write_parquet(rows, path, "day")
+    return n_days
+

@@ -128,3 +128,18 @@ def test_csv_files_with_different_headers(spark, tmp_path):
     df = readers.read_csv(spark, str(tmp_path), StructType.fromDDL(schema))
     assert df.columns == ["k", "v", "w"]
     assert sorted(map(tuple, df.collect())) == [("x", 1, 2.5), ("y", None, 0.5), ("z", None, 1.0)]
+
+
+def test_run_log_is_compacted_by_day(spark, tmp_path):
+    path, when = str(tmp_path / "runs"), dt.datetime
+    from creditloom.operators import modeling as M
+
+    for i in range(6):
+        M.log_run(spark, path, M.RunRecord(f"r{i}", when(2024, 1, 1 + i // 4, i), {"model_type": "gbt"}, {"auc": i / 10}, {}))
+    assert {str(r.day): r.n_files for r in readers.run_files(spark, path).collect()} == {"2024-01-01": 4, "2024-01-02": 2}
+    before = sorted(readers.read_runs(spark, path).select("run_id", "start_time").collect())
+    assert writers.compact_runs(spark, path, before="2024-01-02") == 1
+    assert {str(r.day): r.n_files for r in readers.run_files(spark, path).collect()} == {"2024-01-01": 1, "2024-01-02": 2}
+    assert writers.compact_runs(spark, path) == 1 and writers.compact_runs(spark, path) == 0
+    after = readers.read_runs(spark, path)
+    assert sorted(after.select("run_id", "start_time").collect()) == before and after.columns == K.RUNS_SCHEMA.names

@@ -669,6 +669,9 @@ def oracle_sql() -> dict[str, str]:
  where metric_name='auc'""",
             _BEST,
         ),
+        "runs_compacted": twin(
+            "fx_runs", "select cast(cast(start_time as date) as varchar) \"day\", 1 n_files, count(*) n_runs from fx_runs group by 1"
+        ),
         "report_psi_file": twin(
             "fx_runs fx_metrics",
             """select metric_name, m.snapshot_date, round(m."value",9) as "value" from fx_metrics m join best using (run_id)

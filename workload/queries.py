@@ -887,6 +887,16 @@ def report_files(spark, sf):
     return readers.read_csv(spark, f"{out}/auc").select(F.col("snapshot_date").cast("string"), "run_id", F.round("value", 9).alias("value"))
 
 
+@query
+def runs_compacted(spark, sf):
+    """A run log written in three batches and compacted: files and runs by day."""
+    log, path = V.run_log(spark, sf), fresh_path(spark, "runs")
+    for part in range(3):
+        writers.append_runs(log.where(F.crc32(F.col("run_id").cast("binary")) % 3 == part), path)
+    writers.compact_runs(spark, path)
+    return readers.run_files(spark, path).withColumn("day", F.col("day").cast("string"))
+
+
 @query
 def report_psi_file(spark, sf):
     """The PSI matrix of the same report, its file read back."""
