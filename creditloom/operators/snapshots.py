@@ -12,6 +12,7 @@ from creditloom import constants as K
 from creditloom.functions import delinquency as D
 from creditloom.operators.labels import at_mob
 from creditloom.sources.readers import as_date
+from creditloom.operators.skew import salted_join
 from creditloom.sources.staging import stage
 
 SNAPSHOT = "snapshot_date"
@@ -147,19 +148,20 @@ def repeat_rows(df: DataFrame, copies: Column, chunk: int = 10_000) -> DataFrame
     return parts.select("*", F.explode(F.sequence(F.lit(1), F.col("__part").cast("int"))).alias("__copy")).select(*columns)
 
 
-def join_outcomes(feat: DataFrame, labelled: DataFrame, mob: int = K.MOB_CUTOFF) -> DataFrame:
+def join_outcomes(feat: DataFrame, labelled: DataFrame, mob: int = K.MOB_CUTOFF, salt: bool = False) -> DataFrame:
     """Features of month m joined to the same customer's outcomes at month m + mob.
 
     One inner equi-join on (customer, outcome month) covers every month; every row of
     ``labelled`` (outcomes or outcome counts) that matches gives one output row. A hot customer
     is split by AQE's skew join, which applies because nothing above the join relies on its
-    partitioning when the result is written.
+    partitioning when the result is written; with ``salt`` by salts, whatever stands above the join, for one more pass.
     """
     features = feat.withColumnRenamed(SNAPSHOT, "feature_snapshot_date").withColumn(
         "label_snapshot_date", F.add_months("feature_snapshot_date", mob)
     )
     extra = [c for c in labelled.columns if c not in ("Customer_ID", "label_snapshot_date", "label")]
-    return features.join(labelled, ["Customer_ID", "label_snapshot_date"]).select(
+    join = salted_join if salt else DataFrame.join
+    return join(features, labelled, ["Customer_ID", "label_snapshot_date"]).select(
         *[c for c in features.columns if c != "label_snapshot_date"], "label", "label_snapshot_date", *extra
     )
 
@@ -170,6 +172,7 @@ def multi_snapshot_join(
     dpd: int = K.DPD_CUTOFF,
     mob: int = K.MOB_CUTOFF,
     require_rows: bool = False,
+    salt: bool = False,
 ) -> DataFrame:
     """Features with the label their customer's loans show ``mob`` months later.
 
@@ -177,7 +180,7 @@ def multi_snapshot_join(
     """
     if require_rows and valid_slices(feat, loans, mob).isEmpty():
         raise ValueError(f"no feature month has an outcome month {mob} months later")
-    return join_outcomes(feat, outcomes(loans, dpd, mob), mob)
+    return join_outcomes(feat, outcomes(loans, dpd, mob), mob, salt)
 
 
 def join_sources(sources: list[DataFrame], on: list[str] = LABELLED_KEYS) -> DataFrame:
@@ -186,16 +189,21 @@ def join_sources(sources: list[DataFrame], on: list[str] = LABELLED_KEYS) -> Dat
 
 
 def attach_labels(
-    feat: DataFrame, labels: DataFrame, on: list[str] | None = None, columns: list[str] | None = None
+    feat: DataFrame,
+    labels: DataFrame,
+    on: list[str] | None = None,
+    columns: list[str] | None = None,
+    salt: bool = False,
 ) -> DataFrame:
     """Features joined to labels, by default on the customer only: every feature month meets
-    every label of the customer. Shared non-key columns get the suffixes ``_x`` and ``_y``."""
+    every label of the customer. Shared non-key columns get the suffixes ``_x`` and ``_y``. ``salt`` spreads customers
+    with many feature months."""
     on = on or ["Customer_ID"]
     feat = feat if columns is None else feat.select(*columns)
     shared = [c for c in feat.columns if c in labels.columns and c not in on]
     left = feat.withColumnsRenamed({c: f"{c}_x" for c in shared})
     right = labels.withColumnsRenamed({c: f"{c}_y" for c in shared})
-    return left.join(right, on, "inner")
+    return salted_join(left, right, on) if salt else left.join(right, on, "inner")
 
 
 def attach_label_counts(feat: DataFrame, labels: DataFrame, on: list[str] | None = None) -> DataFrame:

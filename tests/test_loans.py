@@ -180,3 +180,33 @@ def test_slices_and_backfill(spark):
     assert S.at_latest(features).count() == 2
     assert S.as_of(features, "2023-01-01").count() == 1
     assert S.between_dates(features, "2023-01-01", "2023-02-01").count() == 3
+
+
+def test_hot_customer_is_salted(spark):
+    """One customer has half the rows; without any skew handling at run time no task of the join gets over 5 %."""
+    from creditloom.operators import skew
+
+    left = spark.range(40_000).selectExpr("if(id % 2 = 0, 'hot', concat('c', id % 3000)) as k", "id as v")
+    left = left.union(left.limit(1).selectExpr("cast(null as string) as k", "-1L as v"))
+    right = spark.range(3000).selectExpr("concat('c', id) as k", "id as w").union(spark.sql("select 'hot' k, explode(array(1L, 2L)) w"))
+    kept = {"spark.sql.adaptive.skewJoin.enabled": "false", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.shuffle.partitions": "64", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in kept}
+    try:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+        joined = skew.salted_join(left, right, ["k"])
+        assert joined.columns == ["k", "v", "w"]
+        tasks = joined.groupBy(F.spark_partition_id()).count().collect()
+        total = sum(r["count"] for r in tasks)
+        assert max(r["count"] for r in tasks) <= 0.05 * total
+        plain = left.join(right, "k")
+        assert joined.exceptAll(plain).isEmpty() and plain.exceptAll(joined).isEmpty()
+        for how in ("left", "left_semi"):
+            one, other = skew.salted_join(left, right.where("w = 1"), ["k"], how), left.join(right.where("w = 1"), "k", how)
+            assert one.exceptAll(other).isEmpty() and one.count() == other.count()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    with pytest.raises(ValueError):
+        skew.salted_join(left, right, ["k"], "right")

@@ -434,6 +434,12 @@ def oracle_sql() -> dict[str, str]:
         "attach_labels": twin(
             "fx_clk s_loans",
             """select f.Customer_ID, f.snapshot_date, fe_1, fe_2, l.loan_id, l.label
+ from fx_clk f join labels_ l on f.Customer_ID=l.Customer_ID and f.snapshot_date=l.snapshot_date""",
+            labels,
+        ),
+        "salted_attach_labels": twin(
+            "fx_clk s_loans",
+            """select f.Customer_ID, f.snapshot_date, fe_1, fe_2, l.loan_id, l.label
  from fx_clk f join labels_ l on f.Customer_ID=l.Customer_ID and f.snapshot_date=l.snapshot_date""",
             labels,
         ),

@@ -887,6 +887,13 @@ def report_files(spark, sf):
     return readers.read_csv(spark, f"{out}/auc").select(F.col("snapshot_date").cast("string"), "run_id", F.round("value", 9).alias("value"))
 
 
+@query
+def salted_attach_labels(spark, sf):
+    """Features joined to labels on customer and month, customers with many rows salted."""
+    labels = L.label_store(silver_loans(spark, sf))
+    return S.attach_labels(V.clickstream(spark, sf), labels, on=PANEL, columns=[*PANEL, "fe_1", "fe_2"], salt=True)
+
+
 @query
 def runs_compacted(spark, sf):
     """A run log written in three batches and compacted: files and runs by day."""
