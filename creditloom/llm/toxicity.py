@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import partial
@@ -14,19 +16,24 @@ from pyspark.sql import functions as F
 
 from creditloom.llm.common import stage, whole_text, words_of
 
-#: Bound of the labelled rows that the classifier is fitted on: those first by hash of their doc_id.
-MAX_LABELLED = 20_000
-#: Bound of the terms, and how firmly a term must go with the label to be one (chi-square, one degree).
-MAX_TERMS = 256
-MIN_CHI2 = 30.0
-MIN_DOCUMENTS = 5
+#: Bound of the labelled rows that the classifier is fitted on: so many of each label, those first by hash of their doc_id.
+MAX_LABELLED = 2_048
+#: A term's weight is TF-IDF times (this + its chi-square with the label over the labelled rows' number).
+RELEVANCE_FLOOR = 0.003
 NEIGHBOURS = 15
-#: Words, and their openings, which inflected and joined words share.
-OPENINGS = (4, 5)
 BLOCK = 64
+#: Lists of so many terms, the longest, are kept as rows of one dense matrix, which meets queries in parts of so many.
+HEAD = 1_024
+TOGETHER = 64
+#: Blocks of largest bound that are read before the rest is held against the bound they set.
+FIRST_BLOCKS = 4
 #: A vote counts 1 / (distance + this).
 NEAREST = 0.05
+#: Documents a scoring task takes, and how many tasks copies of one text are spread over.
+TASK_ROWS = 4_096
+SPREAD = 16
 _BINS = 25
+_REMEMBERED = 8_192
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -34,142 +41,209 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(5)) == 0
 
 
-def term_counts(text: bytes, vocabulary: dict[bytes, int] | None = None) -> Counter:
-    """Times of each term: words, and openings marked by a star; with a vocabulary, of its terms only."""
-    out: Counter = Counter()
-    for word, n in Counter(words_of(text)).items():
-        for term in (word, *(word[:k] + b"*" for k in OPENINGS if len(word) >= k)):
-            if vocabulary is None or term in vocabulary:
-                out[term] += n
-    return out
+def _known_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        counts = [Counter(words_of(t.as_py())) for t in batch.column("text").cast(pa.binary())]
+        words = pa.array([list(c) for c in counts], pa.list_(pa.binary()))
+        times = pa.array([list(c.values()) for c in counts], pa.list_(pa.int32()))
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), words, times], ["doc_id", "words", "times"])
 
 
-def _labelled_terms(batches: Iterator[pa.RecordBatch], marks: Broadcast) -> Iterator[pa.RecordBatch]:
-    """(term, documents, toxic documents) of the labelled documents of a task, in parts of bounded size."""
-    n, toxic = Counter(), Counter()
+def packed(terms: np.ndarray, times: np.ndarray) -> bytes:
+    """A vector's ascending term numbers, as differences, and times, by byte planes, so that high bytes of zero take no room."""
+    both = np.concatenate((np.diff(terms, prepend=0), times)).astype(np.int32)
+    return zlib.compress(both.view(np.uint8).reshape(-1, 4).T.tobytes(), 1) if len(terms) else b""
 
-    def out():
-        terms = list(n)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(terms, pa.binary()), pa.array([n[t] for t in terms], pa.int64()), pa.array([toxic[t] for t in terms], pa.int64())],
-            ["term", "n", "toxic"],
-        )
 
+def unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    if not data:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1)
+    both = np.ascontiguousarray(planes.T).view(np.int32).reshape(2, -1).astype(np.int64)
+    return np.cumsum(both[0]), both[1]
+
+
+def _vectors(batches: Iterator[pa.RecordBatch], vocabulary: Broadcast) -> Iterator[pa.RecordBatch]:
+    """Numbers and times of the terms that an example has; ``other`` is the sum of (1 + ln tf)^2 over the rest."""
+    numbers = vocabulary.value
     for batch in batches:
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary())):
-            mark = marks.value.get(doc_id)
-            if mark is not None:
-                terms = term_counts(text.as_py()).keys()
-                n.update(terms)
-                if mark:
-                    toxic.update(terms)
-                if len(n) > 200_000:
-                    yield out()
-                    n, toxic = Counter(), Counter()
-    yield out()
-
-
-def choose_terms(docs: DataFrame, marks: dict[int, int]) -> list[bytes]:
-    """The terms that go most firmly with the label, by chi-square over the labelled documents."""
-    total, positive = len(marks), sum(marks.values())
-    if not positive or positive == total:
-        return []
-    shared = docs.sparkSession.sparkContext.broadcast(marks)
-    counts = docs.select("doc_id", "text").mapInArrow(partial(_labelled_terms, marks=shared), "term binary, n long, toxic long")
-    counts = counts.groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")).filter(F.col("n") >= MIN_DOCUMENTS)
-    a, n = F.col("toxic").cast("double"), F.col("n").cast("double")
-    cross = a * (total - positive - (n - a)) - (n - a) * (positive - a)
-    chi2 = total * cross * cross / (n * (total - n) * positive * (total - positive))
-    chosen = counts.withColumn("chi2", chi2).filter((F.col("chi2") >= MIN_CHI2) & (cross > 0))
-    return [bytes(r["term"]) for r in chosen.orderBy(F.desc("chi2"), "term").limit(MAX_TERMS).collect()]
-
-
-def _vectors(batches: Iterator[pa.RecordBatch], terms: list[bytes]) -> Iterator[pa.RecordBatch]:
-    vocabulary = {t: i for i, t in enumerate(terms)}
-    for batch in batches:
-        ids, times = [], []
+        vectors, other = [], []
         for text in batch.column("text").cast(pa.binary()):
-            found = sorted((vocabulary[t], n) for t, n in term_counts(text.as_py(), vocabulary).items()) if terms else []
-            ids.append([i for i, _ in found])
-            times.append([n for _, n in found])
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32())), pa.array(times, pa.list_(pa.int32()))],
-            ["doc_id", "terms", "times"],
-        )
+            found, rest = [], Counter()
+            for word, n in Counter(words_of(text.as_py())).items():
+                i = numbers.get(word)
+                if i is None:
+                    rest[n] += 1
+                else:
+                    found.append((i, n))
+            found.sort()
+            vectors.append(packed(*np.array(found, np.int64).reshape(-1, 2).T))
+            other.append(sum(k * (1 + math.log(n)) ** 2 for n, k in sorted(rest.items())))
+        columns = [batch.column("doc_id"), pa.array(vectors, pa.binary()), pa.array(other, pa.float64())]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "vector", "other"])
+
+
+def _documents_of_terms(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(size, np.int64)
+    for batch in batches:
+        for vector in batch.column("vector"):
+            total[unpacked(vector.as_py())[0]] += 1
+    terms = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(terms.astype(np.int32)), pa.array(total[terms])], ["term", "df"])
 
 
-def unit_vector(terms: list[int], times: list[int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Term numbers and TF-IDF weights, (1 + ln tf) idf, of length one."""
+def relevance(with_term: np.ndarray, toxic_with_term: np.ndarray, total: int, toxic: int) -> np.ndarray:
+    """What a term's TF-IDF is multiplied by: a floor and its squared correlation with the label, of either sign."""
+    n, a = with_term.astype(np.float64), toxic_with_term.astype(np.float64)
+    spread = n * (total - n) * toxic * (total - toxic)
+    cross = a * (total - toxic - (n - a)) - (n - a) * (toxic - a)
+    return RELEVANCE_FLOOR + np.divide(cross * cross, spread, out=np.zeros(len(n)), where=spread > 0)
+
+
+def unit_vector(terms: np.ndarray | list[int], times: np.ndarray | list[int], weight: np.ndarray, other: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+    """Term numbers and weights, (1 + ln tf) times the term's, over the length that the weights and ``other`` have."""
     at = np.array(terms, np.int64)
-    weights = (1 + np.log(np.array(times, np.float64))) * idf[at]
-    return at, weights / np.sqrt((weights * weights).sum()) if len(at) else weights
+    weights = (1 + np.log(np.array(times, np.float64))) * weight[at]
+    return at, weights / np.sqrt((weights * weights).sum() + other) if len(at) else weights
+
+
+def _ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all ranges, one after the other, and how long each range is."""
+    n = ends - starts
+    return np.repeat(starts - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum()), n
 
 
 class Index:
     """Posting lists of the examples' unit vectors, cut into blocks of examples with each block's largest weight.
 
-    Examples stand in order of their heaviest terms, so that those with common terms share blocks.
+    Equal vectors are one entry with its documents. Entries stand by the nearest of about sqrt(n) of them, so that
+    those with common terms share blocks. The longest lists are rows of a dense matrix, zeros included.
     """
 
-    def __init__(self, examples: list[tuple[int, int, list[int], list[int]]], idf: np.ndarray):
-        """examples: (doc_id, label, terms, times) of vectors with a term."""
-        vectors = [(d, y, *unit_vector(t, n, idf)) for d, y, t, n in examples]
-        vectors.sort(key=lambda v: (v[2][np.argsort(-v[3], kind="stable")].tolist(), v[0]))
-        self.doc_id = np.array([v[0] for v in vectors], np.int64)
-        self.label = np.array([v[1] for v in vectors], np.float64)
-        n_blocks = -(-len(vectors) // BLOCK)
-        postings: list[list[tuple[int, float]]] = [[] for _ in idf]
-        for i, (_, _, terms, weights) in enumerate(vectors):
-            for t, w in zip(terms.tolist(), weights.tolist()):
-                postings[t].append((i, w))
-        self.ids = [np.array([i for i, _ in p], np.int64) for p in postings]
-        self.weights = [np.array([w for _, w in p]) for p in postings]
-        self.cuts = [np.searchsorted(ids, np.arange(n_blocks + 1) * BLOCK) for ids in self.ids]
-        self.most = np.zeros((len(idf), n_blocks))
-        for t, (ids, weights) in enumerate(zip(self.ids, self.weights)):
-            np.maximum.at(self.most[t], ids // BLOCK, weights)
-
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int | None) -> list[tuple[float, int, int]]:
-        """The k examples of largest positive cosine as (cosine, doc_id, place), ties to the smaller doc_id.
-
-        Blocks are taken by their upper bound, the sum of their largest weights times the query's; when the
-        next bound is below the k-th best cosine, no other block can hold a nearer example.
+    def __init__(self, examples: list[tuple[int, int, list[int], list[int]]], weight: np.ndarray):
+        """examples: (doc_id, label, terms, times) of vectors with a term, terms ascending."""
+        equal: dict[tuple, list[tuple[int, int]]] = {}
+        for d, y, terms, times in sorted(examples):
+            equal.setdefault((tuple(terms), tuple(times)), []).append((d, y))
+        vectors = [unit_vector(list(terms), list(times), weight) for terms, times in equal]
+        self.members, self.size = list(equal.values()), len(equal)
+        entry = np.repeat(np.arange(self.size), [len(t) for t, _ in vectors]) if vectors else np.empty(0, np.int64)
+        term = np.concatenate([t for t, _ in vectors]) if vectors else np.empty(0, np.int64)
+        value = np.concatenate([w for _, w in vectors]) if vectors else np.empty(0)
+        place = self._places(vectors, entry, term, value, len(weight))
+        by_place = np.argsort(place)
+        self.members = [self.members[i] for i in by_place.tolist()]
+        self.blocks = max(1, -(-self.size // BLOCK))
+        length = np.bincount(term, minlength=len(weight))
+        head = np.argsort(-length, kind="stable")[:HEAD]
+        self.row = np.full(len(weight), -1)
+        self.row[head] = np.arange(len(head))
+        self.dense = np.zeros((len(head), self.blocks * BLOCK))
+        dense = self.row[term] >= 0
+        self.dense[self.row[term[dense]], place[entry[dense]]] = value[dense]
+        entry, term, value = place[entry[~dense]], term[~dense], value[~dense]
+        order = np.lexsort((entry, term))
+        self.entry, self.value, term = entry[order], value[order], term[order]
+        run = term * self.blocks + self.entry // BLOCK
+        self.start = np.flatnonzero(np.concatenate((np.ones(min(1, len(run)), bool), run[1:] != run[:-1])))
+        self.end = np.append(self.start[1:], len(run)) if len(run) else self.start
+        self.block = self.entry[self.start] // BLOCK
+        self.most = np.maximum.reduceat(self.value, self.start) if len(run) else np.empty(0)
+        self.runs = np.searchsorted(term[self.start], np.arange(len(weight) + 1))
+
+    def _places(self, vectors: list, entry: np.ndarray, term: np.ndarray, value: np.ndarray, n_terms: int) -> np.ndarray:
+        pivots = list(range(0, self.size, max(1, math.isqrt(self.size))))
+        nearest, best = np.zeros(self.size, np.int64), np.full(self.size, -1.0)
+        dense = np.zeros(n_terms)
+        for p in pivots:
+            dense[vectors[p][0]] = vectors[p][1]
+            cosine = np.bincount(entry, value * dense[term], minlength=self.size)
+            dense[vectors[p][0]] = 0
+            closer = cosine > best
+            nearest[closer], best[closer] = p, cosine[closer]
+        place = np.empty(self.size, np.int64)
+        place[np.lexsort((-best, nearest))] = np.arange(self.size)
+        return place
+
+    def nearest(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[list[tuple[float, int, int]]]:
+        """For each (terms, weights) the k examples of largest positive cosine as (cosine, doc_id, label), ties to
+        the smaller doc_id."""
+        out = []
+        for start in range(0, len(queries), TOGETHER):
+            some = queries[start : start + TOGETHER]
+            heads = np.zeros((len(some), len(self.dense)))
+            rows = [self.row[terms] for terms, _ in some]
+            for head, row, (_, weights) in zip(heads, rows, some):
+                head[row[row >= 0]] = weights[row >= 0]
+            cosines = (heads @ self.dense).reshape(len(some), self.blocks, BLOCK)
+            peaks = cosines.max(axis=2)
+            for cosine, peak, row, (terms, weights) in zip(cosines, peaks, rows, some):
+                out.append(self._nearest(cosine, peak, terms[row < 0], weights[row < 0], k))
+        return out
+
+    def _nearest(
+        self, cosine: np.ndarray, peak: np.ndarray, terms: np.ndarray, weights: np.ndarray, k: int
+    ) -> list[tuple[float, int, int]]:
+        """Add the posting lists of ``terms`` to the cosines of blocks that may hold one of the k nearest.
+
+        A block's bound is its largest cosine so far and the sum of its largest weights times the query's. The blocks
+        of largest bound are read first; a block whose bound is below their k-th cosine cannot hold a nearer example.
         """
-        best: list[tuple[float, int, int]] = []
-        if not len(self.doc_id):
-            return best
-        bound = weights @ self.most[terms]
-        for block in np.argsort(-bound, kind="stable").tolist():
-            if bound[block] <= 0 or (len(best) == k and bound[block] < -best[-1][0] - 1e-9):
-                break
-            start = block * BLOCK
-            cosine = np.zeros(min(BLOCK, len(self.doc_id) - start))
-            for t, w in zip(terms.tolist(), weights.tolist()):
-                a, b = self.cuts[t][block], self.cuts[t][block + 1]
-                cosine[self.ids[t][a:b] - start] += w * self.weights[t][a:b]
-            for i in np.flatnonzero(cosine > 0).tolist():
-                if self.doc_id[start + i] != without:
-                    best.append((-float(cosine[i]), int(self.doc_id[start + i]), start + i))
-            best = sorted(best)[:k]
-        return [(-c, d, i) for c, d, i in best]
-
-
-def vote(near: list[tuple[float, int, int]], label: np.ndarray) -> float | None:
+        runs, n = _ranges(self.runs[terms], self.runs[terms + 1])
+        by_run = np.repeat(weights, n)
+        of_run = self.block[runs]
+        bound = peak + np.bincount(of_run, self.most[runs] * by_run, minlength=self.blocks)
+        order = np.argsort(-bound, kind="stable")
+        flat = cosine.reshape(-1)
+
+        def read(blocks: np.ndarray) -> None:
+            taken = np.zeros(self.blocks, bool)
+            taken[blocks] = True
+            mine = taken[of_run]
+            at, n = _ranges(self.start[runs[mine]], self.end[runs[mine]])
+            flat[:] += np.bincount(self.entry[at], self.value[at] * np.repeat(by_run[mine], n), minlength=len(flat))
+
+        def kth(values: np.ndarray) -> float:
+            return max(0.0, float(np.partition(values, len(values) - k)[len(values) - k])) if len(values) > k else 0.0
+
+        first, rest = order[:FIRST_BLOCKS], order[FIRST_BLOCKS:]
+        read(first)
+        least = kth(cosine[first].reshape(-1))
+        rest = rest[bound[rest] >= least - 1e-9]
+        if len(rest):
+            read(rest)
+            least = max(least, kth(cosine[rest].reshape(-1)))
+        blocks = np.concatenate((first, rest))
+        values = np.round(cosine[blocks].reshape(-1), 12)
+        places = (blocks[:, None] * BLOCK + np.arange(BLOCK)).reshape(-1)
+        found = (values > 0) & (values >= least - 1e-9)
+        near = [(-c, d, y) for c, i in zip(values[found].tolist(), places[found].tolist()) for d, y in self.members[i][:k]]
+        return [(-c, d, y) for c, d, y in sorted(near)[:k]]
+
+
+def vote(near: list[tuple[float, int, int]]) -> float | None:
     """Share of the neighbours' weight that is toxic; null without neighbours."""
     if not near:
         return None
     weights = [1 / (max(0.0, 1 - c) + NEAREST) for c, _, _ in near]
-    return sum(w * label[i] for w, (_, _, i) in zip(weights, near)) / sum(weights)
+    return sum(w * y for w, (_, _, y) in zip(weights, near)) / sum(weights)
 
 
-def _votes(batches: Iterator[pa.RecordBatch], index: Broadcast, idf: list[float], k: int) -> Iterator[pa.RecordBatch]:
-    table, idf = index.value, np.array(idf)
+def _votes(batches: Iterator[pa.RecordBatch], index: Broadcast, rarest: float, k: int) -> Iterator[pa.RecordBatch]:
+    table, weight = index.value
+    seen: dict[tuple, list] = {}  # copies of a text are looked up once
     for batch in batches:
         votes, evidence, cosines = [], [], []
-        rows = zip(*(batch.column(c).to_pylist() for c in ("doc_id", "terms", "times")))
-        for doc_id, terms, times in rows:
-            near = table.nearest(*unit_vector(terms, times, idf), k, doc_id) if terms else []
-            votes.append(vote(near, table.label))
+        ids, *keys = (batch.column(c).to_pylist() for c in ("doc_id", "vector", "other"))
+        keys = list(zip(*keys))
+        if len(seen) > _REMEMBERED:
+            seen = {}
+        new = [key for key in dict.fromkeys(keys) if key not in seen]
+        queries = [unit_vector(*unpacked(vector), weight, other * rarest * rarest) for vector, other in new]
+        seen |= zip(new, table.nearest(queries, k + 1))
+        for doc_id, key in zip(ids, keys):
+            near = [x for x in seen[key] if x[1] != doc_id][:k]
+            votes.append(vote(near))
             evidence.append([d for _, d, _ in near])
             cosines.append([c for c, _, _ in near])
         yield pa.RecordBatch.from_arrays(
@@ -179,13 +253,14 @@ def _votes(batches: Iterator[pa.RecordBatch], index: Broadcast, idf: list[float]
         )
 
 
-def calibration(votes: np.ndarray, labels: np.ndarray) -> tuple[list[float], list[float]]:
-    """Votes and the shares of label 1 at them, rising: pooled neighbours of bins of the votes."""
+def calibration(votes: np.ndarray, labels: np.ndarray, weights: np.ndarray | None = None) -> tuple[list[float], list[float]]:
+    """Votes and the shares of label 1 at them, rising: pooled neighbours of bins of the votes, rows counted by weight."""
+    weights = np.ones(len(votes)) if weights is None else weights
     bins = np.minimum((votes * _BINS).astype(int), _BINS - 1)
     pools: list[list[float]] = []  # sum of votes, number, sum of labels (with half a row of each label)
     for b in np.unique(bins):
         own = bins == b
-        pools.append([votes[own].sum(), own.sum(), labels[own].sum()])
+        pools.append([(x[own] * weights[own]).sum() for x in (votes, np.ones(len(votes)), labels)])
         while len(pools) > 1 and pools[-2][2] / pools[-2][1] >= pools[-1][2] / pools[-1][1]:
             last = pools.pop()
             pools[-1] = [x + y for x, y in zip(pools[-1], last)]
@@ -203,55 +278,88 @@ def _calibrated(
         yield pa.RecordBatch.from_arrays(columns, ["doc_id", "score", "evidence", "cosines"])
 
 
-def labelled_sample(labels: DataFrame, max_labelled: int = MAX_LABELLED) -> dict[int, int]:
-    """Label of at most ``max_labelled`` documents that are not held out, first by hash of their doc_id.
+def labelled_sample(labels: DataFrame, max_labelled: int = MAX_LABELLED) -> tuple[dict[int, int], dict[int, float]]:
+    """Label of at most ``max_labelled`` documents of each label that are not held out, first by hash of their doc_id,
+    and how many labelled documents each of them stands for, by label.
 
     Ids and labels that are null are left out; of rows that repeat an id, the largest label counts.
     """
     rows = labels.filter("doc_id is not null and toxic is not null").filter(~held_out())
-    rows = rows.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    return {r["doc_id"]: int(r["toxic"] > 0) for r in rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled).collect()}
+    rows = stage(rows.groupBy("doc_id").agg(F.max((F.col("toxic").cast("int") > 0).cast("int")).alias("toxic")), "labelled")
+    marks, stands_for = {}, {}
+    for label in (0, 1):
+        own = rows.filter(F.col("toxic") == label)
+        first = own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled).collect()
+        marks |= {r["doc_id"]: label for r in first}
+        stands_for[label] = own.count() / len(first) if first else 0.0
+    return marks, stands_for
 
 
 def classify(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, neighbours: int = NEIGHBOURS) -> DataFrame:
     """(doc_id, held_out, score, predicted, evidence, cosines) for each row of ``docs``.
 
-    Terms are words and word openings that go with the label in the labelled sample; their document
-    frequencies are counted over all documents. The examples are the sample's vectors, at most
-    ``max_labelled``, so the index has a fixed bound and every task holds it. A text's nearest examples (itself
-    left out) vote by distance; the votes of the sample itself, and its labels, give the score's calibration.
-    evidence and cosines are the neighbours, nearest first.
-
-    A text without a term, empty and null ones too, scores the sample's share of label 1 among such texts;
-    without labelled rows every score is 0. Repeated rows are rows of their own; a null doc_id is not held
+    The examples are the labelled sample, at most ``max_labelled`` documents of each label, so that the index and its
+    vocabulary have a fixed bound and every task holds them. All words of a text are terms of its vector:
+    (1 + ln tf) times idf times ``relevance``. idf is ln((documents + 1) / (documents with the term + 1)) + 1 over all
+    documents; a term that no example has meets nothing, and counts in the vector's length with the idf of a term
+    of no document and the floor of relevance. A text's nearest examples (itself left out) vote by distance;
+    the votes of the sample itself, and its labels by what they stand for, give the score's calibration. evidence
+    and cosines are the neighbours, nearest first.
+
+    A text that shares no word with an example, empty and null ones too, scores the sample's share of label 1 among
+    such texts, or among all where the sample has none; without labelled rows every score is 0. Of rows that repeat a
+    labelled id, the least text is the example. Repeated rows are rows of their own; a null doc_id is not held
     out. Only texts go into a score: extra columns are ignored; empty tables give empty results.
     """
     spark = docs.sparkSession
-    marks = labelled_sample(labels, max_labelled)
+    marks, stands_for = labelled_sample(labels, max_labelled)
     texts = docs.select("doc_id", whole_text().alias("text"))
-    terms = choose_terms(texts, marks)
+    sample = spark.createDataFrame(sorted(marks.items()), "doc_id long, toxic int")
+    known = texts.join(F.broadcast(sample.select("doc_id")), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
+    known = known.mapInArrow(_known_terms, "doc_id long, words array<binary>, times array<int>").collect()  # the sample
+    numbers = {bytes(w): 0 for r in known for w in r["words"]}
+    numbers = {w: i for i, w in enumerate(sorted(numbers))}
     vectors = stage(
-        texts.mapInArrow(partial(_vectors, terms=terms), "doc_id long, terms array<int>, times array<int>"), "vectors"
+        texts.mapInArrow(
+            partial(_vectors, vocabulary=spark.sparkContext.broadcast(numbers)),
+            "doc_id long, vector binary, other double",
+        ),
+        "vectors",
     )
     n = vectors.count()
-    found = vectors.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df")).collect()
-    df = np.zeros(len(terms))
-    for r in found:  # one row per term
+    df, with_term, toxic = (np.zeros(len(numbers), np.int64) for _ in range(3))
+    found = vectors.select("vector").mapInArrow(partial(_documents_of_terms, size=len(numbers)), "term int, df long")
+    for r in found.groupBy("term").agg(F.sum("df").alias("df")).toLocalIterator():  # one row per term of the sample
         df[r["term"]] = r["df"]
-    idf = np.log((n + 1) / (df + 1)) + 1
-    sample = spark.createDataFrame(sorted(marks.items()), "doc_id long, toxic int") if marks else None
-    known = vectors.join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"]).collect() if marks else []
-    index = Index([(r["doc_id"], r["toxic"], r["terms"], r["times"]) for r in known if r["terms"]], idf)
-    votes = vectors.mapInArrow(
-        partial(_votes, index=spark.sparkContext.broadcast(index), idf=idf.tolist(), k=neighbours),
+    examples = []
+    for r in known:
+        terms, times = zip(*sorted((numbers[bytes(w)], m) for w, m in zip(r["words"], r["times"]))) if r["words"] else ((), ())
+        label = marks[r["doc_id"]]
+        with_term[list(terms)] += 1
+        toxic[list(terms)] += label
+        examples.append((r["doc_id"], label, list(terms), list(times)))
+    positive = sum(y for _, y, _, _ in examples)
+    weight = (np.log((n + 1) / (df + 1)) + 1) * relevance(with_term, toxic, len(examples), positive)
+    index = Index([e for e in examples if e[2]], weight)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // TASK_ROWS))
+    dealt = vectors.repartition(parts, F.xxhash64("vector"), F.pmod(F.xxhash64("doc_id"), F.lit(SPREAD)))
+    votes = dealt.mapInArrow(
+        partial(
+            _votes,
+            index=spark.sparkContext.broadcast((index, weight)),
+            rarest=(math.log(n + 1) + 1) * RELEVANCE_FLOOR,
+            k=neighbours,
+        ),
         "doc_id long, vote double, evidence array<long>, cosines array<double>",
     )
     votes = stage(votes, "votes")
-    own = votes.join(F.broadcast(sample), "doc_id").select("vote", "toxic").collect() if marks else []
-    with_vote = [(r["vote"], r["toxic"]) for r in own if r["vote"] is not None]
+    own = votes.join(F.broadcast(sample), "doc_id").groupBy("doc_id").agg(F.max("vote").alias("vote"), F.max("toxic").alias("toxic"))
+    own = own.collect()  # at most the sample
+    with_vote = [(r["vote"], r["toxic"], stands_for[r["toxic"]]) for r in own if r["vote"] is not None]
     at, share = calibration(*(np.array(x, float) for x in zip(*with_vote))) if with_vote else ([], [])
-    bare = [r["toxic"] for r in own if r["vote"] is None]
-    without = sum(bare) / len(bare) if bare else (sum(marks.values()) / len(marks) if marks else 0.0)
+    bare = [r["toxic"] for r in own if r["vote"] is None] or list(marks.values())
+    weights = [stands_for[y] for y in bare]
+    without = sum(w for w, y in zip(weights, bare) if y) / sum(weights) if weights else 0.0
     scored = votes.mapInArrow(
         partial(_calibrated, at=at, share=share, without=without),
         "doc_id long, score double, evidence array<long>, cosines array<double>",
