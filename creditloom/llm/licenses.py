@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from functools import partial
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditloom.llm.common import whole_text, words_of
@@ -37,41 +38,88 @@ TEMPLATES = [
 
 CONTAINMENT = 0.8
 
+_BASE = pa.list_(pa.struct([("first_word", pa.int64()), ("label", pa.string())]))
+_BLOCKS = pa.list_(
+    pa.struct(
+        [("template", pa.int32()), ("label", pa.string()), ("first_word", pa.int64()), ("last_word", pa.int64()), ("share", pa.float64())]
+    )
+)
 _FOUND = (
-    "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, "
-    "score double, n_links long"
+    "doc_id long, n_words long, base array<struct<first_word: long, label: string>>, "
+    "blocks array<struct<template: int, label: string, first_word: long, last_word: long, share: double>>"
 )
 
 
 class _Template:
     """A notice as a set of tokens, rarest first."""
 
-    def __init__(self, text: str, label: str, counts: dict[bytes, int], least: float):
+    def __init__(self, number: int, text: str, label: str, counts: dict[bytes, int], least: float):
         words = text.encode().split()
-        self.label, self.block = label, 2 * len(words)
+        self.number, self.label, self.block = number, label, 2 * len(words)
         self.tokens = sorted(set(words), key=lambda t: (counts.get(t, 0), t))
         self.need = math.ceil(least * len(self.tokens) - 1e-9)
-        # a set of tokens with `need` of these has one of the first len - need + 1 (prefix filter); each of them
-        # still has `need` tokens from its own place on (positional filter)
-        self.prefix = frozenset(self.tokens[: len(self.tokens) - self.need + 1])
-
-    def best(self, places: dict[bytes, list[int]], n_words: int) -> int:
-        """Most of the template's tokens in any block of ``block`` words, 0 below ``need``."""
-        if n_words < self.need or self.prefix.isdisjoint(places):  # length filter, prefix filter
-            return 0
-        met = sorted((at, t) for t in self.tokens for at in places.get(t, ()))
-        seen: Counter = Counter()
-        left = most = 0
-        for at, token in met:
-            seen[token] += 1
-            while met[left][0] <= at - self.block:
-                old = met[left][1]
-                seen[old] -= 1
-                if not seen[old]:
-                    del seen[old]
-                left += 1
-            most = max(most, len(seen))
-        return most if most >= self.need else 0
+        # a set of tokens with `need` of these has one of the first len - need + 1 (prefix filter)
+        self.prefix = self.tokens[: len(self.tokens) - self.need + 1]
+
+    def reaches(self, places: dict[bytes, list[int]]) -> list[tuple[int, int]]:
+        """First and last word of the stretches that hold all blocks that may match, apart from each other.
+
+        A block that matches has a rarest token, in the prefix. From its place in the order on, as many tokens as are
+        needed must stand in the words that a block around it can reach (positional filter).
+        """
+        out: list[tuple[int, int]] = []
+        for rank, token in enumerate(self.prefix):
+            for at in places.get(token, ()):
+                first, last = at - self.block + 1, at + self.block - 1
+                met = 0
+                for other in self.tokens[rank:]:
+                    own = places.get(other, ())
+                    i = bisect_left(own, first)
+                    met += i < len(own) and own[i] <= last
+                if met >= self.need:
+                    out.append((first, last))
+        return _united(sorted(out))
+
+    def matches(self, places: dict[bytes, list[int]], n_words: int) -> list[tuple[int, int, int]]:
+        """(first word, last word, most tokens in a block) of every run of overlapping blocks that match."""
+        if n_words < self.need:  # length filter
+            return []
+        spans = []
+        for first, last in self.reaches(places):
+            met = []
+            for token in self.tokens:
+                own = places.get(token, ())
+                met += [(at, token) for at in own[bisect_left(own, first) : bisect_left(own, last + 1)]]
+            met.sort()
+            seen: Counter = Counter()
+            left = 0
+            for at, token in met:
+                seen[token] += 1
+                while met[left][0] <= at - self.block:
+                    old = met[left][1]
+                    seen[old] -= 1
+                    if not seen[old]:
+                        del seen[old]
+                    left += 1
+                if len(seen) >= self.need:
+                    spans.append((met[left][0], at, len(seen)))
+        out: list[tuple[int, int, int]] = []
+        for first, last, most in spans:
+            if out and first <= out[-1][1]:
+                out[-1] = (out[-1][0], last, max(out[-1][2], most))
+            else:
+                out.append((first, last, most))
+        return out
+
+
+def _united(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for first, last in ranges:
+        if out and first <= out[-1][1] + 1:
+            out[-1] = (out[-1][0], max(out[-1][1], last))
+        else:
+            out.append((first, last))
+    return out
 
 
 def _token_counts(batches: Iterator[pa.RecordBatch], tokens: frozenset[bytes]) -> Iterator[pa.RecordBatch]:
@@ -96,7 +144,7 @@ def _base_places(words: list[bytes], own: set[bytes]) -> list[tuple[int, str]]:
 
 
 def _scan(batches: Iterator[pa.RecordBatch], counts: dict[bytes, int], least: float) -> Iterator[pa.RecordBatch]:
-    templates = [_Template(text, label, counts, least) for text, label in TEMPLATES]
+    templates = [_Template(i, text, label, counts, least) for i, (text, label) in enumerate(TEMPLATES)]
     # inverted index: prefix token to the templates that it may open
     index: dict[bytes, list[_Template]] = {}
     for template in templates:
@@ -105,53 +153,46 @@ def _scan(batches: Iterator[pa.RecordBatch], counts: dict[bytes, int], least: fl
     tokens = frozenset(t for x in templates for t in x.tokens)
     opening = frozenset(index) | {p.encode().split()[0] for p in PHRASES}
     for batch in batches:
-        out: list[list] = [[] for _ in range(8)]
+        out: list[list] = [[] for _ in range(3)]
         for text in batch.column("text").cast(pa.binary()):
             words = words_of(text.as_py())
             own = opening.intersection(words)
             base: list[tuple[int, str]] = []
-            links: list[tuple[str, float]] = []
+            blocks: list[dict] = []
             if own:
                 places: dict[bytes, list[int]] = {}
                 for at, word in enumerate(words):
                     if word in tokens:
                         places.setdefault(word, []).append(at)
                 base = _base_places(words, set(places) | own)
-                for template in {id(x): x for t in own for x in index.get(t, ())}.values():
-                    found = template.best(places, len(words))
-                    if found:
-                        links.append((template.label, found / len(template.tokens)))
-            starts, labels = [at for at, _ in base], {label for _, label in base}
-            row = (
-                len(words),
-                len(base),
-                min(starts, default=None),
-                max(starts, default=None),
-                ",".join(sorted(labels)),
-                ",".join(sorted(labels | {label for label, _ in links})),
-                max([1.0] * bool(base) + [share for _, share in links], default=0.0),
-                len(links),
-            )
+                for template in {x.number: x for t in own for x in index.get(t, ())}.values():
+                    for first, last, most in template.matches(places, len(words)):
+                        share = most / len(template.tokens)
+                        at = {"first_word": first, "last_word": last}
+                        blocks.append({"template": template.number, "label": template.label, **at, "share": share})
+            blocks.sort(key=lambda x: (x["first_word"], x["last_word"], x["template"]))
+            row = (len(words), [{"first_word": at, "label": label} for at, label in sorted(base)], blocks)
             for column, value in zip(out, row):
                 column.append(value)
-        types = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64(), pa.int64()]
-        columns = [batch.column("doc_id"), *(pa.array(c, t) for c, t in zip(out, types))]
-        yield pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in _FOUND.split(", ")])
+        columns = [batch.column("doc_id"), *(pa.array(c, t) for c, t in zip(out, (pa.int64(), _BASE, _BLOCKS)))]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "base", "blocks"])
 
 
-def scan(docs: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
-    """Base places and license labels of every row of ``docs``.
-
-    (doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, n_links). A text is linked to a
-    template if one of its blocks, any run of twice the template's words, holds at least ``containment`` of
-    the template's different tokens. Tokens are ordered by their number in all texts, rarest first; only texts
-    with a token of a template's prefix, and as many words as it needs, are compared with it. Templates are a
-    fixed list, so every task holds their index; texts are not shuffled.
-
-    Words: A-Z lower-cased runs of digits, letters and non-ASCII characters. n_links is the number of
-    templates linked, score the largest share of a template's tokens (1 with a base place, 0 without any
-    link). Null and empty texts have no words and no labels; repeated rows are rows of their own; extra
-    columns are ignored; an empty table gives an empty result.
+def find(docs: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
+    """(doc_id, n_words, base, blocks): base places and matching blocks of every row of ``docs``, by place.
+
+    base has the first word and label of every phrase. A block, any run of twice a template's words, matches if it holds
+    at least ``containment`` of the template's different tokens; blocks has, for every run of overlapping blocks that
+    match a template, the template's number and label, the first and last of its tokens there, and the
+    largest share of its tokens in one block. All such runs are found, and runs of different templates stand by themselves.
+
+    Tokens are ordered by their number in all texts, rarest first. Only texts with a token of a template's prefix, and
+    as many words as it needs, are compared with it, and only around places of such tokens in whose reach enough
+    tokens of the rest stand. Templates are a fixed list, so every task holds their index; texts are not shuffled.
+
+    Words: A-Z lower-cased runs of digits, letters and non-ASCII characters, from 0. Null and empty texts have no words
+    and empty lists; repeated rows are rows of their own; extra columns are ignored; an empty table gives an
+    empty result.
     """
     texts = docs.select("doc_id", whole_text().alias("text"))
     tokens = frozenset(t for text, _ in TEMPLATES for t in text.encode().split())
@@ -161,6 +202,32 @@ def scan(docs: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
     return texts.mapInArrow(partial(_scan, counts=order, least=containment), _FOUND)
 
 
+def scan(docs: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
+    """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, n_links) of every row of ``docs``.
+
+    A summary of ``find``, whose rules hold: number, first and last of the base places, labels of these and of all,
+    the largest share of a template's tokens (1 with a base place, 0 without any), number of templates that match.
+    """
+    found = find(docs, containment)
+    base, starts = F.col("base.label"), F.col("base.first_word")
+
+    def joined(labels: Column) -> Column:
+        return F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+
+    share = F.coalesce(F.array_max("blocks.share"), F.lit(0.0))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        joined(base).alias("base_labels"),
+        joined(F.concat(base, F.col("blocks.label"))).alias("labels"),
+        F.when(F.size("base") > 0, 1.0).otherwise(share).alias("score"),
+        F.size(F.array_distinct("blocks.template")).cast("long").alias("n_links"),
+    )
+
+
 def scan_sql(table: str = "documents", containment: float = CONTAINMENT) -> str:
     """The rows of ``scan`` in DuckDB SQL, by comparing every block with every template."""
     templates = ", ".join(f"({i}, '{label}', '{text}')" for i, (text, label) in enumerate(TEMPLATES))
