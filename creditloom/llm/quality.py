@@ -19,9 +19,6 @@ from creditloom.llm.common import in_filter, key_filter, stage, whole_text
 
 #: Words that the uniform distribution below the lower order spreads over; nothing is counted by it.
 CLASSES = 1 << 20
-#: Contexts of the dense form, ``shard_costs``.
-CONTEXTS = 4
-_CODES = CONTEXTS * CLASSES
 #: Counts are dealt by hash to so many shards at least, and to more where a shard would hold more than so many
 #: pairs, or the requests of more than so many documents.
 SHARDS = 64
@@ -71,7 +68,8 @@ def word_classes(text: bytes) -> np.ndarray:
 
 
 def _pair_keys(contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
-    x = (contexts ^ (contexts >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + words
+    # the constant keeps the pair of an empty text, (0, 0), apart from the key of the word 0
+    x = (contexts ^ (contexts >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + words + np.uint64(0x632BE59BD9B4E019)
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
@@ -163,20 +161,6 @@ def _costs(n: np.ndarray, total: np.ndarray, left: np.ndarray, below: np.ndarray
     return np.round(-np.log(p) * SCALE).astype(np.int64)
 
 
-def lower_order(continuations: np.ndarray) -> np.ndarray:
-    """Word probabilities from the number of different contexts of each word, interpolated with uniform."""
-    d = discounts(*(int((continuations == k).sum()) for k in (1, 2, 3, 4)))
-    return _below(continuations, d, int(continuations.sum()), _of(continuations, d).sum())
-
-
-def shard_costs(codes: np.ndarray, n: np.ndarray, below: np.ndarray, d: tuple[float, float, float]) -> np.ndarray:
-    """Negative log-probability of every pair of CONTEXTS contexts, in 1 / SCALE nats: the dense form of ``_costs``."""
-    counts = np.zeros((CONTEXTS, CLASSES), np.int64)
-    counts.ravel()[codes] = n
-    left = _of(counts, d).sum(axis=1, keepdims=True)
-    return _costs(counts, counts.sum(axis=1, keepdims=True), left, below[None, :], d).ravel()
-
-
 def trusted_ids(labels: DataFrame) -> DataFrame:
     """doc_id of the rows with quality 1; ids that any row marks otherwise, and null ids, are left out."""
     known = labels.filter("doc_id is not null").groupBy("doc_id").agg(F.min(F.coalesce("quality", F.lit(0))).alias("least"))

@@ -105,14 +105,29 @@ def test_against_brute_force(spark, make_docs):
     assert kept.count() == sum(r["kept"] for r in rows)
 
 
-def test_probabilities_sum_to_one():
+def test_probabilities_sum_to_one(spark, make_docs):
+    """Over all words of the trained model, and the unseen ones of the uniform distribution below, in any context."""
     rng = random.Random(7)
-    n = collections.Counter(rng.choice(range(50)) * q.CLASSES + min(int(rng.expovariate(0.05)), q.CLASSES - 1) for _ in range(3000))
-    codes = np.array([c for c in n if c < q._CODES])
-    below = q.lower_order(np.bincount([c % q.CLASSES for c in n], minlength=q.CLASSES))
-    assert below.sum() == pytest.approx(1)
-    costs = q.shard_costs(codes, np.array([n[c] for c in codes]), below, q.discounts(900, 300, 100, 50))
-    assert np.exp(-costs.reshape(q.CONTEXTS, -1) / q.SCALE).sum(axis=1) == pytest.approx(np.ones(q.CONTEXTS), abs=2e-3)
+    docs = [(i, " ".join(f"w{int(rng.expovariate(0.05))}" for _ in range(rng.choice([0, 1, 30, 90])))) for i in range(200)]
+    model, scale = q.train(make_docs(docs), spark.createDataFrame([(i,) for i, _ in docs], "doc_id long"))
+    counts = model.collect()
+    rows = {r.key % 2**64: r for r in counts}
+    assert len(rows) == len(counts)  # words and pairs, that of an empty text too, have keys of their own
+    assert scale.pairs > 1000 and all(0 < d < k for k, d in enumerate(scale.pair, 1))
+    known = np.unique(np.concatenate([np.zeros(1, np.uint64), *(q.word_classes(t.encode()) for _, t in docs)]))
+    words = np.append(known, q.word_classes(b"unseen"))
+    after = np.array([rows[w].after if w in rows else 0 for w in words.tolist()])
+    below = q._below(after, scale.word, scale.pairs, scale.spread)
+    assert below[:-1].sum() + (q.CLASSES - len(known)) * below[-1] == pytest.approx(1)
+    for context in [*words[::9].tolist(), 0, int(words[-1])]:
+        own = rows.get(context)
+        total = own.n if own else 0
+        left = sum(d * n for d, n in zip(scale.pair, (own.ones, own.twos, own.more))) if own else 0
+        keys = q._pair_keys(np.full(len(words), context, np.uint64), words).tolist()
+        n = np.array([rows[k].n if k in rows else 0 for k in keys])
+        assert n.sum() == total
+        p = np.exp(-q._costs(n, np.full(len(n), total), np.full(len(n), left), below, scale.pair) / q.SCALE)
+        assert p[:-1].sum() + (q.CLASSES - len(known)) * p[-1] == pytest.approx(1, abs=2e-3)
 
 
 def test_no_labels_and_empty_table(spark, make_docs):
