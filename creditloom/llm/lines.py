@@ -244,7 +244,7 @@ def dropped_lines(docs: DataFrame, near: bool = True, min_words: int = MIN_WORDS
     return met.filter(F.col("stays").isNull() | (F.struct(*_POSITION) != F.col("stays"))).select(*_POSITION)
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch], counts: tuple[str, str]) -> Iterator[pa.RecordBatch]:
     """Take the lines numbered in __gone out of the texts."""
     for batch in batches:
         texts, n_lines, n_dropped = [], [], []
@@ -256,21 +256,29 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n_dropped.append(len(skip))
         names = [n for n in batch.schema.names if n != "__gone"]
         columns = [pa.array(texts, batch.column(n).type) if n == "text" else batch.column(n) for n in names]
-        counts = [pa.array(n_lines, pa.int32()), pa.array(n_dropped, pa.int32())]
-        yield pa.RecordBatch.from_arrays(columns + counts, [*names, "n_lines", "n_dropped"])
+        columns += [pa.array(n_lines, pa.int32()), pa.array(n_dropped, pa.int32())]
+        yield pa.RecordBatch.from_arrays(columns, [*names, *counts])
 
 
-def dedup_lines(docs: DataFrame, near: bool = True, min_words: int = MIN_WORDS, filter_bits: int = FILTER_BITS) -> DataFrame:
-    """``docs`` with the columns n_lines and n_dropped, and without ``dropped_lines`` in their texts.
+def dedup_lines(
+    docs: DataFrame,
+    near: bool = True,
+    min_words: int = MIN_WORDS,
+    filter_bits: int = FILTER_BITS,
+    counts: tuple[str, str] = ("n_lines", "n_dropped"),
+) -> DataFrame:
+    """``docs`` with the columns ``counts``, numbers of lines and of those dropped, and without ``dropped_lines`` in their texts.
 
     Rows stay, also those whose lines all go (their text is empty then); texts without a dropped line are
     unchanged, nulls stay null. Rows that repeat a doc_id and its text are one document: they keep the same
-    lines. Extra columns go through (those named n_lines or n_dropped are replaced); an empty table gives an
+    lines. Extra columns go through (those named as ``counts`` are replaced); an empty table gives an
     empty result.
     """
     gone = dropped_lines(docs, near, min_words, filter_bits).distinct()
     gone = gone.groupBy(F.struct("doc_id", "text_key").alias("__row")).agg(F.collect_list("line").alias("__gone"))  # of one text
     rows = docs.withColumn("__row", F.struct("doc_id", F.xxhash64(whole_text()).alias("text_key"))).join(gone, "__row", "left")
-    rows = rows.drop("__row", "n_lines", "n_dropped")
-    schema = T.StructType(rows.drop("__gone").schema.fields).add("n_lines", T.IntegerType()).add("n_dropped", T.IntegerType())
-    return rows.mapInArrow(_cut, schema)
+    rows = rows.drop("__row", *counts)
+    schema = T.StructType(rows.drop("__gone").schema.fields)
+    for name in counts:
+        schema = schema.add(name, T.IntegerType())
+    return rows.mapInArrow(partial(_cut, counts=counts), schema)
