@@ -20,8 +20,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that an earlier line repeats or nearly repeats go, and n_chars follows. Rows stay, with empty texts too."""
-    cut = lines.dedup_lines(docs)
-    chars = F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    cut = lines.dedup_lines(docs, counts=("__n_lines", "__n_dropped"))
+    chars = F.when(F.col("__n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return cut.withColumn("n_chars", chars).select(*docs.columns)
 
 
