@@ -2,6 +2,9 @@
 
 import random
 
+import pytest
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from tests.llm import test_decontamination, test_lines, test_mixing, test_quality, test_simhash
 
@@ -62,3 +65,23 @@ def test_stages_keep_the_columns(spark, make_docs):
     docs = make_docs(tables()[0][:10])
     for name, step in corpus_pipeline.STAGES[:-1]:
         assert step(spark, docs, "/root/testdata/sf0.001").schema.fieldNames() == docs.columns, name
+
+
+def test_columns_with_clashing_names_go_through(spark, make_docs):
+    docs = make_docs([(1, "a b\na b\nc", "en", "a"), (2, "c\nd", "en", "a")], n_lines=F.lit("x"), n_dropped=F.lit(7))
+    rows = corpus_pipeline.line_dedup(spark, docs, "").orderBy("doc_id").collect()
+    assert [(r.text, r.n_lines, r.n_dropped) for r in rows] == [("a b\nc", "x", 7), ("d", "x", 7)]
+
+
+@pytest.mark.parametrize("empty", ["documents", "labels", "benchmark"])
+def test_empty_tables(spark, make_docs, tmp_path, empty):
+    """Without documents the mix is empty; without labels nothing is rejected; without items nothing is held."""
+    frames = {
+        "documents": make_docs([(i, f"word{i} " * (i + 2) + f"end{i}", "en", "a") for i in range(5)]),
+        "labels": spark.createDataFrame([(i, 1) for i in range(5)], "doc_id long, quality int"),
+        "benchmark": spark.createDataFrame([(1, "no document holds these words")], "item_id long, text string"),
+    }
+    for name, frame in frames.items():
+        (frame.limit(0) if name == empty else frame).write.parquet(f"{tmp_path}/{name}.parquet")
+    got = {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+    assert got == (set() if empty == "documents" else set(range(5)))
