@@ -5,8 +5,10 @@ from __future__ import annotations
 import datetime as dt
 import itertools
 import random
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from decimal import Decimal
+from functools import partial
 from multiprocessing.pool import ThreadPool
 
 from pyspark import SparkContext, inheritable_thread_target
@@ -230,6 +232,17 @@ class Search:
         return max(zip(self.scores, range(len(self.points)), self.points), key=lambda t: (t[0], -t[1]))[2]
 
 
+def side_by_side(spark: SparkSession, work: Callable, items: Iterable, threads: int) -> Iterator:
+    """``work`` of every item, in their order, so many at a time in threads of their own.
+
+    Each call has its own copy of the caller's local properties: Spark keeps the number of a running query there, so
+    calls that share one copy take each other's numbers away.
+    """
+    calls = [inheritable_thread_target(spark)(partial(work, item)) for item in items]
+    with ThreadPool(max(1, min(threads, len(calls)))) as pool:
+        yield from pool.imap(lambda call: call(), calls)
+
+
 #: Rows of one partition of the fitting rows.
 ROWS_PER_TASK = 100_000
 
@@ -283,14 +296,13 @@ def random_search(
         by_rounds = {r: evaluator.evaluate(m.transform(held[fold])) for r, m in cut.items()}
         return [(i, by_rounds[rounds[i]]) for i in mine]
 
-    side_by_side = parallelism or max(1, 3 * spark.sparkContext.defaultParallelism // n_tasks)
+    threads = parallelism or max(1, 3 * spark.sparkContext.defaultParallelism // n_tasks)
     found: dict[int, list[float]] = {i: [] for i in range(len(points))}
     tasks = [(mine, fold) for mine in fits.values() for fold in range(folds)]
     try:
-        with ThreadPool(min(side_by_side, len(tasks))) as pool:
-            for scores in pool.imap(inheritable_thread_target(spark)(aucs), tasks):
-                for i, value in scores:
-                    found[i].append(value)
+        for scores in side_by_side(spark, aucs, tasks, threads):
+            for i, value in scores:
+                found[i].append(value)
     finally:
         for part in (*held, *known):
             part.unpersist()

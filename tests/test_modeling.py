@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import threading
 
 import numpy as np
 import pytest
@@ -216,6 +217,21 @@ def test_search_fits_nested_points_once(spark):
     assert search.best_model.getNumTrees == search.best["maxIter"]
 
 
+def test_work_side_by_side_keeps_its_own_properties(spark):
+    """Calls that shared one set of properties lost the number of their running query to each other."""
+    sc, all_set, all_run = spark.sparkContext, threading.Barrier(3), threading.Barrier(3)
+
+    def work(i):
+        sc.setLocalProperty("creditloom.test", str(i))
+        all_set.wait(60)
+        found = sc.getLocalProperty("creditloom.test"), spark.range(i).count()
+        all_run.wait(60)
+        return found
+
+    assert list(M.side_by_side(spark, work, range(3), 3)) == [("0", 0), ("1", 1), ("2", 2)]
+    assert sc.getLocalProperty("creditloom.test") is None
+
+
 def test_native_trees_and_their_leaves(spark):
     rows = training_frame(spark, 200)
     model = M.train_gbt(rows, ["fe_1", "fe_2"], maxIter=4, maxDepth=3)
