@@ -1,4 +1,4 @@
-"""Mixing sources to target weights: token blocks, shard draws, index permutations. DataFrame functions only."""
+"""Mixing sources to target weights: token blocks, multinomial source counts per shard, index permutations. DataFrame functions only."""
 
 from __future__ import annotations
 
@@ -106,10 +106,59 @@ def slots(parts: DataFrame) -> DataFrame:
     return whole.union(last.select("sid", "block", F.col("epochs").alias("epoch"), "draw", taken.alias("words")))
 
 
+def dealt(parts: DataFrame, shard_slots: int) -> DataFrame:
+    """The slots with their output shard, by multinomial source counts per shard.
+
+    The mix has as many places as slots, ``shard_slots`` to a shard. Every place draws a source, with the sources'
+    slots as weights: a place draws the number of a slot, and the source is the one which has that slot. So a shard's
+    source counts are multinomial, and the draws are an equi-join however many sources there are. Shard by shard a
+    source's count is then taken from its row of slots (epoch by epoch, each in its permutation). A source whose draws
+    are more than its slots has no more than these, so no text is taken beyond its target; the places this leaves
+    vacant go, in their order, to the slots that were not drawn. So a source's slots are all in the mix, once each.
+    """
+    rows = slots(parts).withColumn("one", F.lit(1))
+    ranked = running_total(rows, ["sid", "epoch"], "draw", ["block"], "one", "rank").drop("one")
+    epochs = rows.groupBy("sid", "epoch").agg(F.count(F.lit(1)).alias("n"))  # a few rows a source
+    before = lambda order: order.rowsBetween(Window.unboundedPreceding, -1)
+    total = lambda name, order: F.coalesce(F.sum(name).over(before(order)), F.lit(0)).cast("long")
+    epochs = epochs.select("sid", "epoch", total("n", Window.orderBy("sid", "epoch")).alias("first"))
+    placed = stage(ranked.join(epochs, ["sid", "epoch"]).withColumn("place", F.col("first") + F.col("rank")).drop("first", "rank"), "slots")
+    sources = placed.groupBy("sid").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
+
+    n_places = placed.agg(F.count(F.lit(1))).scalar()
+    hit = F.pmod(F.conv(F.substring(_draw(F.lit("place"), F.col("place")), 1, 15), 16, 10).cast("long"), n_places)
+    draws = placed.select(F.floor(F.col("place") / shard_slots).alias("shard"), hit.alias("place"))
+    counts = draws.join(placed.select("place", "sid"), "place").groupBy("shard", "sid").agg(F.count(F.lit(1)).alias("drawn"))
+    counts = counts.join(sources, "sid").withColumn("from", total("drawn", Window.partitionBy("sid").orderBy("shard")))
+    given = F.greatest(F.least("drawn", F.col("n") - F.col("from")), F.lit(0).cast("long"))
+    counts = stage(counts.withColumn("given", given), "shard-counts")
+
+    spread = lambda start, n, name: F.explode(F.sequence(start, start + n - 1)).alias(name)
+    drawn = counts.filter("given > 0").select("shard", spread(F.col("first") + F.col("from"), F.col("given"), "place"))
+    vacant = counts.groupBy("shard").agg(F.sum(F.col("drawn") - F.col("given")).alias("n")).filter("n > 0")
+    vacant = vacant.withColumn("start", total("n", Window.orderBy("shard")))
+    used = counts.groupBy(F.col("sid").alias("__sid")).agg(F.sum("given").alias("used"))
+    left = sources.join(used, F.col("sid") == F.col("__sid"), "left").withColumn("used", F.coalesce("used", F.lit(0).cast("long")))
+    left = left.select("sid", (F.col("first") + F.col("used")).alias("next"), (F.col("n") - F.col("used")).alias("n")).filter("n > 0")
+    left = left.withColumn("start", total("n", Window.orderBy("sid")))
+    left = left.select(F.col("start").alias("from"), "next", spread(F.col("start"), F.col("n"), "turn"))
+    rest = vacant.select("shard", spread(F.col("start"), F.col("n"), "turn")).join(left, "turn")
+    shards = drawn.union(rest.select("shard", F.col("next") + F.col("turn") - F.col("from")))
+    return placed.join(shards, "place")
+
+
+def _shard_slots(shard_words: int, block_words: int) -> int:
+    return max(1, shard_words // block_words)
+
+
 def taken(
-    docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS, block_words: int = BLOCK_WORDS
+    docs: DataFrame,
+    weights: tuple[int, ...] = WEIGHTS,
+    max_repeats: int = MAX_REPEATS,
+    block_words: int = BLOCK_WORDS,
+    shard_words: int = SHARD_WORDS,
 ) -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken) for each row: the words of it that the mix takes.
+    """(doc_id, source, size, source_size, target, taken) for each row: the words of it that the mix's shards take.
 
     Null and empty texts have size 0 and nothing is taken of them; a null source is a source, the last one;
     repeated rows are rows of their own; extra columns are ignored; an empty table gives an empty result.
@@ -117,7 +166,7 @@ def taken(
     """
     _, placed = place(docs, weights, max_repeats)
     parts = pieces(placed, block_words)
-    used = slots(parts).groupBy("sid", "block").agg(F.collect_list("words").alias("takes"))  # a few epochs each
+    used = dealt(parts, _shard_slots(shard_words, block_words)).groupBy("sid", "block").agg(F.collect_list("words").alias("takes"))  # a few epochs each
     of = F.aggregate(
         "takes", F.lit(0).cast("long"),
         lambda total, w: total + F.least(F.greatest(w - F.col("offset"), F.lit(0).cast("long")), F.col("n_words")),
@@ -138,16 +187,13 @@ def mix(
 ) -> DataFrame:
     """The mixed corpus: one row for each piece of a document in each slot.
 
-    (shard, slot, offset, doc_id, source, first_word, n_words, text). Every slot draws its output shard, so
-    the counts of a source over the shards are multinomial with the source's slots as their sum: shards differ
-    as free draws would, totals do not drift from the targets. In a shard, slots stand in draw order, and
-    pieces in a slot by offset. A text is the piece's words, with single spaces.
+    (shard, slot, offset, doc_id, source, first_word, n_words, text). A shard has about ``shard_words`` words, by
+    multinomial source counts (``dealt``). In a shard, slots stand in draw order, and pieces in a slot by offset. A
+    text is the piece's words, with single spaces.
     """
-    shares, placed = place(docs, weights, max_repeats)
+    _, placed = place(docs, weights, max_repeats)
     parts = pieces(placed, block_words)
-    n_shards = shares.agg(F.greatest(F.ceil(F.sum("target") / shard_words), F.lit(1)).alias("n_shards")).first()["n_shards"] or 1
-    shard = F.pmod(F.conv(F.substring("draw", 1, 15), 16, 10).cast("long"), F.lit(n_shards))
-    drawn = slots(parts).withColumn("shard", shard)
+    drawn = dealt(parts, _shard_slots(shard_words, block_words))
     drawn = drawn.withColumn("slot", F.row_number().over(Window.partitionBy("shard").orderBy("draw", "sid", "block", "epoch")))
     wanted = parts.join(drawn, ["sid", "block"]).filter("offset < words")
     n = F.least(F.col("n_words"), F.col("words") - F.col("offset"))

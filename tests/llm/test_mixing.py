@@ -56,6 +56,40 @@ def test_mixed_corpus_has_the_words_counted(make_docs):
     assert sorted(map(str, again)) == sorted(map(str, mixed))
 
 
+def test_shards_draw_multinomial_source_counts(make_docs):
+    """Full shards of equal size, whose source counts vary as multinomial draws do; every slot once."""
+    rows = [(i, "w " * 64, "en", f"s{i % 4}") for i in range(1200)]
+    _, placed = mixing.place(make_docs(rows))
+    parts = mixing.pieces(placed, 8)
+    dealt = mixing.dealt(parts, 100).collect()
+    key = lambda r: (r.sid, r.epoch, r.block, r.words)
+    assert sorted(map(key, dealt)) == sorted(map(key, mixing.slots(parts).collect()))
+    shards, share = {}, {}
+    for r in dealt:
+        counts = shards.setdefault(r.shard, {})
+        counts[r.sid] = counts.get(r.sid, 0) + 1
+        share[r.sid] = share.get(r.sid, 0) + 1
+    assert sorted(shards) == list(range(-(-len(dealt) // 100))) and {sum(c.values()) for c in list(shards.values())[:-1]} == {100}
+    # chi-square over the shards that no settling has reached: (shards) x (sources - 1) degrees of freedom
+    early = [shards[k] for k in sorted(shards)[: len(shards) * 3 // 4]]
+    want = {s: 100 * n / len(dealt) for s, n in share.items()}
+    free = len(early) * (len(share) - 1)
+    chi = sum((c.get(s, 0) - w) ** 2 / w for c in early for s, w in want.items())
+    assert abs(chi - free) < 4 * (2 * free) ** 0.5
+    # a source's slots go through its epochs in order
+    ends = {}
+    for r in sorted((r for r in dealt if r.shard < len(early)), key=lambda r: (r.shard, r.epoch)):
+        assert r.epoch >= ends.get(r.sid, 0) or r.shard == ends.get((r.sid, "at"))
+        ends[r.sid], ends[r.sid, "at"] = r.epoch, r.shard
+
+
+def test_the_query_takes_what_the_shards_take(make_docs, monkeypatch):
+    asked = []
+    monkeypatch.setattr(mixing, "dealt", lambda parts, n, real=mixing.dealt: (asked.append(n), real(parts, n))[1])
+    rows = sorted(map(str, mixing.taken(make_docs(ROWS), block_words=7, shard_words=70).collect()))
+    assert asked == [10] and rows == sorted(map(str, mixing.taken(make_docs(ROWS), block_words=7).collect()))
+
+
 def test_empty_and_wordless_tables(make_docs):
     assert mixing.taken(make_docs(ROWS).filter("doc_id < 0")).collect() == []
     assert mixing.mix(make_docs(ROWS).filter("doc_id < 0")).collect() == []
