@@ -32,9 +32,12 @@ def build_bronze(spark: SparkSession, data_dir: str, root: str) -> dict[str, Dat
 def build_silver(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     tables = {}
     for name, cleaner in CLEANERS.items():
-        cleaned = cleaner(readers.read_table(spark, root, "bronze", name))
+        rows = readers.read_table(spark, root, "bronze", name)
         by = "snapshot_date" if name in K.PARTITIONED["silver"] else None
-        writers.write_table(cleaned, root, "silver", f"{name}_clean", by, whole=True)
+        if by and name not in K.PARTITIONED["bronze"]:
+            # clustered before the cleaner adds its columns; bronze folders by snapshot are clustered as they are
+            rows = rows.hint("rebalance", by)
+        writers.write_table(cleaner(rows), root, "silver", f"{name}_clean", by, whole=True, clustered=True)
         tables[name] = readers.read_table(spark, root, "silver", f"{name}_clean")
     return tables
 

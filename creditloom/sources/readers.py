@@ -12,8 +12,9 @@ from creditloom import constants as K
 
 
 def _by_header(spark: SparkSession, path: str) -> list[list[str]]:
-    """The data files below a path, file or glob, in groups with the same first line."""
+    """The data files below a path, file or glob, compressed ones too, in groups with the same first line."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
     at = jvm.org.apache.hadoop.fs.Path(path)
     fs = at.getFileSystem(conf)
     groups: dict[str, list[str]] = {}
@@ -23,8 +24,9 @@ def _by_header(spark: SparkSession, path: str) -> list[list[str]]:
         if status.isDirectory():
             todo += [s for s in fs.listStatus(status.getPath()) if not s.getPath().getName().startswith(("_", "."))]
             continue
-        stream = fs.open(status.getPath())
+        stream, codec = fs.open(status.getPath()), codecs.getCodec(status.getPath())
         try:
+            stream = stream if codec is None else codec.createInputStream(stream)
             first = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream)).readLine()
         finally:
             stream.close()

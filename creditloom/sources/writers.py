@@ -12,7 +12,11 @@ from creditloom.sources.staging import stage
 
 
 def write_parquet(
-    df: DataFrame, path: str, partition_by: str | list[str] | None = None, whole: bool = False
+    df: DataFrame,
+    path: str,
+    partition_by: str | list[str] | None = None,
+    whole: bool = False,
+    clustered: bool = False,
 ) -> str:
     """Overwrite a Parquet dataset.
 
@@ -20,15 +24,17 @@ def write_parquet(
     hint: each folder gets few large files, and a month holding a large share of the rows is
     split over several tasks by AQE. Only the partitions present in ``df`` are replaced, so a
     re-run of one month leaves the others alone; with ``whole`` the dataset is replaced, so a full build
-    leaves no month that its source no longer has.
+    leaves no month that its source no longer has. Rows that are ``clustered`` on the partition columns already, as
+    those read from a dataset with the same folders, are not shuffled again.
     """
     if not partition_by:
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
         return path
     columns = [partition_by] if isinstance(partition_by, str) else list(partition_by)
     (
-        df.hint("rebalance", *columns)
+        (df if clustered else df.hint("rebalance", *columns))
         .write.mode("overwrite")
+        .option("compression", "zstd")
         .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .partitionBy(*columns)
         .parquet(path)
@@ -43,13 +49,14 @@ def write_table(
     name: str,
     partition_by: str | list[str] | None = None,
     whole: bool = False,
+    clustered: bool = False,
 ) -> str:
-    return write_parquet(df, readers.table_path(root, layer, name), partition_by, whole)
+    return write_parquet(df, readers.table_path(root, layer, name), partition_by, whole, clustered)
 
 
-def write_csv(df: DataFrame, path: str) -> str:
+def write_csv(df: DataFrame, path: str, compression: str = "none") -> str:
     """Folder of CSV part files with headers."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").option("header", True).option("compression", compression).csv(path)
     return path
 
 

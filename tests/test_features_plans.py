@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from creditloom import __main__ as cli, constants as K
 from creditloom.operators import drift, features, modeling as M, registry, snapshots as S
 from creditloom.plans import etl, monitoring, training
-from creditloom.sources import readers
+from creditloom.sources import readers, writers
 from creditloom.sources.staging import stage
 from workload import queries as W, views as V
 
@@ -166,6 +166,25 @@ def test_csv_to_gold(spark, sf, tmp_path):
     assert report["auc"].count() == 2 and report["psi"].count() == 22 and report["nulls"].count() == 0
 
 
+def test_silver_is_shuffled_only_where_bronze_is_not_by_snapshot(spark, sf, tmp_path, monkeypatch):
+    """The clickstream comes from folders by snapshot, the loans do not; both are the same rows by folder."""
+    data, root = f"{tmp_path}/data", f"{tmp_path}/lake"
+    views = {"financials": V.financials, "attributes": V.attributes, "clickstream": V.clickstream, "loans": V.loans}
+    for name, view in views.items():
+        writers.write_csv(view(spark, sf), f"{data}/{etl.SOURCE_FILES[name]}", "gzip")
+    etl.build_bronze(spark, data, root)
+    hints = []
+    kind, hint = type(spark.range(1)), type(spark.range(1)).hint
+    monkeypatch.setattr(kind, "hint", lambda df, *args: (hints.append((args, "loan_id" in df.columns, "dpd" in df.columns)), hint(df, *args))[1])
+    silver = etl.build_silver(spark, root)
+    assert hints == [(("rebalance", "snapshot_date"), True, False)]
+    for name in ("clickstream", "loans"):
+        want = etl.CLEANERS[name](readers.read_csv(spark, f"{data}/{etl.SOURCE_FILES[name]}", K.SOURCE_SCHEMAS[name]))
+        got = silver[name].select(*want.columns)
+        assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0 and got.count() > 0
+        assert len(silver[name].inputFiles()) <= 8 * silver[name].select("snapshot_date").distinct().count()
+
+
 def test_scoring_follows_each_snapshots_model(spark, sf, tmp_path):
     clk = W.silver_clickstream(spark, sf)
     rows = clk.withColumn("label", (F.col("fe_1") > 0).cast("int"))

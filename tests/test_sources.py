@@ -130,6 +130,16 @@ def test_csv_files_with_different_headers(spark, tmp_path):
     assert sorted(map(tuple, df.collect())) == [("x", 1, 2.5), ("y", None, 0.5), ("z", None, 1.0)]
 
 
+def test_compressed_csv_files_are_grouped_by_their_headers(spark, tmp_path):
+    rows = spark.range(30).select(F.col("id").cast("string").alias("a"), (F.col("id") * 2).cast("string").alias("b")).repartition(3)
+    for part, columns in (("x", ["a", "b"]), ("y", ["b", "a"])):
+        writers.write_csv(rows.select(*columns), f"{tmp_path}/{part}", "gzip")
+    assert sorted(len(files) for files in readers._by_header(spark, f"{tmp_path}/*")) == [3, 3]
+    schema = "a int, b int"
+    got = readers.read_csv(spark, f"{tmp_path}/*", spark.createDataFrame([], schema).schema)
+    assert sorted(map(tuple, got.collect())) == sorted((i, 2 * i) for i in range(30) for _ in range(2))
+
+
 def test_run_log_is_compacted_by_day(spark, tmp_path):
     path, when = str(tmp_path / "runs"), dt.datetime
     from creditloom.operators import modeling as M

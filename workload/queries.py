@@ -1009,14 +1009,15 @@ def predictions_sink(spark, sf):
 def lake(spark, sf) -> str:
     """CSV sources written from the views, then bronze and silver built from them."""
     data, root = fresh_path(spark, "data"), fresh_path(spark, "lake")
+    months = stage(V.customer_months(spark, sf), "months")
     sources = {
-        "financials": V.financials(spark, sf),
-        "attributes": V.attributes(spark, sf),
-        "clickstream": V.clickstream(spark, sf),
+        "financials": V.financials(spark, sf, months),
+        "attributes": V.attributes(spark, sf, months),
+        "clickstream": V.clickstream(spark, sf, months),
         "loans": V.loans(spark, sf),
     }
     for name, df in sources.items():
-        writers.write_csv(df, f"{data}/{etl.SOURCE_FILES[name]}")
+        writers.write_csv(df, f"{data}/{etl.SOURCE_FILES[name]}", "gzip")
     etl.build_bronze(spark, data, root)
     etl.build_silver(spark, root)
     return root
