@@ -28,6 +28,47 @@ def training_rows(
     return M.stratified_split(rows.withColumn("__key", key), "__key").drop("__key")
 
 
+def training_history(
+    feat: DataFrame, labels: DataFrame, snapshots: list[dt.date | str], on: list[str] | None = None
+) -> DataFrame:
+    """What ``training_rows`` of several snapshots are made of, joined and written once for all of them.
+
+    Every feature month known at the last snapshot, with the number of the customer's labels known at each snapshot
+    (two columns a snapshot, so a fit reads its own), and the split of the row by either label.
+    """
+    on, last = on or ["Customer_ID"], max(str(s) for s in snapshots)
+    counts = as_of(labels, last).groupBy(*on).agg(
+        *[
+            F.count_if((F.col("label") == v) & (F.col("snapshot_date") <= readers.as_date(s))).alias(_count(v, s))
+            for s in snapshots
+            for v in (1, 0)
+        ]
+    )
+    known = as_of(feat, last).select("Customer_ID", "snapshot_date", *feature_columns(feat))
+    # written first: the join then shuffles both sides itself, which lets AQE split a hot customer
+    rows = known.join(stage(counts, "label-counts"), on)
+    for v in (1, 0):
+        key = F.concat_ws("|", "Customer_ID", "snapshot_date", F.lit(v))
+        rows = M.stratified_split(rows.withColumn("__key", key), "__key").withColumnRenamed("split", f"__split_{v}").drop("__key")
+    return stage(rows, "history")
+
+
+def _count(label: int, snapshot: dt.date | str) -> str:
+    return f"__n{label}_{snapshot}"
+
+
+def history_rows(history: DataFrame, snapshot: dt.date | str) -> DataFrame:
+    """The ``training_rows`` of one of the snapshots of ``training_history``."""
+    both = F.array(
+        *[
+            F.struct(F.lit(v).alias("label"), F.col(f"`{_count(v, snapshot)}`").alias("weight"), F.col(f"__split_{v}").alias("split"))
+            for v in (1, 0)
+        ]
+    )
+    kept = [c for c in history.columns if not c.startswith("__")]
+    return as_of(history, snapshot).select(*kept, F.inline(both)).where(F.col("weight") > 0)
+
+
 def train_snapshot(
     spark: SparkSession,
     feat: DataFrame,
@@ -37,12 +78,16 @@ def train_snapshot(
     model_dir: str,
     runs_path: str | None = None,
     on: list[str] | None = None,
+    history: DataFrame | None = None,
     **options,
 ) -> M.RunRecord | None:
-    """Train on the snapshot's history, save the pipeline and log the run; None without data."""
+    """Train on the snapshot's history, save the pipeline and log the run; None without data.
+
+    ``history`` is the ``training_history`` of the same tables, for callers that train several snapshots.
+    """
     cols = feature_columns(feat)
     with temporary_tables(spark):
-        rows = stage(training_rows(feat, labels, snapshot, on), "training")
+        rows = stage(training_rows(feat, labels, snapshot, on), "training") if history is None else history_rows(history, snapshot)
         train = rows.where(F.col("split") == "train").select(*cols, "label", "weight")
         if train.isEmpty():
             return None

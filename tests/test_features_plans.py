@@ -185,6 +185,35 @@ def test_silver_is_shuffled_only_where_bronze_is_not_by_snapshot(spark, sf, tmp_
         assert len(silver[name].inputFiles()) <= 8 * silver[name].select("snapshot_date").distinct().count()
 
 
+def test_training_history_holds_the_rows_of_every_snapshot(spark):
+    """One join and one written table for all snapshots, with nulls, repeated rows and customers without early labels."""
+    d = lambda m: dt.date(2023, m, 1)
+    feat = [("a", d(1), 1), ("a", d(1), 1), ("a", d(4), 2), ("b", d(2), 3), (None, d(1), 4), ("c", d(3), None), ("a", None, 5), ("z", d(1), 6)]
+    labels = [("a", d(1), 1), ("a", d(2), 0), ("a", d(2), 0), ("b", d(5), 1), ("b", None, 1), (None, d(1), 1), ("c", d(3), 0), ("c", d(2), None)]
+    feat = spark.createDataFrame(feat, "Customer_ID string, snapshot_date date, fe_1 int")
+    labels = spark.createDataFrame(labels, "Customer_ID string, snapshot_date date, label int")
+    days = [d(1), d(2), d(3), d(6)]
+    history = training.training_history(feat, labels, days)
+    found = []
+    for day in days:
+        want = training.training_rows(feat, labels, day)
+        got = training.history_rows(history, day)
+        assert dict(got.dtypes) == dict(want.dtypes)
+        found.append(sorted(map(str, got.select(*want.columns).collect())))
+        assert found[-1] == sorted(map(str, want.collect()))
+    assert len(found[0]) == 2 and len(found[-1]) > len(found[1]) > len(found[0])
+
+
+def test_snapshots_of_one_query_share_their_history(spark, sf, monkeypatch):
+    shared = []
+    monkeypatch.setattr(W.training, "train_snapshot", lambda *args, **more: shared.append(more.get("history")))
+    monkeypatch.setattr(W.training, "list_artifacts", lambda *_: None)
+    monkeypatch.setattr(W.monitoring, "infer", lambda spark, clk, base, artifacts, models, months, *_: clk)
+    clk = W.score_and_monitor(spark, sf)
+    assert len(shared) == 12 and len({id(h) for h in shared}) == 1 and shared[0] is not None
+    assert all("creditloom-" in f for df in (clk, shared[0]) for f in df.inputFiles())
+
+
 def test_scoring_follows_each_snapshots_model(spark, sf, tmp_path):
     clk = W.silver_clickstream(spark, sf)
     rows = clk.withColumn("label", (F.col("fe_1") > 0).cast("int"))

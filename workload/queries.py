@@ -737,13 +737,20 @@ def evaluate_splits(spark, sf):
 # --- models -----------------------------------------------------------------------
 
 
+def panel_and_labels(spark, sf):
+    """Clickstream and label store, written once for the plans that read them many times."""
+    return stage(V.clickstream(spark, sf), "clickstream"), stage(L.label_store(silver_loans(spark, sf)), "labels")
+
+
 @query
 def train_and_select(spark, sf):
     """Train on the history up to two snapshots, log the runs and choose what to serve."""
-    clk, labels = V.clickstream(spark, sf), L.label_store(silver_loans(spark, sf))
+    clk, labels = panel_and_labels(spark, sf)
     models, runs = fresh_path(spark, "models"), fresh_path(spark, "runs")
-    for day in ("1997-01-01", "1998-01-01"):
-        training.train_snapshot(spark, clk, labels, "logistic_regression", day, models, runs)
+    days = ["1997-01-01", "1998-01-01"]
+    history = training.training_history(clk, labels, days)
+    for day in days:
+        training.train_snapshot(spark, clk, labels, "logistic_regression", day, models, runs, history=history)
     out = fresh_path(spark, "promotions")
     return training.select_models(spark, runs, models, out, "1997-01-01", "1998-12-01").drop("run_id")
 
@@ -751,12 +758,14 @@ def train_and_select(spark, sf):
 @query
 def score_and_monitor(spark, sf):
     """Score and monitor the months of a year, each with the model trained on its history."""
-    clk, labels = V.clickstream(spark, sf), L.label_store(silver_loans(spark, sf))
+    clk, labels = panel_and_labels(spark, sf)
     models, runs = fresh_path(spark, "models"), fresh_path(spark, "runs")
     months = S.month_spine(spark, "1998-01-01", "1998-12-01")
     # twelve rows
-    for r in months.orderBy("snapshot_date").collect():
-        training.train_snapshot(spark, clk, labels, "logistic_regression", r["snapshot_date"], models, runs)
+    days = [r["snapshot_date"] for r in months.orderBy("snapshot_date").collect()]
+    history = training.training_history(clk, labels, days)
+    for day in days:
+        training.train_snapshot(spark, clk, labels, "logistic_regression", day, models, runs, history=history)
     return monitoring.infer(
         spark,
         clk,
