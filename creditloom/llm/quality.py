@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
-import hashlib
 import math
-import zlib
-from collections.abc import Iterator
-from functools import lru_cache, partial
+from collections.abc import Iterator, Sequence
+from functools import partial
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from creditloom.llm.common import in_filter, key_filter, stage, whole_text
+from creditloom.llm.common import in_filter, key_filter, slices, stage, whole_text
+from creditloom.sources.staging import fresh_path, temporary_tables
 
 #: Words that the uniform distribution below the lower order spreads over; nothing is counted by it.
 CLASSES = 1 << 20
@@ -26,6 +27,10 @@ SHARD_COUNTS = 1 << 19
 SHARD_DOCS = 1 << 13
 #: Documents are scored in blocks of about so many words, and counted in parts of so many pairs.
 BLOCK_WORDS = 1 << 20
+#: Pairs are counted in so many rounds by key, documents scored in so many rounds by id and text.
+#: A round's shuffle files go at its end, so they take their share of the disk only.
+COUNT_ROUNDS = 2
+ROUNDS = 4
 #: A document's mean is taken together with so many words at its language's mean.
 PRIOR_WORDS = 50
 QUANTILE = 0.998
@@ -33,18 +38,21 @@ FILTER_BITS = 1 << 24
 #: Log-probabilities are whole multiples of 1 / SCALE nats, so sums are the same in any order.
 SCALE = 1000
 
+#: Documents that are split into words at once.
+_SLICE = 256
 _PAIRS = "context long, word long, n long"
-_COUNTS = "key long, n long, after long, ones long, twos long, more long"
+_COUNTS = ["n", "after", "ones", "twos", "more"]
+_DEALT = "shard int, words binary, counts binary, pairs binary, times binary"
 _ASKED = (
-    "block long, shard int, keys binary, vocabulary binary, tokens binary, doc_id array<long>, text_key array<long>, "
+    "block long, shard int, vocabulary binary, pairs binary, tokens binary, doc_id array<long>, text_key array<long>, "
     "lang array<string>, words array<long>"
 )
 _ANSWERED = (
-    "block long, shard int, counts binary, vocabulary binary, tokens binary, doc_id array<long>, text_key array<long>, "
-    "lang array<string>, words array<long>"
+    "block long, shard int, vocabulary binary, counts binary, times binary, tokens binary, doc_id array<long>, "
+    "text_key array<long>, lang array<string>, words array<long>"
 )
 _SCORED = "doc_id long, text_key long, lang string, words long, cost long"
-_CARRIED = ("vocabulary", "tokens", "doc_id", "text_key", "lang", "words")
+_CARRIED = ("tokens", "doc_id", "text_key", "lang", "words")
 
 
 class Scale(NamedTuple):
@@ -56,15 +64,35 @@ class Scale(NamedTuple):
     spread: float
 
 
-@lru_cache(1 << 18)
-def _word_hash(word: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little") or 1
+def _hashes(words: Sequence[bytes]) -> np.ndarray:
+    return np.maximum(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)), np.uint64(1))
 
 
 def word_classes(text: bytes) -> np.ndarray:
     """64-bit hash, never 0, of every word, a run without ASCII white space as it stands; 0 is a text's start and end."""
-    words = text.split()
-    return np.fromiter(map(_word_hash, words), np.uint64, len(words))
+    return _hashes(text.split())
+
+
+def _split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of the texts, one after the other, and the number of each text."""
+    lists = pc.ascii_split_whitespace(texts)
+    words, lengths = lists.flatten(), pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    some = pc.greater(pc.binary_length(words), 0)  # white space at an end of a text leaves an empty word
+    of = np.repeat(np.arange(len(lengths)), lengths)[some.to_numpy(zero_copy_only=False)]
+    return words.filter(some), np.bincount(of, minlength=len(lengths))
+
+
+def _stream(words: list[pa.Array], lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The texts' words as places in their ascending different hashes, with a 0 before, between and after the texts; the hashes."""
+    coded = pa.chunked_array(words, pa.string()).dictionary_encode().combine_chunks()
+    if isinstance(coded, pa.ChunkedArray):
+        coded = pa.concat_arrays(coded.chunks)
+    known = _hashes(coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False))
+    vocabulary, places = np.unique(np.append(np.uint64(0), known), return_inverse=True)
+    tokens = np.zeros(lengths.sum() + len(lengths) + 1, np.int32)
+    at = np.arange(len(coded)) + np.repeat(np.arange(1, len(lengths) + 1), lengths)
+    tokens[at] = places[1:][coded.indices.to_numpy(zero_copy_only=False)]
+    return tokens, vocabulary
 
 
 def _pair_keys(contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
@@ -75,13 +103,21 @@ def _pair_keys(contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _squeezed(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
+
+
+def _loosened(data: bytes) -> bytes:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
+
+
 def _packed(values: np.ndarray) -> bytes:
     """Whole numbers by byte planes, so that high bytes of zero take no room."""
-    return zlib.compress(np.ascontiguousarray(values.reshape(-1)).view(np.uint8).reshape(-1, values.itemsize).T.tobytes(), 1)
+    return _squeezed(np.ascontiguousarray(values.reshape(-1)).view(np.uint8).reshape(-1, values.itemsize).T.tobytes())
 
 
 def _unpacked(data: bytes, dtype: type) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(np.dtype(dtype).itemsize, -1)
+    planes = np.frombuffer(_loosened(data), np.uint8).reshape(np.dtype(dtype).itemsize, -1)
     return np.ascontiguousarray(planes.T).view(dtype).reshape(-1)
 
 
@@ -98,29 +134,35 @@ def _texts(batches: Iterator[pa.RecordBatch], ids: Broadcast) -> Iterator[pa.Rec
     table = np.frombuffer(ids.value, np.uint8)
     for batch in batches:
         batch = batch.filter(pa.array(in_filter(table, batch.column("doc_id").to_numpy(zero_copy_only=False).view(np.uint64))))
-        texts = pa.array([zlib.compress(t.as_py(), 1) for t in batch.column("text").cast(pa.binary())], pa.binary())
+        texts = pa.array([_squeezed(t.as_py()) for t in batch.column("text").cast(pa.binary())], pa.binary())
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), texts], ["doc_id", "packed"])
 
 
-def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(context, word, n) of a task's documents, in parts of a bounded number of pairs."""
-    held, size = [], 0
+def _counts(batches: Iterator[pa.RecordBatch], number: int, rounds: int) -> Iterator[pa.RecordBatch]:
+    """(context, word, n) of a task's documents, in parts of a bounded number of pairs; only those of one round."""
+    held, lengths = [], []
 
     def out() -> pa.RecordBatch:
-        padded = np.concatenate([np.zeros(1, np.uint64), *held])
-        contexts, words = padded[:-1], padded[1:]
         # a text's 0 at its end is the start of the next one's first pair
-        _, first, n = np.unique(_pair_keys(contexts, words), return_index=True, return_counts=True)
-        columns = [pa.array(contexts[first].view(np.int64)), pa.array(words[first].view(np.int64)), pa.array(n.astype(np.int64))]
+        tokens, vocabulary = _stream(held, np.array(lengths, np.int64))
+        stream = vocabulary[tokens]
+        keys = _pair_keys(stream[:-1], stream[1:])
+        mine = np.flatnonzero(keys % np.uint64(rounds) == number)
+        _, first, n = np.unique(keys[mine], return_index=True, return_counts=True)
+        at = mine[first]
+        columns = [pa.array(stream[at].view(np.int64)), pa.array(stream[at + 1].view(np.int64)), pa.array(n.astype(np.int64))]
         return pa.RecordBatch.from_arrays(columns, ["context", "word", "n"])
 
-    for batch in batches:
-        for value in batch.column("packed"):
-            held.append(np.append(word_classes(zlib.decompress(value.as_py())), np.uint64(0)))
-            size += len(held[-1])
-            if size >= BLOCK_WORDS:
-                yield out()
-                held, size = [], 0
+    size = 0
+    for batch in slices(batches, _SLICE):
+        texts = pa.array([_loosened(value.as_py()) for value in batch.column("packed")], pa.binary())
+        words, n = _split(texts.view(pa.string()))
+        held.append(words)
+        lengths += n.tolist()
+        size += n.sum() + len(n)
+        if size >= BLOCK_WORDS:
+            yield out()
+            held, lengths, size = [], [], 0
     if held:
         yield out()
 
@@ -172,6 +214,13 @@ def held_out() -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
 
 
+def _by_rounds(frames: list[DataFrame], path: str) -> DataFrame:
+    """The rows of all frames, written one frame after the other."""
+    for frame in frames:
+        frame.write.mode("append").parquet(path)
+    return frames[0].sparkSession.read.schema(frames[0].schema).parquet(path)
+
+
 def train(docs: DataFrame, trusted: DataFrame) -> tuple[DataFrame, Scale]:
     """The counts of the documents whose ids are in ``trusted``, one row per word and per pair of words, and what they share.
 
@@ -183,8 +232,9 @@ def train(docs: DataFrame, trusted: DataFrame) -> tuple[DataFrame, Scale]:
     ids = spark.sparkContext.broadcast(key_filter(trusted.select("doc_id"), FILTER_BITS))
     texts = docs.filter("doc_id is not null").select("doc_id", whole_text().alias("text"))
     some = texts.mapInArrow(partial(_texts, ids=ids), "doc_id long, packed binary")
-    counts = some.join(trusted.select("doc_id"), "doc_id", "left_semi").select("packed").mapInArrow(_counts, _PAIRS)
-    counts = stage(counts.groupBy("context", "word").agg(F.sum("n").alias("n")), "pair-counts")
+    texts = some.join(trusted.select("doc_id"), "doc_id", "left_semi").select("packed")
+    rounds = [texts.mapInArrow(partial(_counts, number=k, rounds=COUNT_ROUNDS), _PAIRS) for k in range(COUNT_ROUNDS)]
+    counts = _by_rounds([r.groupBy("context", "word").agg(F.sum("n").alias("n")) for r in rounds], fresh_path(spark, "pair-counts"))
     none = F.lit(0).cast("long")
     kinds = [F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2), F.count_if(F.col("n") > 2)]
     contexts = counts.groupBy(F.col("context").alias("key")).agg(
@@ -205,86 +255,150 @@ def train(docs: DataFrame, trusted: DataFrame) -> tuple[DataFrame, Scale]:
     return words.unionByName(pairs), Scale(d, d1, sum(of.values()), spread)
 
 
-def _asked(tokens: np.ndarray, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The different keys of a block, words and pairs, ascending, and the key of each pair as it stands."""
-    pairs = _pair_keys(vocabulary[tokens[:-1]], vocabulary[tokens[1:]])
-    return np.union1d(vocabulary, pairs), pairs
+def _different(keys: np.ndarray) -> np.ndarray:
+    keys = np.sort(keys)
+    return keys[np.append(True, keys[1:] != keys[:-1])] if len(keys) else keys
+
+
+def _cut_by_shard(keys: np.ndarray, shards: int) -> np.ndarray:
+    """Where each shard begins among ascending keys; they are dealt by their first bits."""
+    return np.searchsorted(keys >> np.uint64(64 - int(math.log2(shards))), np.arange(shards + 1, dtype=np.uint64))
+
+
+def _dealt(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
+    """A task's counts, in parts of a bounded number of keys, in one row a shard: all counts of words, of pairs their number."""
+    held, size = [], 0
+
+    def out() -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held)
+        keys = rows.column("key").to_numpy().view(np.uint64)
+        order = np.argsort(keys)
+        counts = np.stack([rows.column(c).to_numpy()[order] for c in _COUNTS])
+        keys, is_word = keys[order], counts[1:].any(axis=0)
+        columns = {}
+        for name, values, mask, some in (("words", "counts", is_word, counts), ("pairs", "times", ~is_word, counts[:1])):
+            mine, some = keys[mask], some[:, mask]
+            cuts = _cut_by_shard(mine, shards)
+            columns[name] = pa.array([_ascending(mine[a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary())
+            columns[values] = pa.array([_packed(some[:, a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary())
+        return pa.RecordBatch.from_pydict({"shard": pa.array(range(shards), pa.int32())} | columns)
+
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= BLOCK_WORDS:
+            yield out()
+            held, size = [], 0
+    if held:
+        yield out()
+
+
+def _merged(parts: pa.Table) -> pa.Table:
+    """The rows of one shard in one, keys ascending."""
+    columns = {"shard": pa.array([parts.column("shard")[0].as_py()], pa.int32())}
+    for name, values, k in (("words", "counts", len(_COUNTS)), ("pairs", "times", 1)):
+        keys = np.concatenate([_from_ascending(x.as_py()) for x in parts.column(name)])
+        counts = np.concatenate([_unpacked(x.as_py(), np.int64).reshape(k, -1) for x in parts.column(values)], axis=1)
+        order = np.argsort(keys)
+        columns |= {name: pa.array([_ascending(keys[order])], pa.binary()), values: pa.array([_packed(counts[:, order])], pa.binary())}
+    return pa.table(columns)
+
 
+def deal(model: DataFrame, shards: int, path: str) -> DataFrame:
+    """The counts that ``train`` gives, one row for each shard, written at ``path``."""
+    parts = model.select("key", *_COUNTS).mapInArrow(partial(_dealt, shards=shards), _DEALT)
+    return _by_rounds([parts.groupBy("shard").applyInArrow(_merged, _DEALT)], path)
 
-def _block(rows: list[tuple], number: int, shards: int) -> pa.RecordBatch:
+
+def _asked(tokens: np.ndarray, vocabulary: np.ndarray) -> np.ndarray:
+    """The key of each pair as it stands."""
+    words = vocabulary[tokens]
+    return _pair_keys(words[:-1], words[1:])
+
+
+def _block(rows: list[pa.RecordBatch], words: list[pa.Array], lengths: np.ndarray, number: int, shards: int) -> pa.RecordBatch:
     """One row for each shard, with the block's different keys in it; one of them carries the block's documents."""
-    ids, keys, langs, hashes = zip(*rows)
-    stream = np.concatenate([np.zeros(1, np.uint64), *(x for h in hashes for x in (h, np.zeros(1, np.uint64)))])
-    vocabulary, tokens = np.unique(stream, return_inverse=True)
-    asked, _ = _asked(tokens, vocabulary)
-    shift = np.uint64(64 - int(math.log2(shards)))
-    cuts = np.searchsorted(asked >> shift, np.arange(shards + 1, dtype=np.uint64))
+    tokens, vocabulary = _stream(words, lengths)
+
+    def by_shard(keys: np.ndarray) -> pa.Array:
+        cuts = _cut_by_shard(keys, shards)
+        return pa.array([_ascending(keys[a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary())
 
     def once(value, kind: pa.DataType) -> pa.Array:
         return pa.array([value if i == number % shards else None for i in range(shards)], kind)
 
+    def column(name: str) -> list:
+        return [x for r in rows for x in r.column(name).to_pylist()]
+
     return pa.RecordBatch.from_arrays(
         [
             pa.array([number] * shards, pa.int64()),
             pa.array(range(shards), pa.int32()),
-            pa.array([_ascending(asked[a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary()),
-            once(_ascending(vocabulary), pa.binary()),
-            once(_packed(tokens.astype(np.int32)), pa.binary()),
-            once(list(ids), pa.list_(pa.int64())),
-            once(list(keys), pa.list_(pa.int64())),
-            once(list(langs), pa.list_(pa.string())),
-            once([len(h) for h in hashes], pa.list_(pa.int64())),
+            by_shard(vocabulary),
+            by_shard(_different(_asked(tokens, vocabulary))),
+            once(_packed(tokens), pa.binary()),
+            once(column("doc_id"), pa.list_(pa.int64())),
+            once(column("text_key"), pa.list_(pa.int64())),
+            once(column("lang"), pa.list_(pa.string())),
+            once(lengths.tolist(), pa.list_(pa.int64())),
         ],
-        ["block", "shard", "keys", *_CARRIED],
+        ["block", "shard", "vocabulary", "pairs", *_CARRIED],
     )
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
-    number, held, rows = TaskContext.get().partitionId() << 32, 0, []
-    for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("doc_id", "text_key", "lang")]
-        for doc_id, key, lang, text in zip(*columns, batch.column("text").cast(pa.binary())):
-            rows.append((doc_id, key, lang, word_classes(text.as_py())))
-            held += len(rows[-1][-1]) + 1
-            if held >= BLOCK_WORDS:
-                yield _block(rows, number, shards)
-                number, held, rows = number + 1, 0, []
+    number, held, rows, words, lengths = TaskContext.get().partitionId() << 32, 0, [], [], []
+    for batch in slices(batches, _SLICE):
+        split, n = _split(batch.column("text"))
+        rows.append(batch.select(["doc_id", "text_key", "lang"]))
+        words.append(split)
+        lengths.append(n)
+        held += len(split) + len(n)
+        if held >= BLOCK_WORDS:
+            yield _block(rows, words, np.concatenate(lengths), number, shards)
+            number, held, rows, words, lengths = number + 1, 0, [], [], []
     if rows:
-        yield _block(rows, number, shards)
+        yield _block(rows, words, np.concatenate(lengths), number, shards)
+
+
+def _looked_up(want: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The counts of the wanted keys, 0 where there are none."""
+    found = np.zeros((len(counts), len(want)), np.int64)
+    if len(keys):
+        at = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
+        known = keys[at] == want
+        found[:, known] = counts[:, at[known]]
+    return found
 
 
 def _answers(asked: pa.Table, model: pa.Table) -> pa.Table:
     """The counts of every key that the blocks ask one shard for, 0 where the model has none."""
-    keys = model.column("key").to_numpy().view(np.uint64)
-    order = np.argsort(keys)
-    keys = keys[order]
-    counts = np.stack([model.column(c).to_numpy()[order] for c in ("n", "after", "ones", "twos", "more")])
-    out = []
-    for data in asked.column("keys"):
-        want = _from_ascending(data.as_py())
-        found = np.zeros((5, len(want)), np.int64)
-        if len(keys):
-            at = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
-            known = keys[at] == want
-            found[:, known] = counts[:, at[known]]
-        out.append(_packed(found))
-    carried = {c: asked.column(c) for c in _CARRIED}
-    return pa.table({"block": asked.column("block"), "shard": asked.column("shard"), "counts": pa.array(out, pa.binary())} | carried)
+    none = np.empty(0, np.uint64)
+    words, counts, pairs, times = none, np.empty((len(_COUNTS), 0), np.int64), none, np.empty((1, 0), np.int64)
+    if model.num_rows:
+        of = {c: model.column(c)[0].as_py() for c in ("words", "counts", "pairs", "times")}
+        words, pairs = _from_ascending(of["words"]), _from_ascending(of["pairs"])
+        counts, times = (_unpacked(of[c], np.int64).reshape(k, -1) for c, k in (("counts", len(_COUNTS)), ("times", 1)))
+    found = [_packed(_looked_up(_from_ascending(x.as_py()), words, counts)) for x in asked.column("vocabulary")]
+    met = [_packed(_looked_up(_from_ascending(x.as_py()), pairs, times)) for x in asked.column("pairs")]
+    kept = {c: asked.column(c) for c in ("block", "shard", "vocabulary")}
+    return pa.table(kept | {"counts": pa.array(found, pa.binary()), "times": pa.array(met, pa.binary())} | {c: asked.column(c) for c in _CARRIED})
 
 
 def _of_block(table: pa.Table, scale: Scale) -> pa.Table:
     """Cost of each document of one block, from the counts of its words and pairs."""
-    order = np.argsort(table.column("shard").to_numpy())
-    found = np.concatenate([_unpacked(table.column("counts")[int(i)].as_py(), np.int64).reshape(5, -1) for i in order], axis=1)
-    first = next(i for i in range(table.num_rows) if table.column("words")[i].is_valid)
-    vocabulary = _from_ascending(table.column("vocabulary")[first].as_py())
+    order = [int(i) for i in np.argsort(table.column("shard").to_numpy())]
+    first = next(i for i in order if table.column("words")[i].is_valid)
+    vocabulary = np.concatenate([_from_ascending(table.column("vocabulary")[i].as_py()) for i in order])
+    found = np.concatenate([_unpacked(table.column("counts")[i].as_py(), np.int64).reshape(len(_COUNTS), -1) for i in order], axis=1)
+    times = np.concatenate([_unpacked(table.column("times")[i].as_py(), np.int64) for i in order])
     tokens = _unpacked(table.column("tokens")[first].as_py(), np.int32)
-    asked, pairs = _asked(tokens, vocabulary)
-    total, after, *kinds = found[:, np.searchsorted(asked, vocabulary)]
+    total, after, *kinds = found
     below = _below(after, scale.word, scale.pairs, scale.spread)
     left = sum(d * k for d, k in zip(scale.pair, kinds))
-    n = found[0, np.searchsorted(asked, pairs)]
-    costs = _costs(n, total[tokens[:-1]], left[tokens[:-1]], below[tokens[1:]], scale.pair)
+    # the pairs' keys, ascending, are what was asked for
+    _, places = np.unique(_asked(tokens, vocabulary), return_inverse=True)
+    costs = _costs(times[places], total[tokens[:-1]], left[tokens[:-1]], below[tokens[1:]], scale.pair)
     words = np.array(table.column("words")[first].as_py(), np.int64)
     run = np.concatenate(([0], np.cumsum(costs)))
     ends = np.cumsum(words + 1)
@@ -293,26 +407,33 @@ def _of_block(table: pa.Table, scale: Scale) -> pa.Table:
     return pa.table({**out, "words": pa.array(words), "cost": pa.array(run[ends] - run[ends - words - 1], pa.int64())})
 
 
-def score(docs: DataFrame, model: DataFrame, scale: Scale) -> DataFrame:
+def shards_for(docs: DataFrame, scale: Scale) -> int:
+    """The number of shards, a power of two, grows with the counts and with the documents."""
+    least = max(SHARDS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    least = max(least, scale.pairs / SHARD_COUNTS, docs.count() / SHARD_DOCS)
+    return 1 << math.ceil(math.log2(least))
+
+
+def score(docs: DataFrame, dealt: DataFrame, scale: Scale, shards: int) -> DataFrame:
     """(doc_id, text_key, lang, words, cost) of every row: cost is the text's negative log-probability in 1 / SCALE nats.
 
-    A block of documents asks every shard of the counts once for its different words and pairs there, and gets
-    their counts back in the same order. The number of shards grows with the counts and with the documents.
+    A block of documents asks every shard of the counts (``deal``) once for its different words and pairs there, and
+    gets their counts back in the same order.
     """
-    least = max(SHARDS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    least = max(least, scale.pairs / SHARD_COUNTS, docs.count() / SHARD_DOCS)
-    shards = 1 << math.ceil(math.log2(least))
     rows = docs.select(
         "doc_id", F.xxhash64(whole_text()).alias("text_key"), F.col("lang").cast("string").alias("lang"), whole_text().alias("text")
     )
-    blocks = rows.mapInArrow(partial(_blocks, shards=shards), _ASKED)
-    dealt = model.withColumn("shard", F.shiftrightunsigned("key", 64 - int(math.log2(shards))).cast("int"))
-    answers = blocks.groupBy("shard").cogroup(dealt.groupBy("shard")).applyInArrow(_answers, _ANSWERED)
+    number = F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(ROUNDS))
 
     def of_block(table: pa.Table) -> pa.Table:
         return _of_block(table, scale)
 
-    return answers.groupBy("block").applyInArrow(of_block, _SCORED)
+    def scored(some: DataFrame) -> DataFrame:
+        blocks = some.mapInArrow(partial(_blocks, shards=shards), _ASKED)
+        answers = blocks.groupBy("shard").cogroup(dealt.groupBy("shard")).applyInArrow(_answers, _ANSWERED)
+        return answers.groupBy("block").applyInArrow(of_block, _SCORED)
+
+    return _by_rounds([scored(rows.filter(number == k)) for k in range(ROUNDS)], fresh_path(docs.sparkSession, "costs"))
 
 
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, prior_words: int = PRIOR_WORDS) -> DataFrame:
@@ -328,8 +449,12 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, pri
     a null doc_id is scored and is never trusted. Extra columns are ignored; empty tables give empty results.
     """
     trusted = stage(trusted_ids(labels), "trusted")
-    counts, scale = train(docs, trusted.filter(~held_out()))
-    costs = stage(score(docs, counts, scale), "costs")
+    path = fresh_path(docs.sparkSession, "model")
+    with temporary_tables(docs.sparkSession):  # the counts by pair and by word are read no more when they are dealt
+        counts, scale = train(docs, trusted.filter(~held_out()))
+        shards = shards_for(docs, scale)
+        dealt = deal(counts, shards, path)
+    costs = score(docs, dealt, scale, shards)
     known = costs.join(trusted.filter(held_out()), "doc_id", "left_semi")
     grouping = known.filter("lang is not null").groupBy("lang")
     means = grouping.agg(F.sum("cost").alias("all_cost"), F.sum(F.col("words") + 1).alias("all_words"))

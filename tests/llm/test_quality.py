@@ -1,13 +1,16 @@
 import collections
 import math
+import pathlib
 import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from creditloom.llm import quality as q
+from creditloom.sources.staging import staging_root
 
 
 def brute(docs, labels, quantile, prior):
@@ -148,3 +151,36 @@ def test_rare_words_share_no_counts(spark, make_docs):
     assert not any(got[1000 + i].kept for i in range(20))
     assert sum(got[i].kept for i in range(400)) >= 396
     assert len({h for w in known for h in q.word_classes(w.encode()).tolist()}) == len(known)
+
+
+def test_words_of_a_stream_are_those_of_the_texts():
+    texts = ["", " ", "a  b\ta", "\x0b\x0cé x \r\n", "a", " lead trail ", "\x1c\x1f"]
+    words, lengths = q._split(pa.array(texts))
+    tokens, vocabulary = q._stream([words.slice(0, 2), words.slice(2)], lengths)
+    classes = [q.word_classes(t.encode()).tolist() for t in texts]
+    assert lengths.tolist() == [len(c) for c in classes]
+    assert vocabulary[tokens].tolist() == [0, *(x for c in classes for x in [*c, 0])]
+    assert sorted(set(vocabulary.tolist())) == vocabulary.tolist()
+
+
+def test_no_round_leaves_shuffle_files_or_counts(spark, make_docs, tmp_path):
+    """What a round shuffled, and the counts by pair and word, are gone when the documents are scored."""
+    rng = random.Random(9)
+    docs = [(i, " ".join(f"w{rng.randrange(500)}" for _ in range(60))) for i in range(100)]
+    frame, marks = make_docs(docs), spark.createDataFrame([(i, 1) for i in range(100)], "doc_id long, quality int")
+    root = pathlib.Path(staging_root(spark).removeprefix("file:"))
+    before = set(root.rglob("*-counts-*"))
+    assert q.classify(frame, marks).count() == 100
+    assert set(root.rglob("*-counts-*")) <= before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "true"
+
+
+def test_counts_are_the_same_in_any_number_of_rounds(spark, make_docs, monkeypatch):
+    docs, labels = corpus()
+    frame = make_docs([(i, t, lang, "s") for i, t, lang in docs])
+    marks = spark.createDataFrame(labels, "doc_id long, quality int")
+    sums = lambda: sorted(map(tuple, q.classify(frame, marks).collect()), key=repr)
+    expected = sums()
+    monkeypatch.setattr(q, "COUNT_ROUNDS", 1)
+    monkeypatch.setattr(q, "ROUNDS", 1)
+    assert sums() == expected
