@@ -13,13 +13,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from creditloom.llm.common import in_filter, key_filter, stage, whole_text
+from creditloom.llm.common import in_filter, key_filter, slices, stage, whole_text
 
 #: Lines of fewer words are only compared for equality: one word is too large a part of them.
 MIN_WORDS = 8
 #: Size of the filter that saves shuffling lines without a partner, whatever their number.
 FILTER_BITS = 1 << 25
 
+#: Documents whose lines a task holds as Python objects at once.
+DOCS_AT_ONCE = 256
+
 _POSITION = ["doc_id", "text_key", "line"]
 _HALVES = ["head", "tail", "head_shorter", "tail_shorter"]
 _LINES = "doc_id long, text_key long, line int, h1 long, h2 long, n int, " + ", ".join(f"{c} long" for c in _HALVES)
@@ -49,7 +52,7 @@ def _as_long(values: list[int]) -> pa.Array:
 
 
 def _lines(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches, DOCS_AT_ONCE):
         row, line, h1, h2, n, halves = [], [], [], [], [], [[], [], [], []]
         for i, text in enumerate(batch.column("text").cast(pa.binary())):
             for number, raw in enumerate(text.as_py().split(b"\n")):
@@ -80,7 +83,7 @@ def _lines(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.Rec
 def _wanted(batches: Iterator[pa.RecordBatch], filters: Broadcast, min_words: int) -> Iterator[pa.RecordBatch]:
     """The words of lines that the filter lets through."""
     table = np.frombuffer(filters.value, np.uint8)
-    for batch in batches:
+    for batch in slices(batches, DOCS_AT_ONCE):
         row, line, hashes, words = [], [], [], []
         for i, text in enumerate(batch.column("text").cast(pa.binary())):
             for number, raw in enumerate(text.as_py().split(b"\n")):
@@ -246,7 +249,7 @@ def dropped_lines(docs: DataFrame, near: bool = True, min_words: int = MIN_WORDS
 
 def _cut(batches: Iterator[pa.RecordBatch], counts: tuple[str, str]) -> Iterator[pa.RecordBatch]:
     """Take the lines numbered in __gone out of the texts."""
-    for batch in batches:
+    for batch in slices(batches, DOCS_AT_ONCE):
         texts, n_lines, n_dropped = [], [], []
         for text, gone in zip(batch.column("text"), batch.column("__gone").to_pylist()):
             text = text.as_py()

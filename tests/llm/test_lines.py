@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from creditloom.llm import lines as ln
@@ -82,3 +83,18 @@ def test_one_edit():
         assert ln.within_one_edit(a, b) and ln.within_one_edit(b, a)
     for b in ([b"a", b"c"], [b"b", b"a", b"b", b"c"], [b"x", b"b", b"b", b"y"], [b"x", b"a", b"b", b"c", b"d"]):
         assert not ln.within_one_edit(a, b) and not ln.within_one_edit(b, a)
+
+
+def test_tasks_hold_the_lines_of_few_documents_at_once():
+    """A batch of any size is worked on in pieces; together they are what the whole batch gives."""
+    n = 3 * ln.DOCS_AT_ONCE + 5
+    texts = [f"line {i} of some words that are many enough\nx\n\nrow {i % 7}" for i in range(n)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(n)), "text_key": list(range(n)), "text": texts})
+    pieces = list(ln._lines(iter([batch]), ln.MIN_WORDS))
+    assert len(pieces) == 4 and max(p.num_rows for p in pieces) <= 3 * ln.DOCS_AT_ONCE
+    got = pa.Table.from_batches(pieces).to_pydict()
+    assert list(zip(got["doc_id"], got["line"])) == [(i, k) for i in range(n) for k in (0, 1, 3)]
+    cut = batch.append_column("__gone", pa.array([[1] if i % 2 else None for i in range(n)], pa.list_(pa.int32())))
+    out = list(ln._cut(iter([cut]), ("a", "b")))
+    assert [p.num_rows for p in out] == [ln.DOCS_AT_ONCE] * 3 + [5]
+    assert pa.Table.from_batches(out).column("b").to_pylist() == [i % 2 for i in range(n)]
