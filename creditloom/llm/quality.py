@@ -25,8 +25,10 @@ CLASSES = 1 << 20
 SHARDS = 64
 SHARD_COUNTS = 1 << 19
 SHARD_DOCS = 1 << 13
-#: Documents are scored in blocks of about so many words, and counted in parts of so many pairs.
+#: Documents are scored in blocks of about so many words, and their counts dealt in parts of so many keys.
 BLOCK_WORDS = 1 << 20
+#: Documents are counted in parts of about so many words; Spark sums a task's parts before the shuffle.
+PART_WORDS = 1 << 18
 #: Pairs are counted in so many rounds by key, documents scored in so many rounds by id and text.
 #: A round's shuffle files go at its end, so they take their share of the disk only.
 COUNT_ROUNDS = 2
@@ -38,8 +40,9 @@ FILTER_BITS = 1 << 24
 #: Log-probabilities are whole multiples of 1 / SCALE nats, so sums are the same in any order.
 SCALE = 1000
 
-#: Documents that are split into words at once.
+#: Documents that are split into words at once, and pairs whose cost is worked out at once.
 _SLICE = 256
+_STRETCH = 1 << 16
 _PAIRS = "context long, word long, n long"
 _COUNTS = ["n", "after", "ones", "twos", "more"]
 _DEALT = "shard int, words binary, counts binary, pairs binary, times binary"
@@ -97,10 +100,16 @@ def _stream(words: list[pa.Array], lengths: np.ndarray) -> tuple[np.ndarray, np.
 
 def _pair_keys(contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
     # the constant keeps the pair of an empty text, (0, 0), apart from the key of the word 0
-    x = (contexts ^ (contexts >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + words + np.uint64(0x632BE59BD9B4E019)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = contexts >> np.uint64(29)
+    x ^= contexts
+    x *= np.uint64(0x9E3779B97F4A7C15)
+    x += words
+    x += np.uint64(0x632BE59BD9B4E019)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x ^= x >> np.uint64(shift)
+        x *= np.uint64(factor)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def _squeezed(data: bytes) -> bytes:
@@ -160,7 +169,7 @@ def _counts(batches: Iterator[pa.RecordBatch], number: int, rounds: int) -> Iter
         held.append(words)
         lengths += n.tolist()
         size += n.sum() + len(n)
-        if size >= BLOCK_WORDS:
+        if size >= PART_WORDS:
             yield out()
             held, lengths, size = [], [], 0
     if held:
@@ -267,29 +276,30 @@ def _cut_by_shard(keys: np.ndarray, shards: int) -> np.ndarray:
 
 def _dealt(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
     """A task's counts, in parts of a bounded number of keys, in one row a shard: all counts of words, of pairs their number."""
-    held, size = [], 0
+    words, pairs, size = [], [], 0
 
     def out() -> pa.RecordBatch:
-        rows = pa.Table.from_batches(held)
-        keys = rows.column("key").to_numpy().view(np.uint64)
-        order = np.argsort(keys)
-        counts = np.stack([rows.column(c).to_numpy()[order] for c in _COUNTS])
-        keys, is_word = keys[order], counts[1:].any(axis=0)
-        columns = {}
-        for name, values, mask, some in (("words", "counts", is_word, counts), ("pairs", "times", ~is_word, counts[:1])):
-            mine, some = keys[mask], some[:, mask]
-            cuts = _cut_by_shard(mine, shards)
-            columns[name] = pa.array([_ascending(mine[a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary())
-            columns[values] = pa.array([_packed(some[:, a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary())
-        return pa.RecordBatch.from_pydict({"shard": pa.array(range(shards), pa.int32())} | columns)
+        columns = {"shard": pa.array(range(shards), pa.int32())}
+        for name, values, held in (("words", "counts", words), ("pairs", "times", pairs)):
+            rows = np.concatenate(held, axis=1)
+            held.clear()
+            rows = rows[:, np.argsort(rows[0].view(np.uint64))]
+            keys, counts = rows[0].view(np.uint64), rows[1:]
+            cuts = _cut_by_shard(keys, shards)
+            columns[name] = pa.array([_ascending(keys[a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary())
+            columns[values] = pa.array([_packed(counts[:, a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary())
+        return pa.RecordBatch.from_pydict(columns)
 
     for batch in batches:
-        held.append(batch)
+        rows = np.stack([batch.column(c).to_numpy() for c in ("key", *_COUNTS)])
+        is_word = rows[2:].any(axis=0)
+        words.append(rows[:, is_word])
+        pairs.append(rows[:2, ~is_word])
         size += batch.num_rows
         if size >= BLOCK_WORDS:
             yield out()
-            held, size = [], 0
-    if held:
+            size = 0
+    if size:
         yield out()
 
 
@@ -316,6 +326,11 @@ def _asked(tokens: np.ndarray, vocabulary: np.ndarray) -> np.ndarray:
     return _pair_keys(words[:-1], words[1:])
 
 
+def _carrier(number: int, shards: int) -> int:
+    """The shard whose row carries a block's documents: a task's blocks are dealt from its own place on."""
+    return ((number >> 32) + number) % shards
+
+
 def _block(rows: list[pa.RecordBatch], words: list[pa.Array], lengths: np.ndarray, number: int, shards: int) -> pa.RecordBatch:
     """One row for each shard, with the block's different keys in it; one of them carries the block's documents."""
     tokens, vocabulary = _stream(words, lengths)
@@ -325,7 +340,7 @@ def _block(rows: list[pa.RecordBatch], words: list[pa.Array], lengths: np.ndarra
         return pa.array([_ascending(keys[a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary())
 
     def once(value, kind: pa.DataType) -> pa.Array:
-        return pa.array([value if i == number % shards else None for i in range(shards)], kind)
+        return pa.array([value if i == _carrier(number, shards) else None for i in range(shards)], kind)
 
     def column(name: str) -> list:
         return [x for r in rows for x in r.column(name).to_pylist()]
@@ -398,7 +413,11 @@ def _of_block(table: pa.Table, scale: Scale) -> pa.Table:
     left = sum(d * k for d, k in zip(scale.pair, kinds))
     # the pairs' keys, ascending, are what was asked for
     _, places = np.unique(_asked(tokens, vocabulary), return_inverse=True)
-    costs = _costs(times[places], total[tokens[:-1]], left[tokens[:-1]], below[tokens[1:]], scale.pair)
+    costs = np.empty(len(places), np.int64)
+    for at in range(0, len(costs), _STRETCH):
+        some = slice(at, at + _STRETCH)
+        contexts, following = tokens[:-1][some], tokens[1:][some]
+        costs[some] = _costs(times[places[some]], total[contexts], left[contexts], below[following], scale.pair)
     words = np.array(table.column("words")[first].as_py(), np.int64)
     run = np.concatenate(([0], np.cumsum(costs)))
     ends = np.cumsum(words + 1)

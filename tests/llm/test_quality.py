@@ -2,7 +2,9 @@ import collections
 import math
 import pathlib
 import random
+import tracemalloc
 import zlib
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -184,3 +186,35 @@ def test_counts_are_the_same_in_any_number_of_rounds(spark, make_docs, monkeypat
     monkeypatch.setattr(q, "COUNT_ROUNDS", 1)
     monkeypatch.setattr(q, "ROUNDS", 1)
     assert sums() == expected
+
+
+def test_blocks_documents_are_dealt_over_the_shards(spark, make_docs):
+    """The first blocks of all tasks are not carried by one shard, whose task would hold all words."""
+    frame = make_docs([(i, f"a w{i} b") for i in range(400)]).withColumn("text_key", F.col("doc_id")).repartition(16)
+    asked = frame.select("doc_id", "text_key", "lang", "text").mapInArrow(partial(q._blocks, shards=64), q._ASKED)
+    carried = asked.filter("tokens is not null").select("block", "shard", F.size("doc_id").alias("n")).collect()
+    assert len({r.block for r in carried}) == len(carried) == 16 and sum(r.n for r in carried) == 400
+    assert len({r.shard for r in carried}) == 16
+
+
+def test_a_task_holds_little_besides_its_keys_and_counts():
+    """Pairs are dealt without the columns that only words have; what is dealt has all keys and counts."""
+    rng = np.random.default_rng(10)
+    keys = np.unique(rng.integers(1, 2**63, q.BLOCK_WORDS + 4096))
+    rng.shuffle(keys)
+    is_word = np.arange(len(keys)) % 16 == 0
+    counts = [rng.integers(1, 9, len(keys)), *(np.where(is_word, rng.integers(1, 9, len(keys)), 0) for _ in q._COUNTS[1:])]
+    rows = pa.table([pa.array(c) for c in (keys, *counts)], ["key", *q._COUNTS])
+    batches = (pa.RecordBatch.from_pydict(b.to_pydict(), b.schema) for b in rows.to_batches(8192))
+    tracemalloc.start()
+    dealt = list(q._dealt(batches, 4))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 80e6
+    for name, values, mask, k in (("words", "counts", is_word, 5), ("pairs", "times", ~is_word, 1)):
+        order = np.argsort(keys[mask])
+        parts = [q._merged(pa.Table.from_batches([d.slice(s, 1) for d in dealt])) for s in range(4)]
+        got = np.concatenate([q._from_ascending(p.column(name)[0].as_py()) for p in parts])
+        assert got.tolist() == keys[mask][order].tolist()
+        found = np.concatenate([q._unpacked(p.column(values)[0].as_py(), np.int64).reshape(k, -1) for p in parts], axis=1)
+        assert (found == np.stack(counts[:k])[:, mask][:, order]).all()
