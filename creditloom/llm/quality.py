@@ -40,7 +40,7 @@ FILTER_BITS = 1 << 24
 #: Log-probabilities are whole multiples of 1 / SCALE nats, so sums are the same in any order.
 SCALE = 1000
 
-#: Documents that are split into words at once, and pairs whose cost is worked out at once.
+#: Documents that are split into words at once, and pairs whose keys or costs are worked out at once.
 _SLICE = 256
 _STRETCH = 1 << 16
 _PAIRS = "context long, word long, n long"
@@ -67,6 +67,11 @@ class Scale(NamedTuple):
     spread: float
 
 
+def _give_back() -> None:
+    """Memory that Arrow does not use goes to the system: Spark keeps a task's Python process for later tasks."""
+    pa.default_memory_pool().release_unused()
+
+
 def _hashes(words: Sequence[bytes]) -> np.ndarray:
     return np.maximum(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)), np.uint64(1))
 
@@ -93,8 +98,9 @@ def _stream(words: list[pa.Array], lengths: np.ndarray) -> tuple[np.ndarray, np.
     known = _hashes(coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False))
     vocabulary, places = np.unique(np.append(np.uint64(0), known), return_inverse=True)
     tokens = np.zeros(lengths.sum() + len(lengths) + 1, np.int32)
-    at = np.arange(len(coded)) + np.repeat(np.arange(1, len(lengths) + 1), lengths)
-    tokens[at] = places[1:][coded.indices.to_numpy(zero_copy_only=False)]
+    is_word = np.ones(len(tokens), bool)
+    is_word[np.append(0, np.cumsum(lengths + 1))] = False
+    tokens[is_word] = places[1:].astype(np.int32)[coded.indices.to_numpy(zero_copy_only=False)]
     return tokens, vocabulary
 
 
@@ -172,6 +178,7 @@ def _counts(batches: Iterator[pa.RecordBatch], number: int, rounds: int) -> Iter
         if size >= PART_WORDS:
             yield out()
             held, lengths, size = [], [], 0
+            _give_back()
     if held:
         yield out()
 
@@ -265,7 +272,8 @@ def train(docs: DataFrame, trusted: DataFrame) -> tuple[DataFrame, Scale]:
 
 
 def _different(keys: np.ndarray) -> np.ndarray:
-    keys = np.sort(keys)
+    """The different keys, ascending; ``keys`` are sorted in place."""
+    keys.sort()
     return keys[np.append(True, keys[1:] != keys[:-1])] if len(keys) else keys
 
 
@@ -299,6 +307,7 @@ def _dealt(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.Record
         if size >= BLOCK_WORDS:
             yield out()
             size = 0
+            _give_back()
     if size:
         yield out()
 
@@ -322,8 +331,11 @@ def deal(model: DataFrame, shards: int, path: str) -> DataFrame:
 
 def _asked(tokens: np.ndarray, vocabulary: np.ndarray) -> np.ndarray:
     """The key of each pair as it stands."""
-    words = vocabulary[tokens]
-    return _pair_keys(words[:-1], words[1:])
+    keys = np.empty(len(tokens) - 1, np.uint64)
+    for at in range(0, len(keys), _STRETCH):
+        words = vocabulary[tokens[at : at + _STRETCH + 1]]
+        keys[at : at + _STRETCH] = _pair_keys(words[:-1], words[1:])
+    return keys
 
 
 def _carrier(number: int, shards: int) -> int:
@@ -372,6 +384,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.Recor
         if held >= BLOCK_WORDS:
             yield _block(rows, words, np.concatenate(lengths), number, shards)
             number, held, rows, words, lengths = number + 1, 0, [], [], []
+            _give_back()
     if rows:
         yield _block(rows, words, np.concatenate(lengths), number, shards)
 
@@ -419,6 +432,7 @@ def _of_block(table: pa.Table, scale: Scale) -> pa.Table:
         contexts, following = tokens[:-1][some], tokens[1:][some]
         costs[some] = _costs(times[places[some]], total[contexts], left[contexts], below[following], scale.pair)
     words = np.array(table.column("words")[first].as_py(), np.int64)
+    _give_back()
     run = np.concatenate(([0], np.cumsum(costs)))
     ends = np.cumsum(words + 1)
     kept = (("doc_id", pa.int64()), ("text_key", pa.int64()), ("lang", pa.string()))
