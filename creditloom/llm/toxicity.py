@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditloom.llm.common import stage, whole_text, words_of
+from creditloom.sources.staging import rows_one_by_one
 
 #: Bound of the labelled rows that the classifier is fitted on: so many of each label, those first by hash of their doc_id.
 MAX_LABELLED = 2_048
@@ -329,7 +330,7 @@ def classify(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLE
     n = vectors.count()
     df, with_term, toxic = (np.zeros(len(numbers), np.int64) for _ in range(3))
     found = vectors.select("vector").mapInArrow(partial(_documents_of_terms, size=len(numbers)), "term int, df long")
-    for r in found.groupBy("term").agg(F.sum("df").alias("df")).toLocalIterator():  # one row per term of the sample
+    for r in rows_one_by_one(found.groupBy("term").agg(F.sum("df").alias("df")), "terms"):  # one row per term of the sample
         df[r["term"]] = r["df"]
     examples = []
     for r in known:

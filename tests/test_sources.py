@@ -1,9 +1,11 @@
 import datetime as dt
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from creditloom import constants as K
+from creditloom.llm.common import in_filter, key_filter
 from creditloom.operators import registry
 from creditloom.sources import readers, staging, writers
 
@@ -153,3 +155,14 @@ def test_run_log_is_compacted_by_day(spark, tmp_path):
     assert writers.compact_runs(spark, path) == 1 and writers.compact_runs(spark, path) == 0
     after = readers.read_runs(spark, path)
     assert sorted(after.select("run_id", "start_time").collect()) == before and after.columns == K.RUNS_SCHEMA.names
+
+
+def test_rows_fetched_lazily_need_no_shuffle(spark, monkeypatch):
+    """A query's shuffle files go when it returns, which may be before the rows that it hands out are read."""
+    plans, kind = [], type(spark.range(1))
+    monkeypatch.setattr(kind, "toLocalIterator", lambda df, *a, f=kind.toLocalIterator, **k: (plans.append(df._jdf.queryExecution().toString()), f(df, *a, **k))[1])
+    bits = key_filter(spark.range(0, 500, 1, 8), 1 << 10)
+    assert in_filter(np.frombuffer(bits, np.uint8), np.arange(1024, dtype=np.uint64)).sum() == 500
+    found = staging.rows_one_by_one(spark.range(0, 20_000, 1, 8).groupBy((F.col("id") % 997).alias("k")).agg(F.count("*").alias("n")))
+    assert sorted(r.k for r in found) == list(range(997))
+    assert len(plans) == 2 and not any("Exchange" in p for p in plans)
