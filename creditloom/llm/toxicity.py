@@ -6,16 +6,16 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from functools import partial
+from functools import cached_property, partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditloom.llm.common import stage, whole_text, words_of
-from creditloom.sources.staging import rows_one_by_one
 
 #: Bound of the labelled rows that the classifier is fitted on: so many of each label, those first by hash of their doc_id.
 MAX_LABELLED = 2_048
@@ -66,7 +66,7 @@ def unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 def _vectors(batches: Iterator[pa.RecordBatch], vocabulary: Broadcast) -> Iterator[pa.RecordBatch]:
     """Numbers and times of the terms that an example has; ``other`` is the sum of (1 + ln tf)^2 over the rest."""
-    numbers = vocabulary.value
+    numbers = {word: i for i, word in enumerate(vocabulary.value.to_pylist())}
     for batch in batches:
         vectors, other = [], []
         for text in batch.column("text").cast(pa.binary()):
@@ -101,6 +101,26 @@ def relevance(with_term: np.ndarray, toxic_with_term: np.ndarray, total: int, to
     return RELEVANCE_FLOOR + np.divide(cross * cross, spread, out=np.zeros(len(n)), where=spread > 0)
 
 
+def examples_of(known: pa.Table) -> tuple[pa.Array, list[tuple[int, np.ndarray, np.ndarray]]]:
+    """The sorted words of (doc_id, words, times) rows, and for each row its id, ascending term numbers and their times.
+
+    Words stay Arrow's and numbers numpy's: the driver makes no Python object of a word.
+    """
+    known = known.combine_chunks()
+    words, times = (known.column(c).combine_chunks() for c in ("words", "times"))
+    flat = words.flatten()
+    vocabulary = flat.unique()
+    vocabulary = vocabulary.take(pc.array_sort_indices(vocabulary))
+    terms = pc.index_in(flat, value_set=vocabulary).to_numpy(zero_copy_only=False).astype(np.int64)
+    counts = times.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.cumsum(pc.list_value_length(words).to_numpy(zero_copy_only=False), dtype=np.int64)
+    out = []
+    for doc_id, end, n in zip(known.column("doc_id").to_pylist(), ends.tolist(), np.diff(ends, prepend=0).tolist()):
+        order = np.argsort(terms[end - n : end])
+        out.append((doc_id, terms[end - n : end][order], counts[end - n : end][order]))
+    return vocabulary, out
+
+
 def unit_vector(terms: np.ndarray | list[int], times: np.ndarray | list[int], weight: np.ndarray, other: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
     """Term numbers and weights, (1 + ln tf) times the term's, over the length that the weights and ``other`` have."""
     at = np.array(terms, np.int64)
@@ -118,15 +138,19 @@ class Index:
     """Posting lists of the examples' unit vectors, cut into blocks of examples with each block's largest weight.
 
     Equal vectors are one entry with its documents. Entries stand by the nearest of about sqrt(n) of them, so that
-    those with common terms share blocks. The longest lists are rows of a dense matrix, zeros included.
+    those with common terms share blocks. The longest lists are rows of a dense matrix, zeros included; it is made
+    where it is first read, in the tasks, and does not travel.
     """
 
-    def __init__(self, examples: list[tuple[int, int, list[int], list[int]]], weight: np.ndarray):
+    def __init__(self, examples: list[tuple], weight: np.ndarray):
         """examples: (doc_id, label, terms, times) of vectors with a term, terms ascending."""
-        equal: dict[tuple, list[tuple[int, int]]] = {}
-        for d, y, terms, times in sorted(examples):
-            equal.setdefault((tuple(terms), tuple(times)), []).append((d, y))
-        vectors = [unit_vector(list(terms), list(times), weight) for terms, times in equal]
+        equal: dict[bytes, list[tuple[int, int]]] = {}
+        vectors = []
+        for d, y, terms, times in sorted(examples, key=lambda e: e[:2]):
+            members = equal.setdefault(np.array([terms, times], np.int64).tobytes(), [])
+            if not members:
+                vectors.append(unit_vector(terms, times, weight))
+            members.append((d, y))
         self.members, self.size = list(equal.values()), len(equal)
         entry = np.repeat(np.arange(self.size), [len(t) for t, _ in vectors]) if vectors else np.empty(0, np.int64)
         term = np.concatenate([t for t, _ in vectors]) if vectors else np.empty(0, np.int64)
@@ -139,9 +163,8 @@ class Index:
         head = np.argsort(-length, kind="stable")[:HEAD]
         self.row = np.full(len(weight), -1)
         self.row[head] = np.arange(len(head))
-        self.dense = np.zeros((len(head), self.blocks * BLOCK))
         dense = self.row[term] >= 0
-        self.dense[self.row[term[dense]], place[entry[dense]]] = value[dense]
+        self.heads = len(head), self.row[term[dense]], place[entry[dense]], value[dense]
         entry, term, value = place[entry[~dense]], term[~dense], value[~dense]
         order = np.lexsort((entry, term))
         self.entry, self.value, term = entry[order], value[order], term[order]
@@ -152,6 +175,16 @@ class Index:
         self.most = np.maximum.reduceat(self.value, self.start) if len(run) else np.empty(0)
         self.runs = np.searchsorted(term[self.start], np.arange(len(weight) + 1))
 
+    @cached_property
+    def dense(self) -> np.ndarray:
+        rows, row, entry, value = self.heads
+        out = np.zeros((rows, self.blocks * BLOCK))
+        out[row, entry] = value
+        return out
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "dense"}
+
     def _places(self, vectors: list, entry: np.ndarray, term: np.ndarray, value: np.ndarray, n_terms: int) -> np.ndarray:
         pivots = list(range(0, self.size, max(1, math.isqrt(self.size))))
         nearest, best = np.zeros(self.size, np.int64), np.full(self.size, -1.0)
@@ -317,31 +350,27 @@ def classify(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLE
     texts = docs.select("doc_id", whole_text().alias("text"))
     sample = spark.createDataFrame(sorted(marks.items()), "doc_id long, toxic int")
     known = texts.join(F.broadcast(sample.select("doc_id")), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
-    known = known.mapInArrow(_known_terms, "doc_id long, words array<binary>, times array<int>").collect()  # the sample
-    numbers = {bytes(w): 0 for r in known for w in r["words"]}
-    numbers = {w: i for i, w in enumerate(sorted(numbers))}
+    known = known.mapInArrow(_known_terms, "doc_id long, words array<binary>, times array<int>").toArrow()  # the sample
+    vocabulary, known = examples_of(known)
     vectors = stage(
         texts.mapInArrow(
-            partial(_vectors, vocabulary=spark.sparkContext.broadcast(numbers)),
+            partial(_vectors, vocabulary=spark.sparkContext.broadcast(vocabulary)),
             "doc_id long, vector binary, other double",
         ),
         "vectors",
     )
     n = vectors.count()
-    df, with_term, toxic = (np.zeros(len(numbers), np.int64) for _ in range(3))
-    found = vectors.select("vector").mapInArrow(partial(_documents_of_terms, size=len(numbers)), "term int, df long")
-    for r in rows_one_by_one(found.groupBy("term").agg(F.sum("df").alias("df")), "terms"):  # one row per term of the sample
-        df[r["term"]] = r["df"]
-    examples = []
-    for r in known:
-        terms, times = zip(*sorted((numbers[bytes(w)], m) for w, m in zip(r["words"], r["times"]))) if r["words"] else ((), ())
-        label = marks[r["doc_id"]]
-        with_term[list(terms)] += 1
-        toxic[list(terms)] += label
-        examples.append((r["doc_id"], label, list(terms), list(times)))
+    df, with_term, toxic = (np.zeros(len(vocabulary), np.int64) for _ in range(3))
+    found = vectors.select("vector").mapInArrow(partial(_documents_of_terms, size=len(vocabulary)), "term int, df long")
+    found = found.groupBy("term").agg(F.sum("df").alias("df")).toArrow()  # one row per term of the sample
+    df[found.column("term").to_numpy()] = found.column("df").to_numpy()
+    examples = [(d, marks[d], terms, times) for d, terms, times in known]
+    for _, label, terms, _ in examples:
+        with_term[terms] += 1
+        toxic[terms] += label
     positive = sum(y for _, y, _, _ in examples)
     weight = (np.log((n + 1) / (df + 1)) + 1) * relevance(with_term, toxic, len(examples), positive)
-    index = Index([e for e in examples if e[2]], weight)
+    index = Index([e for e in examples if len(e[2])], weight)
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // TASK_ROWS))
     dealt = vectors.repartition(parts, F.xxhash64("vector"), F.pmod(F.xxhash64("doc_id"), F.lit(SPREAD)))
     votes = dealt.mapInArrow(

@@ -1,5 +1,7 @@
 import math
+import pickle
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -144,3 +146,34 @@ def test_only_texts_without_a_known_word_share_a_score(spark, make_docs):
     bare = [r for r in rows if not r.evidence]
     assert {r.doc_id for r in bare} == {2000, 2001, 2002, 3000}  # 2002's second row is one word that no example has
     assert len({r.score for r in bare}) == 1
+
+
+def test_dense_matrix_is_made_where_it_is_read():
+    rng = random.Random(13)
+    examples = [(i, i % 2, sorted(rng.sample(range(1_000), 5)), [1] * 5) for i in range(3_000)]
+    index = tx.Index(examples, np.ones(1_000))
+    assert "dense" not in vars(index)
+    query = [tx.unit_vector(*examples[8][2:], np.ones(1_000))]
+    near = index.nearest(query, 5)
+    sent = pickle.dumps(index)  # after it was read here, too
+    assert len(sent) < index.dense.nbytes / 8
+    assert pickle.loads(sent).nearest(query, 5) == near
+
+
+def test_driver_holds_no_object_of_a_word(spark, make_docs):
+    rng = random.Random(14)
+    words = [f"w{i}" for i in range(20_000)]
+    docs = [(i, " ".join(rng.sample(words, 1_500))) for i in range(150)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in docs], "doc_id long, toxic int")
+    frame = make_docs(docs).cache()
+    n = sum(len(t.split()) for i, t in docs if zlib.crc32(str(i).encode()) % 5)
+    assert frame.count() == 150
+    tracemalloc.start()
+    try:
+        rows = tx.classify(frame, labels).select("doc_id", "score")
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows.count() == 150
+    frame.unpersist()
+    assert peak < 160 * n, peak / n  # bytes for each word of an example; its numbers take 16
