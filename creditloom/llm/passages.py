@@ -14,7 +14,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creditloom.llm.common import in_filter, key_filter, runs, stage, whole_text, words_of
+from creditloom.llm.common import in_filter, key_filter, runs, slices, stage, whole_text, words_of
 
 #: Shortest passage. Any run of so many words has a minimiser: one of its MIN_WORDS - GRAM + 1 grams.
 MIN_WORDS = 50
@@ -22,6 +22,8 @@ GRAM = 25
 FILTER_BITS = 1 << 25
 #: Documents are hashed together up to so many words.
 _CHUNK_WORDS = 1 << 18
+#: Rows of a batch that a task makes Python objects or arrays of at a time.
+_SLICE = 256
 #: Words kept of a suffix beyond the shortest passage.
 _BEYOND = 14
 _PLACE_BITS = np.uint64(24)
@@ -76,7 +78,7 @@ def minimisers(chunk: list[np.ndarray], min_words: int, gram: int) -> list[tuple
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, int, list[list[bytes]]]]:
-    for batch in batches:
+    for batch in slices(batches, _SLICE):
         texts = batch.column("text").cast(pa.binary())
         at, held, chunk = 0, 0, []
         for i in range(batch.num_rows):
@@ -260,7 +262,7 @@ def _neighbours(batches: Iterator[pa.RecordBatch], min_words: int, gram: int) ->
 
 def _windows(batches: Iterator[pa.RecordBatch], min_words: int, gram: int) -> Iterator[pa.RecordBatch]:
     """Every run of ``min_words`` words about a minimiser that holds its gram, as a hash."""
-    for batch in batches:
+    for batch in slices(batches, _SLICE):
         row, begin, keys = [], [], []
         for i, (pos, right, left) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("pos", "right", "left")))):
             before = np.frombuffer(left, ">u4")[::-1].tobytes()
@@ -280,27 +282,27 @@ def _windows(batches: Iterator[pa.RecordBatch], min_words: int, gram: int) -> It
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Overlapping or touching spans of a document become one; the other document is that of the longest."""
-    for batch in batches:
-        row, first, end, other = [], [], [], []
-        for i, spans in enumerate(batch.column("spans").to_pylist()):
-            best = 0
-            for s in sorted(spans, key=lambda s: (s["first"], -s["end"], s["other"] if s["other"] is not None else -1)):
-                size = s["end"] - s["first"]
-                if row and row[-1] == i and s["first"] <= end[-1]:
-                    end[-1] = max(end[-1], s["end"])
-                    if size > best:
-                        best, other[-1] = size, s["other"]
-                else:
-                    row.append(i)
-                    first.append(s["first"])
-                    end.append(s["end"])
-                    other.append(s["other"])
-                    best = size
-        index = pa.array(row, pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id").take(index), batch.column("text_key").take(index), pa.array(first, pa.int32()), pa.array(end, pa.int32()), pa.array(other, pa.int64())],
-            ["doc_id", "text_key", "first", "end", "other"],
-        )
+    for batch in slices(batches, _SLICE):
+        spans = batch.column("spans")
+        parts = spans.flatten()
+        first, end = (parts.field(c).to_numpy().astype(np.int64) for c in ("first", "end"))
+        other = parts.field("other").fill_null(-1).to_numpy()
+        row = np.repeat(np.arange(batch.num_rows), pc.list_value_length(spans).to_numpy(zero_copy_only=False))
+        order = np.lexsort((other, -end, first, row))
+        first, end, row = first[order], end[order], row[order]
+        # documents apart by more than any place, so that one running maximum serves all
+        apart = row * (end.max(initial=0) + 1)
+        reach = np.maximum.accumulate(apart + end)
+        new = np.ones(len(row), bool)
+        new[1:] = (apart + first)[1:] > reach[:-1]
+        starts = np.flatnonzero(new)
+        span = np.cumsum(new) - 1
+        longest = np.lexsort((first - end, span))[starts]  # stable: the first of the longest
+        columns = [batch.column(c).take(pa.array(row[starts])) for c in ("doc_id", "text_key")]
+        last = np.append(starts[1:], len(row))[: len(starts)] - 1
+        columns += [pa.array(first[starts], pa.int32()), pa.array((reach - apart)[last], pa.int32())]
+        columns += [parts.field("other").take(pa.array(order[longest]))]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "first", "end", "other"])
 
 
 def shared_passages(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM, filter_bits: int = FILTER_BITS) -> DataFrame:

@@ -1,5 +1,7 @@
 import random
+import tracemalloc
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
@@ -124,3 +126,26 @@ def test_merging_and_empty_table(make_docs):
     rows = next(ps._merged(iter([batch]))).to_pylist()
     assert [(r["first"], r["end"], r["other"]) for r in rows] == [(0, 9, None), (20, 30, 4)]
     assert ps.shared_passages(make_docs([(1, "a b")]).filter("doc_id < 0")).collect() == []
+
+
+def test_tasks_hold_part_of_a_batch():
+    n, each = 3_000, 100
+    spans = pa.array([{"first": 3 * k, "end": 3 * k + 50, "other": k % 7 or None} for k in range(each)] * n)
+    lists = pa.ListArray.from_arrays(pa.array(np.arange(0, n * each + 1, each), pa.int32()), spans)
+    ids = pa.array(range(n), pa.int64())
+    batch = pa.RecordBatch.from_arrays([ids, ids, lists], ["doc_id", "text_key", "spans"])
+    tracemalloc.start()
+    try:
+        merged = [r for b in ps._merged(iter([batch])) for r in zip(*(c.to_pylist() for c in b.columns))]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert merged == [(i, i, 0, 3 * each + 47, None) for i in range(n)]
+    assert peak < 16 * n * each
+
+    rng = np.random.default_rng(20)
+    words = lambda k: pa.array([rng.integers(0, 1 << 32, k, np.uint64).astype(">u4").tobytes() for _ in range(n)], pa.binary())
+    batch = pa.RecordBatch.from_arrays([ids, ids, pa.array([100] * n, pa.int32()), words(64), words(26)], ["doc_id", "text_key", "pos", "right", "left"])
+    windows = list(ps._windows(iter([batch]), 50, 25))
+    assert sum(b.num_rows for b in windows) == 26 * n
+    assert max(b.num_rows for b in windows) <= 26 * 256
