@@ -20,6 +20,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from creditloom import constants as K
+from creditloom.operators import boosting
 from creditloom.operators.ordering import SLICE, slice_by_range, total_before, with_total_before
 from creditloom.sources import writers
 from creditloom.sources.staging import fresh_path, stage
@@ -260,9 +261,10 @@ def random_search(
     """Random search by cross-validated AUC (unbinned) over rows with ``features`` and ``label``.
 
     Boosting rounds are nested: points that differ in maxIter only are one fit of the most rounds, of which the
-    others are the beginning. The fits of all points and folds run side by side, three for each task the session
-    has room for, as a fit's short jobs leave gaps. Partitions follow the number of rows, as a fit is many short jobs. ``max_rows`` bounds
-    the rows that are searched by a random share of about so many; the default is all rows.
+    others are the beginning. The fits of boosted trees share their jobs (``boosting``). Those of other estimators, or of
+    parameters that it does not know, run side by side, three for each task the session has room for or ``parallelism``,
+    as a fit's short jobs leave gaps. Partitions follow the number of rows. ``max_rows`` bounds the rows that are
+    searched by a random share of about so many; the default is all rows.
     """
     estimator = estimator or boosted_trees(seed=seed)
     spark = df.sparkSession
@@ -280,8 +282,8 @@ def random_search(
         fits.setdefault(tuple((k, v) for k, v in point.items() if not (nested and k == "maxIter")), []).append(i)
     rounds = [point.get("maxIter", estimator.getOrDefault("maxIter")) if nested else 0 for point in points]
     evaluator = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC", numBins=0)
-    held = [rows.where(F.col("fold") == f).select(FEATURES, "label").cache() for f in range(folds)]
-    known = [rows.where(F.col("fold") != f).select(FEATURES, "label").cache() for f in range(folds)]
+    held = [rows.where(F.col("fold") == f).select(FEATURES, "label") for f in range(folds)]
+    known = [rows.where(F.col("fold") != f).select(FEATURES, "label") for f in range(folds)]
 
     def fit(data: DataFrame, mine: list[int]) -> Model:
         point = {k: v for k, v in points[mine[0]].items()}
@@ -299,13 +301,20 @@ def random_search(
     threads = parallelism or max(1, 3 * spark.sparkContext.defaultParallelism // n_tasks)
     found: dict[int, list[float]] = {i: [] for i in range(len(points))}
     tasks = [(mine, fold) for mine in fits.values() for fold in range(folds)]
-    try:
-        for scores in side_by_side(spark, aucs, tasks, threads):
-            for i, value in scores:
-                found[i].append(value)
-    finally:
+    shared = boosting.held_out_scores(rows, estimator, points, folds) if boosting.can_share(estimator, points) else None
+    if shared is not None:
+        values = _areas(rows, shared[0], {number: fold for (_, fold), number in shared[1].items()})
+        found = {i: [values[shared[1][i, fold]] for fold in range(folds)] for i in found}
+    else:
         for part in (*held, *known):
-            part.unpersist()
+            part.cache()
+        try:
+            for scores in side_by_side(spark, aucs, tasks, threads):
+                for i, value in scores:
+                    found[i].append(value)
+        finally:
+            for part in (*held, *known):
+                part.unpersist()
     scores = [sum(found[i]) / folds for i in range(len(points))]
     search = Search(points, scores, None, len(tasks))
     mine = [points.index(search.best)]
@@ -313,6 +322,18 @@ def random_search(
     return search
 
 
+def _areas(rows: DataFrame, scores: DataFrame, fold_of: dict[int, int]) -> dict[int, float]:
+    """AUC by score_id, with the evaluator's values where a fold has one class only: 1 without a negative row, 0
+    without a positive one, a half without rows."""
+    one_class = {(True, False): 1.0, (False, True): 0.0, (False, False): 0.5}
+    there = {(r["fold"], r["label"] == 1) for r in rows.select("fold", "label").distinct().collect()}
+    found = {r["score_id"]: r["auc"] for r in auc(scores, "score", by=["score_id"], weight="n").collect()}
+    return {
+        number: one_class.get(((fold, True) in there, (fold, False) in there), found.get(number))
+        for number, fold in fold_of.items()
+    }
+
+
 def search_results(search: Search) -> DataFrame:
     """(candidate, params, mean_auc) of every point tried."""
     rows = [
