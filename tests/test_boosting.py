@@ -1,3 +1,4 @@
+import datetime as dt
 import itertools
 import random
 
@@ -7,6 +8,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
 from creditloom.operators import boosting as B, modeling as M
+from creditloom.plans import training
 
 SPACE = {
     "maxIter": [2, 4],
@@ -105,3 +107,20 @@ def test_other_fits_are_left_to_their_estimator(spark):
     estimator = LogisticRegression(featuresCol=M.FEATURES, labelCol="label")
     search = M.random_search(rows, {"regParam": [0.1, 1.0]}, n=2, folds=2, estimator=estimator)
     assert search.n_fits == 4 and all(0.5 < s <= 1 for s in search.scores)
+
+
+def test_windowed_training_searches_in_shared_jobs(spark):
+    """The windowed flow ran the jobs of every point's fits one after the other, too."""
+    sc, jobs = spark.sparkContext, {}
+    rng = random.Random(2)
+    rows = [(str(i), dt.date(2024, 3 + i % 5, 1), rng.gauss(0, 1), rng.gauss(0, 1), i % 3 // 2) for i in range(200)]
+    known = spark.createDataFrame(rows, "Customer_ID string, snapshot_date date, fe_1 double, fe_2 double, label int").coalesce(1).cache()
+    space = {"maxIter": [2], "maxDepth": [2], "stepSize": [0.1, 0.3], "minInfoGain": [0.0, 0.1], "minInstancesPerNode": [1, 3, 5]}
+    for n in (1, 12):
+        sc.setLocalProperty("spark.jobGroup.id", f"windowed-{n}")
+        scores, card = training.train_windowed(known.drop("label"), known.drop("fe_1", "fe_2"), "2024-08-01", "v", space=space, n=n, folds=2)
+        jobs[n] = len(sc.statusTracker().getJobIdsForGroup(f"windowed-{n}"))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[1] > 0 and jobs[12] < jobs[1] + 12
+    assert scores.count() == 200 and set(card.first().splits) == {"train", "test", "oot"}
+    known.unpersist()
