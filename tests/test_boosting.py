@@ -51,6 +51,16 @@ def test_shared_fits_are_the_single_ones(spark, monkeypatch, rows_per_task):
     """Every point's score is what Spark ML's own fits give, also where rows are drawn in several partitions and blocks."""
     monkeypatch.setattr(M, "ROWS_PER_TASK", rows_per_task)
     monkeypatch.setattr(B, "BLOCK_ROWS", 50)
+    folds, write = [], M.stage
+
+    def stage_once(df, name="table"):
+        """Both searches read the same files: their order, and so the draws, is that of the folder."""
+        if name != "folds":
+            return write(df, name)
+        folds[:] = folds or [write(df, name)]
+        return folds[0]
+
+    monkeypatch.setattr(M, "stage", stage_once)
     rows = vectors(spark)
     shared = M.random_search(rows, SPACE, n=6, folds=2)
     monkeypatch.setattr(B, "can_share", lambda *_: False)
